@@ -1,0 +1,19 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows up to which an id/key set is shipped to every executor
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``small`` for broadcast if it has at most ``max_rows`` rows.
+
+    The count is taken on the (usually aggregated) side itself; above the bound
+    the frame is returned unchanged and the planner/AQE picks a shuffle join.
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
