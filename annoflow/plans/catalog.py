@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annoflow.operators import agreement, consensus
+from pyspark.sql import functions as F
+
+from annoflow.functions import text as T
+from annoflow.operators import agreement, annotator_stats, consensus
 from annoflow.plans import oracle, views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,14 +43,12 @@ def is_relevant(spark, sf_dir):
 
 
 def annotator_agreement(spark, sf_dir):
-    from pyspark.sql import functions as F
     ann = consensus.drop_incomplete(views.annotations(spark, sf_dir))
     ag = agreement.annotator_agreement(ann)
     return ag.withColumn("agreement_ratio", F.round("agreement_ratio", 9))
 
 
 def annotator_outliers(spark, sf_dir):
-    from pyspark.sql import functions as F
     out = agreement.worker_outliers(views.annotations(spark, sf_dir), min_tasks=3,
                                     time_cutoff=3, agreement_cutoff=3, min_comparisons_count=20)
     for c in ("time_values", "time_zscores", "agreement_values", "agreement_zscores"):
@@ -59,6 +60,70 @@ def fleiss_kappa(spark, sf_dir):
     return agreement.fleiss_kappa(views.annotations(spark, sf_dir), by=("mode",), min_annotations=20)
 
 
+def qs_histogram(spark, sf_dir):
+    return annotator_stats.results_per_qs_histogram(views.annotations(spark, sf_dir))
+
+
+def workers_per_tweet(spark, sf_dir):
+    return annotator_stats.workers_per_tweet_histogram(views.annotations(spark, sf_dir))
+
+
+def time_per_worker(spark, sf_dir):
+    return annotator_stats.per_worker(views.annotations(spark, sf_dir))
+
+
+def time_per_qs(spark, sf_dir):
+    return annotator_stats.time_per_qs_summary(views.annotations(spark, sf_dir))
+
+
+def fastest_workers(spark, sf_dir):
+    return annotator_stats.smallest(annotator_stats.per_worker(views.annotations(spark, sf_dir)), "mean_time", 10)
+
+
+def time_histogram(spark, sf_dir):
+    return annotator_stats.binned_histogram(
+        annotator_stats.qs_first_times(views.annotations(spark, sf_dir)), "total_time", 5.0)
+
+
+def label_share(spark, sf_dir):
+    return annotator_stats.label_share(views.cleaned_labels(spark, sf_dir))
+
+
+def cleaned_summary(spark, sf_dir):
+    return annotator_stats.cleaned_summary(views.cleaned_labels(spark, sf_dir))
+
+
+def normalize_text(spark, sf_dir):
+    docs = views.texts(spark, sf_dir)
+    return docs.select("id", T.normalize_str("raw_text").alias("text"))
+
+
+def text_hash(spark, sf_dir):
+    docs = views.texts(spark, sf_dir)
+    return docs.select("id", T.text_hash(T.normalize_str("raw_text")).alias("text_hash"))
+
+
+def anonymize_text(spark, sf_dir):
+    return views.texts(spark, sf_dir).select("id", T.anonymize_text("text").alias("text"))
+
+
+def text_cleared(spark, sf_dir):
+    return views.texts(spark, sf_dir).select("id", T.text_cleared("text").alias("text_cleared"))
+
+
+def token_count(spark, sf_dir):
+    docs = views.texts(spark, sf_dir)
+    return docs.select("id", T.token_count(T.normalize_str("raw_text")).alias("token_count"))
+
+
+KEYWORDS = oracle.KEYWORDS
+
+
+def contains_keywords(spark, sf_dir):
+    t = views.texts(spark, sf_dir)
+    return t.select("id", T.contains_keywords("text", "mentions", "url", KEYWORDS).alias("contains_keywords"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "label_majority": label_majority,
     "label_unanimous": label_unanimous,
@@ -69,6 +134,20 @@ QUERIES: dict[str, QueryFn] = {
     "annotator_agreement": annotator_agreement,
     "annotator_outliers": annotator_outliers,
     "fleiss_kappa": fleiss_kappa,
+    "qs_histogram": qs_histogram,
+    "workers_per_tweet": workers_per_tweet,
+    "time_per_worker": time_per_worker,
+    "time_per_qs": time_per_qs,
+    "fastest_workers": fastest_workers,
+    "time_histogram": time_histogram,
+    "label_share": label_share,
+    "cleaned_summary": cleaned_summary,
+    "normalize_text": normalize_text,
+    "text_hash": text_hash,
+    "anonymize_text": anonymize_text,
+    "text_cleared": text_cleared,
+    "token_count": token_count,
+    "contains_keywords": contains_keywords,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -81,4 +160,18 @@ ORACLE_SQL: dict[str, str] = {
     "annotator_agreement": oracle.ANNOTATOR_AGREEMENT,
     "annotator_outliers": oracle.ANNOTATOR_OUTLIERS,
     "fleiss_kappa": oracle.FLEISS_KAPPA,
+    "qs_histogram": oracle.QS_HISTOGRAM,
+    "workers_per_tweet": oracle.WORKERS_PER_TWEET,
+    "time_per_worker": oracle.TIME_PER_WORKER,
+    "time_per_qs": oracle.TIME_PER_QS,
+    "fastest_workers": oracle.FASTEST_WORKERS,
+    "time_histogram": oracle.TIME_HISTOGRAM,
+    "label_share": oracle.LABEL_SHARE,
+    "cleaned_summary": oracle.CLEANED_SUMMARY,
+    "normalize_text": oracle.NORMALIZE_TEXT,
+    "text_hash": oracle.TEXT_HASH,
+    "anonymize_text": oracle.ANONYMIZE_TEXT,
+    "text_cleared": oracle.TEXT_CLEARED,
+    "token_count": oracle.TOKEN_COUNT,
+    "contains_keywords": oracle.CONTAINS_KEYWORDS,
 }

@@ -148,3 +148,121 @@ SELECT mode, question_tag, n_tweets, round(p_bar, 9) AS p_bar, round(p_e, 9) AS
        round(CASE WHEN p_e = 1 THEN NULL ELSE (p_bar - p_e) / (1 - p_e) END, 9) AS kappa
 FROM obs JOIN ch USING (mode, question_tag) WHERE n_tweets > 20
 """
+
+# ---- text views and functions (RE2 spellings of the Java patterns)
+
+WS_RE2 = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+URL_RE2 = rf"((www\.[^{WS_RE2}]+)|(https?://[^{WS_RE2}]+)|(http?://[^{WS_RE2}]+))"
+USER_RE2 = r"(^|[^@\p{L}\p{N}_])@([\p{L}\p{N}_]{1,15})($|[^\p{L}\p{N}_])"
+
+
+def _collapse(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '[{WS_RE2}]+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+def _normalize(x: str) -> str:
+    y = f"regexp_replace(regexp_replace(coalesce({x}, ''), '[\\r\\n\\t]+', ' ', 'g'), '\\p{{C}}', '', 'g')"
+    return _collapse(y)
+
+
+def _anonymize(x: str) -> str:
+    u = f"replace(regexp_replace({x}, '{URL_RE2}', '<url>', 'g'), '<url>', ' <url> ')"
+    u = _collapse(u)
+    v = f"replace(regexp_replace({u}, '{USER_RE2}', '@user\\3', 'g'), '@user', ' @user ')"
+    return _collapse(v)
+
+
+TEXTS = """
+texts AS (
+  SELECT d.doc_id AS id,
+         'RT @' || d.source || ': see ' || coalesce(p.url, '') || ' ' || d.text AS text,
+         d.text AS raw_text, d.lang, p.url, d.source AS mentions
+  FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id)
+"""
+
+NORMALIZE_TEXT = f"SELECT doc_id AS id, {_normalize('text')} AS text FROM documents"
+
+TEXT_HASH = f"SELECT doc_id AS id, md5({_normalize('text')}) AS text_hash FROM documents"
+
+ANONYMIZE_TEXT = f"WITH {TEXTS} SELECT id, {_anonymize('text')} AS text FROM texts"
+
+TEXT_CLEARED = f"""WITH {TEXTS}
+SELECT id, {_collapse("regexp_replace(lower(" + _anonymize('text') + "), 'rt @user:|@user|<url>', '', 'g')")}
+       AS text_cleared FROM texts"""
+
+
+def _token_count(x: str) -> str:
+    from annoflow.functions.stopwords import ENGLISH_STOP_WORDS
+    stops = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
+    y = f"regexp_replace(regexp_replace({x}, '{URL_RE2}', '', 'g'), '(@[^{WS_RE2}]+)', '', 'g')"
+    return (f"len(list_filter(regexp_extract_all({y}, '\\p{{L}}+'), "
+            f"lambda t: NOT list_contains([{stops}], lower(t))))")
+
+
+TOKEN_COUNT = f"SELECT doc_id AS id, {_token_count(_normalize('text'))} AS token_count FROM documents"
+
+KEYWORDS = ("licen[cs]e", "mit", "example\\.org")
+_KW = "|".join(f"(?:{k})" for k in KEYWORDS)
+
+CONTAINS_KEYWORDS = f"""WITH {TEXTS}
+SELECT id, (regexp_matches(lower(text || mentions), '{_KW}')
+            OR coalesce(regexp_matches(lower(url), '(\\b|\\d|_)(?:{_KW})(\\b|\\d|_|cas)'), false))
+           AS contains_keywords
+FROM texts"""
+
+# ---- annotation statistics
+
+QS = """
+qs AS (SELECT annotator_id, tweet_id, count(*) AS results_count FROM annotations
+       WHERE annotator_id IS NOT NULL AND tweet_id IS NOT NULL GROUP BY annotator_id, tweet_id)
+"""
+
+QS_HISTOGRAM = f"""WITH {ANNOTATIONS}, {QS}
+SELECT results_count, count(*) AS n_qs FROM qs GROUP BY results_count"""
+
+WORKERS_PER_TWEET = f"""WITH {ANNOTATIONS}, {QS}
+SELECT n_workers, count(*) AS n_tweets FROM (SELECT tweet_id, count(*) AS n_workers FROM qs GROUP BY tweet_id)
+GROUP BY n_workers"""
+
+TIME_PER_WORKER = f"""WITH {ANNOTATIONS}
+SELECT annotator_id, count(*) AS n_results, count(DISTINCT tweet_id) AS n_qs, round(avg(total_time), 9) AS mean_time
+FROM annotations WHERE annotator_id IS NOT NULL GROUP BY annotator_id"""
+
+QS_TIMES = """
+qt AS (SELECT annotator_id, tweet_id, arg_min(total_time, seq) AS total_time FROM annotations
+       WHERE annotator_id IS NOT NULL AND tweet_id IS NOT NULL AND total_time IS NOT NULL
+       GROUP BY annotator_id, tweet_id)
+"""
+
+TIME_PER_QS = f"""WITH {ANNOTATIONS}, {QS_TIMES}
+SELECT count(*) AS n_qs, round(avg(total_time), 9) AS mean_time, round(median(total_time), 9) AS median_time
+FROM qt"""
+
+FASTEST_WORKERS = f"""WITH {ANNOTATIONS},
+w AS (SELECT round(avg(total_time), 9) AS mean_time FROM annotations WHERE annotator_id IS NOT NULL
+      GROUP BY annotator_id)
+SELECT mean_time, row_number() OVER (ORDER BY mean_time) AS rank FROM w WHERE mean_time IS NOT NULL
+ORDER BY mean_time LIMIT 10"""
+
+TIME_HISTOGRAM = f"""WITH {ANNOTATIONS}, {QS_TIMES}
+SELECT CAST(floor(total_time / 5.0) AS BIGINT) AS bin, count(*) AS n,
+       CAST(floor(total_time / 5.0) AS DOUBLE) * 5.0 AS lower
+FROM qt GROUP BY 1, 3"""
+
+CLEANED = """
+cleaned AS (
+  SELECT l.doc_id AS id, d.text, CAST(1 AS BIGINT) AS question_id, 'quality' AS question_tag,
+         CAST(l.quality AS BIGINT) AS label_id, CAST(l.quality AS VARCHAR) AS label_tag
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+  UNION ALL
+  SELECT l.doc_id, d.text, CAST(2 AS BIGINT), 'toxic', CAST(l.toxic AS BIGINT), CAST(l.toxic AS VARCHAR)
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
+"""
+
+LABEL_SHARE = f"""WITH {CLEANED}
+SELECT question_tag, label_tag, count(*) AS n,
+       round(100.0 * CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY question_tag), 9) AS pct
+FROM cleaned GROUP BY question_tag, label_tag"""
+
+CLEANED_SUMMARY = f"""WITH {CLEANED}
+SELECT count(*) AS n_labels, count(DISTINCT id) AS n_tweets FROM cleaned"""

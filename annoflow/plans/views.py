@@ -84,6 +84,7 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("raw_text"),
         F.col("lang"),
         F.col("url"),
+        F.col("source").alias("mentions"),
     )
 
 
