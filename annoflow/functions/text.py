@@ -11,8 +11,9 @@ from __future__ import annotations
 import html
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from annoflow.functions.stopwords import ENGLISH_STOP_WORDS
 
@@ -52,7 +53,7 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
 
@@ -119,14 +120,34 @@ def fold_quotes(c) -> Column:
     return F.translate(_c(c), QUOTE_FOLD_FROM, QUOTE_FOLD_TO)
 
 
-def token_count(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
-    """Letter-run tokens that are not stop words, after removing URLs and
-    '@...' words (tokeniser re-aimed from a per-row NLP library)."""
+def token_candidates(c) -> Column:
+    """Letter-run tokens of a text after removing URLs and '@...' words (P15 input)."""
     col = F.regexp_replace(_c(c), URL_PATTERN, "")
     col = F.regexp_replace(col, f"(@{NON_WS}+)", "")
-    tokens = F.regexp_extract_all(col, F.lit("\\p{L}+"), 0)
+    return F.regexp_extract_all(col, F.lit("\\p{L}+"), 0)
+
+
+def with_token_count(df: DataFrame, text_col: str, out_col: str = "token_count",
+                     stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+    """Number of letter-run tokens that are not stop words.
+
+    The tokeniser is re-aimed from a per-row NLP library to letter runs; stop
+    words are removed by Spark ML's StopWordsRemover (a JVM hash-set lookup,
+    case-insensitive).
+    """
+    from pyspark.ml.feature import StopWordsRemover
+
+    tmp_in, tmp_out = f"_{out_col}_tokens", f"_{out_col}_kept"
+    remover = StopWordsRemover(inputCol=tmp_in, outputCol=tmp_out, stopWords=list(stop_words),
+                               caseSensitive=False, locale="en_US")
+    out = remover.transform(df.withColumn(tmp_in, token_candidates(text_col)))
+    return out.withColumn(out_col, F.size(tmp_out)).drop(tmp_in, tmp_out)
+
+
+def token_count(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
+    """P15 as a column expression (linear stop-word scan; prefer ``with_token_count``)."""
     stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.size(F.filter(tokens, lambda t: ~F.array_contains(stops, F.lower(t))))
+    return F.size(F.filter(token_candidates(c), lambda t: ~F.array_contains(stops, F.lower(t))))
 
 
 def contains_keywords(text, mentions=None, urls=None, keywords=()) -> Column:

@@ -112,8 +112,8 @@ def text_cleared(spark, sf_dir):
 
 
 def token_count(spark, sf_dir):
-    docs = views.texts(spark, sf_dir)
-    return docs.select("id", T.token_count(T.normalize_str("raw_text")).alias("token_count"))
+    docs = views.texts(spark, sf_dir).select("id", T.normalize_str("raw_text").alias("text"))
+    return T.with_token_count(docs, "text").select("id", "token_count")
 
 
 KEYWORDS = oracle.KEYWORDS
@@ -175,3 +175,129 @@ ORACLE_SQL: dict[str, str] = {
     "token_count": oracle.TOKEN_COUNT,
     "contains_keywords": oracle.CONTAINS_KEYWORDS,
 }
+
+
+# ---- interactions, dedup, sampling, splits
+
+from annoflow.operators import interactions, sampling, splits  # noqa: E402
+
+COUNT_COLS = ["num_quotes", "num_replies", "num_retweets"]
+
+
+def interaction_counts(spark, sf_dir):
+    return interactions.count_interactions(interactions.interaction_log(views.statuses(spark, sf_dir)))
+
+
+def parsed_with_counts(spark, sf_dir):
+    st = views.statuses(spark, sf_dir)
+    counts = interactions.count_interactions(interactions.interaction_log(st))
+    return interactions.attach_counts(st.select("id", "created_at", "kind"), counts)
+
+
+def extend_merge(spark, sf_dir):
+    st = views.statuses(spark, sf_dir).select("id", "created_at", "kind", "target_id")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    overlap = F.lit("2024-01-10").cast("timestamp_ntz")
+    old = st.where(F.col("created_at") < cut)
+    new = st.where(F.col("created_at") >= overlap)
+    existing = interactions.attach_counts(old.select("id", "created_at"),
+                                          interactions.count_interactions(interactions.interaction_log(old)))
+    return interactions.extend_merge(existing, new.select("id", "created_at"),
+                                     interactions.interaction_log(old), interactions.interaction_log(new))
+
+
+def dedup_by_id(spark, sf_dir):
+    rows = views.embedded_copies(spark, sf_dir)
+    return interactions.dedup_by_id(rows, ("priority", "seen_at", "source_id"))
+
+
+def _sample_input(spark, sf_dir):
+    t = views.texts(spark, sf_dir)
+    t = T.with_token_count(t.withColumn("_norm", T.normalize_str("raw_text")), "_norm").drop("_norm")
+    t = sampling.filter_statuses(t, min_token_count=3, langs=["en", "fr"])
+    return sampling.dedup_keep_first(t, T.sample_dedup_key("text"), ["id"])
+
+
+def random_sample(spark, sf_dir):
+    s = sampling.random_sample(_sample_input(spark, sf_dir), 100, seed=42, strict=False)
+    return s.select("id", T.anonymize_text("text").alias("text"))
+
+
+def monthly_sample(spark, sf_dir):
+    s = sampling.binned_sample(views.order_statuses(spark, sf_dir), seed=7, size=800, period="months")
+    return s.select("id", "bin")
+
+
+def next_batch(spark, sf_dir):
+    sampled, unavailable, labelled, batched = views.sample_tables(spark, sf_dir)
+    b = sampling.next_batch(sampled, 25, unavailable=unavailable, labelled=labelled, batched=batched)
+    return b.select("tweet_id", "tweet_text", "sample_pos", "batch_id")
+
+
+def sample_stats(spark, sf_dir):
+    sampled, unavailable, labelled, batched = views.sample_tables(spark, sf_dir)
+    return sampling.sample_stats(sampled, unavailable, labelled, batched)
+
+
+def sample_distribution(spark, sf_dir):
+    corpus = views.order_statuses(spark, sf_dir)
+    sample = sampling.binned_sample(corpus, seed=7, size=800, period="months")
+    return sampling.sample_distribution(corpus, sample)
+
+
+def train_dev_test_split(spark, sf_dir):
+    df = splits.cleaned_for_question(views.cleaned_labels(spark, sf_dir))
+    out = splits.train_dev_test_split(df, seed=42, dev_size=0.2, test_size=0.2)
+    return out.select("id", "question_tag", "label", "split")
+
+
+def balanced_split(spark, sf_dir):
+    df = splits.cleaned_for_question(views.cleaned_labels(spark, sf_dir))
+    out = splits.train_dev_test_split(df, seed=42, dev_size=0.2, test_size=0.2, balanced=True)
+    return out.select("id", "question_tag", "label", "split")
+
+
+def pretrain_split(spark, sf_dir):
+    t = views.texts(spark, sf_dir).where(F.col("lang") == "en")
+    t = T.with_token_count(t.withColumn("_norm", T.normalize_str("raw_text")), "_norm").drop("_norm")
+    t = t.where(F.col("token_count") >= 3)
+    t = sampling.dedup_keep_first(t, T.text_cleared("text"), ["id"])
+    return splits.pretrain_split(t.select("id"), seed=42).select("id", "split")
+
+
+def has_label_filter(spark, sf_dir):
+    out = splits.has_label_filter(views.cleaned_labels(spark, sf_dir), "1,0")
+    return out.select("id", "question_tag", "label_tag")
+
+
+QUERIES.update({
+    "interaction_counts": interaction_counts,
+    "parsed_with_counts": parsed_with_counts,
+    "extend_merge": extend_merge,
+    "dedup_by_id": dedup_by_id,
+    "random_sample": random_sample,
+    "monthly_sample": monthly_sample,
+    "next_batch": next_batch,
+    "sample_stats": sample_stats,
+    "sample_distribution": sample_distribution,
+    "train_dev_test_split": train_dev_test_split,
+    "balanced_split": balanced_split,
+    "pretrain_split": pretrain_split,
+    "has_label_filter": has_label_filter,
+})
+
+ORACLE_SQL.update({
+    "interaction_counts": oracle.INTERACTION_COUNTS,
+    "parsed_with_counts": oracle.PARSED_WITH_COUNTS,
+    "extend_merge": oracle.EXTEND_MERGE,
+    "dedup_by_id": oracle.DEDUP_BY_ID,
+    "random_sample": oracle.RANDOM_SAMPLE,
+    "monthly_sample": oracle.MONTHLY_SAMPLE,
+    "next_batch": oracle.NEXT_BATCH,
+    "sample_stats": oracle.SAMPLE_STATS,
+    "sample_distribution": oracle.SAMPLE_DISTRIBUTION,
+    "train_dev_test_split": oracle.TRAIN_DEV_TEST_SPLIT,
+    "balanced_split": oracle.BALANCED_SPLIT,
+    "pretrain_split": oracle.PRETRAIN_SPLIT,
+    "has_label_filter": oracle.HAS_LABEL_FILTER,
+})

@@ -266,3 +266,153 @@ FROM cleaned GROUP BY question_tag, label_tag"""
 
 CLEANED_SUMMARY = f"""WITH {CLEANED}
 SELECT count(*) AS n_labels, count(DISTINCT id) AS n_tweets FROM cleaned"""
+
+# ---- interactions and dedup
+
+STATUSES = """
+statuses AS (
+  SELECT event_id AS id, ts AS created_at, user_id, event_type,
+         CASE event_type WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'quote' WHEN 'view' THEN 'retweet' END AS kind,
+         CASE WHEN event_type IN ('click', 'purchase', 'view')
+              THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS target_id,
+         value
+  FROM events)
+"""
+
+
+def _counts(src: str) -> str:
+    return f"""(SELECT target_id AS id,
+         count(*) FILTER (WHERE kind = 'quote') AS num_quotes,
+         count(*) FILTER (WHERE kind = 'reply') AS num_replies,
+         count(*) FILTER (WHERE kind = 'retweet') AS num_retweets
+  FROM (SELECT DISTINCT id AS source_id, kind, target_id FROM {src}
+        WHERE kind IS NOT NULL AND target_id IS NOT NULL) GROUP BY target_id)"""
+
+
+INTERACTION_COUNTS = f"WITH {STATUSES} SELECT * FROM {_counts('statuses')}"
+
+PARSED_WITH_COUNTS = f"""WITH {STATUSES}, c AS {_counts('statuses')}
+SELECT s.id, s.created_at, s.kind, coalesce(c.num_quotes, 0) AS num_quotes,
+       coalesce(c.num_replies, 0) AS num_replies, coalesce(c.num_retweets, 0) AS num_retweets
+FROM statuses s LEFT JOIN c ON s.id = c.id"""
+
+# merging the two overlapping batches must equal counting everything once
+EXTEND_MERGE = f"""WITH {STATUSES}, c AS {_counts('statuses')}
+SELECT s.id, s.created_at, coalesce(c.num_quotes, 0) AS num_quotes,
+       coalesce(c.num_replies, 0) AS num_replies, coalesce(c.num_retweets, 0) AS num_retweets
+FROM statuses s LEFT JOIN c ON s.id = c.id"""
+
+DEDUP_BY_ID = f"""WITH {STATUSES},
+rows AS (
+  SELECT id, created_at, user_id, 0 AS priority, created_at AS seen_at, id AS source_id FROM statuses
+  WHERE created_at >= TIMESTAMP '2024-01-03'
+  UNION ALL
+  SELECT o.id, o.created_at, o.user_id, 1, s.created_at, s.id
+  FROM statuses s JOIN statuses o ON s.target_id = o.id WHERE s.kind IN ('quote', 'retweet'))
+SELECT id, created_at, user_id, priority, seen_at, source_id FROM rows
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY priority, seen_at, source_id) = 1"""
+
+# ---- sampling and splits
+
+
+def _key(seed: int, col: str) -> str:
+    return f"md5('{seed}:' || CAST({col} AS VARCHAR))"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[{WS_RE2}]+|[{WS_RE2}]+$', '', 'g')"
+
+
+RANDOM_SAMPLE = f"""WITH {TEXTS},
+f AS (SELECT id, text FROM texts WHERE {_token_count(_normalize('raw_text'))} > 3 AND lang IN ('en', 'fr')),
+d AS (SELECT * FROM f
+      QUALIFY row_number() OVER (PARTITION BY {_strip("regexp_replace(text, '@<user>|<url>', '', 'g')")}
+                                 ORDER BY id) = 1)
+SELECT id, {_anonymize('text')} AS text FROM d ORDER BY {_key(42, 'id')}, id LIMIT 100"""
+
+MONTHLY_SAMPLE = f"""
+WITH o AS (SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m') AS bin FROM orders),
+q AS (SELECT CAST(trunc(800 / CAST(count(DISTINCT bin) AS DOUBLE)) AS BIGINT) AS bin_size FROM o)
+SELECT id, bin FROM o
+QUALIFY row_number() OVER (PARTITION BY bin ORDER BY {_key(7, 'id')}, id) <= (SELECT bin_size FROM q)"""
+
+SAMPLE_TABLES = f"""
+s AS (SELECT doc_id AS tweet_id, text AS tweet_text,
+             row_number() OVER (ORDER BY {_key(42, 'doc_id')}, doc_id) - 1 AS sample_pos FROM documents),
+un AS (SELECT doc_id AS tweet_id FROM documents WHERE lang = 'de'),
+lab AS (SELECT doc_id AS tweet_id FROM labels),
+bat AS (SELECT doc_id AS tweet_id FROM documents WHERE source = 'src0')
+"""
+
+NEXT_BATCH = f"""WITH {SAMPLE_TABLES}
+SELECT tweet_id, tweet_text, sample_pos, 2 AS batch_id FROM s
+WHERE tweet_id NOT IN (SELECT tweet_id FROM un) AND tweet_id NOT IN (SELECT tweet_id FROM lab)
+  AND tweet_id NOT IN (SELECT tweet_id FROM bat)
+ORDER BY sample_pos DESC LIMIT 25"""
+
+SAMPLE_STATS = f"""WITH {SAMPLE_TABLES},
+ids AS (SELECT tweet_id FROM s UNION SELECT tweet_id FROM un UNION SELECT tweet_id FROM lab
+        UNION SELECT tweet_id FROM bat),
+f AS (SELECT tweet_id,
+             tweet_id IN (SELECT tweet_id FROM s) AS is_s, tweet_id IN (SELECT tweet_id FROM un) AS is_u,
+             tweet_id IN (SELECT tweet_id FROM lab) AS is_l, tweet_id IN (SELECT tweet_id FROM bat) AS is_b
+      FROM ids)
+SELECT count(*) FILTER (WHERE is_s) AS n_sampled, count(*) FILTER (WHERE is_u) AS n_unavailable,
+       count(*) FILTER (WHERE is_b) AS n_batched, count(*) FILTER (WHERE is_l) AS n_labelled,
+       count(*) FILTER (WHERE is_s AND NOT is_u AND NOT is_l AND NOT is_b) AS n_left,
+       count(*) FILTER (WHERE is_s AND NOT is_u AND NOT is_b) AS n_left_incl_labelled,
+       round(100.0 * CAST(count(*) FILTER (WHERE is_l) AS DOUBLE) / count(*) FILTER (WHERE is_s), 9) AS pct_labelled
+FROM f"""
+
+SAMPLE_DISTRIBUTION = f"""
+WITH o AS (SELECT o_orderkey AS id, o_orderdate AS created_at FROM orders),
+q AS (SELECT CAST(trunc(800 / CAST(count(DISTINCT strftime(created_at, '%Y-%m')) AS DOUBLE)) AS BIGINT) AS bin_size
+      FROM o),
+smp AS (SELECT id FROM o QUALIFY row_number() OVER (PARTITION BY strftime(created_at, '%Y-%m')
+                                                    ORDER BY {_key(7, 'id')}, id) <= (SELECT bin_size FROM q)),
+base AS (SELECT min(created_at) AS b FROM o),
+idx AS (SELECT id, created_at, row_number() OVER (ORDER BY created_at, id) - 1 AS idx FROM o)
+SELECT id, idx, CAST(date_diff('day', CAST(b AS DATE), CAST(created_at AS DATE)) AS INTEGER) AS day_idx,
+       CAST((year(created_at) - year(b)) * 12 + month(created_at) - month(b) AS INTEGER) AS month_idx,
+       CAST(year(created_at) - year(b) AS INTEGER) AS year_idx
+FROM idx, base WHERE id IN (SELECT id FROM smp)"""
+
+
+def _split_sql(source: str, seed: int, f1: float, f2: float) -> str:
+    return f"""
+k AS (SELECT id, question_tag, label,
+             row_number() OVER (PARTITION BY question_tag ORDER BY {_key(seed, 'id')}, id) - 1 AS pos,
+             count(*) OVER (PARTITION BY question_tag) AS n FROM {source})
+SELECT id, question_tag, label,
+       CASE WHEN pos < CAST(trunc(CAST('{f1!r}' AS DOUBLE) * n) AS BIGINT) THEN 'train'
+            WHEN pos < CAST(trunc(CAST('{f2!r}' AS DOUBLE) * n) AS BIGINT) THEN 'dev' ELSE 'test' END AS split
+FROM k"""
+
+
+_F1, _F2 = (1 - 0.2 - 0.2), (1 - 0.2)
+
+TRAIN_DEV_TEST_SPLIT = f"""WITH {CLEANED},
+c AS (SELECT id, question_tag, label_tag AS label FROM cleaned),
+{_split_sql('c', 42, _F1, _F2)}"""
+
+BALANCED_SPLIT = f"""WITH {CLEANED},
+c0 AS (SELECT id, question_tag, label_tag AS label FROM cleaned),
+m AS (SELECT question_tag, min(n) AS min_class
+      FROM (SELECT question_tag, label, count(*) AS n FROM c0 GROUP BY ALL) GROUP BY question_tag),
+c AS (SELECT c0.* FROM c0 JOIN m USING (question_tag)
+      QUALIFY row_number() OVER (PARTITION BY c0.question_tag, c0.label ORDER BY {_key(42, 'c0.id')}, c0.id)
+              <= m.min_class),
+{_split_sql('c', 42, _F1, _F2)}"""
+
+PRETRAIN_SPLIT = f"""WITH {TEXTS},
+f AS (SELECT id, text FROM texts WHERE lang = 'en' AND {_token_count(_normalize('raw_text'))} >= 3),
+d AS (SELECT id FROM f QUALIFY row_number() OVER (
+        PARTITION BY {_collapse("regexp_replace(lower(" + _anonymize('text') + "), 'rt @user:|@user|<url>', '', 'g')")}
+        ORDER BY id) = 1),
+k AS (SELECT id, row_number() OVER (ORDER BY {_key(42, 'id')}, id) - 1 AS pos, count(*) OVER () AS n FROM d)
+SELECT id, CASE WHEN pos < greatest(CAST(trunc(0.8 * n) AS BIGINT), n - 200000) THEN 'train' ELSE 'dev' END AS split
+FROM k"""
+
+HAS_LABEL_FILTER = f"""WITH {CLEANED}
+SELECT id, question_tag, label_tag FROM cleaned
+WHERE id IN (SELECT id FROM cleaned WHERE label_tag IN ('1')) AND id IN (SELECT id FROM cleaned WHERE label_tag IN ('0'))"""

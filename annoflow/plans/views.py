@@ -99,3 +99,46 @@ def cleaned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.join(docs, "doc_id").select(
         F.col("doc_id").alias("id"), "text", "question_id", "question_tag",
         F.col("label_tag").cast("bigint").alias("label_id"), "label_tag")
+
+
+def embedded_copies(spark: SparkSession, sf_dir: str, collected_from: str = "2024-01-03") -> DataFrame:
+    """Status copies as met during ingest: top-level statuses collected from
+    ``collected_from`` on (priority 0) and the originals embedded in quotes and
+    retweets (priority 1, seen when the embedding status was)."""
+    st = statuses(spark, sf_dir)
+    top = st.where(F.col("created_at") >= F.lit(collected_from).cast("timestamp_ntz")).select(
+        "id", "created_at", "user_id", F.lit(0).alias("priority"),
+        F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
+    emb_src = st.where(F.col("kind").isin("quote", "retweet")).select(
+        F.col("target_id"), F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
+    orig = st.select("id", "created_at", "user_id")
+    emb = emb_src.join(orig, emb_src.target_id == orig.id).select(
+        "id", "created_at", "user_id", F.lit(1).alias("priority"), "seen_at", "source_id")
+    return top.unionByName(emb)
+
+
+def sample_tables(spark: SparkSession, sf_dir: str, seed: int = 42):
+    """Sample bookkeeping derived from documents/labels.
+
+    sampled: every document in seeded order (``sample_pos``); unavailable:
+    documents in German; labelled: documents with labels; batched (batch 1):
+    documents of source ``src0``.
+    """
+    from annoflow.functions.hashing import sample_key
+    from annoflow.operators.topk import global_row_index
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    keyed = docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet_text"),
+                        sample_key("doc_id", seed).alias("_key"))
+    sampled = global_row_index(keyed, ["_key", "tweet_id"], index_col="sample_pos").drop("_key")
+    unavailable = docs.where(F.col("lang") == "de").select(F.col("doc_id").alias("tweet_id"))
+    labelled = read_table(spark, sf_dir, "labels", ["doc_id"]).select(F.col("doc_id").alias("tweet_id"))
+    batched = docs.where(F.col("source") == "src0").select(F.col("doc_id").alias("tweet_id"),
+                                                          F.lit(1).alias("batch_id"))
+    return sampled, unavailable, labelled, batched
+
+
+def order_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as dated statuses (seven years: month and year bins)."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    return o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"))
