@@ -58,10 +58,18 @@ def _html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
 
 
+# an entity (named or numeric) always starts with '&' followed by '#' or a letter
+ENTITY_START = "&[#A-Za-z]"
+
+
 def html_unescape(c) -> Column:
-    """Decode HTML entities; strings without '&' never leave the JVM as text."""
+    """Decode HTML entities (Python html.unescape semantics).
+
+    Only strings that can hold an entity are sent to the Arrow UDF; all others
+    pass as nulls and keep their JVM value.
+    """
     col = _c(c)
-    return F.coalesce(_html_unescape(F.when(col.contains("&"), col)), col)
+    return F.coalesce(_html_unescape(F.when(col.rlike(ENTITY_START), col)), col)
 
 
 def normalize_str(c, unescape: bool = True) -> Column:
@@ -89,9 +97,19 @@ def replace_usernames(c, filler: str = USER_FILLER) -> Column:
     return collapse_ws(col)
 
 
+def _anonymize_raw(c, url_filler: str, user_filler: str) -> Column:
+    # P7 and P8 without their whitespace collapses: both patterns look at
+    # non-whitespace runs and at the character before '@', which a collapse
+    # does not change, so one collapse at the end gives the same text
+    col = F.regexp_replace(_c(c), URL_PATTERN, _replacement(url_filler))
+    col = F.replace(col, F.lit(url_filler), F.lit(f" {url_filler} "))
+    col = F.regexp_replace(col, USER_PATTERN, _replacement(user_filler))
+    return F.replace(col, F.lit(user_filler), F.lit(f" {user_filler} "))
+
+
 def anonymize_text(c, url_filler: str = URL_FILLER, user_filler: str = USER_FILLER) -> Column:
     """P7 then P8."""
-    return replace_usernames(replace_urls(c, url_filler), user_filler)
+    return collapse_ws(_anonymize_raw(c, url_filler, user_filler))
 
 
 def text_cleared(c, strip_rt: bool = False) -> Column:
@@ -100,7 +118,10 @@ def text_cleared(c, strip_rt: bool = False) -> Column:
     The padded filler makes 'rt @user:' unmatchable (it becomes 'rt @user :');
     ``strip_rt=True`` removes that padded form too.
     """
-    col = F.lower(anonymize_text(c))
+    col = F.lower(_anonymize_raw(c, URL_FILLER, USER_FILLER))
+    if strip_rt:
+        # the padded form is only recognisable after the whitespace collapse
+        col = collapse_ws(col)
     pattern = ("rt @user :|" if strip_rt else "") + CLEARED_DROP_PATTERN
     return collapse_ws(F.regexp_replace(col, pattern, ""))
 

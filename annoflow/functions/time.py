@@ -16,10 +16,10 @@ def _c(x) -> Column:
 
 def total_time(full_log="full_log", mode="mode") -> Column:
     """Seconds spent on the question sequence; the key depends on the row's mode."""
-    mturk = F.get_json_object(_c(full_log), f"$.{MTURK_DURATION_KEY}")
-    other = F.get_json_object(_c(full_log), f"$.{SEQUENCE_DURATION_KEY}")
-    raw = F.when(_c(mode) == "mturk", mturk).otherwise(other)
-    return raw.cast("double") / 1000.0
+    # one parse per row, only the two duration fields are materialised
+    log = F.from_json(_c(full_log), f"struct<{MTURK_DURATION_KEY}:double,{SEQUENCE_DURATION_KEY}:double>")
+    raw = F.when(_c(mode) == "mturk", log[MTURK_DURATION_KEY]).otherwise(log[SEQUENCE_DURATION_KEY])
+    return raw / 1000.0
 
 
 def twitter_timestamp(c="created_at") -> Column:

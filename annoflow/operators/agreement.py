@@ -43,8 +43,11 @@ def robust_z(df: DataFrame, value: str, out: str, below_median_only: bool = Fals
     """|x - median| / MAD over the non-null values of ``value``.
 
     Median and MAD are two scalar aggregates; MAD = 0 gives +inf for x != median.
-    With ``below_median_only`` only values under the median get a score.
+    With ``below_median_only`` only values under the median get a score.  The
+    input (one row per annotator) is checkpointed first so the two scalar
+    passes and the final projection do not recompute its shuffles.
     """
+    df = df.checkpoint(eager=True)
     x = F.col(value)
     med = _scalar(df, F.median(x))
     if med is None:

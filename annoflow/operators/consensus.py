@@ -83,18 +83,18 @@ def merge_groups(groups: DataFrame, selection_criterion: str = "majority", min_l
                  selection_agreement: float | None = None) -> DataFrame:
     """A3 + A4 on answer groups -> one cleaned label per (tweet, question)."""
     g = groups.where(F.col("question_tag").isNotNull() & (F.col("n") > 0))
-    # winner: most votes, ties to the answer seen first
-    ranked = F.struct(F.col("n"), (-F.col("first.seq")).alias("neg_seq"),
+    # winner: most votes, ties to the answer seen first (seq may be a struct)
+    ranked = F.struct((-F.col("n")).alias("neg_n"), F.col("first.seq").alias("seq"),
                       F.col("answer_tag"), F.col("first.answer_id").alias("answer_id"))
     m = g.groupBy("tweet_id", "question_tag").agg(
         F.sum("n").alias("total"),
         F.count("*").alias("n_answers"),
         F.collect_list("n").alias("votes"),
-        F.max(ranked).alias("win"),
+        F.min(ranked).alias("win"),
         F.min("first").alias("first"))
     if min_labels_cutoff > 0:
         m = m.where(F.col("total") >= min_labels_cutoff)
-    top = F.col("win.n")
+    top = -F.col("win.neg_n")
     if selection_agreement is not None:
         chosen = (top / F.col("total")) > F.lit(float(selection_agreement))
     elif selection_criterion == "majority":

@@ -45,16 +45,15 @@ def dedup_keep_first(df: DataFrame, key: F.Column, order_cols) -> DataFrame:
 
     An aggregate (min of a struct led by the order columns) rather than a
     window: map-side partial aggregation collapses a hot key before the
-    shuffle.  Rows with a null key are kept as they are.
+    shuffle.  The key is hashed (md5) so long texts are not shuffled twice; a
+    null key is one group, as in a pandas drop_duplicates.
     """
     cols = df.columns
     order_cols = list(order_cols)
     packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
                       *[F.col(c) for c in cols])
-    keyed = df.withColumn("_dk", F.md5(key))
-    firsts = (keyed.where(F.col("_dk").isNotNull()).groupBy("_dk").agg(F.min(packed).alias("_r"))
-              .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
-    return firsts.unionByName(keyed.where(F.col("_dk").isNull()).drop("_dk"))
+    return (df.groupBy(F.md5(key).alias("_dk")).agg(F.min(packed).alias("_r"))
+            .select(*[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
 def random_sample(df: DataFrame, size: int, seed: int, id_col: str = "id", strict: bool = True) -> DataFrame:

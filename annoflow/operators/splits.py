@@ -70,8 +70,8 @@ def train_dev_test_split(df: DataFrame, seed: int = 42, dev_size: float = 0.2, t
     if label_tags:
         df = df.where(F.col(label).isin(*label_tags))
     f1, f2 = split_fractions(dev_size, test_size)
-    keyed = df.withColumn("_key", sample_key(id_col, seed))
-    idx = global_row_index(keyed, ["_key", id_col], groups=by, index_col="_pos")
+    keyed = df.withColumn("_key", sample_key(id_col, seed)).checkpoint(eager=True)
+    idx = global_row_index(keyed, ["_key", id_col], groups=by, index_col="_pos", materialized=True)
     if by:
         n = keyed.groupBy(*by).agg(F.count("*").alias("_n"))
         cuts = n.select(*by, (F.lit(f1) * F.col("_n")).cast("bigint").alias("_c1"),
@@ -86,8 +86,8 @@ def train_dev_test_split(df: DataFrame, seed: int = 42, dev_size: float = 0.2, t
 
 def pretrain_split(df: DataFrame, seed: int, id_col: str = "id", dev_cap: int = 200_000) -> DataFrame:
     """Shuffle; train gets max(int(0.8 n), n - dev_cap) rows, dev the rest."""
-    n = df.count()
+    keyed = df.withColumn("_key", sample_key(id_col, seed)).checkpoint(eager=True)
+    n = keyed.count()
     num_train = max(int(0.8 * n), n - dev_cap)
-    keyed = df.withColumn("_key", sample_key(id_col, seed))
-    idx = global_row_index(keyed, ["_key", id_col], index_col="_pos")
+    idx = global_row_index(keyed, ["_key", id_col], index_col="_pos", materialized=True)
     return idx.withColumn("split", F.when(F.col("_pos") < num_train, "train").otherwise("dev")).drop("_key", "_pos")

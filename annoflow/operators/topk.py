@@ -94,20 +94,21 @@ def top_k_by_key(df: DataFrame, groups, key: str, quota, tie: str, out_rank: str
 
 
 def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row_idx",
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, materialized: bool = False) -> DataFrame:
     """0-based position of each row in ``order_cols`` order, restarting per group.
 
-    ``order_cols`` must make the order total.  The ranged and numbered frame is
-    checkpointed so that positions and offsets come from the same rows even if
-    an executor is lost.
+    ``order_cols`` must make the order total.  The input is checkpointed once
+    (unless ``materialized``), so the range bounds, the per-partition
+    positions and the offsets are all derived from the same stored rows, also
+    when an executor is lost and a stage is recomputed.
     """
     groups = list(groups)
     keys = groups + list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    base = df if materialized else df.checkpoint(eager=True)
+    ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     stats = ranged.groupBy(pid.alias("_pid"), *groups).agg(F.count("*").alias("_cnt"), F.min(local).alias("_first"))

@@ -214,7 +214,7 @@ def dedup_by_id(spark, sf_dir):
 def _sample_input(spark, sf_dir):
     t = views.texts(spark, sf_dir)
     t = T.with_token_count(t.withColumn("_norm", T.normalize_str("raw_text")), "_norm").drop("_norm")
-    t = sampling.filter_statuses(t, min_token_count=3, langs=["en", "fr"])
+    t = sampling.filter_statuses(t, min_token_count=3, langs=["en", "fr"]).select("id", "text")
     return sampling.dedup_keep_first(t, T.sample_dedup_key("text"), ["id"])
 
 
@@ -260,7 +260,7 @@ def balanced_split(spark, sf_dir):
 def pretrain_split(spark, sf_dir):
     t = views.texts(spark, sf_dir).where(F.col("lang") == "en")
     t = T.with_token_count(t.withColumn("_norm", T.normalize_str("raw_text")), "_norm").drop("_norm")
-    t = t.where(F.col("token_count") >= 3)
+    t = t.where(F.col("token_count") >= 3).select("id", "text")
     t = sampling.dedup_keep_first(t, T.text_cleared("text"), ["id"])
     return splits.pretrain_split(t.select("id"), seed=42).select("id", "split")
 

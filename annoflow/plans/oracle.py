@@ -8,7 +8,9 @@ from __future__ import annotations
 
 ANNOTATIONS = """
 annotations AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+                   CAST(l_quantity AS BIGINT), CAST(round(l_discount * 100) AS BIGINT),
+                   CAST(round(l_tax * 100) AS BIGINT)) AS id,
          l_orderkey AS tweet_id,
          'status ' || CAST(l_orderkey AS VARCHAR) AS text,
          CAST(ascii(l_linestatus) AS BIGINT) AS question_id,
@@ -18,7 +20,10 @@ annotations AS (
          l_suppkey AS annotator_id,
          CASE WHEN l_tax = 0.08 THEN 'incorrect' WHEN l_tax = 0.0 THEN 'correct' ELSE 'default' END AS flag,
          CASE WHEN l_discount >= 0.05 THEN 'mturk' ELSE 'local' END AS mode,
-         (l_orderkey * 8 + l_linenumber) * 100000000000 + l_partkey * 100000 + l_suppkey AS seq,
+         {'pos': (l_orderkey * 8 + l_linenumber) * 100000000000 + l_partkey * 100000 + l_suppkey,
+          'id': concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+                          CAST(l_quantity AS BIGINT), CAST(round(l_discount * 100) AS BIGINT),
+                          CAST(round(l_tax * 100) AS BIGINT))} AS seq,
          CASE WHEN l_discount = 0.0 THEN NULL
               WHEN l_discount >= 0.05 THEN l_quantity
               ELSE (l_quantity * 1000 + l_linenumber * 250) / 1000.0 END AS total_time

@@ -23,7 +23,8 @@ from annoflow.sources.tables import read_table
 def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus"],
+        spread_by=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
     c = F.col
     mode = F.when(c("l_discount") >= 0.05, F.lit("mturk")).otherwise(F.lit("local"))
     ms_submit = (c("l_quantity") * 1000).cast("bigint")
@@ -31,10 +32,15 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     full_log = F.when(c("l_discount") == 0.0, F.lit(None).cast("string")).otherwise(F.concat(
         F.lit('{"totalDurationUntilMturkSubmit": '), ms_submit.cast("string"),
         F.lit(', "totalDurationQuestionSequence": '), ms_sequence.cast("string"), F.lit("}")))
-    seq = ((c("l_orderkey") * 8 + c("l_linenumber")) * F.lit(100000000000)
+    pos = ((c("l_orderkey") * 8 + c("l_linenumber")) * F.lit(100000000000)
            + c("l_partkey") * 100000 + c("l_suppkey"))
+    # the four key columns repeat: the id adds every field the pipeline reads,
+    # so (pos, id) orders rows totally up to exact duplicates
+    ann_id = F.concat_ws("-", c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"),
+                         c("l_returnflag"), c("l_linestatus"), c("l_quantity").cast("bigint"),
+                         F.round(c("l_discount") * 100).cast("bigint"), F.round(c("l_tax") * 100).cast("bigint"))
     df = li.select(
-        F.concat_ws("-", c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey")).alias("id"),
+        ann_id.alias("id"),
         c("l_orderkey").alias("tweet_id"),
         F.concat(F.lit("status "), c("l_orderkey").cast("string")).alias("text"),
         F.ascii(c("l_linestatus")).cast("bigint").alias("question_id"),
@@ -46,7 +52,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(c("l_tax") == 0.0, F.lit("correct")).otherwise(F.lit("default")).alias("flag"),
         mode.alias("mode"),
         full_log.alias("full_log"),
-        seq.alias("seq"),
+        F.struct(pos.alias("pos"), ann_id.alias("id")).alias("seq"),
     )
     return df.withColumn("total_time", total_time("full_log", "mode"))
 
@@ -74,7 +80,7 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as statuses: ``RT @<source>: see <page url> <whole text>``."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"], spread_by="doc_id")
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     j = docs.join(pages, docs.doc_id == pages.page_id, "left")
     return j.select(
