@@ -301,3 +301,31 @@ ORACLE_SQL.update({
     "pretrain_split": oracle.PRETRAIN_SPLIT,
     "has_label_filter": oracle.HAS_LABEL_FILTER,
 })
+
+
+# ---- raw parsing (C1) and geo enrichment
+
+from annoflow.plans import parse as parse_plan  # noqa: E402
+
+PARSE_COLS = ["id", "text", "is_retweet", "has_quote", "is_reply", "retweeted_status_id", "quoted_status_id",
+              "in_reply_to_status_id", "user_id", "user_description", "user_is_verified", "token_count",
+              "num_replies", "num_quotes", "num_retweets"]
+
+
+def parse_statuses(spark, sf_dir):
+    parsed, _bad = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    return parsed.select(*PARSE_COLS, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+                         F.col("created_day").cast("string").alias("created_day"))
+
+
+def geo_enrich(spark, sf_dir):
+    parsed, _bad = parse_plan.parse(views.raw_status_lines(spark, sf_dir),
+                                    countries=views.countries(spark, sf_dir),
+                                    gazetteer=views.gazetteer(spark, sf_dir))
+    return parsed.select("id", "geo_type", F.round("longitude", 6).alias("longitude"),
+                         F.round("latitude", 6).alias("latitude"), "country_code", "geoname_id",
+                         "location_type", "region", "subregion")
+
+
+QUERIES.update({"parse_statuses": parse_statuses, "geo_enrich": geo_enrich})
+ORACLE_SQL.update({"parse_statuses": oracle.PARSE_STATUSES, "geo_enrich": oracle.GEO_ENRICH})

@@ -421,3 +421,67 @@ FROM k"""
 HAS_LABEL_FILTER = f"""WITH {CLEANED}
 SELECT id, question_tag, label_tag FROM cleaned
 WHERE id IN (SELECT id FROM cleaned WHERE label_tag IN ('1')) AND id IN (SELECT id FROM cleaned WHERE label_tag IN ('0'))"""
+
+# ---- raw parsing: every event comes back as one parsed status
+
+EV_TEXT = """
+ev AS (SELECT *, CASE WHEN event_type IN ('click', 'purchase', 'view')
+                      THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS target,
+              'Event ' || event_type || ' of user ' || CAST(user_id AS VARCHAR) || ' & value '
+              || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || ' end' AS norm_text
+       FROM events)
+"""
+
+PARSE_STATUSES = f"""WITH {EV_TEXT}, {STATUSES}, c AS {_counts('statuses')},
+p AS (SELECT CAST(e.event_id AS VARCHAR) AS id,
+             CASE WHEN e.event_type = 'view' THEN t.norm_text ELSE e.norm_text END AS text,
+             e.event_type = 'view' AS is_retweet, e.event_type = 'purchase' AS has_quote,
+             e.event_type = 'click' AS is_reply,
+             CASE WHEN e.event_type = 'view' THEN CAST(e.target AS VARCHAR) END AS retweeted_status_id,
+             CASE WHEN e.event_type = 'purchase' THEN CAST(e.target AS VARCHAR) END AS quoted_status_id,
+             CASE WHEN e.event_type = 'click' THEN CAST(e.target AS VARCHAR) END AS in_reply_to_status_id,
+             CAST(e.user_id AS VARCHAR) AS user_id, 'about user ' || CAST(e.user_id AS VARCHAR) AS user_description,
+             e.user_id % 2 = 0 AS user_is_verified,
+             strftime(date_trunc('second', e.ts), '%Y-%m-%d %H:%M:%S') AS created_at,
+             CAST(CAST(e.ts AS DATE) AS VARCHAR) AS created_day,
+             coalesce(c.num_replies, 0) AS num_replies, coalesce(c.num_quotes, 0) AS num_quotes,
+             coalesce(c.num_retweets, 0) AS num_retweets
+      FROM ev e LEFT JOIN ev t ON e.target = t.event_id LEFT JOIN c ON e.event_id = c.id)
+SELECT *, {_token_count('text')} AS token_count FROM p"""
+
+GEO_ENRICH = f"""WITH ev AS (SELECT event_id, event_type, user_id,
+                    (value * 7.3) % 360 - 180 AS x, (value * 3.1) % 160 - 80 AS y FROM events),
+boxes AS (SELECT n_nationkey AS k, 'N' || chr(65 + n_nationkey) AS iso, n_name, r_name,
+                 -150.0 + (n_nationkey % 5) * 60.0 AS x0, -80.0 + floor(n_nationkey / 5) * 32.0 AS y0
+          FROM nation JOIN region ON n_regionkey = r_regionkey),
+gaz AS (SELECT lower(n_name) AS name, -125.0 + (n_nationkey % 5) * 60.0 AS gx,
+               -66.0 + floor(n_nationkey / 5) * 32.0 AS gy,
+               CASE WHEN n_nationkey % 7 = 3 THEN '' ELSE 'N' || chr(65 + n_nationkey) END AS gcode,
+               'g' || CAST(n_nationkey AS VARCHAR) AS gid FROM nation),
+g AS (SELECT e.event_id, e.user_id,
+             CASE WHEN event_type = 'signup' THEN 1 WHEN event_type = 'error' THEN 2
+                  WHEN z.name IS NOT NULL THEN 3 ELSE 0 END AS geo_type,
+             CASE WHEN event_type IN ('signup', 'error') THEN x ELSE z.gx END AS lon,
+             CASE WHEN event_type IN ('signup', 'error') THEN y ELSE z.gy END AS lat,
+             CASE WHEN event_type = 'error' THEN
+                    CASE WHEN e.user_id % 2 = 0 THEN '' ELSE 'N' || chr(CAST(65 + e.user_id % 25 AS INTEGER)) END
+                  WHEN event_type = 'signup' THEN NULL ELSE z.gcode END AS given,
+             CASE WHEN event_type = 'error' THEN 'city' WHEN event_type = 'signup' THEN NULL
+                  ELSE CASE WHEN z.name IS NOT NULL THEN 'country' END END AS location_type,
+             CASE WHEN event_type NOT IN ('signup', 'error') THEN z.gid END AS geoname_id
+      FROM ev e LEFT JOIN gaz z ON z.name = 'nation_' || CAST(e.user_id % 25 AS VARCHAR)),
+need AS (SELECT DISTINCT lon, lat FROM g WHERE geo_type = 1 OR (geo_type IN (2, 3) AND given = '')),
+d AS (SELECT n.lon, n.lat, b.iso, b.k,
+             sqrt(pow(greatest(b.x0 - n.lon, 0, n.lon - (b.x0 + 50)), 2)
+                  + pow(greatest(b.y0 - n.lat, 0, n.lat - (b.y0 + 28)), 2)) AS dist,
+             n.lon > b.x0 AND n.lon < b.x0 + 50 AND n.lat > b.y0 AND n.lat < b.y0 + 28 AS inside
+      FROM need n, boxes b),
+pip AS (SELECT lon, lat, arg_min(iso, (NOT inside, CASE WHEN inside THEN 0 ELSE dist END, k)) AS code
+        FROM d GROUP BY lon, lat)
+SELECT CAST(g.event_id AS VARCHAR) AS id, g.geo_type, round(g.lon, 6) AS longitude, round(g.lat, 6) AS latitude,
+       CASE WHEN g.geo_type = 1 OR (g.geo_type IN (2, 3) AND g.given = '') THEN pip.code ELSE g.given END
+         AS country_code,
+       g.geoname_id, g.location_type, b.r_name AS region, b.n_name AS subregion
+FROM g LEFT JOIN pip ON g.lon = pip.lon AND g.lat = pip.lat
+LEFT JOIN boxes b ON b.iso = (CASE WHEN g.geo_type = 1 OR (g.geo_type IN (2, 3) AND g.given = '')
+                                   THEN pip.code ELSE g.given END)"""

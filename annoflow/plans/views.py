@@ -148,3 +148,102 @@ def order_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as dated statuses (seven years: month and year bins)."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
     return o.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"))
+
+
+# ---- raw statuses as collected (JSON lines), countries and a gazetteer
+
+TWITTER_TS = "EEE MMM dd HH:mm:ss '+0000' yyyy"
+
+
+def _status_struct(e: str, embedded: bool = False):
+    """Raw status object of event alias ``e`` (a struct of its columns)."""
+    c = lambda n: F.col(f"{e}.{n}")
+    text = F.concat(F.lit("Event "), c("event_type"), F.lit(" of user "), c("user_id").cast("string"),
+                    F.lit(" &amp; value "), F.round(c("value") * 100).cast("bigint").cast("string"),
+                    F.lit("\tend"))
+    user = F.struct(
+        c("user_id").cast("string").alias("id_str"),
+        F.concat(F.lit("u"), c("user_id").cast("string")).alias("screen_name"),
+        F.concat(F.lit("User "), c("user_id").cast("string")).alias("name"),
+        F.concat(F.lit("about\nuser "), c("user_id").cast("string")).alias("description"),
+        F.concat(F.lit("Home of NATION_"), (c("user_id") % 25).cast("string"), F.lit("!")).alias("location"),
+        F.date_format(F.lit("2018-01-01 00:00:00").cast("timestamp"), TWITTER_TS).alias("created_at"),
+        (c("user_id") * 10).alias("followers_count"),
+        c("user_id").alias("friends_count"),
+        c("event_id").alias("statuses_count"),
+        ((c("user_id") % 2) == 0).alias("verified"))
+    x = (c("value") * 7.3) % 360 - 180
+    y = (c("value") * 3.1) % 160 - 80
+    fields = [
+        c("event_id").alias("id"), c("event_id").cast("string").alias("id_str"), text.alias("text"),
+        F.date_format(c("ts"), TWITTER_TS).alias("created_at"), F.lit("en").alias("lang"),
+        F.when(c("event_type") == "click", c("target")).cast("string").alias("in_reply_to_status_id_str"),
+        user.alias("user"),
+        F.when(c("event_type") == "signup", F.struct(F.array(x, y).alias("coordinates"))).alias("coordinates"),
+        F.when(c("event_type") == "error", F.struct(
+            F.when(c("user_id") % 2 == 0, F.lit("")).otherwise(
+                F.concat(F.lit("N"), F.char(F.lit(65) + c("user_id") % 25))).alias("country_code"),
+            F.lit("city").alias("place_type"),
+            F.struct(F.array(F.array(F.array(x - 0.5, y - 0.5), F.array(x + 0.5, y - 0.5),
+                                     F.array(x + 0.5, y + 0.5), F.array(x - 0.5, y + 0.5))).alias("coordinates"))
+            .alias("bounding_box"))).alias("place"),
+    ]
+    return F.struct(*fields)
+
+
+def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw JSON lines of every event: clicks reply to, purchases quote and views
+    retweet the event named by ``props.k`` (embedded as a full object).  Every
+    50th line is written as a Python literal, and each collection day gets an
+    API notice line."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    ev = ev.withColumn("target", F.when(F.col("event_type").isin("click", "purchase", "view"),
+                                        F.get_json_object("props", "$.k").cast("bigint")))
+    t = ev.select(*[F.col(c).alias(f"t_{c}") for c in ev.columns])
+    j = ev.alias("e").join(t.alias("t"), F.col("e.target") == F.col("t.t_event_id"), "left")
+    tgt = F.struct(*[F.col(f"t.t_{c}").alias(c) for c in ev.columns])
+    j = j.withColumn("_t", tgt)
+    me = _status_struct("e")
+    emb = _status_struct("_t")
+    raw = me.withField("quoted_status", F.when(F.col("e.event_type") == "purchase", emb)) \
+            .withField("retweeted_status", F.when(F.col("e.event_type") == "view", emb))
+    js = F.to_json(raw)
+    literal = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
+        js, '"', "'"), ":true", ":True"), ":false", ":False"), ":null", ":None")
+    lines = j.select(
+        F.when(F.col("e.event_id") % 50 == 7, literal).otherwise(js).alias("value"),
+        F.concat(F.lit("/raw/tweets-"), F.date_format("e.ts", "yyyyMMddHH"), F.lit("0000-0.jsonl"))
+         .alias("source_file"))
+    notices = lines.select(F.lit('{"limit": {"track": 3}}').alias("value"), "source_file").distinct()
+    from annoflow.sources.raw import day_from_path
+    out = lines.unionByName(notices)
+    return out.withColumn("day", day_from_path("source_file"))
+
+
+def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rectangle per nation on a 5 x 5 grid (iso 'NA'..'NY'), region from ``region``."""
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
+    r = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    k = F.col("n_nationkey")
+    x0 = F.lit(-150.0) + (k % 5) * 60.0
+    y0 = F.lit(-80.0) + F.floor(k / 5) * 32.0
+    pt = lambda x, y: F.struct(x.alias("lon"), y.alias("lat"))
+    ring = F.array(pt(x0, y0), pt(x0 + 50, y0), pt(x0 + 50, y0 + 28), pt(x0, y0 + 28))
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.concat(F.lit("N"), F.char(F.lit(65) + k)).alias("iso_a2"),
+        F.col("n_name").alias("name_en"), F.col("r_name").alias("region_wb"),
+        F.col("n_name").alias("subregion"), F.array(ring).alias("rings"), k.alias("ord"))
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation names as places at their rectangle centres."""
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
+    k = F.col("n_nationkey")
+    return n.select(
+        F.col("n_name").alias("name"),
+        (F.lit(-125.0) + (k % 5) * 60.0).alias("longitude"),
+        (F.lit(-66.0) + F.floor(k / 5) * 32.0).alias("latitude"),
+        F.when(k % 7 == 3, F.lit("")).otherwise(F.concat(F.lit("N"), F.char(F.lit(65) + k))).alias("country_code"),
+        F.concat(F.lit("g"), k.cast("string")).alias("geoname_id"),
+        F.lit("country").alias("location_type"),
+        (F.lit(1000) + k).cast("bigint").alias("population"))
