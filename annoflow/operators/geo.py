@@ -104,7 +104,8 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0,
     Exact containment first (first polygon in table order), then the nearest
     country for points inside none.
     """
-    uniq = points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
+    uniq = (points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
+            .checkpoint(eager=True))
     cells = bounded_broadcast(country_cells(countries, cell))
     shapes = countries.select("iso_a2", "ord", "rings")
     keyed = uniq.withColumn("cx", F.floor(F.col("_x") / cell).cast("int")) \

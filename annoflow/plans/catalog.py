@@ -329,3 +329,97 @@ def geo_enrich(spark, sf_dir):
 
 QUERIES.update({"parse_statuses": parse_statuses, "geo_enrich": geo_enrich})
 ORACLE_SQL.update({"parse_statuses": oracle.PARSE_STATUSES, "geo_enrich": oracle.GEO_ENRICH})
+
+
+# ---- reading windows, region lookup, privacy, predictions, overview
+
+from annoflow.functions import privacy  # noqa: E402
+from annoflow.operators import geo, predictions  # noqa: E402
+from annoflow.sources import parsed as parsed_src  # noqa: E402
+
+# a fixed 16-byte key for the round-trip check (real keys come from the caller)
+DEMO_KEY = "0123456789abcdef"
+
+
+def date_window_scan(spark, sf_dir):
+    st = views.statuses(spark, sf_dir).withColumn("created_day", F.to_date("created_at"))
+    return parsed_src.date_window(st, "2024-01-05", "2024-01-12").select("id", "created_at", "kind")
+
+
+def omit_last_day(spark, sf_dir):
+    return parsed_src.omit_last_day(views.statuses(spark, sf_dir)).select("id", "created_at")
+
+
+def region_lookup(spark, sf_dir):
+    from annoflow.sources.tables import read_table
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    coded = cust.select("c_custkey", F.concat(F.lit("N"), F.char(F.lit(65) + F.col("c_nationkey")))
+                        .alias("country_code"))
+    return geo.region_lookup(coded, views.countries(spark, sf_dir)).select(
+        "c_custkey", "country_code", "region", "subregion")
+
+
+def encrypt_roundtrip(spark, sf_dir):
+    from annoflow.sources.tables import read_table
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    df = cust.select("c_custkey", F.col("c_custkey").alias("key_enc"), F.col("c_name").alias("name_enc"),
+                     F.array("c_mktsegment", F.lit(None).cast("string"), "c_name").alias("list_enc"))
+    spec = {"key_enc": "int", "name_enc": "str", "list_enc": "list"}
+    enc = privacy.encrypt_columns(df, spec, DEMO_KEY)
+    dec = privacy.decrypt_columns(enc, spec, DEMO_KEY)
+    return dec.select("c_custkey", F.col("key_enc").alias("key_dec"), F.col("name_enc").alias("name_dec"),
+                      F.array_join("list_enc", "|").alias("list_dec"))
+
+
+def _long_predictions(spark, sf_dir):
+    from annoflow.sources.tables import read_table
+    lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality", "toxic"])
+    prob = (F.lit(0.5) + (F.col("doc_id") % 50) / 100.0)
+    return lab.select(F.col("doc_id").alias("id"), F.expr(
+        "stack(2, 'quality', cast(quality as string), 'toxic', cast(toxic as string)) as (model, label)"),
+        prob.alias("probability"))
+
+
+def prediction_join(spark, sf_dir):
+    wide = predictions.wide_predictions(_long_predictions(spark, sf_dir), ["quality", "toxic"])
+    t = views.texts(spark, sf_dir).select("id", "lang")
+    return predictions.attach_predictions(t, wide).select(
+        "id", "lang", "label_quality", F.round("probability_quality", 6).alias("probability_quality"),
+        "label_toxic", F.round("probability_toxic", 6).alias("probability_toxic"))
+
+
+def membership_flags(spark, sf_dir):
+    sampled, unavailable, labelled, batched = views.sample_tables(spark, sf_dir)
+    cleaned = views.cleaned_labels(spark, sf_dir).where(F.col("label_tag") == "1").select("id")
+    t = views.texts(spark, sf_dir).select("id")
+    return predictions.membership_flags(t, uploaded=batched, labelled=labelled, cleaned=cleaned)
+
+
+def stage_overview(spark, sf_dir):
+    from annoflow.operators import reports
+    return reports.stage_overview(
+        raw_lines=views.raw_status_lines(spark, sf_dir).select("value"),
+        parsed=views.statuses(spark, sf_dir),
+        sampled=views.sample_tables(spark, sf_dir)[0],
+        annotations=views.annotations(spark, sf_dir),
+        cleaned=views.cleaned_labels(spark, sf_dir))
+
+
+QUERIES.update({
+    "date_window_scan": date_window_scan,
+    "omit_last_day": omit_last_day,
+    "region_lookup": region_lookup,
+    "encrypt_roundtrip": encrypt_roundtrip,
+    "prediction_join": prediction_join,
+    "membership_flags": membership_flags,
+    "stage_overview": stage_overview,
+})
+ORACLE_SQL.update({
+    "date_window_scan": oracle.DATE_WINDOW_SCAN,
+    "omit_last_day": oracle.OMIT_LAST_DAY,
+    "region_lookup": oracle.REGION_LOOKUP,
+    "encrypt_roundtrip": oracle.ENCRYPT_ROUNDTRIP,
+    "prediction_join": oracle.PREDICTION_JOIN,
+    "membership_flags": oracle.MEMBERSHIP_FLAGS,
+    "stage_overview": oracle.STAGE_OVERVIEW,
+})

@@ -485,3 +485,43 @@ SELECT CAST(g.event_id AS VARCHAR) AS id, g.geo_type, round(g.lon, 6) AS longitu
 FROM g LEFT JOIN pip ON g.lon = pip.lon AND g.lat = pip.lat
 LEFT JOIN boxes b ON b.iso = (CASE WHEN g.geo_type = 1 OR (g.geo_type IN (2, 3) AND g.given = '')
                                    THEN pip.code ELSE g.given END)"""
+
+# ---- windows, regions, privacy, predictions, overview
+
+DATE_WINDOW_SCAN = f"""WITH {STATUSES}
+SELECT id, created_at, kind FROM statuses
+WHERE CAST(created_at AS DATE) >= DATE '2024-01-05' AND CAST(created_at AS DATE) < DATE '2024-01-12'"""
+
+OMIT_LAST_DAY = f"""WITH {STATUSES}
+SELECT id, created_at FROM statuses
+WHERE CAST(created_at AS DATE) < (SELECT max(CAST(created_at AS DATE)) FROM statuses)"""
+
+REGION_LOOKUP = """
+SELECT c_custkey, 'N' || chr(65 + c_nationkey) AS country_code, r_name AS region, n_name AS subregion
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+ENCRYPT_ROUNDTRIP = """
+SELECT c_custkey, c_custkey AS key_dec, c_name AS name_dec, c_mktsegment || '|' || c_name AS list_dec FROM customer"""
+
+PREDICTION_JOIN = """
+SELECT d.doc_id AS id, d.lang,
+       CAST(l.quality AS VARCHAR) AS label_quality,
+       CASE WHEN l.doc_id IS NOT NULL THEN round(0.5 + (l.doc_id % 50) / 100.0, 6) END AS probability_quality,
+       CAST(l.toxic AS VARCHAR) AS label_toxic,
+       CASE WHEN l.doc_id IS NOT NULL THEN round(0.5 + (l.doc_id % 50) / 100.0, 6) END AS probability_toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+MEMBERSHIP_FLAGS = """
+SELECT d.doc_id AS id, d.source = 'src0' AS S,
+       d.doc_id IN (SELECT doc_id FROM labels) AS L,
+       d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 OR toxic = 1) AS A
+FROM documents d"""
+
+STAGE_OVERVIEW = """
+SELECT 'raw_lines' AS stage, (SELECT count(*) FROM events)
+       + (SELECT count(DISTINCT strftime(ts, '%Y%m%d%H')) FROM events) AS n
+UNION ALL SELECT 'parsed', count(*) FROM events
+UNION ALL SELECT 'sampled', count(*) FROM documents
+UNION ALL SELECT 'cleaned_labels', 2 * count(*) FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+UNION ALL SELECT 'annotations_' || CASE WHEN l_discount >= 0.05 THEN 'mturk' ELSE 'local' END, count(*)
+FROM lineitem GROUP BY 1"""

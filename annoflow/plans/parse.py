@@ -13,14 +13,19 @@ from annoflow.schema import PARSED
 from annoflow.sources.raw import parse_lines
 
 
-def top_level_log(ok: DataFrame) -> DataFrame:
-    """A1 input: interactions of top-level statuses (reply, quote unless retweet, retweet)."""
-    r = F.col("raw")
-    return interactions.interaction_log(ok.select(
-        r["id_str"].alias("id"),
-        r["in_reply_to_status_id_str"].alias("in_reply_to_status_id"),
-        r["quoted_status"]["id_str"].alias("quoted_status_id"),
-        r["retweeted_status"]["id_str"].alias("retweeted_status_id")))
+def top_level_log(firsts: DataFrame) -> DataFrame:
+    """A1 input: interactions of top-level statuses (reply, quote unless retweet, retweet).
+
+    Read from the deduplicated top-level copies (before the F1 gate): a status
+    collected twice is counted once, and this branch shares the dedup shuffle
+    with the record branch instead of parsing the input again.
+    """
+    c = F.col("c")
+    return interactions.interaction_log(firsts.where(c["priority"] == 0).select(
+        c["id_str"].alias("id"),
+        c["in_reply_to_status_id"].alias("in_reply_to_status_id"),
+        c["quoted"]["id_str"].alias("quoted_status_id"),
+        c["retweeted"]["id_str"].alias("retweeted_status_id")))
 
 
 def dedup_copies(ok: DataFrame) -> DataFrame:
@@ -42,20 +47,21 @@ def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gaz
     """
     ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
     firsts = dedup_copies(ok)
+    counts = interactions.count_interactions(top_level_log(firsts))
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))
     rec = kept.select(*S.extract_columns(keywords))
     rec = with_token_count(rec, "text")
+    rec = interactions.attach_counts(rec, counts)
     if countries is not None:
-        rec = geo.enrich(rec, countries, gazetteer)
+        # three consumers follow (locations, points, rows): parse once, read thrice
+        rec = geo.enrich(rec.checkpoint(eager=True), countries, gazetteer)
     else:
         rec = rec.drop("_coordinates", "_place")
         for f in ("longitude", "latitude", "country_code", "geoname_id", "location_type", "region", "subregion"):
             t = "double" if f in ("longitude", "latitude") else "string"
             rec = rec.withColumn(f, F.lit(None).cast(t))
         rec = rec.withColumn("geo_type", F.lit(0))
-    counts = interactions.count_interactions(top_level_log(ok))
-    out = interactions.attach_counts(rec, counts)
-    out = out.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields])
+    out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields])
     return out.withColumn("created_day", F.to_date("created_at")), bad
 
 
