@@ -112,6 +112,41 @@ def merge_groups(groups: DataFrame, selection_criterion: str = "majority", min_l
         F.col("win.answer_tag").alias("label_tag"))
 
 
+def cleaning_steps(ann: DataFrame, min_labels_cutoff: int = 3, is_relevant: bool = False,
+                   relevant_tags=RELEVANT_TAGS, exclude_incorrect: bool = False,
+                   cutoff_worker_outliers: float | None = None, min_comparisons_count: int = 20,
+                   allow_nan=()) -> DataFrame:
+    """Annotations left after every cleaning step (step, n_rows), from
+    the answer-group aggregate: no extra pass per step."""
+    from annoflow.operators.agreement import agreement_outlier_ids
+
+    start = ann.agg(F.lit(0).alias("o"), F.lit("start").alias("step"), F.count("*").alias("n_rows"))
+    ann = drop_incomplete(ann, allow_nan)
+    steps = [start, ann.agg(F.lit(1).alias("o"), F.lit("drop_nan").alias("step"), F.count("*").alias("n_rows"))]
+    outliers = None
+    if cutoff_worker_outliers is not None:
+        outliers = agreement_outlier_ids(ann, cutoff_worker_outliers, min_comparisons_count)
+    g = answer_groups(ann, exclude_incorrect=exclude_incorrect, outlier_annotators=outliers)
+    def total(df, o, name, col):
+        return df.agg(F.lit(o).alias("o"), F.lit(name).alias("step"), F.coalesce(F.sum(col), F.lit(0)).alias("n_rows"))
+    if exclude_incorrect:
+        steps.append(total(g, 2, "exclude_incorrect", "n_pre"))
+    if is_relevant:
+        g = keep_relevant_groups(g, find_relevant_tag(g, relevant_tags))
+        steps.append(total(g, 3, "is_relevant", "n_pre"))
+    if cutoff_worker_outliers is not None:
+        steps.append(total(g, 4, "cutoff_worker_outliers", "n"))
+    if min_labels_cutoff > 0:
+        w = Window.partitionBy("tweet_id", "question_tag")
+        big = g.where(F.col("question_tag").isNotNull()).withColumn("_t", F.sum("n").over(w)) \
+            .where(F.col("_t") >= min_labels_cutoff)
+        steps.append(total(big, 5, "min_labels_cutoff", "n"))
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out.select("step", F.col("n_rows").cast("bigint").alias("n_rows"))
+
+
 def clean_labels(ann: DataFrame, selection_criterion: str = "majority", min_labels_cutoff: int = 3,
                  selection_agreement: float | None = None, is_relevant: bool = False,
                  relevant_tags=RELEVANT_TAGS, exclude_incorrect: bool = False,

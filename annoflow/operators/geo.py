@@ -211,6 +211,25 @@ def locate_by_gazetteer(df: DataFrame, gazetteer: DataFrame, location: str = "us
     return locs.join(gazetteer_matches(locs, gazetteer, max_ngram), "_loc").drop("_loc")
 
 
+def basics(rec: DataFrame, coords: str = "_coordinates", place: str = "_place") -> DataFrame:
+    """G1 without lookups: branches 1 (coordinates) and 2 (place box) only;
+    the country is the one the place names (null when empty or absent)."""
+    c, p = F.col(coords), F.col(place)
+    has_xy = c.isNotNull() & (F.size(c) >= 2)
+    ring = p["bounding_box"]["coordinates"][0]
+    has_box = ~has_xy & p.isNotNull() & ring.isNotNull() & (F.size(ring) > 0)
+    centre = ring_centroid(ring)
+    return (rec.withColumn("geo_type", F.when(has_xy, 1).when(has_box, 2).otherwise(0).cast("int"))
+            .withColumn("longitude", F.when(has_xy, c[0]).when(has_box, centre["lon"]))
+            .withColumn("latitude", F.when(has_xy, c[1]).when(has_box, centre["lat"]))
+            .withColumn("country_code", F.when(has_box, F.nullif(p["country_code"], F.lit(""))))
+            .withColumn("location_type", F.when(has_box, p["place_type"]))
+            .withColumn("geoname_id", F.lit(None).cast("string"))
+            .withColumn("region", F.lit(None).cast("string"))
+            .withColumn("subregion", F.lit(None).cast("string"))
+            .drop(coords, place))
+
+
 def enrich(rec: DataFrame, countries: DataFrame, gazetteer: DataFrame | None = None,
            coords: str = "_coordinates", place: str = "_place", location: str = "user_location") -> DataFrame:
     """G1: geo cascade -> longitude, latitude, country_code, geoname_id,

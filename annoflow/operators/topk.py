@@ -97,18 +97,24 @@ def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row
                      num_partitions: int | None = None, materialized: bool = False) -> DataFrame:
     """0-based position of each row in ``order_cols`` order, restarting per group.
 
-    ``order_cols`` must make the order total.  The input is checkpointed once
-    (unless ``materialized``), so the range bounds, the per-partition
-    positions and the offsets are all derived from the same stored rows, also
-    when an executor is lost and a stage is recomputed.
+    ``order_cols`` must make the order total.  The range-partitioned, sorted
+    and numbered frame is checkpointed: the per-partition positions are then
+    stored values, so the offsets table and the rows cannot disagree (AQE may
+    read one shuffle differently in two branches, and a lost executor may
+    recompute a stage).  The input is persisted meanwhile so the range
+    sampling and the checkpoint do not compute it twice.
     """
     groups = list(groups)
     keys = groups + list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df if materialized else df.checkpoint(eager=True)
-    ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    base = df if materialized else df.persist()
+    try:
+        ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                  .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    finally:
+        if not materialized:
+            base.unpersist()
     pid = F.shiftright(F.col("_mid"), 33)
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     stats = ranged.groupBy(pid.alias("_pid"), *groups).agg(F.count("*").alias("_cnt"), F.min(local).alias("_first"))

@@ -423,3 +423,85 @@ ORACLE_SQL.update({
     "membership_flags": oracle.MEMBERSHIP_FLAGS,
     "stage_overview": oracle.STAGE_OVERVIEW,
 })
+
+
+# ---- cleaning metrics, outlier report, media, mentions, exports
+
+from annoflow.functions import status as S  # noqa: E402
+from annoflow.operators import reports  # noqa: E402
+from annoflow.plans import exports  # noqa: E402
+from annoflow.sources.raw import parse_lines  # noqa: E402
+
+
+def clean_steps(spark, sf_dir):
+    return consensus.cleaning_steps(views.annotations(spark, sf_dir), min_labels_cutoff=3, is_relevant=True,
+                                    relevant_tags=("A",), exclude_incorrect=True)
+
+
+def clean_labels_full(spark, sf_dir):
+    ann = views.annotations(spark, sf_dir)
+    keyword_ids = views.statuses(spark, sf_dir).where(F.col("kind").isNotNull()).select("id")
+    return consensus.clean_labels(ann, "majority", 3, is_relevant=True, relevant_tags=("A",),
+                                  exclude_incorrect=True, keyword_ids=keyword_ids, cutoff_worker_outliers=2.0)
+
+
+def outlier_summary(spark, sf_dir):
+    out = agreement.worker_outliers(views.annotations(spark, sf_dir), min_tasks=3, time_cutoff=3,
+                                    agreement_cutoff=3, min_comparisons_count=20)
+    return reports.outlier_summary(out)
+
+
+def media_info(spark, sf_dir):
+    ok, _ = parse_lines(views.raw_status_lines(spark, sf_dir))
+    m = S.media_info(F.col("raw"))
+    return ok.select(F.col("raw.id_str").alias("id"), m["has_media"].alias("has_media"),
+                     F.coalesce(m["media"]["photo"], F.lit(0)).alias("n_photo"),
+                     F.coalesce(m["media"]["video"], F.lit(0)).alias("n_video"),
+                     F.array_join(m["media_image_urls"], " ").alias("image_urls"))
+
+
+def replace_mentions(spark, sf_dir):
+    ok, _ = parse_lines(views.raw_status_lines(spark, sf_dir))
+    raw = F.col("raw")
+    return ok.select(F.col("raw.id_str").alias("id"),
+                     S.replace_user_mentions(raw["text"], S.mentions_for(raw)).alias("text"))
+
+
+def prediction_input(spark, sf_dir):
+    rows = exports.prediction_input(views.statuses(spark, sf_dir), "2024-01-03 00:00:00", "2024-01-20 23:59:59")
+    return rows.select("row_id", "id", "created_at", "text")
+
+
+def _translation_rows(spark, sf_dir):
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    return exports.translation_input(parsed)
+
+
+def translation_input(spark, sf_dir):
+    return _translation_rows(spark, sf_dir).select("id", "text", "batch")
+
+
+def translation_cost(spark, sf_dir):
+    return exports.translation_cost(_translation_rows(spark, sf_dir))
+
+
+QUERIES.update({
+    "clean_steps": clean_steps,
+    "clean_labels_full": clean_labels_full,
+    "outlier_summary": outlier_summary,
+    "media_info": media_info,
+    "replace_mentions": replace_mentions,
+    "prediction_input": prediction_input,
+    "translation_input": translation_input,
+    "translation_cost": translation_cost,
+})
+ORACLE_SQL.update({
+    "clean_steps": oracle.CLEAN_STEPS,
+    "clean_labels_full": oracle.CLEAN_LABELS_FULL,
+    "outlier_summary": oracle.OUTLIER_SUMMARY,
+    "media_info": oracle.MEDIA_INFO,
+    "replace_mentions": oracle.REPLACE_MENTIONS,
+    "prediction_input": oracle.PREDICTION_INPUT,
+    "translation_input": oracle.TRANSLATION_INPUT,
+    "translation_cost": oracle.TRANSLATION_COST,
+})

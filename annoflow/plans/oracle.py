@@ -122,6 +122,35 @@ def _zscore_sql(src: str, value: str, out: str) -> str:
 """
 
 
+OUTLIERS_BODY = f"""
+WITH {ANNOTATIONS}, a AS (SELECT * FROM annotations), {AGREEMENT_CTE},
+pw AS (SELECT annotator_id, count(DISTINCT tweet_id) AS qs_count,
+              CASE WHEN count(DISTINCT tweet_id) >= 3 THEN avg(total_time) END AS time_values
+       FROM a WHERE annotator_id IS NOT NULL GROUP BY annotator_id HAVING count(DISTINCT tweet_id) > 0),
+{_zscore_sql('pw', 'time_values', 'tz')},
+agc AS (SELECT annotator_id, agreement_ratio AS agreement_values FROM ag WHERE total_count >= 20),
+{_zscore_sql('agc', 'agreement_values', 'az')},
+o AS (SELECT tz.annotator_id, tz.time_values,
+             CASE WHEN tz.qs_count >= 3 THEN CASE WHEN tz.z > 3 THEN 'outlier' ELSE 'no_outlier' END END AS time_outlier,
+             az.agreement_values,
+             CASE WHEN az.annotator_id IS NOT NULL THEN CASE WHEN az.z > 3 THEN 'outlier' ELSE 'no_outlier' END END
+               AS agreement_outlier
+      FROM tz LEFT JOIN az ON tz.annotator_id = az.annotator_id)
+"""
+
+
+def _summary(by: str) -> str:
+    return f"""SELECT '{by}' AS criterion, count(*) AS n_annotators,
+       count(*) FILTER (WHERE {by}_outlier = 'outlier') AS n_outlier,
+       count(*) FILTER (WHERE {by}_outlier = 'no_outlier') AS n_no_outlier,
+       count(*) FILTER (WHERE {by}_outlier IS NULL) AS n_not_considered,
+       round(100.0 * count(*) FILTER (WHERE {by}_outlier = 'outlier') / count(*), 9) AS pct_outlier,
+       round(avg({by}_values), 9) AS mean_value, round(median({by}_values), 9) AS median_value,
+       round(min({by}_values), 9) AS min_value, round(max({by}_values), 9) AS max_value FROM o"""
+
+
+OUTLIER_SUMMARY = OUTLIERS_BODY + _summary("agreement") + " UNION ALL " + _summary("time")
+
 ANNOTATOR_OUTLIERS = f"""
 WITH {ANNOTATIONS}, a AS (SELECT * FROM annotations), {AGREEMENT_CTE},
 pw AS (SELECT annotator_id, count(DISTINCT tweet_id) AS qs_count,
@@ -280,7 +309,9 @@ statuses AS (
          CASE event_type WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'quote' WHEN 'view' THEN 'retweet' END AS kind,
          CASE WHEN event_type IN ('click', 'purchase', 'view')
               THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS target_id,
-         value
+         value,
+         'Event ' || event_type || ' by @u' || CAST(user_id AS VARCHAR) || ' see http://e.example/'
+           || CAST(event_id AS VARCHAR) AS text
   FROM events)
 """
 
@@ -525,3 +556,69 @@ UNION ALL SELECT 'sampled', count(*) FROM documents
 UNION ALL SELECT 'cleaned_labels', 2 * count(*) FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 UNION ALL SELECT 'annotations_' || CASE WHEN l_discount >= 0.05 THEN 'mturk' ELSE 'local' END, count(*)
 FROM lineitem GROUP BY 1"""
+
+
+# ---- cleaning metrics and the full cleaning chain
+
+_CLEAN_CHAIN = """
+bad AS (SELECT DISTINCT tweet_id, question_tag, answer_tag FROM a
+        WHERE flag = 'incorrect' AND tweet_id IS NOT NULL AND question_tag IS NOT NULL AND answer_tag IS NOT NULL),
+ok AS (SELECT * FROM a x WHERE tweet_id IS NOT NULL AND flag IN ('default', 'correct')
+       AND NOT EXISTS (SELECT 1 FROM bad b WHERE b.tweet_id = x.tweet_id AND b.question_tag = x.question_tag
+                       AND b.answer_tag = x.answer_tag)),
+rel AS (SELECT * FROM ok WHERE tweet_id IN (SELECT tweet_id FROM ok WHERE answer_tag = 'A'))
+"""
+
+CLEAN_STEPS = f"""WITH {ANNOTATIONS}, {ANN_OK}, {_CLEAN_CHAIN},
+cut AS (SELECT * FROM rel WHERE question_tag IS NOT NULL
+        QUALIFY count(*) OVER (PARTITION BY tweet_id, question_tag) >= 3)
+SELECT 'start' AS step, count(*) AS n_rows FROM annotations
+UNION ALL SELECT 'drop_nan', count(*) FROM a
+UNION ALL SELECT 'exclude_incorrect', count(*) FROM ok
+UNION ALL SELECT 'is_relevant', count(*) FROM rel
+UNION ALL SELECT 'min_labels_cutoff', count(*) FROM cut"""
+
+CLEAN_LABELS_FULL = f"""WITH {ANNOTATIONS}, {ANN_OK}, {AGREEMENT_CTE},
+agc AS (SELECT annotator_id, agreement_ratio AS v FROM ag WHERE total_count >= 20),
+{_zscore_sql('agc', 'v', 'az')},
+outl AS (SELECT annotator_id FROM az WHERE z > 2.0),
+{_CLEAN_CHAIN},
+nout AS (SELECT * FROM rel WHERE annotator_id NOT IN (SELECT annotator_id FROM outl)),
+kw AS (SELECT * FROM nout WHERE tweet_id IN (SELECT event_id FROM events
+                                             WHERE event_type IN ('click', 'purchase', 'view'))),
+{_merge('kw', 3, 'majority')}"""
+
+MEDIA_INFO = """
+SELECT CAST(event_id AS VARCHAR) AS id, event_type = 'purchase' AS has_media,
+       CASE WHEN event_type = 'purchase' THEN 2 ELSE 0 END AS n_photo,
+       CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS n_video,
+       CASE WHEN event_type = 'purchase' THEN 'http://m.example/' || CAST(event_id AS VARCHAR) || '/1.jpg '
+            || 'http://m.example/' || CAST(event_id AS VARCHAR) || '/2.jpg '
+            || 'http://m.example/' || CAST(event_id AS VARCHAR) || '/3.jpg' ELSE '' END AS image_urls
+FROM events"""
+
+REPLACE_MENTIONS = """
+SELECT CAST(event_id AS VARCHAR) AS id,
+       'Event ' || event_type || ' of @user &amp; value ' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR)
+       || chr(9) || 'end' AS text
+FROM events"""
+
+PREDICTION_INPUT = f"""WITH {STATUSES},
+w AS (SELECT id, created_at, text FROM statuses
+      WHERE created_at >= TIMESTAMP '2024-01-03 00:00:00' AND created_at <= TIMESTAMP '2024-01-20 23:59:59')
+SELECT row_number() OVER (ORDER BY created_at, id) - 1 AS row_id, id, created_at, {_anonymize('text')} AS text
+FROM w"""
+
+_TRANSLATION_ROWS = f"""
+{EV_TEXT},
+f AS (SELECT CAST(event_id AS VARCHAR) AS id, norm_text AS text FROM ev WHERE event_type IN ('signup', 'error')),
+d AS (SELECT * FROM f QUALIFY row_number() OVER (
+        PARTITION BY {_collapse("regexp_replace(lower(" + _anonymize('text') + "), 'rt @user:|@user|<url>', '', 'g')")}
+        ORDER BY id) = 1)
+"""
+
+TRANSLATION_INPUT = f"""WITH {_TRANSLATION_ROWS}
+SELECT id, text, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 20) AS BIGINT) AS batch FROM d"""
+
+TRANSLATION_COST = f"""WITH {_TRANSLATION_ROWS}
+SELECT sum(length(text)) AS n_chars, round(sum(length(text)) / 500 * 0.01, 9) AS cost_eur FROM d"""

@@ -56,11 +56,7 @@ def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gaz
         # three consumers follow (locations, points, rows): parse once, read thrice
         rec = geo.enrich(rec.checkpoint(eager=True), countries, gazetteer)
     else:
-        rec = rec.drop("_coordinates", "_place")
-        for f in ("longitude", "latitude", "country_code", "geoname_id", "location_type", "region", "subregion"):
-            t = "double" if f in ("longitude", "latitude") else "string"
-            rec = rec.withColumn(f, F.lit(None).cast(t))
-        rec = rec.withColumn("geo_type", F.lit(0))
+        rec = geo.basics(rec)
     out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields])
     return out.withColumn("created_day", F.to_date("created_at")), bad
 

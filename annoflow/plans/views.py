@@ -75,6 +75,8 @@ def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         kind.alias("kind"),
         F.when(kind.isNotNull(), F.get_json_object("props", "$.k").cast("bigint")).alias("target_id"),
         F.col("value"),
+        F.concat(F.lit("Event "), F.col("event_type"), F.lit(" by @u"), F.col("user_id").cast("string"),
+                 F.lit(" see http://e.example/"), F.col("event_id").cast("string")).alias("text"),
     )
 
 
@@ -174,8 +176,22 @@ def _status_struct(e: str, embedded: bool = False):
         ((c("user_id") % 2) == 0).alias("verified"))
     x = (c("value") * 7.3) % 360 - 180
     y = (c("value") * 3.1) % 160 - 80
+    at = F.instr(text, "user ") - 1
+    mention = F.struct(c("user_id").cast("string").alias("id_str"),
+                       F.concat(F.lit("u"), c("user_id").cast("string")).alias("screen_name"),
+                       F.array(at, at + F.length(F.concat(F.lit("user "), c("user_id").cast("string"))))
+                       .alias("indices"))
+    media_item = lambda kind, i: F.struct(
+        F.lit(kind).alias("type"),
+        F.concat(F.lit("http://m.example/"), c("event_id").cast("string"), F.lit(f"/{i}.jpg")).alias("media_url"),
+        F.concat(F.lit("http://x.example/"), c("event_id").cast("string"), F.lit(f"/{kind}/{i}"))
+        .alias("expanded_url"))
     fields = [
         c("event_id").alias("id"), c("event_id").cast("string").alias("id_str"), text.alias("text"),
+        F.struct(F.array(mention).alias("user_mentions")).alias("entities"),
+        F.when(c("event_type") == "purchase", F.struct(F.array(
+            media_item("photo", 1), media_item("photo", 2), media_item("video", 3)).alias("media")))
+        .alias("extended_entities"),
         F.date_format(c("ts"), TWITTER_TS).alias("created_at"), F.lit("en").alias("lang"),
         F.when(c("event_type") == "click", c("target")).cast("string").alias("in_reply_to_status_id_str"),
         user.alias("user"),
