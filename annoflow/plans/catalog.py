@@ -505,3 +505,30 @@ ORACLE_SQL.update({
     "translation_input": oracle.TRANSLATION_INPUT,
     "translation_cost": oracle.TRANSLATION_COST,
 })
+
+
+# ---- incremental ingest with Structured Streaming
+
+def stream_ingest(spark, sf_dir):
+    """Raw lines written as files in three collection periods, streamed in one
+    file per micro-batch and merged; the store must equal the batch parse."""
+    import os
+    import uuid
+
+    from annoflow.session import ensure_checkpoint_dir
+    from annoflow.streaming import ingest
+
+    root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    lines = views.raw_status_lines(spark, sf_dir)
+    period = F.when(F.dayofmonth("day") <= 10, 1).when(F.dayofmonth("day") <= 20, 2).otherwise(3)
+    (lines.withColumn("period", period).repartition(1, "period").select("value", "period")
+     .write.partitionBy("period").text(f"{root}/raw"))
+    q = ingest.start_ingest(spark, f"{root}/raw/*", f"{root}/store", f"{root}/ckpt", max_files_per_trigger=1)
+    q.awaitTermination()
+    parsed = ingest.read_store(spark, f"{root}/store")
+    return parsed.select(*PARSE_COLS, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+                         F.col("created_day").cast("string").alias("created_day"))
+
+
+QUERIES["stream_ingest"] = stream_ingest
+ORACLE_SQL["stream_ingest"] = oracle.PARSE_STATUSES

@@ -45,9 +45,18 @@ def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gaz
     Returns (parsed, quarantine).  Parsed rows follow :data:`PARSED` plus
     ``created_day`` (the partition column).
     """
+    parsed, _log, bad = parse_with_log(lines, keywords, countries, gazetteer, extract_retweets, extract_quotes)
+    return parsed, bad
+
+
+def parse_with_log(lines: DataFrame, keywords=(), countries: DataFrame | None = None,
+                   gazetteer: DataFrame | None = None, extract_retweets: bool = True,
+                   extract_quotes: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As :func:`parse`, also returning the distinct interaction log of the lines."""
     ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
     firsts = dedup_copies(ok)
-    counts = interactions.count_interactions(top_level_log(firsts))
+    log = top_level_log(firsts)
+    counts = interactions.count_interactions(log)
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))
     rec = kept.select(*S.extract_columns(keywords))
     rec = with_token_count(rec, "text")
@@ -58,7 +67,7 @@ def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gaz
     else:
         rec = geo.basics(rec)
     out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields])
-    return out.withColumn("created_day", F.to_date("created_at")), bad
+    return out.withColumn("created_day", F.to_date("created_at")), log, bad
 
 
 def write_parsed(parsed: DataFrame, path: str) -> None:
