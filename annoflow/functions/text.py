@@ -60,16 +60,26 @@ def _html_unescape(s: pd.Series) -> pd.Series:
 
 # an entity (named or numeric) always starts with '&' followed by '#' or a letter
 ENTITY_START = "&[#A-Za-z]"
+# The entities decoded on the JVM; '&amp;' is replaced last so
+# that '&amp;lt;' gives '&lt;' as a single left-to-right decoding pass does.
+COMMON_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
+                   ("&amp;", "&"))
+COMMON_ENTITY_PATTERN = "&(?:lt|gt|quot|apos|#39|amp);"
 
 
 def html_unescape(c) -> Column:
     """Decode HTML entities (Python html.unescape semantics).
 
-    Only strings that can hold an entity are sent to the Arrow UDF; all others
-    pass as nulls and keep their JVM value.
+    Strings whose only entity-like sequences are the common ones are decoded
+    by a JVM replace chain; strings with any other '&' + letter/'#' go to the
+    Arrow UDF; all others pass unchanged (the UDF sees them as nulls).
     """
     col = _c(c)
-    return F.coalesce(_html_unescape(F.when(col.rlike(ENTITY_START), col)), col)
+    rare = F.regexp_replace(col, COMMON_ENTITY_PATTERN, "").rlike(ENTITY_START)
+    fast = col
+    for ent, ch in COMMON_ENTITIES:
+        fast = F.replace(fast, F.lit(ent), F.lit(ch))
+    return F.when(rare, _html_unescape(F.when(rare, col))).when(col.contains("&"), fast).otherwise(col)
 
 
 def normalize_str(c, unescape: bool = True) -> Column:

@@ -212,7 +212,8 @@ def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     retweet the event named by ``props.k`` (embedded as a full object).  Every
     50th line is written as a Python literal, and each collection day gets an
     API notice line."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
+                    spread_by="event_id")
     ev = ev.withColumn("target", F.when(F.col("event_type").isin("click", "purchase", "view"),
                                         F.get_json_object("props", "$.k").cast("bigint")))
     t = ev.select(*[F.col(c).alias(f"t_{c}") for c in ev.columns])
@@ -232,8 +233,10 @@ def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("source_file"))
     notices = lines.select(F.lit('{"limit": {"track": 3}}').alias("value"), "source_file").distinct()
     from annoflow.sources.raw import day_from_path
-    out = lines.unionByName(notices)
-    return out.withColumn("day", day_from_path("source_file"))
+    out = lines.unionByName(notices).withColumn("day", day_from_path("source_file"))
+    # stored once, like the collected files: the JSON building above would
+    # otherwise be inlined into every expression that reads ``value``
+    return out.checkpoint(eager=True)
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,11 @@ def test_contains_keywords(spark):
     got = _col(df, T.contains_keywords("t", "m", "u", ["vaccine"]))
     assert got == [True, True, False, False, True]
     assert _col(df, T.contains_keywords("t", "m", "u", [])) == [False] * 5
+
+
+def test_unescape_fast_path_matches_python(spark):
+    cases = ["a &amp; b", "&amp;lt; x", "&lt;3 &gt; &quot;q&quot; &apos;a&#39;", "&amp;amp;", "AT&T &ampx",
+             "&eacute;t&eacute; &amp;", "&#x41;&#66; &nbsp;!", "& alone", "&&&", "", "no entity"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, s string")
+    got = [r[0] for r in df.orderBy("i").select(T.html_unescape(F.col("s"))).collect()]
+    assert got == [html.unescape(s) for s in cases]
