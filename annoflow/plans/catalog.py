@@ -532,3 +532,26 @@ def stream_ingest(spark, sf_dir):
 
 QUERIES["stream_ingest"] = stream_ingest
 ORACLE_SQL["stream_ingest"] = oracle.PARSE_STATUSES
+
+
+# ---- composite jobs on parsed statuses
+
+from annoflow.plans import workflows  # noqa: E402
+
+PRETRAIN_KEYWORDS = ("purchase", "view")
+
+
+def pretrain_text(spark, sf_dir):
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir), keywords=PRETRAIN_KEYWORDS)
+    out = workflows.pretraining_text(parsed, seed=5, lang="en", min_tokens=3, drop_retweets=True,
+                                     keyword_only=True)
+    return out.select("id", "text", "split")
+
+
+def class_counts(spark, sf_dir):
+    df = splits.cleaned_for_question(views.cleaned_labels(spark, sf_dir))
+    return splits.class_counts(df)
+
+
+QUERIES.update({"pretrain_text": pretrain_text, "class_counts": class_counts})
+ORACLE_SQL.update({"pretrain_text": oracle.PRETRAIN_TEXT, "class_counts": oracle.CLASS_COUNTS})

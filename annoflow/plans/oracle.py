@@ -622,3 +622,20 @@ SELECT id, text, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 20) AS BIGIN
 
 TRANSLATION_COST = f"""WITH {_TRANSLATION_ROWS}
 SELECT sum(length(text)) AS n_chars, round(sum(length(text)) / 500 * 0.01, 9) AS cost_eur FROM d"""
+
+# ---- composite jobs
+
+PRETRAIN_TEXT = f"""WITH {EV_TEXT},
+f AS (SELECT CAST(event_id AS VARCHAR) AS id, norm_text AS text FROM ev
+      WHERE event_type <> 'view' AND event_type IN ('purchase')),
+d AS (SELECT * FROM f QUALIFY row_number() OVER (
+        PARTITION BY {_collapse("regexp_replace(lower(" + _anonymize('text') + "), 'rt @user:|@user|<url>', '', 'g')")}
+        ORDER BY id) = 1),
+k AS (SELECT id, text, row_number() OVER (ORDER BY {_key(5, 'id')}, id) - 1 AS pos, count(*) OVER () AS n FROM d)
+SELECT id, text, CASE WHEN pos < greatest(CAST(trunc(0.8 * n) AS BIGINT), n - 200000) THEN 'train' ELSE 'dev' END
+       AS split
+FROM k"""
+
+CLASS_COUNTS = f"""WITH {CLEANED},
+c AS (SELECT question_tag, label_tag AS label, count(*) AS n FROM cleaned GROUP BY ALL)
+SELECT question_tag, label, n, min(n) OVER (PARTITION BY question_tag) AS min_class FROM c"""
