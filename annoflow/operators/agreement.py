@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoflow.operators.stats import exact_median
+
 
 def _scalar(df: DataFrame, expr: F.Column):
     return df.agg(expr.alias("v")).first()["v"]
@@ -49,10 +51,10 @@ def robust_z(df: DataFrame, value: str, out: str, below_median_only: bool = Fals
     """
     df = df.checkpoint(eager=True)
     x = F.col(value)
-    med = _scalar(df, F.median(x))
+    med = exact_median(df, x)
     if med is None:
         return df.withColumn(out, F.lit(None).cast("double"))
-    mad = _scalar(df, F.median(F.abs(x - F.lit(med))))
+    mad = exact_median(df, F.abs(x - F.lit(med)))
     dev = F.abs(x - F.lit(med))
     if mad == 0:
         z = F.when(dev == 0, F.lit(None).cast("double")).otherwise(F.lit(float("inf")))

@@ -45,10 +45,14 @@ def qs_first_times(ann: DataFrame) -> DataFrame:
 
 
 def time_per_qs_summary(ann: DataFrame) -> DataFrame:
-    """Mean and median time per question sequence."""
-    t = qs_first_times(ann)
+    """Mean and median time per question sequence (exact median, see
+    :func:`annoflow.operators.stats.exact_median`)."""
+    from annoflow.operators.stats import exact_median
+
+    t = qs_first_times(ann).checkpoint(eager=True)
+    med = exact_median(t, "total_time")
     return t.agg(F.count("*").alias("n_qs"), F.round(F.avg("total_time"), 9).alias("mean_time"),
-                 F.round(F.median("total_time"), 9).alias("median_time"))
+                 F.round(F.lit(med).cast("double"), 9).alias("median_time"))
 
 
 def smallest(df: DataFrame, value: str, n: int) -> DataFrame:
