@@ -98,7 +98,7 @@ def _distance(rings: Column, x: Column, y: Column) -> Column:
     return F.array_min(F.transform(rings, ring_min))
 
 
-def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0, max_rounds: int = 9) -> DataFrame:
+def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0, max_rounds: int = 10) -> DataFrame:
     """G2 + G3 on distinct points ``(_x, _y)`` -> ``country_code``.
 
     Exact containment first (first polygon in table order), then the nearest
@@ -115,40 +115,48 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0,
               .groupBy("_x", "_y").agg(F.min_by("iso_a2", "ord").alias("country_code")))
     inside = inside.checkpoint(eager=True)
     outside = uniq.join(inside.select("_x", "_y"), ["_x", "_y"], "left_anti")
-    return inside.unionByName(_nearest(outside, cells, shapes, cell, max_rounds))
+    return inside.unionByName(_nearest(outside, countries, shapes, cell, max_rounds))
 
 
 def country_of_points(points: DataFrame, countries: DataFrame, lon: str = "longitude", lat: str = "latitude",
-                      key: str = "id", cell: float = 1.0, max_rounds: int = 9) -> DataFrame:
+                      key: str = "id", cell: float = 1.0, max_rounds: int = 10) -> DataFrame:
     """G2 + G3: ``key -> country_code``; duplicate coordinates are resolved once."""
     pts = points.select(key, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
     found = point_countries(pts, countries, cell, max_rounds)
     return pts.join(found, ["_x", "_y"], "left").select(key, "country_code")
 
 
-def _nearest(points: DataFrame, cells: DataFrame, shapes: DataFrame, cell: float, max_rounds: int) -> DataFrame:
-    """Nearest country of points that lie in none, by growing neighbourhoods."""
+def _nearest(points: DataFrame, countries: DataFrame, shapes: DataFrame, cell: float, max_rounds: int) -> DataFrame:
+    """Nearest country of points that lie in none.
+
+    Round k searches a square of half-width ``cell * 2**k`` around each point.
+    Beyond four cells a coarser grid (cell size = half-width / 4) is used, so
+    a round explodes at most 9 x 9 cells per point whatever the radius.  A
+    country outside the square is farther than its half-width, so the best
+    candidate is final once its distance is within it.
+    """
     result = None
     todo = points
-    radius = 1
-    for _ in range(max_rounds):
+    for k in range(max_rounds):
         if todo.limit(1).count() == 0:
             break
-        offs = F.sequence(F.lit(-radius), F.lit(radius))
+        radius = cell * (2 ** k)
+        size = cell if radius <= 4 * cell else radius / 4.0
+        r = int(math.ceil(radius / size))
+        cells = bounded_broadcast(country_cells(countries, size))
+        offs = F.sequence(F.lit(-r), F.lit(r))
         near = (todo.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
-                .withColumn("cx", (F.floor(F.col("_x") / cell) + F.col("_dx")).cast("int"))
-                .withColumn("cy", (F.floor(F.col("_y") / cell) + F.col("_dy")).cast("int"))
+                .withColumn("cx", (F.floor(F.col("_x") / size) + F.col("_dx")).cast("int"))
+                .withColumn("cy", (F.floor(F.col("_y") / size) + F.col("_dy")).cast("int"))
                 .join(cells, ["cx", "cy"]).select("_x", "_y", "iso_a2", "ord").distinct()
                 .join(shapes, ["iso_a2", "ord"])
                 .withColumn("_d", _distance(F.col("rings"), F.col("_x"), F.col("_y"))))
         best = near.groupBy("_x", "_y").agg(F.min_by(F.struct("iso_a2", "_d"), F.struct("_d", "ord")).alias("b"))
-        # a country outside the searched square is at least radius cells away
-        sure = best.where(F.col("b._d") <= radius * cell).select("_x", "_y", F.col("b.iso_a2").alias("country_code"))
+        sure = best.where(F.col("b._d") <= r * size).select("_x", "_y", F.col("b.iso_a2").alias("country_code"))
         result = sure if result is None else result.unionByName(sure)
         todo = todo.join(sure.select("_x", "_y"), ["_x", "_y"], "left_anti").checkpoint(eager=True)
-        radius *= 2
-        if radius * cell > 360:
-            radius = int(math.ceil(360 / cell))
+        if radius >= 360:
+            break
     if result is None:
         return points.select("_x", "_y", F.lit(None).cast("string").alias("country_code")).limit(0)
     return result
