@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from annoflow.operators.stats import exact_median
 
 
-def _scalar(df: DataFrame, expr: F.Column):
-    return df.agg(expr.alias("v")).first()["v"]
-
-
 def final_answers(ann: DataFrame) -> DataFrame:
     """One answer per (tweet, question, annotator): the last one given (by seq)."""
     a = ann.where(F.col("tweet_id").isNotNull() & F.col("annotator_id").isNotNull()
