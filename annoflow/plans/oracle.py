@@ -100,7 +100,7 @@ fin AS (SELECT tweet_id, question_tag, annotator_id, arg_max(answer_tag, seq) AS
 fin2 AS (SELECT * FROM fin WHERE answer_tag IS NOT NULL),
 cnt AS (SELECT *, count(*) OVER (PARTITION BY tweet_id, question_tag, answer_tag) AS n_x,
                count(*) OVER (PARTITION BY tweet_id, question_tag) AS n FROM fin2),
-ag AS (SELECT annotator_id, sum(n_x - 1) AS agreement_count, sum(n - 1) AS total_count,
+ag AS (SELECT annotator_id, CAST(sum(n_x - 1) AS BIGINT) AS agreement_count, CAST(sum(n - 1) AS BIGINT) AS total_count,
               CASE WHEN sum(n - 1) = 0 THEN NULL ELSE CAST(sum(n_x - 1) AS DOUBLE) / sum(n - 1) END AS agreement_ratio
        FROM cnt GROUP BY annotator_id)
 """
@@ -229,8 +229,8 @@ def _token_count(x: str) -> str:
     from annoflow.functions.stopwords import ENGLISH_STOP_WORDS
     stops = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS)
     y = f"regexp_replace(regexp_replace({x}, '{URL_RE2}', '', 'g'), '(@[^{WS_RE2}]+)', '', 'g')"
-    return (f"len(list_filter(regexp_extract_all({y}, '\\p{{L}}+'), "
-            f"lambda t: NOT list_contains([{stops}], lower(t))))")
+    return (f"CAST(len(list_filter(regexp_extract_all({y}, '\\p{{L}}+'), "
+            f"lambda t: NOT list_contains([{stops}], lower(t)))) AS INTEGER)")
 
 
 TOKEN_COUNT = f"SELECT doc_id AS id, {_token_count(_normalize('text'))} AS token_count FROM documents"
@@ -275,7 +275,7 @@ FROM qt"""
 FASTEST_WORKERS = f"""WITH {ANNOTATIONS},
 w AS (SELECT round(avg(total_time), 9) AS mean_time FROM annotations WHERE annotator_id IS NOT NULL
       GROUP BY annotator_id)
-SELECT mean_time, row_number() OVER (ORDER BY mean_time) AS rank FROM w WHERE mean_time IS NOT NULL
+SELECT mean_time, CAST(row_number() OVER (ORDER BY mean_time) AS INTEGER) AS rank FROM w WHERE mean_time IS NOT NULL
 ORDER BY mean_time LIMIT 10"""
 
 TIME_HISTOGRAM = f"""WITH {ANNOTATIONS}, {QS_TIMES}
@@ -537,9 +537,11 @@ SELECT c_custkey, c_custkey AS key_dec, c_name AS name_dec, c_mktsegment || '|'
 PREDICTION_JOIN = """
 SELECT d.doc_id AS id, d.lang,
        CAST(l.quality AS VARCHAR) AS label_quality,
-       CASE WHEN l.doc_id IS NOT NULL THEN round(0.5 + (l.doc_id % 50) / 100.0, 6) END AS probability_quality,
+       CASE WHEN l.doc_id IS NOT NULL THEN CAST(round(0.5 + (l.doc_id % 50) / 100.0, 6) AS DOUBLE) END
+         AS probability_quality,
        CAST(l.toxic AS VARCHAR) AS label_toxic,
-       CASE WHEN l.doc_id IS NOT NULL THEN round(0.5 + (l.doc_id % 50) / 100.0, 6) END AS probability_toxic
+       CASE WHEN l.doc_id IS NOT NULL THEN CAST(round(0.5 + (l.doc_id % 50) / 100.0, 6) AS DOUBLE) END
+         AS probability_toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 MEMBERSHIP_FLAGS = """
@@ -621,7 +623,7 @@ TRANSLATION_INPUT = f"""WITH {_TRANSLATION_ROWS}
 SELECT id, text, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 20) AS BIGINT) AS batch FROM d"""
 
 TRANSLATION_COST = f"""WITH {_TRANSLATION_ROWS}
-SELECT sum(length(text)) AS n_chars, round(sum(length(text)) / 500 * 0.01, 9) AS cost_eur FROM d"""
+SELECT CAST(sum(length(text)) AS BIGINT) AS n_chars, round(sum(length(text)) / 500 * 0.01, 9) AS cost_eur FROM d"""
 
 # ---- composite jobs
 
