@@ -58,3 +58,23 @@ def membership_flags(parsed: DataFrame, uploaded: DataFrame | None = None, label
         marks = ids.select(F.col(col).alias(id_col)).distinct().withColumn(flag, F.lit(True))
         out = out.join(marks, id_col, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
     return out
+
+
+def all_data(parsed: DataFrame, wide: DataFrame | None = None, s_date=None, e_date=None,
+             uploaded: DataFrame | None = None, labelled: DataFrame | None = None,
+             cleaned: DataFrame | None = None, geo: DataFrame | None = None,
+             usecols=("id", "token_count", "is_retweet", "contains_keywords", "created_at", "lang")) -> DataFrame:
+    """Parsed statuses with predictions, an inclusive created_at window
+    (both ends, as coded in the reference), membership flags and optional
+    inferred-geo columns, all attached by ``id``."""
+    df = parsed.select(*usecols) if usecols else parsed
+    if wide is not None:
+        df = df.join(wide, "id", "left")
+    if s_date:
+        df = df.where(F.col("created_at") >= F.lit(s_date).cast("timestamp"))
+    if e_date:
+        df = df.where(F.col("created_at") <= F.lit(e_date).cast("timestamp"))
+    df = membership_flags(df, uploaded, labelled, cleaned)
+    if geo is not None:
+        df = df.join(geo, "id", "left")
+    return df

@@ -172,3 +172,8 @@ def sample_distribution(corpus: DataFrame, sample: DataFrame, id_col: str = "id"
         F.datediff(F.to_date("created_at"), F.to_date(base)).alias("day_idx"),
         ((F.year("created_at") - F.year(base)) * 12 + F.month("created_at") - F.month(base)).alias("month_idx"),
         (F.year("created_at") - F.year(base)).alias("year_idx"))
+
+
+def shuffle(df: DataFrame, seed: int, id_col: str = "id") -> DataFrame:
+    """T5: a seeded random order (range-partitioned sort on the sample key)."""
+    return df.withColumn("_key", sample_key(id_col, seed)).orderBy("_key", id_col).drop("_key")

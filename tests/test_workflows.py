@@ -50,3 +50,17 @@ def test_split_labels_and_pretraining(spark):
     per = {r.split: r["count"] for r in pt.groupBy("split").count().collect()}
     n = sum(per.values())
     assert per["train"] == max(int(0.8 * n), n - 10)
+
+
+def test_all_data_and_shuffle(spark):
+    from annoflow.operators import predictions, sampling
+    p = parsed(spark, 40)
+    wide = spark.createDataFrame([("0", "pos", 0.9)], "id string, label_m string, probability_m double")
+    lab = spark.createDataFrame([("3",)], "tweet_id string")
+    out = predictions.all_data(p, wide, s_date="2020-01-01", e_date="2020-01-10 12:00:00", labelled=lab)
+    rows = {r.id: r for r in out.collect()}
+    assert rows["0"].label_m == "pos" and rows["3"].L and not rows["0"].L and "1" not in rows
+    assert all(r.created_at <= dt.datetime(2020, 1, 10, 12) for r in rows.values())
+    a = [r.id for r in sampling.shuffle(p, 3).collect()]
+    b = [r.id for r in sampling.shuffle(p.repartition(4), 3).collect()]
+    assert a == b and sorted(a) == sorted(r.id for r in p.collect())
