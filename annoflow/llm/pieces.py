@@ -189,4 +189,4 @@ def digest(encoded: DataFrame) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                           F.sha2("decoded", 256).alias("decoded_sha256"),
-                          F.coalesce(F.element_at("end", -1), F.lit(0)).cast("long").alias("bytes_covered"))
+                          F.coalesce(F.try_element_at("end", F.lit(-1)), F.lit(0)).cast("long").alias("bytes_covered"))
