@@ -13,103 +13,127 @@ in a minimum that is partly aggregated before the shuffle: no pairs are formed,
 lines share one.  Links are then verified on the words.
 
 A line has as many variants as words.  To keep the shuffle in proportion to the lines, the same
-join first runs with deletions of a quarter of the line (eight keys): a line without a partner
-there has none within one word either, and drops out of the full neighbourhood, without loss.
+join first runs with deletions of half a line (four keys): a line without a partner there has
+none within one word either, and drops out of the full neighbourhood, without loss.  A hash of a
+variant is the exclusive or of hashes of its words with their places, so all variants of a line
+together take time in proportion to its words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from annoflow.llm.common import row_key, stage
 from annoflow.llm.quality import GAP
 
-MIN_WORDS, EDIT_WORDS, BLOCKS = 5, 20, 4
+MIN_WORDS, EDIT_WORDS = 5, 20
 
-#: Lines that may be sent to all executors as keys (40 bytes each); beyond it the texts are shuffled.
+#: Lines with a possible partner whose keys (40 bytes each) may be sent to all executors to fetch their
+#: words; beyond it the texts are shuffled.
 BROADCAST_ROWS = 1 << 18
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """_k1, _k2, doc_id, line_no, w (words) of every line with MIN_WORDS words or more."""
     d = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("doc_id"),
                     F.split(F.col(text_col).cast("string"), "\n").alias("_lines"))
     d = d.select("_k1", "_k2", "doc_id", F.posexplode("_lines").alias("line_no", "_line"))
-    d = d.withColumn("w", F.array_remove(F.split("_line", GAP), ""))
-    return d.where(F.size("w") >= MIN_WORDS).drop("_line")
+    # A test on the line, not on its words: a filter on words would split each line twice.
+    d = d.where(F.col("_line").rlike(f"{_WORD}(?:{GAP}{_WORD}){{{MIN_WORDS - 1}}}"))
+    return d.select("_k1", "_k2", "doc_id", "line_no", F.array_remove(F.split("_line", GAP), "").alias("w"))
 
 
-def _without(lo: str, hi: str) -> str:
-    """Hash of the words but those from lo up to hi (counted from 0)."""
-    return f"xxhash64(array_join(slice(w, 1, {lo}), ' '), array_join(slice(w, {hi} + 1, size(w)), ' '))"
+def _line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per line its place in the order (doc_id, _k1, _k2, line_no), n (words), and hashes of the first n div 2 words
+    (a), of the others (b), and of the half that a line of one word more or less shares (c).
 
+    n, a and b identify the words of a line.
+    """
+    def half(lo, n):
+        return f"xxhash64(array_join(slice(w, {lo}, {n}), ' '))"
 
-def _block_keys() -> str:
-    """Keys of deleted quarters: of the line as it is, and as one that has a word more than its partner."""
-    keys = []
-    for more in (0, 1):
-        for c in range(BLOCKS):
-            lo, hi = f"({c} * (n - {more}) div {BLOCKS})", f"({c + 1} * (n - {more}) div {BLOCKS} + {more})"
-            lo, hi = f"cast({lo} as int)", f"cast({hi} as int)"
-            keys.append(f"xxhash64(n - {more}, {c}, {_without(lo, hi)})")
-    return f"array({', '.join(keys)})"
+    d = _lines(docs, id_col, text_col).withColumn("n", F.size("w")).withColumn("m", F.expr("cast(n div 2 as int)"))
+    return d.select("doc_id", "_k1", "_k2", "line_no", "n", F.expr(half("1", "m")).alias("a"), F.expr(half("m + 1", "n")).alias("b"),
+                    F.expr(f"if(n % 2 = 0, {half('1', 'm - 1')}, {half('m + 2', 'n')})").alias("c"))
 
 
-def _order(d: DataFrame) -> DataFrame:
+def _order():
     """Order of lines: by document id (null last), key of the row, place."""
-    return d.withColumn("o", F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_k1", "_k2", "line_no"))
+    return F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_k1", "_k2", "line_no")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_k1, _k2 (row key) and line_no of each line to remove."""
-    lines = _lines(docs, id_col, text_col).withColumn("n", F.size("w"))
-    lines = stage(_order(lines).select(
-        "o", F.xxhash64(F.array_join("w", " ")).alias("h1"), F.xxhash64(F.lit(1), F.array_join("w", " ")).alias("h2"), "n",
-        F.expr(f"if(n >= {EDIT_WORDS}, {_block_keys()}, null)").alias("keys")), "lines")
-    first = stage(lines.groupBy("h1", "h2").agg(F.min(F.struct("o", "keys")).alias("f"))
-                  .select("h1", "h2", "f.o", "f.keys"), "first")
+    lines = stage(_line_table(docs, id_col, text_col), "lines")
     # Equal lines: all but the first.
-    same = (lines.select("o", "h1", "h2").join(first.select("h1", "h2", F.col("o").alias("f")), ["h1", "h2"])
-            .where(F.col("o") > F.col("f")).select("o"))
-    near = _near_lines(docs, first, id_col, text_col)
-    return same.unionByName(near).select("o._k1", "o._k2", "o.line_no").distinct()
+    again = stage(lines.groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("times"), F.min(_order()).alias("first"))
+                  .where("times > 1").drop("times"), "again")
+    same = lines.join(again, ["a", "b", "n"]).where(_order() > F.col("first")).select("_k1", "_k2", "line_no")
+    near = _near_lines(docs, lines, id_col, text_col).select("o._k1", "o._k2", "o.line_no")
+    return same.unionByName(near).distinct()
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (key, line, ...) whose key belongs to two lines or more."""
+    keys = rows.groupBy("key").agg(F.min("line").alias("l"), F.max("line").alias("m")).where("l <> m").select("key")
+    return rows.join(keys, "key", "left_semi")
 
 
-def _near_lines(docs: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _near_lines(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """o of the first occurrences that have an earlier line within one word."""
-    keyed = first.where("keys is not null").select("o", "h1", F.explode("keys").alias("key"))
-    shared = (keyed.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a <> b").select("key"))
-    partnered = stage(keyed.join(shared, "key", "left_semi").select("o").distinct(), "partnered")
-    if partnered.count() <= BROADCAST_ROWS:
-        partnered = F.broadcast(partnered)
-    at = partnered.select("o._k1", "o._k2", "o.line_no", "o")
-    words = stage(_lines(docs, id_col, text_col).drop("doc_id").join(at, ["_k1", "_k2", "line_no"])
-                  .select("o", "w").dropDuplicates(["o"]), "words")
-    places = F.expr("transform(sequence(0, size(w) - 1), i -> struct(i as place, "
-                    "xxhash64(array_join(slice(w, 1, i), ' '), array_join(slice(w, i + 2, size(w)), ' ')) as variant, "
-                    "xxhash64(array_join(concat(slice(w, 1, i), slice(w, i + 2, size(w))), ' ')) as rest))")
-    variants = stage(words.select("o", F.size("w").alias("n"), F.xxhash64(F.array_join("w", " ")).alias("own"),
-                                  F.explode(places).alias("v")).select("o", "n", "own", "v.*"), "variants")
-    replaced = ["n", "place", "variant"]
-    links = (variants.select("o", *replaced)
-             .join(variants.groupBy(*replaced).agg(F.min("o").alias("e")), replaced).where("o > e").select("o", "e"))
-    whole = variants.where("place = 0").select("o", "n", F.col("own").alias("rest"))
-    shorter = variants.select("o", (F.col("n") - 1).alias("n"), "rest")
-    links = links.unionByName(
-        shorter.join(whole.groupBy("n", "rest").agg(F.min("o").alias("e")), ["n", "rest"]).where("o > e").select("o", "e"))
-    links = links.unionByName(
-        whole.join(shorter.groupBy("n", "rest").agg(F.min("o").alias("e")), ["n", "rest"]).where("o > e").select("o", "e"))
-    pairs = links.distinct().join(words, "o").join(words.select(F.col("o").alias("e"), F.col("w").alias("v")), "e")
+    # Halves of the line as it is (of n words) and as one that has a word more than its partner (of n - 1).
+    keyed = lines.where(F.col("n") >= EDIT_WORDS).select("a", "b", "n", "c", F.xxhash64("a", "b", "n").alias("line"))
+    keyed = keyed.select("line", F.explode(F.expr(
+        "array(xxhash64(n, 1, a), xxhash64(n, 2, b), xxhash64(n - 1, 1, if(n % 2 = 0, c, a)), xxhash64(n - 1, 2, if(n % 2 = 0, b, c)))"
+    )).alias("key"))
+    partnered = stage(_shared(keyed).select("line").distinct(), "partnered")
+    few = partnered.count() <= BROADCAST_ROWS
+    places = (lines.where(F.col("n") >= EDIT_WORDS).withColumn("line", F.xxhash64("a", "b", "n"))
+              .join(F.broadcast(partnered) if few else partnered, "line")
+              .groupBy("line", "a", "b", "n").agg(F.min(_order()).alias("o")))
+    places = stage(places.select("line", "o", "o._k1", "o._k2", "o.line_no"), "places")
+    words = stage(_lines(docs, id_col, text_col).select("_k1", "_k2", "line_no", "w")
+                  .join(F.broadcast(places) if few else places, ["_k1", "_k2", "line_no"])
+                  .select("line", "o", "w").dropDuplicates(["line", "o"]), "words")
+    variants = stage(_variants(words), "variants")
+    members = stage(_shared(variants).join(words.select("line", "o"), "line"), "members")
+    first = members.groupBy("key", "role").agg(F.min(F.struct("o", "line")).alias("e"))
+    # The partner of a replaced word is another such line; that of a deleted word a whole line, and the reverse.
+    partner = first.select("key", F.expr("case role when 'whole' then 'shorter' when 'shorter' then 'whole' else role end").alias("role"), "e")
+    links = members.join(partner, ["key", "role"]).where("o > e.o").select("line", "o", F.col("e.o").alias("e"), F.col("e.line").alias("l")).distinct()
+    pairs = (links.join(words, ["line", "o"])
+             .join(words.select(F.col("line").alias("l"), F.col("o").alias("e"), F.col("w").alias("v")), ["l", "e"]))
     longer = F.greatest(F.size("w"), F.size("v"))
-    same = "zip_with({}, {}, (x, y) -> x <=> y)"
 
     def alike(a, b):  # words that agree from the front
-        at_ = F.array_position(F.expr(same.format(a, b)), False)
-        return F.when(at_ == 0, longer).otherwise(at_ - 1)
+        at = F.array_position(F.expr(f"zip_with({a}, {b}, (x, y) -> x <=> y)"), False)
+        return F.when(at == 0, longer).otherwise(at - 1)
 
     return pairs.where(alike("w", "v") + alike("reverse(w)", "reverse(v)") >= longer - 1).select("o").distinct()
 
 
+def _variants(words: DataFrame) -> DataFrame:
+    """(line, key, role) of the lines' deletion neighbourhoods.
+
+    With h(word, place) as the hash of a word at a place, a line's hash is the exclusive or over its
+    words.  Leaving out word i moves the later words a place forward: what changes from one i to the
+    next is h(word i, i) and h(word i + 1, i), so a running exclusive or gives all variants.
+    """
+    d = words.repartition("line").select("line", "o", F.size("w").alias("n"), F.explode(F.expr(
+        "transform(w, (x, i) -> struct(i, xxhash64(x, i) as here, if(i + 1 < size(w), xxhash64(get(w, i + 1), i), 0L) as next))")).alias("v"))
+    line = Window.partitionBy("line", "o")
+    d = d.select("line", "n", F.col("v.i").alias("i"), F.col("v.here").alias("here"),
+                 F.bit_xor("v.here").over(line).alias("whole"), F.bit_xor("v.next").over(line).alias("nexts"),
+                 F.bit_xor(F.col("v.here").bitwiseXOR(F.col("v.next"))).over(
+                     line.orderBy("v.i").rowsBetween(Window.unboundedPreceding, -1)).alias("passed"))
+    key = F.expr("""array(struct(xxhash64(n, i, whole ^ here) as key, 'replaced' as role),
+                          struct(xxhash64(n - 1, -1, nexts ^ coalesce(passed, 0L)) as key, 'shorter' as role),
+                          struct(xxhash64(n, -1, whole) as key, if(i = 0, 'whole', null) as role))""")
+    return d.select("line", F.explode(key).alias("k")).select("line", "k.*").where("role is not null")
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` less its removed lines, and ``removed_lines`` (sorted places, from 0).
 
