@@ -1,11 +1,11 @@
 """Token-ID output (operator 5): Arrow files of equal-length sequences with masks.
 
-Documents are encoded where they lie, then dealt by id range; each range is one file.  A file has
-record batches of ``BATCH`` rows with two fixed-size lists, ``ids`` and ``mask`` (0: padding, 1: token,
-2: last token of a document).  Lists of one length lie back to back in a batch without
-offsets, so sequence i of a memory-mapped file is a slice: no copy, no decoding.  The id
-stream runs on through a file; only its last sequence is padded.  A second file of the same
-name and ``.docs`` has the documents (doc_id, start, n_tokens) in order.
+Documents are dealt by id range, sorted, encoded and written; each range is one file.  A file has
+record batches of ``BATCH`` rows with two fixed-size lists, ``ids`` and ``mask`` (false: padding).
+Lists of one length lie back to back in a batch without offsets, so sequence i of a
+memory-mapped file is a slice: no copy, no decoding.  The id stream runs on through a file; only
+its last sequence is padded.  A second file of the same name and ``.docs`` has the documents
+(doc_id, start, n_tokens) in order.
 
 Tasks write under a name of their own and rename at the end, so a repeated task
 replaces what a lost one left.
@@ -13,62 +13,91 @@ replaces what a lost one left.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annoflow.llm.common import shared_path, slices, stage
+from annoflow.llm.common import shared_path, slices
 
 SEQUENCE, BATCH = 2048, 64
 END_ID = 2
 
-#: Words whose ids a task remembers; the memory is emptied when it is full.
-CACHE_WORDS = 200_000
+#: Words whose ids a Python worker remembers, twice: the last so many, and those before them.
+CACHE_WORDS = 500_000
+
+#: ASCII marks behind an ASCII letter or digit at the end of a word: tokens of their own.  (No apostrophe: it
+#: may begin a contraction.  No ``<``, ``|``, ``>``: they may belong to a special token.)
+_TAIL = re.compile(rb"(?<=[A-Za-z0-9])[]!\"#$%&()*+,./:;=?@[\\^_`{}~-]+(?=[\x20\x09-\x0D]|\Z)")
+_LETTERS = re.compile(rb"[a-z]+")
 
 
 class WordEncoder:
-    """Encodes by white-space delimited words, each through the tokenizers library once.
+    """Encodes by white-space delimited words, each through the tokenizers library and then remembered.
 
-    Exact for tokenizers whose normaliser maps white space to white space and whose
-    pre-tokenizer drops it (no token then spans it, and no merge or composition reaches over it).
-    Cuts are made at space and \\t to \\r alone.
+    For tokenizers whose normaliser composes, maps white space to white space and lowers
+    case, and whose pre-tokenizer drops white space and splits letters, digits and other marks.  It
+    is exact there: no token, merge or composition reaches over white space; a mark behind
+    an ASCII letter or digit begins a token; and ASCII texts may be lowered beforehand, unless a ``<`` could
+    begin a special token.  Cuts are made at space and \\t to \\r alone.
     """
 
     def __init__(self, tokenizer_file: str, capacity: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok, self.known, self.capacity = Tokenizer.from_file(tokenizer_file), {}, capacity
+        self.tok, self.capacity = Tokenizer.from_file(tokenizer_file), capacity
+        # Words of the letters a-z are one token before merging, whatever the normaliser and the rules for marks.
+        self.letters = Tokenizer.from_file(tokenizer_file)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.known, self.older = {}, {}
         self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
 
+    def words(self, text: str) -> list[bytes]:
+        raw = text.encode()
+        if raw.isascii() and b"<" not in raw:
+            raw = raw.lower()
+        return _TAIL.sub(rb" \g<0>", raw).split()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > self.capacity:
-            self.known = {}
-            new = list({w for words in split for w in words})
-        for word, e in zip(new, self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(e.ids, dtype=self.dtype).tobytes()
+        split = [self.words(t) for t in texts]
+        distinct = set().union(*split)
+        if len(self.known) > self.capacity:
+            self.known, self.older = {}, self.known
+        missing = distinct - self.known.keys()
+        new = []
+        for w in missing:
+            ids = self.older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                self.known[w] = ids
+        plain = [w for w in new if _LETTERS.fullmatch(w)]
+        other = [w for w in new if not _LETTERS.fullmatch(w)]
+        for tok, some in ((self.letters, plain), (self.tok, other)):
+            for word, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                self.known[word] = np.array(e.ids, dtype=self.dtype).tobytes()
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
 
-def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (binary: little-endian ids of 16 bits, or 32 if the vocabulary is larger), width."""
-    def run(batches):
-        encoder = WordEncoder(tokenizer_file)
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        for b in batches:
-            for lo, n in slices(b.column(1)):
-                ids = [x + end for x in encoder([t or "" for t in b.column(1).slice(lo, n).to_pylist()])]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, n), pa.array(ids, pa.binary()), pa.array([encoder.dtype.itemsize] * n, pa.int32())],
-                    names=["doc_id", "ids", "width"])
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer_file: str) -> WordEncoder:
+    """One per Python worker, over all its tasks."""
+    return WordEncoder(tokenizer_file)
 
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return d.mapInArrow(run, "doc_id long, ids binary, width int")
+
+def _encoded(batches, tokenizer_file: str, end_id: int):
+    """(ids of documents, their little-endian ids with the end id), a slice of documents at a time."""
+    encoder = encoder_of(tokenizer_file)
+    end = np.array([end_id], dtype=encoder.dtype).tobytes()
+    for b in batches:
+        for lo, n in slices(b.column(1)):
+            yield (b.column(0).slice(lo, n).to_pylist(),
+                   [x + end for x in encoder([t or "" for t in b.column(1).slice(lo, n).to_pylist()])])
 
 
 def _filesystem(uri: str):
@@ -79,47 +108,42 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri[len("file:"):])
 
 
-def _write(batches, folder: str, sequence: int, batch_rows: int, part: int):
-    """Writes one partition's sorted documents; gives its file name, documents and tokens."""
+def _write(encoded, kind: np.dtype, folder: str, sequence: int, batch_rows: int, part: int):
+    """Writes one partition's sorted documents; gives its number, documents and tokens."""
     store, root = _filesystem(folder)
     name, own = f"{root}/part-{part:05d}", uuid.uuid4().hex
     tmp, docs = f"{name}.{own}.tmp", []
     out = writer = schema = None
-    held, held_marks, tokens, at = [], [], 0, 0
+    held, tokens, at = [], 0, 0
     full = sequence * batch_rows
 
-    def put(ids, mask, rows):
+    def put(ids, real):
+        mask = np.arange(len(ids)) < real
         writer.write_batch(pa.RecordBatch.from_arrays(
             [pa.FixedSizeListArray.from_arrays(pa.array(ids), sequence), pa.FixedSizeListArray.from_arrays(pa.array(mask), sequence)],
             schema=schema))
 
-    for b in batches:
-        for doc_id, raw, width in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-            if writer is None:
-                store.create_dir(root, recursive=True)
-                kind = np.dtype(f"<u{width}")
-                schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
-                out = store.open_output_stream(tmp)
-                writer = pa.ipc.new_file(out, schema)
-            ids = np.frombuffer(raw.as_buffer(), dtype=kind)
-            marks = np.ones(len(ids), dtype=np.uint8)
-            marks[-1] = 2
-            docs.append((doc_id, tokens, len(ids)))
-            tokens += len(ids)
-            held.append(ids)
-            held_marks.append(marks)
-            at += len(ids)
-            if at >= full:
-                ids, marks = np.concatenate(held), np.concatenate(held_marks)
-                n = at // full * full
-                for lo in range(0, n, full):
-                    put(ids[lo:lo + full], marks[lo:lo + full], batch_rows)
-                held, held_marks, at = [ids[n:]], [marks[n:]], at - n
+    for doc_ids, texts in encoded:
+        if writer is None:
+            store.create_dir(root, recursive=True)
+            schema = pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
+            out = store.open_output_stream(tmp)
+            writer = pa.ipc.new_file(out, schema)
+        for doc_id, raw in zip(doc_ids, texts):
+            n = len(raw) // kind.itemsize
+            docs.append((doc_id, tokens, n))
+            tokens += n
+        held.append(np.frombuffer(b"".join(texts), dtype=kind))
+        at += len(held[-1])
+        if at >= full:
+            ids, n = np.concatenate(held), at // full * full
+            for lo in range(0, n, full):
+                put(ids[lo:lo + full], full)
+            held, at = [ids[n:]], at - n
     if writer is None:
         return
     if at:
-        rest = -at % sequence
-        put(np.concatenate([*held, np.zeros(rest, kind)]), np.concatenate([*held_marks, np.zeros(rest, np.uint8)]), None)
+        put(np.concatenate([*held, np.zeros(-at % sequence, kind)]), at)
     writer.close()
     out.close()
     table = pa.table({"doc_id": pa.array([d[0] for d in docs], pa.int64()), "start": pa.array([d[1] for d in docs], pa.int64()),
@@ -132,20 +156,22 @@ def _write(batches, folder: str, sequence: int, batch_rows: int, part: int):
                                       "tokens": pa.array([tokens], pa.int64())})
 
 
-def write_token_files(encoded: DataFrame, folder: str, sequence: int = SEQUENCE, batch_rows: int = BATCH,
-                      files: int | None = None) -> DataFrame:
-    """Writes ``encoded`` in ascending order of doc_id (null ids last; equal ids by their token ids) and
+def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = END_ID, sequence: int = SEQUENCE,
+                      batch_rows: int = BATCH, files: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encodes and writes ``docs`` in ascending order of doc_id (null ids last; equal ids by a hash of the text) and
     returns the manifest: part, docs, tokens, first_token (tokens of all files before)."""
-    spark = encoded.sparkSession
+    spark = docs.sparkSession
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("ids")]
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
 
     def run(batches):
         from pyspark import TaskContext
 
-        yield from _write(batches, folder, sequence, batch_rows, TaskContext.get().partitionId())
+        yield from _write(_encoded(batches, tokenizer_file, end_id), encoder_of(tokenizer_file).dtype, folder, sequence, batch_rows,
+                          TaskContext.get().partitionId())
 
-    dealt = encoded.repartitionByRange(n, F.col("doc_id").asc_nulls_last(), F.xxhash64("ids")).sortWithinPartitions(*order)
+    dealt = d.repartitionByRange(n, *order).sortWithinPartitions(*order)
     manifest = sorted(dealt.mapInArrow(run, "part int, docs long, tokens long").collect())  # a row for each file
     rows, first = [], 0
     for m in manifest:
@@ -169,8 +195,8 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
                         crc = []
                         for s, n in zip(t["start"].to_pylist(), t["n_tokens"].to_pylist()):
                             ids, mask = stream.take(s, n)
-                            if (mask[:-1] != 1).any() or mask[-1] != 2:
-                                raise ValueError(f"{name}.arrow: mask of document at {s}")
+                            if not mask.all():
+                                raise ValueError(f"{name}.arrow: document at {s} has padding")
                             crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
                         yield pa.RecordBatch.from_arrays(
                             [t["doc_id"], pa.array(t["start"].to_numpy() + first), t["n_tokens"], pa.array(crc, pa.int64())],
@@ -191,7 +217,7 @@ class _Stream:
     def _batch(self, i: int):
         if i != self.at:
             b = self.data.get_batch(i)
-            self.loaded = (b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy())
+            self.loaded = (b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy(zero_copy_only=False))
             self.at = i
         return self.loaded
 
@@ -215,5 +241,4 @@ def token_files(docs: DataFrame, tokenizer_file: str, folder: str | None = None,
     table writes no file.  Other columns are not read.  ``folder`` must be seen by all executors.
     """
     folder = folder or shared_path(docs.sparkSession, "token-files")
-    encoded = stage(encode(docs, tokenizer_file, end_id, id_col, text_col), "encoded")
-    return folder, write_token_files(encoded, folder, sequence, batch_rows)
+    return folder, write_token_files(docs, tokenizer_file, folder, end_id, sequence, batch_rows, None, id_col, text_col)
