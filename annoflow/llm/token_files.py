@@ -13,7 +13,10 @@ replaces what a lost one left.
 
 from __future__ import annotations
 
+import gc
+import json
 import re
+import struct
 import uuid
 import zlib
 from functools import lru_cache
@@ -30,58 +33,76 @@ END_ID = 2
 #: Words whose ids a Python worker remembers, twice: the last so many, and those before them.
 CACHE_WORDS = 500_000
 
-#: ASCII marks behind an ASCII letter or digit at the end of a word: tokens of their own.  (No apostrophe: it
-#: may begin a contraction.  No ``<``, ``|``, ``>``: they may belong to a special token.)
-_TAIL = re.compile(rb"(?<=[A-Za-z0-9])[]!\"#$%&()*+,./:;=?@[\\^_`{}~-]+(?=[\x20\x09-\x0D]|\Z)")
-_LETTERS = re.compile(rb"[a-z]+")
+# Fixed value: the pattern by which the tokenizer's own file splits texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: What plain texts have not: ``<``, and characters other than ASCII and the letters of Latin-1.
+_NOT_PLAIN = re.compile(rb"[<\xc2\xc4-\xff]|\xc3[\x97\xb7]")
+#: SPLIT for lowered plain texts, where every byte from 0x80 on is part of a letter.
+_PLAIN = re.compile(rb"'(?:[stmd]|re|ve|ll)|[a-z\x80-\xff]+|[0-9]|[^\sa-z0-9\x80-\xff]+")
+
+
+class _Memory(dict):
+    """Part of a text -> its ids; asks once for each."""
+
+    def __init__(self, tok, dtype, capacity):
+        super().__init__()
+        self.tok, self.letter, self.capacity, self.older = tok, "H" if dtype.itemsize == 2 else "I", capacity, {}
+
+    def __missing__(self, part: bytes) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.tok.encode(part.decode(), add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(ids)}{self.letter}", *ids)
+        self[part] = ids
+        return ids
+
+    def trim(self):
+        """Keeps the last ``capacity`` parts or more, and the as many before them."""
+        if len(self) > self.capacity:
+            self.older = dict(self)
+            self.clear()
 
 
 class WordEncoder:
-    """Encodes by white-space delimited words, each through the tokenizers library and then remembered.
+    """Encodes by parts that are independent, each through the tokenizers library and then remembered.
 
-    For tokenizers whose normaliser composes, maps white space to white space and lowers
-    case, and whose pre-tokenizer drops white space and splits letters, digits and other marks.  It
-    is exact there: no token, merge or composition reaches over white space; a mark behind
-    an ASCII letter or digit begins a token; and ASCII texts may be lowered beforehand, unless a ``<`` could
-    begin a special token.  Cuts are made at space and \\t to \\r alone.
+    For tokenizers that normalise white space to white space and drop it before they merge: no
+    token, merge or composition then reaches over it, so a text may be cut at space and \\t to \\r.
+    Plain texts (ASCII and Latin-1 letters, which NFC leaves alone and which have one lower-case
+    letter each) are cut further, if the tokenizer's file says that it composes, lowers case, splits by ``SPLIT``
+    and merges bytes.  There is no part that the library does not encode.
     """
 
     def __init__(self, tokenizer_file: str, capacity: int = CACHE_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tok, self.capacity = Tokenizer.from_file(tokenizer_file), capacity
-        # Words of the letters a-z are one token before merging, whatever the normaliser and the rules for marks.
-        self.letters = Tokenizer.from_file(tokenizer_file)
-        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
-        self.known, self.older = {}, {}
-        self.dtype = np.dtype("<u2") if self.tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-
-    def words(self, text: str) -> list[bytes]:
+        tok = Tokenizer.from_file(tokenizer_file)
+        self.dtype = np.dtype("<u2") if tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        file = json.loads(tok.to_str())
+        steps = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [])]
+        cuts = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.splits = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
+                       and cuts[0]["pattern"] == {"Regex": SPLIT})
+        self.words = _Memory(tok, self.dtype, capacity // 4)
+        merges = Tokenizer.from_file(tokenizer_file)  # for parts that are normal and split already
+        merges.normalizer = None
+        merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.parts = _Memory(merges, self.dtype, capacity)
+
+    def _encode(self, text: str) -> bytes:
         raw = text.encode()
-        if raw.isascii() and b"<" not in raw:
-            raw = raw.lower()
-        return _TAIL.sub(rb" \g<0>", raw).split()
+        if self.splits and not _NOT_PLAIN.search(raw):
+            return b"".join(map(self.parts.__getitem__, _PLAIN.findall(text.lower().encode())))
+        return b"".join(map(self.words.__getitem__, raw.split()))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        distinct = set().union(*split)
-        if len(self.known) > self.capacity:
-            self.known, self.older = {}, self.known
-        missing = distinct - self.known.keys()
-        new = []
-        for w in missing:
-            ids = self.older.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                self.known[w] = ids
-        plain = [w for w in new if _LETTERS.fullmatch(w)]
-        other = [w for w in new if not _LETTERS.fullmatch(w)]
-        for tok, some in ((self.letters, plain), (self.tok, other)):
-            for word, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, dtype=self.dtype).tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        self.words.trim()
+        self.parts.trim()
+        gc.disable()  # or else the memory is searched for cycles, which it has not, again and again
+        try:
+            return [self._encode(t) for t in texts]
+        finally:
+            gc.enable()
 
 
 @lru_cache(maxsize=1)

@@ -63,7 +63,7 @@ def test_empty_table(spark, empty):
 @pytest.mark.parametrize("capacity", [3, 100])
 def test_word_by_word_is_exact(tok, capacity):
     texts = ["It's the END. x y\x1cz ́a é Σας ΌΣΟΣ", "<|startoftext|> a<|endoftext|>b <|endoftext|", "## # a\x85b \x0b\x0c", "", "  ",
-             "日本語 テスト 1234 5 ½ ﬁ İstanbul", "'s 't' re ' ll\n'll", "a$$$ b%%%, c***. d### (e) f]. g-- h_ i\\ j\" k/ l= 9.. x'. y's. z'", "End. END... x!? y….z…. <|ENDOFTEXT|>. <|endoftext|>.", "J\u030c. \u01f0, K\u212a. don't.'s;"]
+             "日本語 テスト 1234 5 ½ ﬁ İstanbul", "'s 't' re ' ll\n'll", "a$$$ b%%%, c***. d### (e) f]. g-- h_ i\\ j\" k/ l= 9.. x'. y's. z'", "ÀÉ ÿß. ÷ × µ Þþ, ñ!! Ö.ö; ª", "Ça… É. é.. Ü<", "É\u0301. x", "End. END... x!? y….z…. <|ENDOFTEXT|>. <|endoftext|>.", "J\u030c. \u01f0, K\u212a. don't.'s;"]
     encoder = T.WordEncoder(FILE, capacity)
     for t, ids in zip(texts, encoder(texts)):
         assert np.frombuffer(ids, encoder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
