@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annoflow.operators.joins import bounded_broadcast
 
 # Flags that survive the incorrect filter, and the answer tags
 # that may mark a status as relevant (exactly one of them may occur).
@@ -46,7 +45,7 @@ def answer_groups(ann: DataFrame, exclude_incorrect: bool = False,
     keep = passes_flag
     if outlier_annotators is not None:
         marks = outlier_annotators.select("annotator_id").distinct().withColumn("_outlier", F.lit(True))
-        ann = ann.join(bounded_broadcast(marks), "annotator_id", "left")
+        ann = ann.join(marks, "annotator_id", "left")
         keep = passes_flag & F.col("_outlier").isNull()
     g = (ann.where(F.col("tweet_id").isNotNull())
          .groupBy(*GROUP_KEYS)

@@ -19,7 +19,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annoflow.operators.joins import bounded_broadcast
 
 # Fixed values (country table repair): codes missing from the source data and
 # territories mapped onto the polygon of a neighbouring country.
@@ -98,7 +97,7 @@ def _distance(rings: Column, x: Column, y: Column) -> Column:
     return F.array_min(F.transform(rings, ring_min))
 
 
-def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0, max_rounds: int = 10) -> DataFrame:
+def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0) -> DataFrame:
     """G2 + G3 on distinct points ``(_x, _y)`` -> ``country_code``.
 
     Exact containment first (first polygon in table order), then the nearest
@@ -106,7 +105,7 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0,
     """
     uniq = (points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
             .checkpoint(eager=True))
-    cells = bounded_broadcast(country_cells(countries, cell))
+    cells = country_cells(countries, cell)
     shapes = countries.select("iso_a2", "ord", "rings")
     keyed = uniq.withColumn("cx", F.floor(F.col("_x") / cell).cast("int")) \
                 .withColumn("cy", F.floor(F.col("_y") / cell).cast("int"))
@@ -115,35 +114,42 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0,
               .groupBy("_x", "_y").agg(F.min_by("iso_a2", "ord").alias("country_code")))
     inside = inside.checkpoint(eager=True)
     outside = uniq.join(inside.select("_x", "_y"), ["_x", "_y"], "left_anti")
-    return inside.unionByName(_nearest(outside, countries, shapes, cell, max_rounds))
+    return inside.unionByName(_nearest(outside, countries, shapes, cell))
 
 
 def country_of_points(points: DataFrame, countries: DataFrame, lon: str = "longitude", lat: str = "latitude",
-                      key: str = "id", cell: float = 1.0, max_rounds: int = 10) -> DataFrame:
+                      key: str = "id", cell: float = 1.0) -> DataFrame:
     """G2 + G3: ``key -> country_code``; duplicate coordinates are resolved once."""
     pts = points.select(key, F.col(lon).alias("_x"), F.col(lat).alias("_y"))
-    found = point_countries(pts, countries, cell, max_rounds)
+    found = point_countries(pts, countries, cell)
     return pts.join(found, ["_x", "_y"], "left").select(key, "country_code")
 
 
-def _nearest(points: DataFrame, countries: DataFrame, shapes: DataFrame, cell: float, max_rounds: int) -> DataFrame:
+def _nearest(points: DataFrame, countries: DataFrame, shapes: DataFrame, cell: float) -> DataFrame:
     """Nearest country of points that lie in none.
 
     Round k searches a square of half-width ``cell * 2**k`` around each point.
     Beyond four cells a coarser grid (cell size = half-width / 4) is used, so
     a round explodes at most 9 x 9 cells per point whatever the radius.  A
     country outside the square is farther than its half-width, so the best
-    candidate is final once its distance is within it.
+    candidate is final once its distance is within it.  The last round's square covers
+    all countries from any point, so every point gets a country if there is one.
     """
     result = None
     todo = points
-    for k in range(max_rounds):
-        if todo.limit(1).count() == 0:
-            break
+    if not todo.take(1) or not countries.take(1):
+        return points.select("_x", "_y", F.lit(None).cast("string").alias("country_code")).limit(0)
+    vertex = F.explode(F.flatten("rings"))
+    extent = (points.select(F.col("_x").alias("x"), F.col("_y").alias("y"))
+              .unionByName(countries.select(vertex.alias("v")).select(F.col("v.lon").alias("x"), F.col("v.lat").alias("y")))
+              .agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0])
+    k = -1
+    while todo.take(1):
+        k += 1
         radius = cell * (2 ** k)
         size = cell if radius <= 4 * cell else radius / 4.0
         r = int(math.ceil(radius / size))
-        cells = bounded_broadcast(country_cells(countries, size))
+        cells = country_cells(countries, size)
         offs = F.sequence(F.lit(-r), F.lit(r))
         near = (todo.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
                 .withColumn("cx", (F.floor(F.col("_x") / size) + F.col("_dx")).cast("int"))
@@ -152,13 +158,13 @@ def _nearest(points: DataFrame, countries: DataFrame, shapes: DataFrame, cell: f
                 .join(shapes, ["iso_a2", "ord"])
                 .withColumn("_d", _distance(F.col("rings"), F.col("_x"), F.col("_y"))))
         best = near.groupBy("_x", "_y").agg(F.min_by(F.struct("iso_a2", "_d"), F.struct("_d", "ord")).alias("b"))
-        sure = best.where(F.col("b._d") <= r * size).select("_x", "_y", F.col("b.iso_a2").alias("country_code"))
+        last = radius >= 2 * extent
+        sure = (best.where(F.lit(last) | (F.col("b._d") <= r * size))
+                .select("_x", "_y", F.col("b.iso_a2").alias("country_code")).checkpoint(eager=True))
         result = sure if result is None else result.unionByName(sure)
         todo = todo.join(sure.select("_x", "_y"), ["_x", "_y"], "left_anti").checkpoint(eager=True)
-        if radius >= 360:
+        if last:
             break
-    if result is None:
-        return points.select("_x", "_y", F.lit(None).cast("string").alias("country_code")).limit(0)
     return result
 
 
@@ -188,17 +194,18 @@ def location_key(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^\\p{L}\\p{N}]+", " "))
 
 
-def gazetteer_matches(locations: DataFrame, gazetteer: DataFrame, max_ngram: int = 3) -> DataFrame:
+def gazetteer_matches(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Decode distinct location keys ``_loc`` with a gazetteer table.
 
-    Each key is split into 1..max_ngram word n-grams, equi-joined with the
+    Each key is split into word n-grams up to the longest gazetteer name, equi-joined with the
     gazetteer names; the longest match wins, then the larger population.
     Returns _loc, longitude, latitude, country_code, geoname_id, location_type.
     """
     distinct = locations.select("_loc").where(F.length("_loc") > 0).distinct()
+    longest = gazetteer.agg(F.max(F.size(F.split(location_key(F.col("name")), " ")))).first()[0] or 1
     words = F.split("_loc", " ")
     grams = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(max_ngram), F.size(words))),
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.size(words))),
         lambda k: F.transform(F.sequence(F.lit(0), F.size(words) - k),
                               lambda i: F.struct(F.array_join(F.slice(words, i + 1, k), " ").alias("name"),
                                                  k.alias("len")))))
@@ -213,10 +220,10 @@ def gazetteer_matches(locations: DataFrame, gazetteer: DataFrame, max_ngram: int
 
 
 def locate_by_gazetteer(df: DataFrame, gazetteer: DataFrame, location: str = "user_location",
-                        key: str = "id", max_ngram: int = 3) -> DataFrame:
+                        key: str = "id") -> DataFrame:
     """G5 per row: key, longitude, latitude, country_code, geoname_id, location_type."""
     locs = df.select(key, location_key(F.col(location)).alias("_loc"))
-    return locs.join(gazetteer_matches(locs, gazetteer, max_ngram), "_loc").drop("_loc")
+    return locs.join(gazetteer_matches(locs, gazetteer), "_loc").drop("_loc")
 
 
 def basics(rec: DataFrame, coords: str = "_coordinates", place: str = "_place") -> DataFrame:
@@ -278,4 +285,4 @@ def region_lookup(df: DataFrame, countries: DataFrame, code: str = "country_code
     regions = countries.groupBy("iso_a2").agg(F.min_by(F.struct("region_wb", "subregion"), "ord").alias("r"))
     regions = regions.select(F.col("iso_a2").alias(code), F.col("r.region_wb").alias("region"),
                              F.col("r.subregion").alias("subregion"))
-    return df.join(bounded_broadcast(regions), code, "left")
+    return df.join(regions, code, "left")

@@ -24,7 +24,9 @@ def filter_statuses(df: DataFrame, min_date=None, max_date=None, min_token_count
         df = df.where(F.col("created_at") < F.lit(max_date))
     if min_token_count is not None:
         df = df.where(F.col("token_count") > min_token_count)
-    if not include_replies and "is_reply" in df.columns:
+    if not include_replies:
+        if "is_reply" not in df.columns:
+            raise ValueError("replies cannot be excluded without the column is_reply; pass include_replies=True")
         df = df.where(~F.col("is_reply"))
     if keyword_only:
         df = df.where(F.col("contains_keywords"))

@@ -2,41 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# values an aggregation buffer may hold for a direct exact median
-DIRECT_MAX = 1_000_000
-# target number of values collected around the median in the bracketed form
-BRACKET_ROWS = 200_000
-
 
 def exact_median(df: DataFrame, value: Column | str):
     """Exact median (mean of the two middle values for an even count) of the
     non-null values, or None.
 
-    Up to DIRECT_MAX values: Spark's ``median``.  Above: ``percentile_approx``
-    brackets the middle ranks, one pass counts the values below the bracket,
-    and only the values inside it (about BRACKET_ROWS) are sorted; if the
-    middle ranks fall outside, the bracket is widened and the step repeated.
+    Equal values are counted together (partly before the shuffle) and the counts dealt
+    by range of value.  Totals per range say which ranges hold the middle ranks, and running
+    totals inside a range which values.  The driver gets the totals (a row for each
+    partition) and at most two values.
     """
     x = F.col(value) if isinstance(value, str) else value
     vals = df.select(x.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = vals.count()
+    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()).checkpoint(eager=True)
+    totals = sorted(tuple(r) for r in dealt.groupBy("part").agg(F.sum("n")).collect())
+    n = sum(t for _, t in totals)
     if n == 0:
         return None
-    if n <= DIRECT_MAX:
-        return vals.agg(F.median("v")).first()[0]
-    k_lo, k_hi = (n - 1) // 2, n // 2  # 0-based middle ranks
-    half = BRACKET_ROWS / (2.0 * n)
-    while True:
-        q = [max(0.0, 0.5 - half), min(1.0, 0.5 + half)]
-        lo, hi = vals.agg(F.percentile_approx("v", q, 10_000)).first()[0]
-        row = vals.agg(F.count_if(F.col("v") < lo).alias("below"),
-                       F.count_if((F.col("v") >= lo) & (F.col("v") <= hi)).alias("inside")).first()
-        if row["below"] <= k_lo and row["below"] + row["inside"] > k_hi:
-            inside = [r[0] for r in vals.where((F.col("v") >= lo) & (F.col("v") <= hi)).orderBy("v")
-                      .limit(k_hi - row["below"] + 1).collect()]
-            a, b = inside[k_lo - row["below"]], inside[k_hi - row["below"]]
-            return (a + b) / 2.0
-        half *= 4
+    picked, before = [], 0
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    for part, total in totals:
+        ranks = [k - before for k in sorted({(n - 1) // 2, n // 2}) if before <= k < before + total]
+        before += total
+        if ranks:
+            here = dealt.where(F.col("part") == part).withColumn("upto", running)
+            hit = [(F.col("upto") - F.col("n") <= k) & (F.col("upto") > k) for k in ranks]
+            picked += [r["v"] for r in here.where(hit[0] | hit[-1]).collect()]
+    return (min(picked) + max(picked)) / 2.0

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoflow.functions.hashing import KEY_BITS, key_prefix
-from annoflow.operators.joins import bounded_broadcast
 
 
 class ShareOf:
@@ -85,7 +84,7 @@ def top_k_by_key(df: DataFrame, groups, key: str, quota, tie: str, out_rank: str
             # numbering runs over the quota rows kept by the limit
             top = top.withColumn(out_rank, F.row_number().over(Window.orderBy(key, tie)))
         return top
-    cand = df.join(bounded_broadcast(th), groups)
+    cand = df.join(th, groups)
     cand = cand.where(F.col("_lim").isNull() | (prefix < F.col("_lim")))
     w = Window.partitionBy(*groups).orderBy(key, tie)
     rank = out_rank or "_rank"
@@ -122,5 +121,5 @@ def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row
         .rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     stats = stats.select("_pid", *groups, "_off", "_first")
-    j = ranged.withColumn("_pid", pid).join(bounded_broadcast(stats), ["_pid", *groups])
+    j = ranged.withColumn("_pid", pid).join(stats, ["_pid", *groups])
     return j.withColumn(index_col, F.col("_off") + local - F.col("_first")).drop("_pid", "_off", "_first", "_mid")

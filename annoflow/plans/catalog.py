@@ -214,7 +214,7 @@ def dedup_by_id(spark, sf_dir):
 def _sample_input(spark, sf_dir):
     t = views.texts(spark, sf_dir)
     t = T.with_token_count(t.withColumn("_norm", T.normalize_str("raw_text")), "_norm").drop("_norm")
-    t = sampling.filter_statuses(t, min_token_count=3, langs=["en", "fr"]).select("id", "text")
+    t = sampling.filter_statuses(t, min_token_count=3, include_replies=True, langs=["en", "fr"]).select("id", "text")
     return sampling.dedup_keep_first(t, T.sample_dedup_key("text"), ["id"])
 
 
@@ -390,7 +390,7 @@ def prediction_join(spark, sf_dir):
 
 def membership_flags(spark, sf_dir):
     sampled, unavailable, labelled, batched = views.sample_tables(spark, sf_dir)
-    cleaned = views.cleaned_labels(spark, sf_dir).where(F.col("label_tag") == "1").select("id")
+    cleaned = views.cleaned_labels(spark, sf_dir).select("id")
     t = views.texts(spark, sf_dir).select("id")
     return predictions.membership_flags(t, uploaded=batched, labelled=labelled, cleaned=cleaned)
 
@@ -481,6 +481,11 @@ def translation_input(spark, sf_dir):
     return _translation_rows(spark, sf_dir).select("id", "text", "batch")
 
 
+def translation_input_all(spark, sf_dir):
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    return exports.translation_input(parsed, geo_only=False).select("id", "text", "batch")
+
+
 def translation_cost(spark, sf_dir):
     return exports.translation_cost(_translation_rows(spark, sf_dir))
 
@@ -493,6 +498,7 @@ QUERIES.update({
     "replace_mentions": replace_mentions,
     "prediction_input": prediction_input,
     "translation_input": translation_input,
+    "translation_input_all": translation_input_all,
     "translation_cost": translation_cost,
 })
 ORACLE_SQL.update({
@@ -503,6 +509,7 @@ ORACLE_SQL.update({
     "replace_mentions": oracle.REPLACE_MENTIONS,
     "prediction_input": oracle.PREDICTION_INPUT,
     "translation_input": oracle.TRANSLATION_INPUT,
+    "translation_input_all": oracle.TRANSLATION_INPUT_ALL,
     "translation_cost": oracle.TRANSLATION_COST,
 })
 

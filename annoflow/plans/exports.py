@@ -33,10 +33,13 @@ def write_prediction_input(rows: DataFrame, folder: str) -> None:
         f"{folder}/id_created_at")
 
 
-def translation_input(parsed: DataFrame, limit: int | None = None, seed: int = 0) -> DataFrame:
-    """C8 (F12, T9, P28): geo-tagged (types 1, 2), not retweets, one row per
+def translation_input(parsed: DataFrame, limit: int | None = None, seed: int = 0, geo_only: bool = True) -> DataFrame:
+    """C8 (F12, T9, P28): geo-tagged (types 1, 2) unless ``geo_only`` is off, not retweets, one row per
     cleared text; optional seeded subsample; request batches of 20 rows in id order."""
-    df = parsed.where(F.col("geo_type").isin(1, 2) & ~F.col("is_retweet")).select("id", "text")
+    df = parsed.where(~F.col("is_retweet"))
+    if geo_only:
+        df = df.where(F.col("geo_type").isin(1, 2))
+    df = df.select("id", "text")
     df = dedup_keep_first(df, T.text_cleared("text"), ["id"])
     if limit is not None:
         df = random_sample(df, limit, seed, strict=False)

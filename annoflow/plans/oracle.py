@@ -547,7 +547,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 MEMBERSHIP_FLAGS = """
 SELECT d.doc_id AS id, d.source = 'src0' AS S,
        d.doc_id IN (SELECT doc_id FROM labels) AS L,
-       d.doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 OR toxic = 1) AS A
+       d.doc_id IN (SELECT doc_id FROM labels) AS A
 FROM documents d"""
 
 STAGE_OVERVIEW = """
@@ -622,6 +622,8 @@ d AS (SELECT * FROM f QUALIFY row_number() OVER (
 TRANSLATION_INPUT = f"""WITH {_TRANSLATION_ROWS}
 SELECT id, text, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 20) AS BIGINT) AS batch FROM d"""
 
+TRANSLATION_INPUT_ALL = TRANSLATION_INPUT.replace("event_type IN ('signup', 'error')", "event_type <> 'view'")
+
 TRANSLATION_COST = f"""WITH {_TRANSLATION_ROWS}
 SELECT CAST(sum(length(text)) AS BIGINT) AS n_chars, round(sum(length(text)) / 500 * 0.01, 9) AS cost_eur FROM d"""
 

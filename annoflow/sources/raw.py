@@ -22,7 +22,7 @@ from annoflow.schema import RAW_STATUS
 
 # The three file-name layouts that carry the collection day.
 DAY_FROM_COMPACT = r"tweets-(\d{8})\d{6}"                          # tweets-YYYYMMDDHHMMSS-...
-DAY_FROM_DASHED = r"crowdbreaks.*?(\d{4}-\d{1,2}-\d{1,2})-\d+-\d+-\d+"  # crowdbreaks-...-Y-M-D-H-M-S-...
+DAY_FROM_DASHED = r"-(\d{4}-\d{1,2}-\d{1,2})-\d+-\d+-\d+"             # ...-Y-M-D-H-M-S-...
 DAY_FROM_DIRS = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+/[^/]+$"            # .../YYYY/MM/DD/HH/file
 
 
@@ -42,7 +42,7 @@ def day_from_path(path: Column | str) -> Column:
                                           F.regexp_extract(p, DAY_FROM_DIRS, 2),
                                           F.regexp_extract(p, DAY_FROM_DIRS, 3)), F.lit("--")), "yyyy-MM-dd")
     return F.when(base.startswith("tweets"), compact) \
-        .when(base.startswith("crowdbreaks"), dashed).otherwise(dirs)
+        .otherwise(F.coalesce(dashed, dirs))
 
 
 def omit_last_day(lines: DataFrame, day_col: str = "day") -> DataFrame:

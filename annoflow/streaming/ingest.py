@@ -14,15 +14,11 @@ partition overwrite), so a rerun over the same input changes nothing.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoflow.operators import interactions
 from annoflow.plans import parse as parse_plan
-from annoflow.session import ensure_checkpoint_dir
 from annoflow.sources.raw import day_from_path
 
 COUNT_COLS = list(interactions.COUNT_COLS.values())
@@ -57,7 +53,9 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     rows = rows.checkpoint(eager=True)
     touched_days = rows.select("created_day")
     if stored is not None:
-        hit = stored.join(fresh_log.select(F.col("target_id").alias("id")).distinct(), "id", "left_semi")
+        # Targets of the whole batch, not of what is new in the log: after a failure between the log and
+        # the store, a repeated batch finds its log already there and still has to count it.
+        hit = stored.join(new_log.select(F.col("target_id").alias("id")).distinct(), "id", "left_semi")
         touched_days = touched_days.unionByName(hit.select("created_day"))
     touched_days = touched_days.distinct()
     base = rows
@@ -74,7 +72,7 @@ def start_ingest(spark: SparkSession, raw_dir: str, store: str, checkpoint: str
                  max_files_per_trigger: int | None = None, keywords=(), countries=None, gazetteer=None):
     """Stream new files of ``raw_dir`` into ``store``; returns the StreamingQuery
     (``trigger(availableNow=True)``: process what is there, then stop)."""
-    checkpoint = checkpoint or os.path.join(ensure_checkpoint_dir(spark), f"ingest-{uuid.uuid4().hex}")
+    checkpoint = checkpoint or f"{store}/_stream"  # files read once are not read again by a later call
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

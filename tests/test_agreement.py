@@ -76,14 +76,12 @@ def test_fleiss_kappa_textbook(spark):
     assert abs(r.kappa - (p_bar - p_e) / (1 - p_e)) < 1e-9
 
 
-def test_exact_median_bracketed_form(spark, monkeypatch):
+def test_exact_median_with_ties(spark):
     from annoflow.operators import stats
     import random
     rnd = random.Random(7)
     vals = [rnd.choice([rnd.random(), 0.5, 0.25]) for _ in range(5001)]
     df = spark.createDataFrame([(v,) for v in vals] + [(None,)], "v double")
-    monkeypatch.setattr(stats, "DIRECT_MAX", 100)
-    monkeypatch.setattr(stats, "BRACKET_ROWS", 50)
     s = sorted(vals)
     assert stats.exact_median(df, "v") == s[2500]
     df2 = spark.createDataFrame([(v,) for v in vals[:-1]], "v double")

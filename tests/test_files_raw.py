@@ -22,7 +22,7 @@ def test_gzip_files_days_and_last_day(spark, tmp_path):
     d = tmp_path / "raw"
     d.mkdir()
     for day in (1, 2, 3):
-        with gzip.open(d / f"crowdbreaks-proj-2020-1-{day}-10-0-0-x.gz", "wt") as f:
+        with gzip.open(d / f"stream-proj-2020-1-{day}-10-0-0-x.gz", "wt") as f:
             f.write("\n".join(_line(day * 10 + k, day) for k in range(3)) + "\n\n")
     lines = raw.read_raw_lines(spark, str(d))
     assert sorted(str(r.day) for r in lines.select("day").distinct().collect()) == [

@@ -29,7 +29,7 @@ def lines_df(spark, lines, path="/x/tweets-20200101120000-a.jsonl"):
 
 
 def test_day_from_path(spark):
-    df = spark.createDataFrame([("/a-b/tweets-20200305120000-x.jsonl",), ("/d/crowdbreaks-p-2019-1-2-3-4-5-x.gz",),
+    df = spark.createDataFrame([("/a-b/tweets-20200305120000-x.jsonl",), ("/d/stream-p-2019-1-2-3-4-5-x.gz",),
                                 ("/r/2021/07/09/13/file.jsonl",), ("/r/other.txt",)], "p string")
     got = [str(r[0]) if r[0] else None for r in df.select(raw.day_from_path("p")).collect()]
     assert got == ["2020-03-05", "2019-01-02", "2021-07-09", None]
@@ -87,6 +87,16 @@ def test_point_in_polygon_concave_hole_and_nearest(spark):
     assert got == {1: "UU", 2: "UU", 3: "UU", 4: "HH", 5: "HH", 6: "HH", 7: "HH"}
 
 
+def test_points_far_from_all_countries(spark):
+    countries = spark.createDataFrame([Row(iso_a2="AA", ord=0, rings=square(0.0, 0.0, 1.0, 1.0)), Row(iso_a2="BB", ord=1, rings=square(5.0, 0.0, 1.0, 1.0))],
+                                      "iso_a2 string, ord int, rings array<array<struct<lon:double,lat:double>>>")
+    pts = spark.createDataFrame([(1, -118.0, 0.5), (2, 170.0, 80.0), (3, 3.5, 0.5)], "id int, longitude double, latitude double")
+    got = {r.id: r.country_code for r in geo.country_of_points(pts, countries, cell=0.25).collect()}
+    assert got == {1: "AA", 2: "BB", 3: "BB"}
+    none = geo.country_of_points(pts, countries.limit(0), cell=0.25).collect()
+    assert {r.country_code for r in none} == {None}
+
+
 def test_centroid(spark):
     df = spark.createDataFrame([([[0.0, 0.0], [4.0, 0.0], [4.0, 2.0], [0.0, 2.0]],), ([[1.0, 1.0]] * 4,)],
                                "ring array<array<double>>")
@@ -97,13 +107,15 @@ def test_centroid(spark):
 def test_gazetteer_longest_match(spark):
     gaz = spark.createDataFrame([("York", 1.0, 1.0, "GB", "g1", "city", 100),
                                  ("New York", 2.0, 2.0, "US", "g2", "city", 50),
+                                 ("Santa Cruz de la Sierra", 4.0, 4.0, "BO", "g4", "city", 5),
                                  ("Paris", 3.0, 3.0, "FR", "g3", "city", 10)],
                                 "name string, longitude double, latitude double, country_code string, "
                                 "geoname_id string, location_type string, population bigint")
-    df = spark.createDataFrame([(1, "New York, NY"), (2, "york!"), (3, "nowhere"), (4, None)],
+    df = spark.createDataFrame([(1, "New York, NY"), (2, "york!"), (3, "nowhere"), (4, None),
+                                (5, "in Santa Cruz de la Sierra, Bolivia")],
                                "id int, user_location string")
     got = {r.id: r.geoname_id for r in geo.locate_by_gazetteer(df, gaz).collect()}
-    assert got == {1: "g2", 2: "g1"}
+    assert got == {1: "g2", 2: "g1", 5: "g4"}
 
 
 def test_prepare_countries(spark):
@@ -140,3 +152,31 @@ def test_uploaded_and_batches(spark, tmp_path):
     assert [r.tweet_id for r in files.read_uploaded(spark, str(tmp_path / "uploaded"), "unavailable").collect()] == ["2"]
     assert {r.batch_id for r in files.read_batches(spark, str(tmp_path / "samples")).collect()} == {3}
     assert files.read_batches(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_batch_repeated_after_a_failure_counts_once(spark, tmp_path, monkeypatch):
+    """A failure between the log and the store, then the same batch again."""
+    from annoflow.operators import interactions
+    from annoflow.streaming import ingest
+
+    first = [status(1, "original")]
+    second = [status(2, "a reply", in_reply_to_status_id_str="1", in_reply_to_user_id_str="9")]
+
+    def lines(rows):
+        return lines_df(spark, [json.dumps(r) if not isinstance(r, str) else r for r in rows]).drop("day")
+
+    store = str(tmp_path / "store")
+    ingest.merge_batch(lines(first), store)
+    attach = interactions.attach_counts
+
+    def lost(*a, **k):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(interactions, "attach_counts", lost)
+    with pytest.raises(RuntimeError):
+        ingest.merge_batch(lines(second), store)
+    monkeypatch.setattr(interactions, "attach_counts", attach)
+    for _ in range(2):
+        ingest.merge_batch(lines(second), store)
+        got = {r.id: r.num_replies for r in ingest.read_store(spark, store).collect()}
+        assert got == {"1": 1, "2": 0}
