@@ -9,7 +9,9 @@ token that also covers some of the template is trained on, yet the text under th
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,20 @@ _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 _ESCAPED = re.compile(r"\\([\\|n])")
 TOKENIZER = "byte_bpe_50k.json"
 
+#: Characters of whole conversations that are encoded at a time.
+ENCODE_CHARS = 1 << 17
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(file: str):
+    """One per Python worker, without threads of its own: Spark has a task for each core."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(file)
+    tok.encode_special_tokens = True
+    return tok
+
 
 def escape(text: str) -> str:
     """Reversible: afterwards no ``<|`` is left, so no control string can stand in a text."""
@@ -55,8 +71,7 @@ def loss_spans(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.nd
     A token over more than one span gets the range from the first to the last; as templates lie
     between spans and are longer than a token, this does not occur with word tokenizers.
     """
-    lo = np.zeros(len(offsets), dtype=np.int64)
-    hi = np.zeros(len(offsets), dtype=np.int64)
+    lo, hi = np.zeros((2, len(offsets)), dtype=np.int32)
     begin, end = offsets[:, 0], offsets[:, 1]
     for s, e in spans:
         if s == e:
@@ -93,24 +108,32 @@ def format_chats(turns: DataFrame, tokenizer_file: str, conv_col: str = "conv_id
     A conversation is encoded whole, so it has to fit a task; others share nothing with it.
     """
     def run(batches):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer_file)
-        tok.encode_special_tokens = True
+        tok = _tokenizer(tokenizer_file)
         schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int32()), ("formatted", pa.string()),
                             *((c, pa.list_(pa.int32())) for c in
                               ("input_ids", "offset_begin", "offset_end", "loss_begin", "loss_end"))])
+
+        def encoded(some):
+            """Rows of a few (conv_id, turns, formatted text, spans)."""
+            rows = []
+            for (conv, n, text, spans), e in zip(some, tok.encode_batch([x[2] for x in some], add_special_tokens=False)):
+                off = np.array(e.offsets, dtype=np.int32).reshape(-1, 2)
+                lo, hi = loss_spans(off, spans)
+                rows.append((conv, n, text, np.array(e.ids, dtype=np.int32), off[:, 0], off[:, 1], lo, hi))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
         for batch in batches:
-            ids, talks = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(ids), 64):
-                made = [render([(t["role"], t["text"]) for t in talk]) for talk in talks.slice(at, 64).to_pylist()]
-                rows = []
-                for conv, (text, spans), e, n in zip(ids[at:at + 64], made, tok.encode_batch([m[0] for m in made], add_special_tokens=False),
-                                                     (len(x) for x in talks.slice(at, 64).to_pylist())):
-                    off = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)
-                    lo, hi = loss_spans(off, spans)
-                    rows.append((conv, n, text, e.ids, off[:, 0], off[:, 1], lo, hi))
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            some, size = [], 0
+            for conv, talk in zip(batch.column(0).to_pylist(), batch.column(1)):
+                turns = [(t["role"], t["text"]) for t in talk.as_py()]
+                text, spans = render(turns)
+                some.append((conv, len(turns), text, spans))
+                size += len(text)
+                if size >= ENCODE_CHARS:
+                    yield encoded(some)
+                    some, size = [], 0
+            if some:
+                yield encoded(some)
 
     turn = F.struct(F.col(turn_col).isNull().alias("z"), F.col(turn_col).alias("turn"),
                     F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
