@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annoflow.llm import (chat, decontamination, licenses, line_dedup, pieces, pii, quality, sharding, simhash,
+from annoflow.llm import (chat, decontamination, licenses, line_dedup, oracles, pieces, pii, quality, sharding, simhash,
                           token_files)
 from annoflow.llm.common import read
 
@@ -77,4 +77,8 @@ QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality_rules, op3_line_dedup, op4_chat_formatting, op5_token_files, op6_sharding, op7_license_scan,
     op8_simhash, op9_personal_data, op10_sentencepiece)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": oracles.DECONTAMINATION,
+    "op3_line_dedup": oracles.LINE_DEDUP,
+    "op6_sharding": oracles.SHARDING,
+}
