@@ -9,7 +9,6 @@ file matches (then with zero rows), instead of an empty set.
 
 from __future__ import annotations
 
-import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +28,12 @@ CLEANED_SCHEMA = ("id string, text string, question_id bigint, question_tag stri
                   "label_tag string")
 
 
-def _files(pattern: str) -> list[str]:
-    return sorted(glob.glob(pattern, recursive=True))
+def _files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match, listed through the Hadoop file system: any store that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -45,7 +48,7 @@ def read_annotations(spark: SparkSession, root: str, mode: str = "all", pattern:
     Raises FileNotFoundError when nothing matches.
     """
     modes = MODES if mode in ("all", "*") else (mode,)
-    paths = [p for m in modes for p in _files(os.path.join(root, m, f"{pattern}.csv"))]
+    paths = [p for m in modes for p in _files(spark, os.path.join(root, m, f"{pattern}.csv"))]
     if not paths:
         raise FileNotFoundError(f"no annotation files for mode {mode!r} under {root}")
     wanted = T._parse_datatype_string(ANNOTATION_SCHEMA)
@@ -76,7 +79,7 @@ def null_tag_counts(ann: DataFrame) -> DataFrame:
 
 def read_sampled(spark: SparkSession, root: str, dtype: str = "*") -> DataFrame:
     """Headerless sample files; ``sample_pos`` keeps the file order."""
-    paths = _files(os.path.join(root, f"sampled_{dtype}_*.csv"))
+    paths = _files(spark, os.path.join(root, f"sampled_{dtype}_*.csv"))
     if not paths:
         return _empty(spark, SAMPLE_SCHEMA + ", sample_pos struct<file_rank:int,row:bigint>")
     frames = []
@@ -93,7 +96,7 @@ def read_sampled(spark: SparkSession, root: str, dtype: str = "*") -> DataFrame:
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
     """All previous batches with their ``batch_id``."""
-    paths = _files(os.path.join(root, "batch_*", "batch_*.csv"))
+    paths = _files(spark, os.path.join(root, "batch_*", "batch_*.csv"))
     if not paths:
         return _empty(spark, SAMPLE_SCHEMA + ", batch_id int")
     df = spark.read.schema(SAMPLE_SCHEMA).option("multiLine", True).csv(paths)
@@ -103,7 +106,7 @@ def read_batches(spark: SparkSession, root: str) -> DataFrame:
 
 def read_uploaded(spark: SparkSession, root: str, availability: str | None = None, mode: str = "*") -> DataFrame:
     """Uploaded batches (with availability), optionally one availability."""
-    paths = _files(os.path.join(root, mode, "*.csv"))
+    paths = _files(spark, os.path.join(root, mode, "*.csv"))
     if not paths:
         return _empty(spark, UPLOADED_SCHEMA + ", mode string")
     df = spark.read.schema(UPLOADED_SCHEMA).option("header", True).option("multiLine", True).csv(paths)
@@ -125,7 +128,7 @@ def checked(uploaded: DataFrame, availability: str | None = None, df: DataFrame
 
 def read_cleaned(spark: SparkSession, root: str, name: str = "cleaned_labels*") -> DataFrame:
     """S11 input: the cleaned-label file (exactly one must match)."""
-    paths = _files(os.path.join(root, f"{name}.csv"))
+    paths = _files(spark, os.path.join(root, f"{name}.csv"))
     if not paths:
         raise FileNotFoundError(f"no cleaned label files {name}.csv under {root}")
     if len(paths) > 1:

@@ -33,7 +33,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None, gazetteer=None) -> None:
     """Parse one batch of lines and merge it into the store (idempotent)."""
     spark = batch_lines.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     st_path, log_path = f"{store}/statuses", f"{store}/interactions"
     lines = batch_lines.withColumn("day", day_from_path("source_file"))
     parsed, new_log, _bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer)
@@ -64,8 +63,8 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
         base = keep.unionByName(rows.select(*keep.columns))
     merged = interactions.attach_counts(base, interactions.count_interactions(log))
     merged = merged.checkpoint(eager=True)  # the rewrite below replaces the files it was read from
-    (merged.repartition("created_day").sortWithinPartitions("created_at")
-     .write.mode("overwrite" if have_store else "errorifexists").partitionBy("created_day").parquet(st_path))
+    (merged.hint("rebalance", "created_day").sortWithinPartitions("created_day", "created_at")
+     .write.mode("overwrite" if have_store else "errorifexists").option("partitionOverwriteMode", "dynamic").partitionBy("created_day").parquet(st_path))
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, store: str, checkpoint: str | None = None,
