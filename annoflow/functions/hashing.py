@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# leading hex digits of the md5 key read as an unsigned integer (60 bits)
-KEY_BITS = 60
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -18,11 +14,6 @@ def sample_key(id_col="id", seed: int = 0) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), _c(id_col).cast("string")))
 
 
-def key_prefix(key: Column | str) -> Column:
-    """First 60 bits of a hex key as a non-negative bigint (monotone in the key)."""
-    return F.conv(F.substring(_c(key), 1, KEY_BITS // 4), 16, 10).cast("bigint")
-
-
 def fingerprint(df: DataFrame) -> DataFrame:
     """One-row, order-insensitive fingerprint of a whole frame."""
     h = F.xxhash64(*[F.col(c) for c in df.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annoflow.functions.hashing import sample_key
-from annoflow.operators.topk import global_row_index, top_k_by_key
+from annoflow.operators.topk import label_by_position, top_k_by_key
 
 
 def has_label_filter(labels: DataFrame, has_label: str) -> DataFrame:
@@ -62,32 +62,20 @@ def train_dev_test_split(df: DataFrame, seed: int = 42, dev_size: float = 0.2, t
     """Shuffle each question by a seeded key and cut at int(f1*n), int(f2*n).
 
     Balancing (T7) happens before the label filter (F11), as in the reference.
-    Positions come from a global row index, not a per-question window.
+    Rows are compared with the keys at the cuts; no row is numbered.
     """
-    by = list(by)
     if balanced:
         df = balance_classes(df, seed, by, label, id_col)
     if label_tags:
         df = df.where(F.col(label).isin(*label_tags))
     f1, f2 = split_fractions(dev_size, test_size)
-    keyed = df.withColumn("_key", sample_key(id_col, seed)).checkpoint(eager=True)
-    idx = global_row_index(keyed, ["_key", id_col], groups=by, index_col="_pos", materialized=True)
-    if by:
-        n = keyed.groupBy(*by).agg(F.count("*").alias("_n"))
-        cuts = n.select(*by, (F.lit(f1) * F.col("_n")).cast("bigint").alias("_c1"),
-                        (F.lit(f2) * F.col("_n")).cast("bigint").alias("_c2"))
-        j = idx.join(cuts, by)
-    else:
-        total = keyed.count()
-        j = idx.withColumn("_c1", F.lit(int(f1 * total))).withColumn("_c2", F.lit(int(f2 * total)))
-    split = F.when(F.col("_pos") < F.col("_c1"), "train").when(F.col("_pos") < F.col("_c2"), "dev").otherwise("test")
-    return j.withColumn("split", split).drop("_key", "_pos", "_c1", "_c2")
+    keyed = df.withColumn("_key", sample_key(id_col, seed))
+    cuts = [lambda n: F.lit(f1) * n, lambda n: F.lit(f2) * n]
+    return label_by_position(keyed, by, "_key", id_col, cuts, ("train", "dev", "test"), "split").drop("_key")
 
 
 def pretrain_split(df: DataFrame, seed: int, id_col: str = "id", dev_cap: int = 200_000) -> DataFrame:
     """Shuffle; train gets max(int(0.8 n), n - dev_cap) rows, dev the rest."""
-    keyed = df.withColumn("_key", sample_key(id_col, seed)).checkpoint(eager=True)
-    n = keyed.count()
-    num_train = max(int(0.8 * n), n - dev_cap)
-    idx = global_row_index(keyed, ["_key", id_col], index_col="_pos", materialized=True)
-    return idx.withColumn("split", F.when(F.col("_pos") < num_train, "train").otherwise("dev")).drop("_key", "_pos")
+    keyed = df.withColumn("_key", sample_key(id_col, seed))
+    cuts = [lambda n: F.greatest((F.lit(0.8) * n).cast("bigint"), n - dev_cap)]
+    return label_by_position(keyed, (), "_key", id_col, cuts, ("train", "dev"), "split").drop("_key")

@@ -1,12 +1,10 @@
-"""Exact per-group top-k and global row positions without single-task windows.
+"""Exact per-group top-k, cuts by position and global row positions without single-task windows.
 
-``top_k_by_key`` keeps, per group, the ``quota`` rows that come first in the
-order of a uniform hash key.  One aggregate pass builds, per group, a
-histogram of the key's bit length (61 buckets); the smallest power-of-two
-threshold that still admits ``quota`` rows is read off its cumulative counts.
-Only rows under that threshold (about 2x quota) reach the ranking window, so a
-group holding a third of the data never lands whole in one task, and the
-result is exact (no retry, no cap).
+``top_k_by_key`` and ``label_by_position`` work on a uniform hash key whose leading hex digits
+deal every group into ``16 ** BUCKET_DIGITS`` buckets.  One aggregate counts the buckets; running
+totals over the counts give each bucket the position of its first row, so rows are only ever
+ordered within a bucket.  A group that holds a third of the data is spread over all its buckets,
+and the result is exact (no retry, no cap, no second plan for other sizes).
 
 ``global_row_index`` numbers rows in a total order: range partitioning, a
 per-partition position from ``monotonically_increasing_id`` after a sort, and
@@ -18,80 +16,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annoflow.functions.hashing import KEY_BITS, key_prefix
+#: Leading hex digits of the key that name a bucket: 65,536 buckets in each group.
+BUCKET_DIGITS = 4
 
 
 class ShareOf:
-    """Quota int(size / number of groups), resolved inside the histogram pass."""
+    """Quota int(size / number of groups), taken from the bucket counts."""
 
     def __init__(self, size: int):
         self.size = size
 
 
-def _thresholds(df: DataFrame, groups: list[str], prefix: Column, quota) -> DataFrame:
-    """Per group: N, quota q and the exact admission threshold 2**b on the prefix."""
-    bits = F.when(prefix == 0, F.lit(0)).otherwise(F.length(F.bin(prefix)))
-    if isinstance(quota, ShareOf):
-        quota_expr = F.lit(0)
-    else:
-        quota_expr = F.lit(quota) if isinstance(quota, int) else F.col(quota)
-    hist = df.groupBy(*groups, bits.alias("_b")).agg(F.count("*").alias("_c"), F.max(quota_expr).alias("_q"))
-    w_all = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    w_cum = w_all.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w_cum))
-            .withColumn("_N", F.sum("_c").over(w_all))
-            .withColumn("_q", F.max("_q").over(w_all)))
-    if isinstance(quota, ShareOf):
-        # the histogram has <= 61 rows per group: counting groups over it is cheap
-        first = F.when(F.row_number().over(w_all.orderBy("_b")) == 1, 1)
-        n_groups = F.sum(first).over(Window.partitionBy(F.lit(0)))
-        hist = hist.withColumn("_q", (F.lit(quota.size) / n_groups).cast("bigint"))
-    need = F.least(F.col("_q"), F.col("_N"))
-    return (hist.where(F.col("_cum") >= need)
-            .groupBy(*groups).agg(F.min("_b").alias("_b"), F.first("_q").alias("_q"), F.first("_N").alias("_N")))
+def _bucket(key: str) -> Column:
+    return F.coalesce(F.substring(F.col(key), 1, BUCKET_DIGITS), F.lit(""))  # a null key comes first
 
 
-# global top-k up to this size is a single TakeOrderedAndProject pass
-TAKE_ORDERED_MAX = 200_000
+def _bucket_counts(df: DataFrame, groups: list[str], key: str, *aggs: Column) -> DataFrame:
+    """Per group and bucket: _c rows, _off rows of the group in the buckets before, and ``aggs``."""
+    hist = df.groupBy(*groups, _bucket(key).alias("_bk")).agg(F.count("*").alias("_c"), *aggs)
+    before = _per_group(groups).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    return hist.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+
+
+def _per_group(groups: list[str]):
+    # Without groups the window holds bucket counts only, at most 16 ** BUCKET_DIGITS rows.
+    return Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
 
 
 def top_k_by_key(df: DataFrame, groups, key: str, quota, tie: str, out_rank: str | None = None) -> DataFrame:
     """Keep the first ``quota`` rows per group in (key, tie) order.
 
     ``key`` is a hex hash column (uniform); ``quota`` an int, a column that is
-    constant within a group, or ``ShareOf(size)``.  The histogram table has at
-    most 61 rows per group.
+    constant within a group, or ``ShareOf(size)``.  ``out_rank`` names a column
+    for the rank (from 1).
     """
     groups = list(groups)
-    if not groups and isinstance(quota, int) and quota <= TAKE_ORDERED_MAX:
-        # per-partition top-k then a merge of at most partitions x quota rows
-        top = df.orderBy(key, tie).limit(quota)
-        if out_rank:
-            top = top.withColumn(out_rank, F.row_number().over(Window.orderBy(key, tie)))
-        return top
-    prefix = key_prefix(key)
-    th = _thresholds(df, groups, prefix, quota)
-    limit = F.when(F.col("_b") >= KEY_BITS, F.lit(None)).otherwise(F.expr("shiftleft(CAST(1 AS BIGINT), _b)"))
-    th = th.select(*groups, limit.alias("_lim"), "_q")
-    if not groups:
-        # a single group: the threshold is a scalar and the ranking a plain top-k
-        row = th.first()
-        if row is None:
-            return df.limit(0) if not out_rank else df.limit(0).withColumn(out_rank, F.lit(0))
-        cand = df if row["_lim"] is None else df.where(prefix < F.lit(row["_lim"]))
-        top = cand.orderBy(key, tie).limit(int(row["_q"]))
-        if out_rank:
-            # numbering runs over the quota rows kept by the limit
-            top = top.withColumn(out_rank, F.row_number().over(Window.orderBy(key, tie)))
-        return top
-    cand = df.join(th, groups)
-    cand = cand.where(F.col("_lim").isNull() | (prefix < F.col("_lim")))
-    w = Window.partitionBy(*groups).orderBy(key, tie)
+    if isinstance(quota, ShareOf):
+        hist = _bucket_counts(df, groups, key)
+        n_groups = hist.where("_off = 0").agg(F.count("*")).scalar()
+        hist = hist.withColumn("_q", (F.lit(quota.size) / n_groups).cast("bigint"))
+    else:
+        q = F.lit(quota) if isinstance(quota, int) else F.col(quota)
+        hist = _bucket_counts(df, groups, key, F.max(q).alias("_q"))
+        hist = hist.withColumn("_q", F.max("_q").over(_per_group(groups)))
+    needed = hist.where(F.col("_off") < F.col("_q")).select(*groups, "_bk", "_off", "_q")
+    within = Window.partitionBy(*groups, "_bk").orderBy(key, tie)
     rank = out_rank or "_rank"
-    out = cand.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= F.col("_q")).drop("_lim", "_q")
+    out = (df.withColumn("_bk", _bucket(key)).join(needed, [*groups, "_bk"])
+           .withColumn(rank, F.col("_off") + F.row_number().over(within))
+           .where(F.col(rank) <= F.col("_q")).drop("_bk", "_off", "_q"))
     return out if out_rank else out.drop(rank)
 
 
+def label_by_position(df: DataFrame, groups, key: str, tie: str, cuts, labels, out: str) -> DataFrame:
+    """Label rows by their position in (key, tie) order within their group.
+
+    ``cuts`` are ascending functions of the group's size (a column) that give a position; rows
+    before the first cut get ``labels[0]``, and so on.  The (key, tie) pairs at the cuts are
+    looked up in a checkpoint of the narrow columns, in the one bucket that holds each cut; the
+    rows themselves are then compared with them, neither numbered, sorted nor stored.  Rows equal
+    in key and tie get one label.
+    """
+    groups = list(groups)
+    narrow = df.select(*groups, key, tie).checkpoint(eager=True)
+    hist = _bucket_counts(narrow, groups, key).withColumn("_n", F.sum("_c").over(_per_group(groups)))
+    at = F.array(*[cut(F.col("_n")).cast("bigint") for cut in cuts])
+    edges = (hist.select(*groups, "_bk", "_off", "_c", F.posexplode(at).alias("_i", "_pos"))
+             .where((F.col("_pos") >= F.col("_off")) & (F.col("_pos") < F.col("_off") + F.col("_c"))))
+    place = F.col("_off") + F.row_number().over(Window.partitionBy(*groups, "_i").orderBy(key, tie)) - 1
+    found = (narrow.withColumn("_bk", _bucket(key)).join(edges, [*groups, "_bk"])
+             .withColumn("_place", place).where(F.col("_place") == F.col("_pos")))
+    pair = F.struct(F.col(key).alias("k"), F.col(tie).alias("t"))
+    names = [f"_cut{i}" for i in range(len(cuts))]
+    bounds = found.groupBy(*groups).agg(*[F.max(F.when(F.col("_i") == i, pair)).alias(c) for i, c in enumerate(names)])
+    if groups:
+        marked = df.join(hist.select(*groups).distinct().join(bounds, groups, "left"), groups)
+    else:
+        row = bounds.first()  # one row, a pair for each cut
+        marked = df.withColumns({c: F.lit(None) if row[c] is None else F.struct(
+            F.lit(row[c]["k"]).alias("k"), F.lit(row[c]["t"]).cast(df.schema[tie].dataType).alias("t")) for c in names})
+    label = F.lit(labels[-1])
+    for c, name in reversed(list(zip(names, labels))):
+        # a cut at the end of the group has no row: everything is before it
+        before = F.lit(True) if not groups and row[c] is None else F.col(c).isNull() | (pair < F.col(c))
+        label = F.when(before, name).otherwise(label)
+    return marked.withColumn(out, label).drop(*names)
+
+
 def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row_idx",
                      num_partitions: int | None = None, materialized: bool = False) -> DataFrame:
     """0-based position of each row in ``order_cols`` order, restarting per group.

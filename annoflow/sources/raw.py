@@ -2,7 +2,7 @@
 
 Lines are read with the text source (gzip and bzip2 are decoded natively),
 parsed with ``from_json`` against an explicit schema, and only lines that are
-not JSON at all go through a small Arrow UDF that turns Python-literal
+not JSON objects go through a small Arrow UDF that turns Python-literal
 dictionaries into JSON.  What still fails is returned as quarantine rows
 instead of aborting the run.
 """
@@ -75,15 +75,32 @@ def _literal_to_json(lines: pd.Series) -> pd.Series:
     return lines.map(conv)
 
 
+# A filter on a result is not pushed below a non-deterministic function, so no line is converted twice.
+_literal_to_json = _literal_to_json.asNondeterministic()
+
+
 def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parse lines into ``raw`` status structs.
 
-    Returns (statuses, quarantine).  Objects without ``id`` (API notices) are
-    dropped; lines that are neither JSON nor a Python literal go to quarantine.
+    Returns (statuses, quarantine).  Objects without ``id`` (API notices) are dropped.  To
+    quarantine go lines that are neither JSON nor a Python literal, values that are no object,
+    and objects with an ``id`` but no ``id_str``.
+
+    JSON lines never leave the JVM; only the others pass through the literal UDF.  The tests are
+    made on the line itself, so that ``from_json`` is not repeated inside a filter.
     """
     is_json = F.json_object_keys("value").isNotNull()
-    repaired = F.when(is_json, F.col("value")).otherwise(_literal_to_json(F.when(~is_json, F.col("value"))))
-    parsed = lines.withColumn("_json", repaired).withColumn("raw", F.from_json("_json", RAW_STATUS))
-    bad = parsed.where(F.col("_json").isNull()).select("value", "source_file")
-    ok = parsed.where(F.col("_json").isNotNull() & F.col("raw.id_str").isNotNull()).drop("_json", "value")
+    literals = lines.where(~is_json).withColumn("_json", _literal_to_json("value"))
+    given, repaired = _with_id("value"), _with_id("_json")
+    ok = (lines.where(is_json & given["id_str"]).withColumn("raw", F.from_json("value", RAW_STATUS)).drop("value")
+          .unionByName(literals.where(repaired["id_str"]).withColumn("raw", F.from_json("_json", RAW_STATUS))
+                       .drop("value", "_json")))
+    no_object = F.json_object_keys("_json").isNull()
+    bad = (lines.where(is_json & given["id"] & ~given["id_str"]).select("value", "source_file")
+           .unionByName(literals.where(no_object | (repaired["id"] & ~repaired["id_str"])).select("value", "source_file")))
     return ok, bad
+
+
+def _with_id(col: str) -> dict[str, Column]:
+    """Whether the JSON object in ``col`` has a non-null id, and id_str."""
+    return {f: F.coalesce(F.get_json_object(col, f"$.{f}"), F.lit("")) != "" for f in ("id", "id_str")}

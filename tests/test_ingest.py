@@ -180,3 +180,22 @@ def test_batch_repeated_after_a_failure_counts_once(spark, tmp_path, monkeypatch
         ingest.merge_batch(lines(second), store)
         got = {r.id: r.num_replies for r in ingest.read_store(spark, store).collect()}
         assert got == {"1": 1, "2": 0}
+
+
+def test_no_line_is_lost(spark):
+    kept = [json.dumps(status(1)), repr(status(2))]
+    notices = ['{"limit": {"track": 2}}', "{'limit': {'track': 2}}", '{"id": null}']
+    odd = ["[1,2]", "42", '"text"', "{broken", '{"id": 5}', "{'id': 6}", json.dumps({"id": 7, "id_str": None})]
+    ok, bad = raw.parse_lines(lines_df(spark, kept + notices + odd))
+    assert sorted(r[0] for r in ok.select("raw.id_str").collect()) == ["1", "2"]
+    assert sorted(r.value for r in bad.collect()) == sorted(odd)
+
+
+def test_json_lines_stay_on_the_jvm(spark, tmp_path):
+    (tmp_path / "tweets-20200101120000-a.jsonl").write_text(json.dumps(status(1)) + "\n" + repr(status(2)) + "\n")
+    ok, _ = raw.parse_lines(raw.read_raw_lines(spark, str(tmp_path)))
+    plan = ok._jdf.queryExecution().optimizedPlan().toString()
+    branches = plan.split("Relation")
+    assert plan.count("from_json") == 2 and plan.count("ArrowEvalPython") == 1  # one from_json in each branch
+    assert "ArrowEvalPython" not in branches[0]
+    assert sorted(r[0] for r in ok.select("raw.id_str").collect()) == ["1", "2"]

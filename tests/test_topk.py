@@ -46,8 +46,7 @@ def test_top_k_quota_column_and_share(spark, skewed):
     assert got == brute(skewed.collect(), 10)  # 40 / 4 groups
 
 
-def test_global_top_k_histogram_path(spark, skewed, monkeypatch):
-    monkeypatch.setattr(topk, "TAKE_ORDERED_MAX", 10)
+def test_global_top_k_ranked(spark, skewed):
     keyed = skewed.withColumn("_key", sample_key("id", 3))
     got = [r.id for r in topk.top_k_by_key(keyed, [], "_key", 77, "id", out_rank="r").orderBy("r").collect()]
     df = pd.DataFrame({"id": [r.id for r in skewed.collect()]})
@@ -90,3 +89,29 @@ def test_pretrain_split(spark, skewed):
     out = splits.pretrain_split(skewed.select("id"), seed=9, dev_cap=100)
     per = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     assert per == {"train": max(int(0.8 * 6000), 6000 - 100), "dev": 6000 - max(int(0.8 * 6000), 5900)}
+
+
+def test_pretrain_split_empty_and_below_the_cap(spark, skewed):
+    assert splits.pretrain_split(skewed.select("id").limit(0), seed=9).count() == 0
+    out = splits.pretrain_split(skewed.select("id"), seed=9)
+    order = sorted(range(6000), key=lambda i: (key(9, i), i))
+    assert {r.id for r in out.where("split = 'train'").collect()} == set(order[:4800])
+
+
+def test_pretrain_split_beyond_the_dev_cap(spark):
+    out = splits.pretrain_split(spark.range(1_200_000), seed=9)
+    assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 1_000_000, "dev": 200_000}
+
+
+def test_splits_without_dev_and_test_are_all_train(spark, skewed):
+    df = skewed.select("id", F.col("grp").alias("question_tag"), F.lit("x").alias("label"))
+    out = splits.train_dev_test_split(df, seed=1, dev_size=0.0, test_size=0.0)
+    assert [tuple(r) for r in out.groupBy("split").count().collect()] == [("train", 6000)]
+
+
+def test_hot_class_is_ranked_by_bucket_only(spark, skewed):
+    """The ranking windows of a balanced split are keyed by class and bucket, so one class is many tasks."""
+    df = skewed.select("id", F.lit("q").alias("question_tag"), F.col("grp").alias("label"))
+    plan = splits.balance_classes(df, 3)._jdf.queryExecution().optimizedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "row_number(" in line]
+    assert ranked and all("_bk" in line for line in ranked)
