@@ -33,14 +33,14 @@ def prepare_countries(df: DataFrame) -> DataFrame:
     fixed = df
     for name, code in CODE_REPAIRS.items():
         fixed = fixed.withColumn("iso_a2", F.when(F.col("name_en") == name, F.lit(code)).otherwise(F.col("iso_a2")))
-    extra = None
-    max_ord = fixed.agg(F.max("ord")).first()[0] or 0
-    for i, (name, code) in enumerate(EXTRA_CODES):
-        first = fixed.where(F.col("name_en") == name).orderBy("ord").limit(1)
-        add = first.withColumn("iso_a2", F.lit(code)).withColumn("ord", F.lit(max_ord + 1 + i))
-        extra = add if extra is None else extra.unionByName(add)
-    out = fixed.unionByName(extra) if extra is not None else fixed
-    return out.where(F.col("iso_a2") != INVALID_CODE)
+    last = fixed.agg(F.max("ord")).first()[0] or 0
+    extra = F.array(*[F.struct(F.lit(name).alias("_of"), F.lit(code).alias("_code"), F.lit(last + 1 + i).alias("_ord"))
+                      for i, (name, code) in enumerate(EXTRA_CODES)])
+    first = (fixed.where(F.col("name_en").isin(*{name for name, _ in EXTRA_CODES}))
+             .groupBy("name_en").agg(F.min_by(F.struct(*fixed.columns), "ord").alias("r")))
+    copies = (first.select("r.*", F.inline(extra)).where(F.col("_of") == F.col("name_en"))
+              .withColumns({"iso_a2": F.col("_code"), "ord": F.col("_ord").cast(df.schema["ord"].dataType)}))
+    return fixed.unionByName(copies.select(*fixed.columns)).where(F.col("iso_a2") != INVALID_CODE)
 
 
 def _bbox(countries: DataFrame) -> DataFrame:
@@ -101,7 +101,8 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0)
     """G2 + G3 on distinct points ``(_x, _y)`` -> ``country_code``.
 
     Exact containment first (first polygon in table order), then the nearest
-    country for points inside none.
+    country for points inside none.  A point on a border is inside none; among
+    countries equally near the first in table order wins.
     """
     uniq = (points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
             .checkpoint(eager=True))
@@ -110,7 +111,8 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0)
     keyed = uniq.withColumn("cx", F.floor(F.col("_x") / cell).cast("int")) \
                 .withColumn("cy", F.floor(F.col("_y") / cell).cast("int"))
     cand = keyed.join(cells, ["cx", "cy"]).join(shapes, ["iso_a2", "ord"])
-    inside = (cand.where(_crossings(F.col("rings"), F.col("_x"), F.col("_y")) % 2 == 1)
+    x, y = F.col("_x"), F.col("_y")
+    inside = (cand.where((_crossings(F.col("rings"), x, y) % 2 == 1) & (_distance(F.col("rings"), x, y) > 0))
               .groupBy("_x", "_y").agg(F.min_by("iso_a2", "ord").alias("country_code")))
     inside = inside.checkpoint(eager=True)
     outside = uniq.join(inside.select("_x", "_y"), ["_x", "_y"], "left_anti")
@@ -249,35 +251,58 @@ def enrich(rec: DataFrame, countries: DataFrame, gazetteer: DataFrame | None = N
            coords: str = "_coordinates", place: str = "_place", location: str = "user_location") -> DataFrame:
     """G1: geo cascade -> longitude, latitude, country_code, geoname_id,
     location_type, geo_type (1 coordinates, 2 place box, 3 user location, 0 none),
-    region, subregion.  Only rows of a branch pay for its joins."""
+    region, subregion.
+
+    Rows are split by branch, and only those of a branch are joined: rows with coordinates or a
+    place without a country meet the distinct points; rows with nothing but a location text
+    meet the distinct locations, whose points are resolved before; all others are not
+    shuffled.  ``rec`` is read once per branch, so pass stored rows.
+    """
     c, p = F.col(coords), F.col(place)
     has_xy = c.isNotNull() & (F.size(c) >= 2)
     ring = p["bounding_box"]["coordinates"][0]
     has_box = ~has_xy & p.isNotNull() & ring.isNotNull() & (F.size(ring) > 0)
     centre = ring_centroid(ring)
-    df = rec.withColumn("_loc", F.when(~has_xy & ~has_box, location_key(F.col(location))))
+    countries = countries.checkpoint(eager=True)
+    none = F.lit(None).cast("string")
+
+    direct = (rec.where(has_xy | has_box)
+              .withColumn("geo_type", F.when(has_xy, 1).otherwise(2))
+              .withColumn("longitude", F.when(has_xy, c[0]).otherwise(centre["lon"]))
+              .withColumn("latitude", F.when(has_xy, c[1]).otherwise(centre["lat"]))
+              .withColumn("country_code", F.when(has_box, p["country_code"]))
+              .withColumn("geoname_id", none)
+              .withColumn("location_type", F.when(has_box, p["place_type"])))
+    need = (F.col("geo_type") == 1) | F.coalesce(F.col("country_code") == "", F.lit(False))
+    text_only = rec.where(~F.coalesce(has_xy | has_box, F.lit(False))).withColumn("_loc", location_key(F.col(location)))
+    known = F.lit(False) if gazetteer is None else F.coalesce(F.length("_loc") > 0, F.lit(False))
+    nowhere = (text_only.where(~known).drop("_loc").withColumn("geo_type", F.lit(0))
+               .withColumns({"longitude": F.lit(None).cast("double"), "latitude": F.lit(None).cast("double")})
+               .withColumns({n: none for n in ("country_code", "geoname_id", "location_type")}))
+
+    xy = [F.col("longitude").alias("_x"), F.col("latitude").alias("_y")]
+    points = direct.where(need).select(*xy)
+    if gazetteer is not None:
+        matches = gazetteer_matches(text_only.where(known), gazetteer).checkpoint(eager=True)
+        unnamed = F.col("country_code") == ""
+        points = points.unionByName(matches.where(unnamed).select(*xy))
+    found = point_countries(points, countries).select("_x", "_y", F.col("country_code").alias("_pip"))
+
+    def resolve(rows: DataFrame) -> DataFrame:
+        at = (F.col("longitude") == F.col("_x")) & (F.col("latitude") == F.col("_y"))
+        return rows.join(found, at, "left").withColumn("country_code", F.col("_pip")).drop("_x", "_y", "_pip")
+
+    parts = [resolve(direct.where(need)), direct.where(~need), nowhere]
     if gazetteer is not None:
-        df = df.join(gazetteer_matches(df.where(F.col("_loc").isNotNull()), gazetteer)
-                     .select("_loc", F.struct("longitude", "latitude", "country_code", "geoname_id",
-                                              "location_type").alias("_gz")), "_loc", "left")
-    else:
-        df = df.withColumn("_gz", F.lit(None).cast(
-            "struct<longitude:double,latitude:double,country_code:string,geoname_id:string,location_type:string>"))
-    gz = F.col("_gz")
-    geo_type = F.when(has_xy, 1).when(has_box, 2).when(gz.isNotNull(), 3).otherwise(0)
-    df = df.withColumn("geo_type", geo_type.cast("int"))
-    df = df.withColumn("longitude", F.when(has_xy, c[0]).when(has_box, centre["lon"]).otherwise(gz["longitude"])) \
-           .withColumn("latitude", F.when(has_xy, c[1]).when(has_box, centre["lat"]).otherwise(gz["latitude"])) \
-           .withColumn("_given", F.when(has_box, p["country_code"]).when(F.col("geo_type") == 3, gz["country_code"])) \
-           .withColumn("geoname_id", gz["geoname_id"].cast("string")) \
-           .withColumn("location_type", F.when(has_box, p["place_type"]).otherwise(gz["location_type"]))
-    need = (F.col("geo_type") == 1) | (F.col("geo_type").isin(2, 3) & (F.col("_given") == ""))
-    pts = df.where(need).select(F.col("longitude").alias("_x"), F.col("latitude").alias("_y"))
-    found = point_countries(pts, countries).withColumnRenamed("country_code", "_pip")
-    df = df.join(found, (df["longitude"] == found["_x"]) & (df["latitude"] == found["_y"]) & need, "left")
-    df = df.withColumn("country_code", F.when(need, F.col("_pip")).otherwise(F.col("_given")))
-    df = df.drop("_x", "_y", "_pip", "_given", "_gz", "_loc", coords, place)
-    return region_lookup(df, countries)
+        places = matches.where(~F.coalesce(unnamed, F.lit(False))).unionByName(resolve(matches.where(unnamed)))
+        places = places.select("_loc", "longitude", "latitude", "country_code", F.col("geoname_id").cast("string"),
+                               "location_type", F.lit(3).alias("_type"))
+        parts.append(text_only.where(known).join(places, "_loc", "left").drop("_loc")
+                     .withColumn("geo_type", F.coalesce("_type", F.lit(0))).drop("_type"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return region_lookup(out.withColumn("geo_type", F.col("geo_type").cast("int")).drop(coords, place), countries)
 
 
 def region_lookup(df: DataFrame, countries: DataFrame, code: str = "country_code") -> DataFrame:

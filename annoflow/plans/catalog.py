@@ -516,9 +516,9 @@ ORACLE_SQL.update({
 
 # ---- incremental ingest with Structured Streaming
 
-def stream_ingest(spark, sf_dir):
-    """Raw lines written as files in three collection periods, streamed in one
-    file per micro-batch and merged; the store must equal the batch parse."""
+def _ingested(spark, sf_dir, periods):
+    """Raw lines written as files of three collection periods, streamed and merged one period after the
+    other in the given order; the store must equal the batch parse."""
     import os
     import uuid
 
@@ -526,19 +526,26 @@ def stream_ingest(spark, sf_dir):
     from annoflow.streaming import ingest
 
     root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
-    lines = views.raw_status_lines(spark, sf_dir)
     period = F.when(F.dayofmonth("day") <= 10, 1).when(F.dayofmonth("day") <= 20, 2).otherwise(3)
-    (lines.withColumn("period", period).repartition(1, "period").select("value", "period")
+    (views.raw_status_lines(spark, sf_dir).select("value", period.alias("period"))
      .write.partitionBy("period").text(f"{root}/raw"))
-    q = ingest.start_ingest(spark, f"{root}/raw/*", f"{root}/store", f"{root}/ckpt", max_files_per_trigger=1)
-    q.awaitTermination()
+    for n in periods:
+        ingest.start_ingest(spark, f"{root}/raw/period={n}", f"{root}/store", f"{root}/stream-{n}").awaitTermination()
     parsed = ingest.read_store(spark, f"{root}/store")
     return parsed.select(*PARSE_COLS, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
                          F.col("created_day").cast("string").alias("created_day"))
 
 
-QUERIES["stream_ingest"] = stream_ingest
-ORACLE_SQL["stream_ingest"] = oracle.PARSE_STATUSES
+def stream_ingest(spark, sf_dir):
+    return _ingested(spark, sf_dir, (1, 2, 3))
+
+
+def stream_ingest_out_of_order(spark, sf_dir):
+    return _ingested(spark, sf_dir, (3, 1, 2))
+
+
+QUERIES.update({"stream_ingest": stream_ingest, "stream_ingest_out_of_order": stream_ingest_out_of_order})
+ORACLE_SQL.update({"stream_ingest": oracle.PARSE_STATUSES, "stream_ingest_out_of_order": oracle.PARSE_STATUSES})
 
 
 # ---- composite jobs on parsed statuses

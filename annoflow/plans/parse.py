@@ -35,7 +35,7 @@ def dedup_copies(ok: DataFrame) -> DataFrame:
     cp = ok.select("day", "source_file", "line_hash", F.explode(S.copies("raw")).alias("c"))
     best = cp.groupBy(F.col("c.id_str").alias("_id")).agg(
         F.min(F.struct(F.col("c.priority").alias("p"), "day", "source_file", "line_hash", "c")).alias("w"))
-    return best.select(F.col("w.c").alias("c"), F.col("w.day").alias("_day"))
+    return best.select(F.col("w.c").alias("c"), F.struct("w.p", "w.day", "w.source_file", "w.line_hash").alias("_origin"))
 
 
 def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gazetteer: DataFrame | None = None,
@@ -51,22 +51,26 @@ def parse(lines: DataFrame, keywords=(), countries: DataFrame | None = None, gaz
 
 def parse_with_log(lines: DataFrame, keywords=(), countries: DataFrame | None = None,
                    gazetteer: DataFrame | None = None, extract_retweets: bool = True,
-                   extract_quotes: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """As :func:`parse`, also returning the distinct interaction log of the lines."""
+                   extract_quotes: bool = True, keep_origin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As :func:`parse`, also returning the distinct interaction log of the lines.
+
+    ``keep_origin`` adds ``_origin``, by which copies of a status are ordered (W1).
+    """
     ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
     firsts = dedup_copies(ok)
     log = top_level_log(firsts)
     counts = interactions.count_interactions(log)
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))
-    rec = kept.select(*S.extract_columns(keywords))
+    origin = ["_origin"] if keep_origin else []
+    rec = kept.select(*S.extract_columns(keywords), *origin)
     rec = with_token_count(rec, "text")
     rec = interactions.attach_counts(rec, counts)
     if countries is not None:
-        # three consumers follow (locations, points, rows): parse once, read thrice
-        rec = geo.enrich(rec.checkpoint(eager=True), countries, gazetteer)
+        # each branch of the enrichment reads the rows: parse once
+        rec = geo.enrich(rec.checkpoint(eager=True), geo.prepare_countries(countries), gazetteer)
     else:
         rec = geo.basics(rec)
-    out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields])
+    out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields], *origin)
     return out.withColumn("created_day", F.to_date("created_at")), log, bad
 
 

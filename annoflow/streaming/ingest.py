@@ -3,8 +3,9 @@
 The file source's checkpoint replaces the used-file manifest (S4).  Each
 micro-batch is parsed with the batch plan and merged into two stored tables:
 
-- ``statuses``: parsed rows partitioned by ``created_day``; stored rows win
-  over re-collected copies (X2), new ids are appended;
+- ``statuses``: parsed rows partitioned by ``created_day``; of all copies of a status the one
+  that the batch parse prefers stays (X2, W1): top-level before embedded, then the earliest by
+  (day, file, line), whatever order the files come in.  ``_origin`` keeps that order;
 - ``interactions``: the distinct (source_id, kind, target_id) log (X3).
 
 Counts are derived from the whole log, and only day partitions holding a new
@@ -35,7 +36,7 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     spark = batch_lines.sparkSession
     st_path, log_path = f"{store}/statuses", f"{store}/interactions"
     lines = batch_lines.withColumn("day", day_from_path("source_file"))
-    parsed, new_log, _bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer)
+    parsed, new_log, _bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer, keep_origin=True)
     have_store = _exists(spark, st_path)
     stored = spark.read.parquet(st_path) if have_store else None
     stored_log = spark.read.parquet(log_path) if _exists(spark, log_path) else None
@@ -48,18 +49,23 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
 
     rows = parsed.drop(*COUNT_COLS)
     if stored is not None:
-        rows = rows.join(stored.select("id"), "id", "left_anti")
+        # New ids, and better copies of stored ones.
+        had = stored.select("id", F.col("_origin").alias("_had"))
+        rows = rows.join(had, "id", "left").where(F.col("_had").isNull() | (F.col("_origin") < F.col("_had"))).drop("_had")
     rows = rows.checkpoint(eager=True)
     touched_days = rows.select("created_day")
     if stored is not None:
         # Targets of the whole batch, not of what is new in the log: after a failure between the log and
         # the store, a repeated batch finds its log already there and still has to count it.
         hit = stored.join(new_log.select(F.col("target_id").alias("id")).distinct(), "id", "left_semi")
-        touched_days = touched_days.unionByName(hit.select("created_day"))
+        replaced = stored.join(rows.select("id"), "id", "left_semi")
+        touched_days = touched_days.unionByName(hit.select("created_day")).unionByName(replaced.select("created_day"))
     touched_days = touched_days.distinct()
     base = rows
     if stored is not None:
-        keep = stored.join(touched_days, "created_day", "left_semi").drop(*COUNT_COLS)
+        # A better copy may have another day than the stored one, whose day is rewritten as well.
+        keep = (stored.join(touched_days, "created_day", "left_semi").drop(*COUNT_COLS)
+                .join(rows.select("id"), "id", "left_anti"))
         base = keep.unionByName(rows.select(*keep.columns))
     merged = interactions.attach_counts(base, interactions.count_interactions(log))
     merged = merged.checkpoint(eager=True)  # the rewrite below replaces the files it was read from
@@ -83,4 +89,4 @@ def start_ingest(spark: SparkSession, raw_dir: str, store: str, checkpoint: str
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
-    return spark.read.parquet(f"{store}/statuses")
+    return spark.read.parquet(f"{store}/statuses").drop("_origin")

@@ -199,3 +199,24 @@ def test_json_lines_stay_on_the_jvm(spark, tmp_path):
     assert plan.count("from_json") == 2 and plan.count("ArrowEvalPython") == 1  # one from_json in each branch
     assert "ArrowEvalPython" not in branches[0]
     assert sorted(r[0] for r in ok.select("raw.id_str").collect()) == ["1", "2"]
+
+
+def test_points_on_a_border_take_the_first_country(spark):
+    countries = spark.createDataFrame([Row(iso_a2="AA", ord=0, rings=square(0.0, 0.0, 1.0, 1.0)), Row(iso_a2="BB", ord=1, rings=square(1.0, 0.0, 1.0, 1.0))],
+                                      "iso_a2 string, ord int, rings array<array<struct<lon:double,lat:double>>>")
+    pts = spark.createDataFrame([(1, 1.0, 0.5), (2, 1.0, 0.0), (3, 1.25, 0.5), (4, 0.0, 0.0)], "id int, longitude double, latitude double")
+    got = {r.id: r.country_code for r in geo.country_of_points(pts, countries).collect()}
+    assert got == {1: "AA", 2: "AA", 3: "BB", 4: "AA"}
+
+
+def test_top_level_copy_replaces_a_stored_embedded_one(spark, tmp_path):
+    """The retweet comes first, with a shortened copy of its original; the original follows."""
+    from annoflow.streaming import ingest
+
+    rt = status(2, "RT", retweeted_status=status(1, "short"))
+    whole = status(1, "the whole text")
+    store = str(tmp_path / "store")
+    for lines in ([rt], [whole], [whole], [rt]):
+        ingest.merge_batch(lines_df(spark, [json.dumps(x) for x in lines]).drop("day"), store)
+    got = {r.id: (r.text, r.num_retweets) for r in ingest.read_store(spark, store).collect()}
+    assert got == {"1": ("the whole text", 1), "2": ("short", 0)}
