@@ -9,6 +9,9 @@ and a hot tweet collapses to a handful of rows before it reaches one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,36 +117,49 @@ def merge_groups(groups: DataFrame, selection_criterion: str = "majority", min_l
 def cleaning_steps(ann: DataFrame, min_labels_cutoff: int = 3, is_relevant: bool = False,
                    relevant_tags=RELEVANT_TAGS, exclude_incorrect: bool = False,
                    cutoff_worker_outliers: float | None = None, min_comparisons_count: int = 20,
-                   allow_nan=()) -> DataFrame:
-    """Annotations left after every cleaning step (step, n_rows), from
-    the answer-group aggregate: no extra pass per step."""
+                   allow_nan=(), keyword_ids: DataFrame | None = None) -> DataFrame:
+    """Annotations left after every cleaning step, and the percentage of the step before it that it
+    removes (step, n_rows, pct_removed: null at the start and after an empty step).
+
+    One scan counts the first two steps, another makes the answer groups; these are stored, and all
+    further steps are counted from them.
+    """
     from annoflow.operators.agreement import agreement_outlier_ids
 
-    start = ann.agg(F.lit(0).alias("o"), F.lit("start").alias("step"), F.count("*").alias("n_rows"))
+    required = [F.col(c).isNotNull() for c in REQUIRED_FIELDS if c not in set(allow_nan)]
+    complete = reduce(and_, required, F.lit(True))
+    steps = [ann.agg(F.count("*").alias("start"), F.count_if(complete).alias("drop_nan"))
+             .select(F.inline(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(name).alias("step"), F.col(name).alias("n_rows"))
+                                        for o, name in enumerate(("start", "drop_nan"))])))]
     ann = drop_incomplete(ann, allow_nan)
-    steps = [start, ann.agg(F.lit(1).alias("o"), F.lit("drop_nan").alias("step"), F.count("*").alias("n_rows"))]
     outliers = None
     if cutoff_worker_outliers is not None:
         outliers = agreement_outlier_ids(ann, cutoff_worker_outliers, min_comparisons_count)
-    g = answer_groups(ann, exclude_incorrect=exclude_incorrect, outlier_annotators=outliers)
-    def total(df, o, name, col):
-        return df.agg(F.lit(o).alias("o"), F.lit(name).alias("step"), F.coalesce(F.sum(col), F.lit(0)).alias("n_rows"))
+    g = answer_groups(ann, exclude_incorrect=exclude_incorrect, outlier_annotators=outliers).checkpoint(eager=True)
+
+    def count(name, col):
+        steps.append(g.agg(F.lit(len(steps) + 1).alias("o"), F.lit(name).alias("step"),
+                           F.coalesce(F.sum(col), F.lit(0)).alias("n_rows")))
+
     if exclude_incorrect:
-        steps.append(total(g, 2, "exclude_incorrect", "n_pre"))
+        count("exclude_incorrect", "n_pre")
     if is_relevant:
         g = keep_relevant_groups(g, find_relevant_tag(g, relevant_tags))
-        steps.append(total(g, 3, "is_relevant", "n_pre"))
+        count("is_relevant", "n_pre")
     if cutoff_worker_outliers is not None:
-        steps.append(total(g, 4, "cutoff_worker_outliers", "n"))
+        count("cutoff_worker_outliers", "n")
     if min_labels_cutoff > 0:
         w = Window.partitionBy("tweet_id", "question_tag")
-        big = g.where(F.col("question_tag").isNotNull()).withColumn("_t", F.sum("n").over(w)) \
+        g = g.where(F.col("question_tag").isNotNull()).withColumn("_t", F.sum("n").over(w)) \
             .where(F.col("_t") >= min_labels_cutoff)
-        steps.append(total(big, 5, "min_labels_cutoff", "n"))
-    out = steps[0]
-    for s in steps[1:]:
-        out = out.unionByName(s)
-    return out.select("step", F.col("n_rows").cast("bigint").alias("n_rows"))
+        count("min_labels_cutoff", "n")
+    if keyword_ids is not None:
+        g = g.join(keyword_ids.select(F.col("id").alias("tweet_id")), "tweet_id", "left_semi")
+        count("contains_keywords", "n")
+    out = reduce(DataFrame.unionByName, steps)
+    before = F.lag("n_rows").over(Window.partitionBy(F.lit(0)).orderBy("o"))  # a row for each step
+    pct = F.round(F.try_divide(100.0 * (before - F.col("n_rows")), before), 9)
+    return out.select("step", F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("pct_removed"))
 
 
 def clean_labels(ann: DataFrame, selection_criterion: str = "majority", min_labels_cutoff: int = 3,

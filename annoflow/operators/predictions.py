@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: prediction file names carry the model name before a date and a 5-character hash.
-PREDICTION_FILE = r"predicted_(.+)_\d{4}-\d{2}-\d{2}_.{5}\.csv$"
+PREDICTION_FILE = r"predicted_(.+)_(\d{4}-\d{2}-\d{2})_.{5}\.csv$"
 PRED_FIELDS = ("label", "probability", "labels", "probabilities")
 
 
@@ -19,21 +19,30 @@ def model_name(file_name: F.Column) -> F.Column:
 
 
 def read_predictions(spark: SparkSession, paths) -> DataFrame:
-    """Long form: id, model, label, probability, labels, probabilities (files carry ``id``)."""
+    """Long form: id, model, label, probability, labels, probabilities (files carry ``id``),
+    run_date (from the file name, if there) and file."""
     schema = "id string, label string, probability double, labels string, probabilities string"
     df = spark.read.schema(schema).option("header", True).csv(paths)
-    return df.withColumn("model", model_name(F.col("_metadata.file_name")))
+    file = F.col("_metadata.file_name")
+    day = F.to_date(F.nullif(F.regexp_extract(file, PREDICTION_FILE, 2), F.lit("")))
+    return df.withColumns({"model": model_name(file), "run_date": day, "file": file})
 
 
 def wide_predictions(long: DataFrame, models: list[str] | None = None) -> DataFrame:
     """One row per id with ``label_<model>``, ``probability_<model>``, ...
 
     ``models`` fixes the pivot values (otherwise they are taken from the data,
-    a small distinct list)."""
+    a small distinct list).  If a model has several files the newest ``run_date`` counts,
+    then the last file name."""
     if models is None:
         models = sorted(r[0] for r in long.select("model").distinct().collect())
-    aggs = [F.first(F.when(F.col("model") == m, F.col(f)), ignorenulls=True).alias(f"{f}_{m}")
-            for m in models for f in PRED_FIELDS if f in long.columns]
+    dated = [c for c in ("run_date", "file") if c in long.columns]
+
+    def newest(m, f):
+        given = (F.col("model") == m) & F.col(f).isNotNull()
+        return F.max_by(F.col(f), F.when(given, F.struct(*dated, f)))
+
+    aggs = [newest(m, f).alias(f"{f}_{m}") for m in models for f in PRED_FIELDS if f in long.columns]
     return long.groupBy("id").agg(*aggs)
 
 

@@ -49,3 +49,11 @@ def outliers_in_both(outliers: DataFrame) -> DataFrame:
     """Annotators flagged by both criteria."""
     return outliers.where((F.col("time_outlier") == "outlier") & (F.col("agreement_outlier") == "outlier")) \
         .select("annotator_id")
+
+
+def outlier_list(outliers: DataFrame) -> DataFrame:
+    """The outliers of each criterion with their value and z-score, sorted by value."""
+    rows = [outliers.where(F.col(f"{by}_outlier") == "outlier").select(
+        F.lit(by).alias("criterion"), "annotator_id", F.col(f"{by}_values").alias("value"), F.col(f"{by}_zscores").alias("zscore"))
+        for by in ("agreement", "time")]
+    return rows[0].unionByName(rows[1]).orderBy("criterion", "value", "annotator_id")

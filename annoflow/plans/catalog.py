@@ -367,8 +367,14 @@ def encrypt_roundtrip(spark, sf_dir):
     spec = {"key_enc": "int", "name_enc": "str", "list_enc": "list"}
     enc = privacy.encrypt_columns(df, spec, DEMO_KEY)
     dec = privacy.decrypt_columns(enc, spec, DEMO_KEY)
-    return dec.select("c_custkey", F.col("key_enc").alias("key_dec"), F.col("name_enc").alias("name_dec"),
-                      F.array_join("list_enc", "|").alias("list_dec"))
+    dec = dec.select("c_custkey", F.col("key_enc").alias("key_dec"), F.col("name_enc").alias("name_dec"),
+                     F.array_join("list_enc", "|").alias("list_dec"))
+    # equal ids must still join, and nothing may show through
+    keys = cust.select(privacy.encrypt_value(F.col("c_custkey"), DEMO_KEY).alias("key_enc"), "c_name")
+    hidden = (enc.join(keys, "key_enc").select(
+        "key_enc", F.col("c_custkey").alias("_id"), ((F.col("name_enc") != F.col("c_name"))
+                   & (F.col("key_enc") != F.col("c_custkey").cast("string"))).alias("hidden")))
+    return dec.join(hidden, dec["c_custkey"] == hidden["_id"]).drop("_id", "key_enc")
 
 
 def _long_predictions(spark, sf_dir):
@@ -434,8 +440,9 @@ from annoflow.sources.raw import parse_lines  # noqa: E402
 
 
 def clean_steps(spark, sf_dir):
+    keyword_ids = views.statuses(spark, sf_dir).where(F.col("kind").isNotNull()).select("id")
     return consensus.cleaning_steps(views.annotations(spark, sf_dir), min_labels_cutoff=3, is_relevant=True,
-                                    relevant_tags=("A",), exclude_incorrect=True)
+                                    relevant_tags=("A",), exclude_incorrect=True, keyword_ids=keyword_ids)
 
 
 def clean_labels_full(spark, sf_dir):
@@ -445,10 +452,22 @@ def clean_labels_full(spark, sf_dir):
                                   exclude_incorrect=True, keyword_ids=keyword_ids, cutoff_worker_outliers=2.0)
 
 
+def _outliers(spark, sf_dir):
+    return agreement.worker_outliers(views.annotations(spark, sf_dir), min_tasks=3, time_cutoff=3,
+                                     agreement_cutoff=3, min_comparisons_count=20)
+
+
 def outlier_summary(spark, sf_dir):
-    out = agreement.worker_outliers(views.annotations(spark, sf_dir), min_tasks=3, time_cutoff=3,
-                                    agreement_cutoff=3, min_comparisons_count=20)
-    return reports.outlier_summary(out)
+    return reports.outlier_summary(_outliers(spark, sf_dir))
+
+
+def outlier_list(spark, sf_dir):
+    out = reports.outlier_list(_outliers(spark, sf_dir))
+    return out.withColumns({c: F.round(c, 9) for c in ("value", "zscore")})
+
+
+def outliers_in_both(spark, sf_dir):
+    return reports.outliers_in_both(_outliers(spark, sf_dir))
 
 
 def media_info(spark, sf_dir):
@@ -494,6 +513,8 @@ QUERIES.update({
     "clean_steps": clean_steps,
     "clean_labels_full": clean_labels_full,
     "outlier_summary": outlier_summary,
+    "outlier_list": outlier_list,
+    "outliers_in_both": outliers_in_both,
     "media_info": media_info,
     "replace_mentions": replace_mentions,
     "prediction_input": prediction_input,
@@ -505,6 +526,8 @@ ORACLE_SQL.update({
     "clean_steps": oracle.CLEAN_STEPS,
     "clean_labels_full": oracle.CLEAN_LABELS_FULL,
     "outlier_summary": oracle.OUTLIER_SUMMARY,
+    "outlier_list": oracle.OUTLIER_LIST,
+    "outliers_in_both": oracle.OUTLIERS_IN_BOTH,
     "media_info": oracle.MEDIA_INFO,
     "replace_mentions": oracle.REPLACE_MENTIONS,
     "prediction_input": oracle.PREDICTION_INPUT,
@@ -569,3 +592,123 @@ def class_counts(spark, sf_dir):
 
 QUERIES.update({"pretrain_text": pretrain_text, "class_counts": class_counts})
 ORACLE_SQL.update({"pretrain_text": oracle.PRETRAIN_TEXT, "class_counts": oracle.CLASS_COUNTS})
+
+
+# ---- options of earlier operators: previous samples, one question, closed gates, the all-data view
+
+def extend_sample(spark, sf_dir):
+    """A new sample without the previous one, by id and by text."""
+    rows = _sample_input(spark, sf_dir)
+    first = sampling.random_sample(rows, 100, seed=42, strict=False)
+    rest = sampling.exclude_previous(rows, first.select(F.col("id").alias("tweet_id"), F.col("text").alias("tweet_text")))
+    return sampling.random_sample(rest, 100, seed=43, strict=False).select("id")
+
+
+def question_labels(spark, sf_dir):
+    """S11 + F9: one question, statuses that carry either label."""
+    rows = splits.cleaned_for_question(views.cleaned_labels(spark, sf_dir), "quality", has_label="1|2")
+    return rows.select("id", "question_tag", "label")
+
+
+def question_split(spark, sf_dir):
+    """T6 + F11: one question by id, two of its labels."""
+    rows = splits.cleaned_for_question(views.cleaned_labels(spark, sf_dir), 1, return_label_ids=True)
+    return splits.train_dev_test_split(rows, seed=8, dev_size=0.1, test_size=0.3, label_tags=(0, 1)).select("id", "label", "split")
+
+
+def gated_statuses(spark, sf_dir):
+    """retweets and quotes not extracted."""
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir), extract_retweets=False, extract_quotes=False)
+    return parsed.select("id", "text", "is_reply")
+
+
+def mention_ids(spark, sf_dir):
+    """Ids of the mentioned users."""
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    return parsed.select("id", F.array_join("entities_user_mentions", ",").alias("mentioned"))
+
+
+def all_data(spark, sf_dir):
+    """Statuses with predictions and flags in an inclusive window."""
+    st = views.statuses(spark, sf_dir).select("id", "created_at", "kind")
+    wide = predictions.wide_predictions(_long_predictions(spark, sf_dir), ["quality", "toxic"])
+    _, _, labelled, batched = views.sample_tables(spark, sf_dir)
+    out = predictions.all_data(st, wide.select("id", "label_quality"), "2024-01-03 00:00:00", "2024-01-20 23:59:59",
+                               uploaded=batched, labelled=labelled, usecols=("id", "created_at", "kind"))
+    return out.select("id", "kind", "label_quality", "S", "L")
+
+
+QUERIES.update({"extend_sample": extend_sample, "question_labels": question_labels, "question_split": question_split,
+                "gated_statuses": gated_statuses, "mention_ids": mention_ids, "all_data": all_data})
+ORACLE_SQL.update({"extend_sample": oracle.EXTEND_SAMPLE, "question_labels": oracle.QUESTION_LABELS,
+                   "question_split": oracle.QUESTION_SPLIT, "gated_statuses": oracle.GATED_STATUSES,
+                   "mention_ids": oracle.MENTION_IDS, "all_data": oracle.ALL_DATA})
+
+
+# ---- stored tables and files, written from the tables and read back
+
+from annoflow import sinks  # noqa: E402
+from annoflow.sources import files  # noqa: E402
+from annoflow.sources.tables import read_table  # noqa: E402
+
+
+def _scratch(spark, name):
+    """A new folder in the shared checkpoint folder."""
+    import os
+    import uuid
+
+    from annoflow.session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def write_read_parsed(spark, sf_dir):
+    root = _scratch(spark, "parsed")
+    parsed, _bad = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    parse_plan.write_parsed(parsed, root)
+    out = parsed_src.read_parsed(spark, root, "2024-01-05", "2024-01-12", usecols=["id", "text", "created_at", "created_day"])
+    return out.select("id", "text", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+                      F.col("created_day").cast("string").alias("created_day"))
+
+
+def annotation_files(spark, sf_dir):
+    root = _scratch(spark, "annotations")
+    ann = views.annotations(spark, sf_dir)
+    shared = ["id", "tweet_id", "text", "question_id", "question_tag", "answer_id", "answer_tag", "flag", "full_log"]
+    for mode, who in (("local", "user_id"), ("mturk", "worker_id")):  # the modes name annotators differently
+        (ann.where(F.col("mode") == mode).select(*shared, F.col("annotator_id").alias(who))
+         .write.option("header", True).options(**sinks.CSV).csv(f"{root}/{mode}"))
+    return files.read_annotations(spark, root).select(
+        "id", "tweet_id", "question_tag", "answer_tag", "annotator_id", "flag", "mode", "total_time")
+
+
+def sample_files(spark, sf_dir):
+    root = _scratch(spark, "samples")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs.write.options(**sinks.CSV).csv(f"{root}/sampled_random_1.csv")
+    return files.read_sampled(spark, root).select("tweet_id", F.md5(F.coalesce("tweet_text", F.lit(""))).alias("text_hash"))
+
+
+def batch_files(spark, sf_dir):
+    root = _scratch(spark, "batches")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]).where(F.col("source") == "src0")
+    for n in (1, 2, 3):
+        (docs.where(F.col("doc_id") % 3 == n - 1).select("doc_id", "text")
+         .write.options(**sinks.CSV).csv(f"{root}/batch_{n}/batch_{n}_1.csv"))
+    return files.read_batches(spark, root).select("tweet_id", "batch_id", F.md5(F.coalesce("tweet_text", F.lit(""))).alias("text_hash"))
+
+
+def uploaded_files(spark, sf_dir):
+    root = _scratch(spark, "uploaded")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]).where(F.col("source") == "src0")
+    (docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet_text"),
+                 F.when(F.col("lang") == "de", "unavailable").otherwise("available").alias("availability"))
+     .write.option("header", True).options(**sinks.CSV).csv(f"{root}/mturk"))
+    uploaded = files.read_uploaded(spark, root)
+    return files.checked(uploaded, df=uploaded.select("tweet_id", "mode"))
+
+
+QUERIES.update({"write_read_parsed": write_read_parsed, "annotation_files": annotation_files, "sample_files": sample_files,
+                "batch_files": batch_files, "uploaded_files": uploaded_files})
+ORACLE_SQL.update({"write_read_parsed": oracle.WRITE_READ_PARSED, "annotation_files": oracle.ANNOTATION_FILES,
+                   "sample_files": oracle.SAMPLE_FILES, "batch_files": oracle.BATCH_FILES,
+                   "uploaded_files": oracle.UPLOADED_FILES})

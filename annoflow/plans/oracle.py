@@ -130,7 +130,7 @@ pw AS (SELECT annotator_id, count(DISTINCT tweet_id) AS qs_count,
 {_zscore_sql('pw', 'time_values', 'tz')},
 agc AS (SELECT annotator_id, agreement_ratio AS agreement_values FROM ag WHERE total_count >= 20),
 {_zscore_sql('agc', 'agreement_values', 'az')},
-o AS (SELECT tz.annotator_id, tz.time_values,
+o AS (SELECT tz.annotator_id, tz.time_values, tz.z AS time_zscores, az.z AS agreement_zscores,
              CASE WHEN tz.qs_count >= 3 THEN CASE WHEN tz.z > 3 THEN 'outlier' ELSE 'no_outlier' END END AS time_outlier,
              az.agreement_values,
              CASE WHEN az.annotator_id IS NOT NULL THEN CASE WHEN az.z > 3 THEN 'outlier' ELSE 'no_outlier' END END
@@ -151,6 +151,12 @@ def _summary(by: str) -> str:
 
 OUTLIER_SUMMARY = OUTLIERS_BODY + _summary("agreement") + " UNION ALL " + _summary("time")
 
+OUTLIER_LIST = OUTLIERS_BODY + " UNION ALL ".join(
+    f"""SELECT '{by}' AS criterion, annotator_id, round({by}_values, 9) AS value, round({by}_zscores, 9) AS zscore
+FROM o WHERE {by}_outlier = 'outlier'""" for by in ("agreement", "time"))
+
+OUTLIERS_IN_BOTH = OUTLIERS_BODY + "SELECT annotator_id FROM o WHERE time_outlier = 'outlier' AND agreement_outlier = 'outlier'"
+
 ANNOTATOR_OUTLIERS = f"""
 WITH {ANNOTATIONS}, a AS (SELECT * FROM annotations), {AGREEMENT_CTE},
 pw AS (SELECT annotator_id, count(DISTINCT tweet_id) AS qs_count,
@@ -341,9 +347,8 @@ FROM statuses s LEFT JOIN c ON s.id = c.id"""
 DEDUP_BY_ID = f"""WITH {STATUSES},
 rows AS (
   SELECT id, created_at, user_id, 0 AS priority, created_at AS seen_at, id AS source_id FROM statuses
-  WHERE created_at >= TIMESTAMP '2024-01-03'
   UNION ALL
-  SELECT o.id, o.created_at, o.user_id, 1, s.created_at, s.id
+  SELECT CASE WHEN s.kind = 'quote' THEN -1 - o.id ELSE o.id END, o.created_at, o.user_id, 1, s.created_at, s.id
   FROM statuses s JOIN statuses o ON s.target_id = o.id WHERE s.kind IN ('quote', 'retweet'))
 SELECT id, created_at, user_id, priority, seen_at, source_id FROM rows
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY priority, seen_at, source_id) = 1"""
@@ -532,7 +537,7 @@ SELECT c_custkey, 'N' || chr(65 + c_nationkey) AS country_code, r_name AS region
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 ENCRYPT_ROUNDTRIP = """
-SELECT c_custkey, c_custkey AS key_dec, c_name AS name_dec, c_mktsegment || '|' || c_name AS list_dec FROM customer"""
+SELECT c_custkey, c_custkey AS key_dec, c_name AS name_dec, c_mktsegment || '|' || c_name AS list_dec, true AS hidden FROM customer"""
 
 PREDICTION_JOIN = """
 SELECT d.doc_id AS id, d.lang,
@@ -573,12 +578,17 @@ rel AS (SELECT * FROM ok WHERE tweet_id IN (SELECT tweet_id FROM ok WHERE answer
 
 CLEAN_STEPS = f"""WITH {ANNOTATIONS}, {ANN_OK}, {_CLEAN_CHAIN},
 cut AS (SELECT * FROM rel WHERE question_tag IS NOT NULL
-        QUALIFY count(*) OVER (PARTITION BY tweet_id, question_tag) >= 3)
-SELECT 'start' AS step, count(*) AS n_rows FROM annotations
-UNION ALL SELECT 'drop_nan', count(*) FROM a
-UNION ALL SELECT 'exclude_incorrect', count(*) FROM ok
-UNION ALL SELECT 'is_relevant', count(*) FROM rel
-UNION ALL SELECT 'min_labels_cutoff', count(*) FROM cut"""
+        QUALIFY count(*) OVER (PARTITION BY tweet_id, question_tag) >= 3),
+kw AS (SELECT * FROM cut WHERE tweet_id IN (SELECT event_id FROM events WHERE event_type IN ('click', 'purchase', 'view'))),
+steps AS (
+SELECT 0 AS o, 'start' AS step, count(*) AS n_rows FROM annotations
+UNION ALL SELECT 1, 'drop_nan', count(*) FROM a
+UNION ALL SELECT 2, 'exclude_incorrect', count(*) FROM ok
+UNION ALL SELECT 3, 'is_relevant', count(*) FROM rel
+UNION ALL SELECT 4, 'min_labels_cutoff', count(*) FROM cut
+UNION ALL SELECT 5, 'contains_keywords', count(*) FROM kw)
+SELECT step, n_rows, round(100.0 * (lag(n_rows) OVER (ORDER BY o) - n_rows) / nullif(lag(n_rows) OVER (ORDER BY o), 0), 9)
+         AS pct_removed FROM steps"""
 
 CLEAN_LABELS_FULL = f"""WITH {ANNOTATIONS}, {ANN_OK}, {AGREEMENT_CTE},
 agc AS (SELECT annotator_id, agreement_ratio AS v FROM ag WHERE total_count >= 20),
@@ -643,3 +653,46 @@ FROM k"""
 CLASS_COUNTS = f"""WITH {CLEANED},
 c AS (SELECT question_tag, label_tag AS label, count(*) AS n FROM cleaned GROUP BY ALL)
 SELECT question_tag, label, n, min(n) OVER (PARTITION BY question_tag) AS min_class FROM c"""
+
+# ---- options of earlier operators
+
+EXTEND_SAMPLE = RANDOM_SAMPLE[:RANDOM_SAMPLE.rindex("SELECT id,")] + f""",
+one AS (SELECT id, text FROM d ORDER BY {_key(42, 'id')}, id LIMIT 100)
+SELECT id FROM d WHERE id NOT IN (SELECT id FROM one) AND text NOT IN (SELECT text FROM one)
+ORDER BY {_key(43, 'id')}, id LIMIT 100"""
+
+QUESTION_LABELS = f"""WITH {CLEANED}
+SELECT id, question_tag, label_tag AS label FROM cleaned WHERE question_tag = 'quality'
+AND id IN (SELECT id FROM cleaned WHERE label_tag IN ('1', '2'))"""
+
+QUESTION_SPLIT = f"""WITH {CLEANED},
+r AS (SELECT id, label_id AS label, row_number() OVER (ORDER BY {_key(8, 'id')}, id) - 1 AS pos, count(*) OVER () AS n
+      FROM cleaned WHERE question_id = 1 AND label_id IN (0, 1))
+SELECT id, label, CASE WHEN pos < floor((1 - 0.1::DOUBLE - 0.3::DOUBLE) * n) THEN 'train'
+                       WHEN pos < floor((1 - 0.3::DOUBLE) * n) THEN 'dev' ELSE 'test' END AS split FROM r"""
+
+GATED_STATUSES = f"SELECT id, text, is_reply FROM ({PARSE_STATUSES}) WHERE NOT is_retweet AND NOT has_quote"
+
+MENTION_IDS = "SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS mentioned FROM events"
+
+ALL_DATA = f"""WITH {STATUSES}
+SELECT s.id, s.kind, CAST(l.quality AS VARCHAR) AS label_quality, coalesce(d.source = 'src0', false) AS S, l.doc_id IS NOT NULL AS L
+FROM statuses s LEFT JOIN labels l ON s.id = l.doc_id LEFT JOIN documents d ON s.id = d.doc_id
+WHERE s.created_at >= TIMESTAMP '2024-01-03 00:00:00' AND s.created_at <= TIMESTAMP '2024-01-20 23:59:59'"""
+
+# ---- stored tables and files read back
+
+WRITE_READ_PARSED = f"""SELECT id, text, created_at, created_day FROM ({PARSE_STATUSES})
+WHERE created_day >= '2024-01-05' AND created_day < '2024-01-12'"""
+
+ANNOTATION_FILES = f"""WITH {ANNOTATIONS}
+SELECT id, CAST(tweet_id AS VARCHAR) AS tweet_id, question_tag, answer_tag, CAST(annotator_id AS VARCHAR) AS annotator_id,
+       flag, mode, total_time FROM annotations"""
+
+SAMPLE_FILES = "SELECT CAST(doc_id AS VARCHAR) AS tweet_id, md5(coalesce(text, '')) AS text_hash FROM documents"
+
+BATCH_FILES = """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, CAST(1 + doc_id % 3 AS INTEGER) AS batch_id, md5(coalesce(text, '')) AS text_hash
+FROM documents WHERE source = 'src0'"""
+
+UPLOADED_FILES = """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, CASE WHEN lang = 'de' THEN 'unavailable' ELSE 'available' END
+  AS availability, 'mturk' AS mode FROM documents WHERE source = 'src0'"""

@@ -108,19 +108,19 @@ def cleaned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("label_tag").cast("bigint").alias("label_id"), "label_tag")
 
 
-def embedded_copies(spark: SparkSession, sf_dir: str, collected_from: str = "2024-01-03") -> DataFrame:
-    """Status copies as met during ingest: top-level statuses collected from
-    ``collected_from`` on (priority 0) and the originals embedded in quotes and
-    retweets (priority 1, seen when the embedding status was)."""
+def embedded_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status copies as met during ingest: every status at top level (priority 0) and the originals
+    embedded in quotes and retweets (priority 1, seen when the embedding status was).  Quoted
+    originals lie outside the collection (negative ids), so these are only ever embedded."""
     st = statuses(spark, sf_dir)
-    top = st.where(F.col("created_at") >= F.lit(collected_from).cast("timestamp_ntz")).select(
-        "id", "created_at", "user_id", F.lit(0).alias("priority"),
-        F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
+    top = st.select("id", "created_at", "user_id", F.lit(0).alias("priority"),
+                    F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
     emb_src = st.where(F.col("kind").isin("quote", "retweet")).select(
-        F.col("target_id"), F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
+        "target_id", "kind", F.col("created_at").alias("seen_at"), F.col("id").alias("source_id"))
     orig = st.select("id", "created_at", "user_id")
     emb = emb_src.join(orig, emb_src.target_id == orig.id).select(
-        "id", "created_at", "user_id", F.lit(1).alias("priority"), "seen_at", "source_id")
+        F.when(F.col("kind") == "quote", -1 - F.col("id")).otherwise(F.col("id")).alias("id"),
+        "created_at", "user_id", F.lit(1).alias("priority"), "seen_at", "source_id")
     return top.unionByName(emb)
 
 

@@ -1,5 +1,6 @@
 """Writers (K1-K8).  Run parameters go to a small metadata file next to the
-data instead of into file names."""
+data instead of into file names.  CSV files double the quotes inside values,
+as the readers expect."""
 
 from __future__ import annotations
 
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Values are written as they are: quotes doubled, spaces at both ends kept.
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def _meta(df: DataFrame, folder: str, params: dict) -> None:
     spark = df.sparkSession
     spark.createDataFrame([(json.dumps(params, sort_keys=True, default=str),)], "params string") \
@@ -19,22 +24,22 @@ def write_sample(sample: DataFrame, folder: str, columns=("id", "text"), **param
     """K2: headerless CSV of the sample (or all columns with header)."""
     cols = list(columns)
     out = sample if cols == ["all"] else sample.select(*cols)
-    out.write.mode("overwrite").option("header", cols == ["all"]).csv(f"{folder}/data")
+    out.write.mode("overwrite").option("header", cols == ["all"]).options(**CSV).csv(f"{folder}/data")
     _meta(sample, folder, params)
 
 
 def write_cleaned_labels(labels: DataFrame, folder: str, **params) -> None:
     """K3: the full table and one folder per question with (id, text, label)."""
     labels.select("id", "text", "question_id", "question_tag", "label_id", "label_tag") \
-        .write.mode("overwrite").option("header", True).csv(f"{folder}/all")
+        .write.mode("overwrite").option("header", True).options(**CSV).csv(f"{folder}/all")
     labels.select("id", "text", F.col("label_tag").alias("label"), "question_tag") \
-        .write.mode("overwrite").option("header", True).partitionBy("question_tag").csv(f"{folder}/by_question")
+        .write.mode("overwrite").option("header", True).partitionBy("question_tag").options(**CSV).csv(f"{folder}/by_question")
     _meta(labels, folder, params)
 
 
 def write_splits(splits: DataFrame, folder: str, **params) -> None:
     """K4: one folder per (question, split)."""
-    splits.write.mode("overwrite").option("header", True).partitionBy("question_tag", "split").csv(folder)
+    splits.write.mode("overwrite").option("header", True).partitionBy("question_tag", "split").options(**CSV).csv(folder)
     _meta(splits, folder, params)
 
 
@@ -52,4 +57,4 @@ def write_counts(counts: DataFrame, folder: str) -> None:
 
 def write_translation_input(rows: DataFrame, folder: str) -> None:
     """K8: CSV (id, text) for the translation service, batches kept as a column."""
-    rows.select("id", "text", "batch").write.mode("overwrite").option("header", True).csv(folder)
+    rows.select("id", "text", "batch").write.mode("overwrite").option("header", True).options(**CSV).csv(folder)

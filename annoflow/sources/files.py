@@ -4,7 +4,8 @@ Layout (one folder per kind, as the pipeline writes them):
 ``annotations/<mode>/*.csv`` (header), ``samples/sampled_<dtype>_*.csv`` (no header: id, text),
 ``samples/batch_<n>/batch_<n>*.csv`` (no header), ``uploaded/<mode>/*.csv`` (header),
 ``cleaned/*.csv`` (header).  Every reader returns a DataFrame, also when no
-file matches (then with zero rows), instead of an empty set.
+file matches (then with zero rows), instead of an empty set; a root that is
+not there raises.  An empty value reads as null.  A "file" may also be a folder that Spark wrote.
 """
 
 from __future__ import annotations
@@ -28,12 +29,29 @@ CLEANED_SCHEMA = ("id string, text string, question_id bigint, question_tag stri
                   "label_tag string")
 
 
-def _files(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match, listed through the Hadoop file system: any store that Spark reads."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return sorted(f.getPath().toString() for f in found or [])
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _files(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths under ``root`` that match, listed through the Hadoop file system: any store that Spark reads."""
+    fs, top = _file_system(spark, root)
+    if not fs.exists(top):
+        raise FileNotFoundError(root)
+    _, path = _file_system(spark, os.path.join(root, pattern))
+    return sorted(f.getPath().toString() for f in fs.globStatus(path) or [])
+
+
+def _header(spark: SparkSession, path: str) -> str:
+    """First line of a file."""
+    fs, p = _file_system(spark, path)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -43,30 +61,29 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
 def read_annotations(spark: SparkSession, root: str, mode: str = "all", pattern: str = "*") -> DataFrame:
     """Annotation CSVs of one mode (or all); files may differ in columns.
 
-    Adds ``mode``, ``file`` and a file-order ``seq`` (file rank, row position),
-    ``annotator_id = coalesce(user_id, worker_id)`` and ``total_time``.
+    Files of equal header are read together.  Adds ``mode``, ``file`` and a file-order ``seq``
+    (mode, file, row position), ``annotator_id = coalesce(user_id, worker_id)`` and ``total_time``.
     Raises FileNotFoundError when nothing matches.
     """
     modes = MODES if mode in ("all", "*") else (mode,)
-    paths = [p for m in modes for p in _files(spark, os.path.join(root, m, f"{pattern}.csv"))]
-    if not paths:
+    layouts: dict[str, list[str]] = {}
+    for m in modes:
+        for path in _files(spark, root, os.path.join(m, f"{pattern}.csv")):
+            layouts.setdefault(_header(spark, path), []).append(path)
+    if not layouts:
         raise FileNotFoundError(f"no annotation files for mode {mode!r} under {root}")
     wanted = T._parse_datatype_string(ANNOTATION_SCHEMA)
-    frames = []
-    for rank, path in enumerate(paths):
-        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-        present = [f for f in wanted.fields if f.name in df.columns]
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in present])
-        df = df.withColumn("mode", F.lit(path.split(os.sep)[-2])).withColumn("file", F.lit(path)) \
-               .withColumn("seq", F.struct(F.lit(rank).alias("file_rank"),
-                                          F.monotonically_increasing_id().alias("row")))
-        frames.append(df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    for f in wanted.fields:
-        if f.name not in out.columns:
-            out = out.withColumn(f.name, F.lit(None).cast(f.dataType))
+    out = None
+    for paths in layouts.values():
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
+        file = F.col("_metadata.file_path")
+        # a multi-line CSV file is one split, so the id follows its row order
+        df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted.fields],
+                       F.regexp_extract(file, r"/([^/]+)/[^/]+$", 1).alias("mode"), file.alias("file"),
+                       F.monotonically_increasing_id().alias("_row"))
+        out = df if out is None else out.unionByName(df)
+    rank = F.array_position(F.array(*[F.lit(m) for m in modes]), F.col("mode"))
+    out = out.withColumn("seq", F.struct(rank.alias("mode_rank"), "file", F.col("_row").alias("row"))).drop("_row")
     out = out.withColumn("annotator_id", F.coalesce(F.col("user_id").cast("string"), F.col("worker_id")))
     return out.withColumn("total_time", total_time("full_log", "mode"))
 
@@ -79,37 +96,31 @@ def null_tag_counts(ann: DataFrame) -> DataFrame:
 
 def read_sampled(spark: SparkSession, root: str, dtype: str = "*") -> DataFrame:
     """Headerless sample files; ``sample_pos`` keeps the file order."""
-    paths = _files(spark, os.path.join(root, f"sampled_{dtype}_*.csv"))
+    paths = _files(spark, root, f"sampled_{dtype}_*.csv")
     if not paths:
-        return _empty(spark, SAMPLE_SCHEMA + ", sample_pos struct<file_rank:int,row:bigint>")
-    frames = []
-    for rank, path in enumerate(paths):
-        # a multi-line CSV file is one split, so the id follows its row order
-        df = spark.read.schema(SAMPLE_SCHEMA).option("multiLine", True).csv(path)
-        frames.append(df.withColumn("sample_pos", F.struct(F.lit(rank).alias("file_rank"),
-                                                           F.monotonically_increasing_id().alias("row"))))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        return _empty(spark, SAMPLE_SCHEMA + ", sample_pos struct<file:string,row:bigint>")
+    # a multi-line CSV file is one split, so the id follows its row order
+    df = spark.read.schema(SAMPLE_SCHEMA).option("multiLine", True).option("escape", '"').csv(paths)
+    return df.withColumn("sample_pos", F.struct(F.col("_metadata.file_path").alias("file"),
+                                                F.monotonically_increasing_id().alias("row")))
 
 
 def read_batches(spark: SparkSession, root: str) -> DataFrame:
     """All previous batches with their ``batch_id``."""
-    paths = _files(spark, os.path.join(root, "batch_*", "batch_*.csv"))
+    paths = _files(spark, root, os.path.join("batch_*", "batch_*.csv"))
     if not paths:
         return _empty(spark, SAMPLE_SCHEMA + ", batch_id int")
-    df = spark.read.schema(SAMPLE_SCHEMA).option("multiLine", True).csv(paths)
+    df = spark.read.schema(SAMPLE_SCHEMA).option("multiLine", True).option("escape", '"').csv(paths)
     return df.withColumn("batch_id", F.regexp_extract(F.col("_metadata.file_path"),
-                                                      r"batch_(\d+)/[^/]+$", 1).cast("int"))
+                                                      r"/batch_(\d+)/batch_", 1).cast("int"))
 
 
 def read_uploaded(spark: SparkSession, root: str, availability: str | None = None, mode: str = "*") -> DataFrame:
     """Uploaded batches (with availability), optionally one availability."""
-    paths = _files(spark, os.path.join(root, mode, "*.csv"))
+    paths = _files(spark, root, os.path.join(mode, "*.csv"))
     if not paths:
         return _empty(spark, UPLOADED_SCHEMA + ", mode string")
-    df = spark.read.schema(UPLOADED_SCHEMA).option("header", True).option("multiLine", True).csv(paths)
+    df = spark.read.schema(UPLOADED_SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
     df = df.withColumn("mode", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1))
     if availability is not None:
         if availability not in ("available", "unavailable"):
@@ -128,9 +139,9 @@ def checked(uploaded: DataFrame, availability: str | None = None, df: DataFrame
 
 def read_cleaned(spark: SparkSession, root: str, name: str = "cleaned_labels*") -> DataFrame:
     """S11 input: the cleaned-label file (exactly one must match)."""
-    paths = _files(spark, os.path.join(root, f"{name}.csv"))
+    paths = _files(spark, root, f"{name}.csv")
     if not paths:
         raise FileNotFoundError(f"no cleaned label files {name}.csv under {root}")
     if len(paths) > 1:
         raise ValueError(f"{len(paths)} cleaned label files match {name}; name one")
-    return spark.read.schema(CLEANED_SCHEMA).option("header", True).option("multiLine", True).csv(paths)
+    return spark.read.schema(CLEANED_SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)

@@ -151,7 +151,9 @@ def test_uploaded_and_batches(spark, tmp_path):
     (s / "batch_3_2020.csv").write_text("5,x\n6,y\n")
     assert [r.tweet_id for r in files.read_uploaded(spark, str(tmp_path / "uploaded"), "unavailable").collect()] == ["2"]
     assert {r.batch_id for r in files.read_batches(spark, str(tmp_path / "samples")).collect()} == {3}
-    assert files.read_batches(spark, str(tmp_path / "nothing")).count() == 0
+    assert files.read_sampled(spark, str(tmp_path / "samples")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        files.read_batches(spark, str(tmp_path / "nothing"))
 
 
 def test_batch_repeated_after_a_failure_counts_once(spark, tmp_path, monkeypatch):
@@ -220,3 +222,37 @@ def test_top_level_copy_replaces_a_stored_embedded_one(spark, tmp_path):
         ingest.merge_batch(lines_df(spark, [json.dumps(x) for x in lines]).drop("day"), store)
     got = {r.id: (r.text, r.num_retweets) for r in ingest.read_store(spark, store).collect()}
     assert got == {"1": ("the whole text", 1), "2": ("short", 0)}
+
+
+def test_csv_texts_with_quotes_and_newlines_round_trip(spark, tmp_path):
+    from annoflow import sinks
+
+    texts = ['say "hi", you', "two\nlines", "back\\slash \\", '"', "  spaces "]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
+    sinks.write_sample(df, str(tmp_path / "run"))
+    df.write.options(**sinks.CSV).csv(str(tmp_path / "samples" / "sampled_random_1.csv"))
+    got = {r.tweet_id: r.tweet_text for r in files.read_sampled(spark, str(tmp_path / "samples")).collect()}
+    assert [got[str(i)] for i in range(len(texts))] == texts
+    again = spark.read.schema(files.SAMPLE_SCHEMA).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "run" / "data"))
+    assert {r.tweet_id: r.tweet_text for r in again.collect()} == got
+
+
+def test_newest_predictions_of_a_model_win(spark, tmp_path):
+    from annoflow.operators import predictions
+
+    for day, label in (("2020-01-05", "old"), ("2020-02-01", "new"), ("2019-12-31", "older")):
+        (tmp_path / f"predicted_topic_{day}_ab1cd.csv").write_text(f"id,label,probability,labels,probabilities\n1,{label},0.5,,\n")
+    long = predictions.read_predictions(spark, str(tmp_path))
+    assert {r.model for r in long.collect()} == {"topic"}
+    assert [r.label_topic for r in predictions.wide_predictions(long).collect()] == ["new"]
+
+
+def test_encryption_hides_and_joins(spark):
+    from annoflow.functions import privacy
+
+    df = spark.createDataFrame([("amy",), ("amy",), ("bob",)], "v string")
+    enc = [r[0] for r in df.select(privacy.encrypt_value(F.col("v"), "0123456789abcdef")).collect()]
+    assert enc[0] == enc[1] != enc[2] and "amy" not in enc
+    gcm = df.select(privacy.encrypt_value(F.col("v"), "0123456789abcdef", deterministic=False).alias("e"), "v")
+    assert all(r.d == r.v != r.e for r in gcm.select("e", "v", privacy.decrypt_value(
+        F.col("e"), "0123456789abcdef", deterministic=False).alias("d")).collect())
