@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annoflow.operators.stats import exact_median
+
 
 def stage_overview(raw_lines: DataFrame | None = None, parsed: DataFrame | None = None,
                    sampled: DataFrame | None = None, annotations: DataFrame | None = None,
@@ -26,7 +28,10 @@ def stage_overview(raw_lines: DataFrame | None = None, parsed: DataFrame | None
 
 def outlier_summary(outliers: DataFrame) -> DataFrame:
     """Per criterion (agreement, time) the number and share of outliers,
-    non-outliers and not-considered annotators, and mean/median/min/max value."""
+    non-outliers and not-considered annotators, and mean/median/min/max value.
+
+    The annotators are stored once, as the exact medians read them several times."""
+    outliers = outliers.checkpoint(eager=True)
     rows = []
     total = F.count("*")
     for by in ("agreement", "time"):
@@ -39,7 +44,7 @@ def outlier_summary(outliers: DataFrame) -> DataFrame:
             F.count_if(tag.isNull()).alias("n_not_considered"),
             F.round(100.0 * F.count_if(tag == "outlier") / total, 9).alias("pct_outlier"),
             F.round(F.avg(val), 9).alias("mean_value"),
-            F.round(F.median(val), 9).alias("median_value"),
+            F.round(F.lit(exact_median(outliers, val)).cast("double"), 9).alias("median_value"),
             F.round(F.min(val), 9).alias("min_value"),
             F.round(F.max(val), 9).alias("max_value")))
     return rows[0].unionByName(rows[1])
