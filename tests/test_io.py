@@ -56,3 +56,20 @@ def test_writers(spark, tmp_path):
     train = spark.read.text(str(tmp_path / "pt" / "train"))
     assert train.count() == 20
     assert train.select(F.input_file_name()).distinct().count() >= 5
+
+
+def test_splits_counts_and_translation_files_read_back(spark, tmp_path):
+    rows = spark.createDataFrame([("1", 'a "b"', "q", "train", 0), ("2", "c\nd", "q", "dev", 1)],
+                                 "id string, text string, question_tag string, split string, batch int")
+    sinks.write_splits(rows.drop("batch"), str(tmp_path / "splits"), seed=1)
+    sinks.write_translation_input(rows, str(tmp_path / "translation"))
+    sinks.write_counts(rows.select("id", "batch"), str(tmp_path / "counts"))
+
+    def read(folder):
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / folder))
+
+    want = {("1", 'a "b"'), ("2", "c\nd")}
+    assert {(r.id, r.text) for r in read("translation").collect()} == want
+    assert {(r.id, r.text) for r in read("splits").collect()} == want
+    assert {(r.id, r.split) for r in read("splits").collect()} == {("1", "train"), ("2", "dev")}
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "counts")).collect()} == {("1", 0), ("2", 1)}
