@@ -208,19 +208,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other.  A null id is never the smallest unless all are null.  Repeated rows keep a row each.
     An empty table gives no rows.  Other columns are not read.
     """
-    return keyed_near_duplicates(docs, id_col, text_col, shingle, distance).drop("_k1", "_k2")
+    return keyed_near_duplicates(docs, id_col, text_col, shingle, distance).drop("_k1", "_k2", "root")
 
 
 def keyed_near_duplicates(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, distance=DISTANCE):
-    """``near_duplicates`` with the row's key (of id and text) as _k1 and _k2."""
+    """``near_duplicates`` with the row's key (of id and text) as _k1 and _k2, and root, the smallest fingerprint of the
+    component: unlike component_id, which may be null or shared by repeated ids, it names one component only."""
     prints = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct.select("fp"), distance))
     rooted = (distinct.join(roots.select(F.col("u").alias("fp"), "v"), "fp", "left")
               .select("fp", "least", F.coalesce("v", "fp").alias("root")))
     rooted = stage(rooted, "roots")
-    classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return prints.join(classes, "fp").select("_k1", "_k2", "doc_id", "fp", "component_id")
+    classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return prints.join(classes, "fp").select("_k1", "_k2", "doc_id", "fp", "root", "component_id")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -39,8 +39,8 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     _batches(spark)
     found = simhash.keyed_near_duplicates(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_k1", "_k2")).alias("f")
-    # A group may have any component id, null among them if no id is known: its root text then names it.
-    kept = found.groupBy("component_id").agg(first).select("f._k1", "f._k2")
+    # Not by component_id: it is null where no id is known, and components share it where ids repeat.
+    kept = found.groupBy("root").agg(first).select("f._k1", "f._k2")
     k1, k2 = row_key("doc_id", "text")
     one = docs.withColumns({"_k1": k1, "_k2": k2}).join(kept, ["_k1", "_k2"], "left_semi")
     return one.dropDuplicates(["_k1", "_k2"]).select(*docs.columns)

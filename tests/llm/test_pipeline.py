@@ -46,3 +46,11 @@ def test_odd_and_empty(spark, odd, empty, sf001):
                 assert out.columns == docs.columns
     once = C.dedup_documents(spark, odd, sf001).collect()
     assert sum(r.text == "one two three" for r in once) == 1
+
+
+def test_unlike_texts_without_an_id_or_of_one_id(spark, sf001):
+    texts = [" ".join(f"{a}{i}" for i in range(60)) for a in "abcde"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[4])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in C.dedup_documents(spark, docs, sf001).collect()]
+    assert sorted(got, key=str) == sorted([(None, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4])], key=str)
