@@ -3,8 +3,9 @@
 Counts of each text become a vector of transformed statistics.  For each language
 and source a minimum-covariance-determinant estimate (location and scatter of the
 share ``support`` of its texts with the smallest determinant) is found by
-concentration steps from two starts; texts beyond a chi-square bound on the squared
-Mahalanobis distance are rejected.
+concentration steps from two starts.  It rests on half of the texts, the breakdown support, and is
+then reweighted: location and scatter are taken anew of the texts within a chi-square bound.  Texts
+beyond a bound on the squared Mahalanobis distance to that are rejected.
 
 Everything is DataFrame expressions.  Statistics are whole numbers (thousandths), so
 sums and exact percentiles do not depend on how rows are dealt out.  Groups are only ever
@@ -32,7 +33,9 @@ STATISTICS = {
     "repeats": ("sqrt(n_repeat_words / n_words)", 0.25),
 }
 SCALE = 1000
-SUPPORT = 0.75       # share of a group that the estimate rests on
+SUPPORT = 0.75       # share of a group that an estimate rests on unless told otherwise
+BREAKDOWN = 0.5      # share that verdicts rest on: just under half of a group may be junk
+WITHIN = 0.975       # chance of a normal vector to take part in the reweighted estimate
 PRIOR_ROWS = 20      # weight, in texts, of the prior scatter (twice the resolution) in small groups
 REJECT = 1e-6        # chance of a normal vector beyond the bound
 MAX_STEPS = 10       # concentration steps; they stop when no group's determinant still falls
@@ -151,11 +154,15 @@ def _on_group(rows: DataFrame, groups: DataFrame, *more: str, how: str = "inner"
     return rows.join(other, on, how).drop(*(f"_{c}" for c in keys))
 
 
-def mcd(vectors: DataFrame) -> DataFrame:
+def _consistency(share: float, p: int) -> float:
+    """Makes the scatter of the nearest share of vectors consistent for normal ones."""
+    return share / _chi2_cdf(chi2_quantile(share, p), p + 2)
+
+
+def mcd(vectors: DataFrame, support: float = SUPPORT) -> DataFrame:
     """Estimate per (lang, source) from rows (lang, source, x0..)."""
     p, x, pairs = _names()
-    q = chi2_quantile(SUPPORT, p)
-    factor = SUPPORT / _chi2_cdf(q, p + 2)  # makes the trimmed scatter consistent for normal vectors
+    factor = _consistency(support, p)
     # Start 0: all texts of the group.  Start 1: medians, and medians of absolute deviations.
     med = vectors.groupBy("lang", "source").agg(*(F.percentile(c, 0.5).alias(f"med{i}") for i, c in enumerate(x)))
     spread = (_on_group(vectors, med)
@@ -173,7 +180,7 @@ def mcd(vectors: DataFrame) -> DataFrame:
     now = stage(_with_scatter(classic.unionByName(robust), 1.0).withColumn("changed", F.lit(True)), "mcd")
     for _ in range(MAX_STEPS):
         far = _on_group(vectors, now).withColumn("d", F.floor(F.log1p(_distance()) * 4096).cast("int"))
-        cut = far.groupBy("lang", "source", "start").agg(F.percentile("d", SUPPORT).alias("cut"))
+        cut = far.groupBy("lang", "source", "start").agg(F.percentile("d", support).alias("cut"))
         near = _on_group(far, cut, "start").where("d <= cut").select("lang", "source", "start", *x)
         new = _with_scatter(_moments(near), factor)
         old = now.select("lang", "source", "start", F.col("logdet").alias("was"))
@@ -187,6 +194,14 @@ def mcd(vectors: DataFrame) -> DataFrame:
     return best.select("lang", "source", *(F.col(f"b.{c}").alias(c) for c in names if c not in ("n", "changed")))
 
 
+def reweighted(vectors: DataFrame, estimate: DataFrame) -> DataFrame:
+    """The estimate from all vectors within the chi-square bound of ``estimate``, for efficiency."""
+    p, x, _ = _names()
+    near = _on_group(vectors, estimate).where(_distance() <= chi2_quantile(WITHIN, p)).select("lang", "source", *x)
+    return (_with_scatter(_moments(near.withColumn("start", F.lit(0))), _consistency(WITHIN, p))
+            .drop("start", "n", "logdet"))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           source_col: str = "source", reject: float = REJECT) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base counts, base_failed, distance (squared, null if
@@ -211,7 +226,8 @@ def keyed_judge(docs, id_col="doc_id", text_col="text", lang_col="lang", source_
         c: F.when(~F.col("base_failed"), F.round(F.expr(e) * SCALE).cast("long"))
         for c, (e, _) in zip(x, STATISTICS.values())})
     counts = stage(counts, "quality")
-    estimate = mcd(counts.where(~F.col("base_failed")).select("lang", "source", *x))
+    vectors = counts.where(~F.col("base_failed")).select("lang", "source", *x)
+    estimate = reweighted(vectors, mcd(vectors, BREAKDOWN))
     judged = (_on_group(counts, estimate, how="left")
               .withColumn("distance", F.when(~F.col("base_failed"), F.round(_distance(), 6))))
     bound = chi2_quantile(1 - reject, p)

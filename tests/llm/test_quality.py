@@ -58,6 +58,16 @@ def test_outliers_are_found_among_a_quarter_of_junk(spark):
     assert all(got[i] == (i % 5 != 0) for i in got)
 
 
+@pytest.mark.parametrize("share", [35, 40])
+def test_outliers_are_found_among_copies_of_one_junk_text(spark, share):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("aeioustrn"), rng.integers(3, 8))) for _ in range(4000)]
+    junk = " ".join(x + "***" for x in rng.choice(words, 120))
+    rows = [(i, junk if i % 100 < share else " ".join(rng.choice(words, 120)), "en", None) for i in range(400)]
+    got = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i] == (i % 100 >= share) for i in got)
+
+
 def test_estimate_against_numpy(spark):
     """The chosen subset satisfies the fixed point of the concentration step."""
     rng = np.random.default_rng(2)
