@@ -1,10 +1,11 @@
 """License scans (operator 7): a positional rare-token index.
 
-Templates are indexed by word and position.  The document frequency of their words is counted over all
-documents, and a file's licence words of highest IDF, the anchors, are looked up.  Each anchor
-proposes where its template would begin; places on which enough of a template's anchors agree are
-candidates, and the mandatory key phrases have to stand at their positions there.  Apart
-from that, plain phrases are counted wherever their words stand together.
+All words of all templates are indexed by position.  The document frequency of the words is counted over
+all documents, and of the template words that a file has, those of highest IDF, its anchors, are looked up.
+Each anchor proposes where its template would begin; places on which enough anchors agree, or where
+a mandatory key phrase stands, are candidates, and all mandatory phrases have to stand at
+their positions there.  A template whose phrases have a word that the file lacks is not looked
+up: it cannot be found.  Apart from that, plain phrases are counted wherever their words stand together.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ TEMPLATES = [
      ["creative commons attribution"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["unencumbered software"]),
 ]
-ANCHORS = 4      # words of highest IDF that a template is looked up by
-AGREE = 2        # anchors that must agree on a place
+ANCHORS = 4      # words of highest IDF, of those in the file, that a template is looked up by
+AGREE = 2        # anchors that must agree on a place without a mandatory phrase
 
 
 def _hash(words: list[str]) -> np.ndarray:
@@ -58,36 +59,47 @@ def _hash(words: list[str]) -> np.ndarray:
 
 
 class Index:
-    """Postings of the templates' anchors, given the document frequency of their words."""
+    """Postings of all words of the templates, given the document frequency of the words."""
 
     def __init__(self, templates, frequency: dict[str, int], documents: int):
         self.templates = [(label, words.split(), [k.split() for k in keys]) for label, words, keys in templates]
         self.idf = {w: float(np.log((documents + 1) / (frequency.get(w, 0) + 1))) for _, t, _ in self.templates for w in t}
-        self.postings = defaultdict(list)
-        for i, (_, t, keys) in enumerate(self.templates):
-            rare = sorted(set(t), key=lambda w: (-self.idf[w], w))[:ANCHORS]
+        self.postings = [defaultdict(list) for _ in self.templates]
+        for i, (_, t, _) in enumerate(self.templates):
             for at, w in enumerate(t):
-                if w in rare:
-                    self.postings[w].append((i, at))
+                self.postings[i][w].append(at)
+        self.rarest = [sorted(p, key=lambda w: (-self.idf[w], w)) for p in self.postings]
+        self.mandatory = [{w for k in keys for w in k} for _, _, keys in self.templates]
         self.weight = [sum(self.idf[w] for w in t) for _, t, _ in self.templates]
-        self.need = [min(AGREE, len({w for w in t if any(p[0] == i for p in self.postings.get(w, ()))}))
-                     for i, (_, t, _) in enumerate(self.templates)]
-
-    def labels(self, anchors: list[tuple[int, str]], word, n: int) -> dict[str, float]:
-        """Label -> share of the template's IDF in place, from (position, anchor) pairs; word(i) is the file's i-th word."""
-        places = defaultdict(set)
-        for at, w in anchors:
-            for i, offset in self.postings[w]:
-                places[i, at - offset].add(w)
+
+    def anchors(self, i: int, present) -> list[str]:
+        """Words of template i to look up in a file with the words ``present``: the rarest, a mandatory one among them."""
+        here = [w for w in self.rarest[i] if w in present]
+        out = here[:ANCHORS]
+        if self.mandatory[i] and not self.mandatory[i] & set(out):
+            out += [w for w in here if w in self.mandatory[i]][:1]
+        return out
+
+    def labels(self, places_of: dict[str, list[int]], word, n: int) -> dict[str, float]:
+        """Label -> share of the template's IDF in place; places_of has the positions of each template word in the file,
+        word(i) is the file's i-th word."""
         out: dict[str, float] = {}
-        for (i, begin), agreed in places.items():
-            label, t, keys = self.templates[i]
-            if len(agreed) < self.need[i]:
+        for i, (label, t, keys) in enumerate(self.templates):
+            if not self.mandatory[i] <= places_of.keys():
                 continue
-            there = [word(begin + j) if 0 <= begin + j < n else None for j in range(len(t))]
-            if all(any(t[j:j + len(k)] == k == there[j:j + len(k)] for j in range(len(t) - len(k) + 1)) for k in keys):
-                score = sum(self.idf[w] for w, x in zip(t, there) if w == x) / (self.weight[i] or 1.0)
-                out[label] = max(out.get(label, 0.0), min(1.0, score))
+            places = defaultdict(set)
+            for w in self.anchors(i, places_of):
+                for at in places_of[w]:
+                    for offset in self.postings[i][w]:
+                        places[at - offset].add(w)
+            for begin, agreed in places.items():
+                if not keys and len(agreed) < min(AGREE, len(self.postings[i])):
+                    continue
+                there = [word(begin + j) if 0 <= begin + j < n else None for j in range(len(t))]
+                # A mandatory phrase in place counts as agreement, and all of them have to be.
+                if all(any(t[j:j + len(k)] == k == there[j:j + len(k)] for j in range(len(t) - len(k) + 1)) for k in keys):
+                    score = sum(self.idf[w] for w, x in zip(t, there) if w == x) / (self.weight[i] or 1.0)
+                    out[label] = max(out.get(label, 0.0), min(1.0, score))
         return out
 
 
@@ -148,7 +160,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, id_col: str = "doc_id"
     vocabulary, hashes, order = _vocabulary(templates, base)
     ids = {x: i for i, x in enumerate(vocabulary)}
     index = Index(templates, frequency, docs.count())
-    anchor = np.array([x in index.postings for x in vocabulary])
+    at_word = {x: i for i, x in enumerate(vocabulary)}
+    needed = [np.array([at_word[x] for x in sorted(m)], dtype=np.int64) for m in index.mandatory]
+    inside = np.array([x in index.idf for x in vocabulary])
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()),
                         ("last_word", pa.int64()), ("base_labels", pa.list_(pa.string())), ("labels", pa.list_(pa.string())), ("score", pa.float64())])
 
@@ -164,10 +178,15 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, id_col: str = "doc_id"
                         t = int(np.searchsorted(first, at, side="right")) - 1
                         places[t].append(at - int(first[t]))
                         found[t].add(label)
-                anchors = defaultdict(list)
-                for at in np.flatnonzero((wid >= 0) & anchor[wid]).tolist():
-                    t = int(np.searchsorted(first, at, side="right")) - 1
-                    anchors[t].append((at - int(first[t]), vocabulary[wid[at]]))
+                hits = np.flatnonzero((wid >= 0) & inside[wid])
+                text = np.searchsorted(first, hits, side="right") - 1
+                has = np.zeros((n, len(vocabulary)), dtype=bool)
+                has[text, wid[hits]] = True
+                # Texts in which some template has all words of its mandatory phrases; the others cannot match.
+                able = np.any([has[:, m].all(axis=1) & has.any(axis=1) for m in needed], axis=0) if needed else np.zeros(n, dtype=bool)
+                anchors = defaultdict(lambda: defaultdict(list))
+                for t, at in zip(text[able[text]].tolist(), hits[able[text]].tolist()):
+                    anchors[t][vocabulary[wid[at]]].append(at - int(first[t]))
                 rows = []
                 for t in range(n):
                     base_labels = found.get(t, set())

@@ -45,3 +45,11 @@ def test_templates(spark, odd, empty):
 def test_phrases_do_not_cross_documents(spark):
     rows = check(spark.createDataFrame([(1, "mit"), (2, "license apache"), (3, "license")], "doc_id long, text string").coalesce(1))
     assert {r.n_base for r in rows.values()} == {0}
+
+
+def test_templates_cut_short_in_the_whole_corpus(spark):
+    """Most words of the templates are in no document, the mandatory phrases are."""
+    texts = ["under the terms of the GNU Lesser General Public License", "x mozilla public license y", "x licensed under CC BY-NC", "nothing of it",
+             "license lesser gnu general public"]
+    rows = check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [rows[i].labels for i in range(5)] == ["lgpl", "mpl-2.0", "cc-by,cc-by-nc", "", ""]
