@@ -30,13 +30,13 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: a lost executor recomputes nothing that lies before it.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

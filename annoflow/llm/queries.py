@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from annoflow.llm import (chat, decontamination, licenses, line_dedup, oracles, pieces, pii, quality, sharding, simhash,
                           token_files)
-from annoflow.llm.common import read
+from annoflow.llm.common import read, shared_path
 
 #: Arrow rows sent to Python at once; documents may be long.
 BATCH_ROWS = "1000"
@@ -50,7 +50,10 @@ def op5_token_files(spark, sf_dir):
 
 
 def op6_sharding(spark, sf_dir):
-    return sharding.assign_shards(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents")
+    path = shared_path(spark, "shards")
+    sharding.write_shards(docs, path)
+    return sharding.written_shards(spark, path, docs.schema)
 
 
 def op7_license_scan(spark, sf_dir):

@@ -9,7 +9,8 @@ per prefix; rows of buckets that still are too large at the end of a page go on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from annoflow.llm.common import stage
 
@@ -19,7 +20,7 @@ PAGE = 4 * DIGITS
 ADDRESS_DIGITS = 64
 
 
-def _addresses(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _addresses(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
     def part(c):
         return F.lpad(F.lower(F.hex(c)), 16, "0")
 
@@ -27,7 +28,7 @@ def _addresses(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.concat(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), part(F.xxhash64(text)),
-                 part(F.xxhash64(F.monotonically_increasing_id()))).alias("address"))
+                 part(F.xxhash64(F.monotonically_increasing_id()))).alias("address"), *more)
 
 
 def assign_shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -38,11 +39,16 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", t
     are split by their texts; repeated rows by a row number that is written before use.  An
     empty table has no shards.  Other columns are not read.
     """
-    rows = stage(_addresses(docs, id_col, text_col), "addresses")
-    spark, out, page = docs.sparkSession, None, 0
+    return _assigned(stage(_addresses(docs, id_col, text_col), "addresses"), limit)
+
+
+def _assigned(rows: DataFrame, limit: int) -> DataFrame:
+    """``assign_shards`` of staged addresses; further columns of ``rows`` stay with their row."""
+    more = [c for c in rows.columns if c not in ("doc_id", "n_bytes", "address")]
+    out, page = None, 0
     total = rows.agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).first()
     if (total["b"] or 0) <= limit or total["n"] <= 1:
-        return rows.select("doc_id", "n_bytes", F.lit("s").alias("shard"), F.lit(0).alias("depth"),
+        return rows.select(*more, "doc_id", "n_bytes", F.lit("s").alias("shard"), F.lit(0).alias("depth"),
                            F.lit(total["b"] or 0).cast("long").alias("shard_bytes"), F.lit(total["n"]).cast("long").alias("shard_rows"))
     while True:
         done = DIGITS * page                     # digits that the open buckets share
@@ -64,7 +70,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", t
         directory = stage(sums.select("entry").join(leaf, "entry", "left"), "directory")
         shared = _bits(F.substring("entry", 1, done), done)
         placed = (rows.withColumn("entry", entry).join(directory.where("leaf is not null"), "entry")
-                  .select("doc_id", "n_bytes", F.concat(F.lit("s"), shared, "leaf.prefix").alias("shard"),
+                  .select(*more, "doc_id", "n_bytes", F.concat(F.lit("s"), shared, "leaf.prefix").alias("shard"),
                           (F.col("leaf.d") + 4 * done).cast("int").alias("depth"),
                           F.col("leaf.b").alias("shard_bytes"), F.col("leaf.n").alias("shard_rows")))
         out = placed if out is None else out.unionByName(placed)
@@ -83,6 +89,20 @@ def _bits(digits, n: int):
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Writes ``docs`` under path/shard=..., each shard by one task.  Ids must be unique."""
-    shards = assign_shards(docs, limit, id_col, text_col).select(F.col("doc_id").alias(id_col), "shard")
-    docs.join(shards, id_col).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    """Writes ``docs`` under path/shard=..., each shard by one task, every row once.
+
+    The whole row goes with its address, so null and repeated ids and repeated rows need no join.
+    """
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
+    rows = _assigned(stage(_addresses(docs, id_col, text_col, whole), "addresses", compression="zstd"), limit)
+    rows.select("_row.*", "shard").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def written_shards(spark: SparkSession, path: str, schema: StructType, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The columns of ``assign_shards``, from the files of ``write_shards`` of rows with this schema."""
+    files = spark.read.schema(StructType([*schema.fields, StructField("shard", StringType())])).parquet(path)
+    rows = files.select(F.col(id_col).alias("doc_id"), "shard",
+                        F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
+    sums = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows"))
+    return rows.join(sums, "shard").select("doc_id", "n_bytes", "shard", (F.length("shard") - 1).cast("int").alias("depth"),
+                                           "shard_bytes", "shard_rows")

@@ -51,3 +51,13 @@ def test_files(spark, sf001, tmp_path):
     S.write_shards(docs, str(tmp_path / "out"), 50_000)
     back = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
     assert sorted(r.doc_id for r in back.collect()) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_files_of_null_and_repeated_ids(spark, tmp_path):
+    rows = [(1, "x" * 10)] * 4 + [(1, "w" * 10)] + [(None, "y" * 10)] * 4 + [(None, None), (2, "z" * 100)]
+    docs, out = spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "out")
+    S.write_shards(docs, out, 30)
+    back = spark.read.parquet(out)
+    assert sorted(((r.doc_id, r.text) for r in back.collect()), key=str) == sorted(rows, key=str)
+    got = S.written_shards(spark, out, docs.schema).collect()
+    assert len(got) == len(rows) and all(r.shard_bytes <= 30 or r.shard_rows == 1 for r in got)
