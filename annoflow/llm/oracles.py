@@ -56,3 +56,18 @@ leaf AS (SELECT l.doc_id, l.b, l.d, l.prefix, k.total, k.n, row_number() OVER (P
 SELECT doc_id, CAST(b AS BIGINT) AS n_bytes, 's' || prefix AS shard, CAST(d AS INTEGER) AS depth, CAST(total AS BIGINT) AS shard_bytes,
        CAST(n AS BIGINT) AS shard_rows
 FROM leaf WHERE r = 1"""
+
+RANKED_SEARCH = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM docs WHERE len(ws) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM docs) GROUP BY r, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+items AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_WORDS}) AS term FROM benchmark)),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, corpus),
+parts AS (SELECT i.item_id, d.r, d.doc_id,
+                 w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (100 - 90 + (90 * len(d.ws) * n_docs) // n_terms))) AS part
+          FROM items i JOIN tf ON i.term = tf.term JOIN weights w ON w.term = i.term JOIN docs d ON d.r = tf.r, corpus),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY item_id, r, doc_id),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+                  doc_id, score FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10"""

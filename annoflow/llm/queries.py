@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from annoflow.llm import (chat, decontamination, licenses, line_dedup, oracles, pieces, pii, quality, sharding, simhash,
-                          token_files)
+from annoflow.llm import (chat, decontamination, lexical, licenses, line_dedup, oracles, periodic, pieces, pii, quality, sharding,
+                          simhash, token_files)
 from annoflow.llm.common import read, shared_path
 
 #: Arrow rows sent to Python at once; documents may be long.
@@ -76,12 +76,23 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.digest(pieces.encode_documents(read(spark, sf_dir, "documents"), tokenizer(pieces.MODEL)))
 
 
+def op12_ranked_search(spark, sf_dir):
+    _batches(spark)
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    _batches(spark)
+    return periodic.digest(periodic.periodic_runs(read(spark, sf_dir, "documents"), plant=True))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality_rules, op3_line_dedup, op4_chat_formatting, op5_token_files, op6_sharding, op7_license_scan,
-    op8_simhash, op9_personal_data, op10_sentencepiece)}
+    op8_simhash, op9_personal_data, op10_sentencepiece, op12_ranked_search, op13_periodic_runs)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": oracles.DECONTAMINATION,
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op6_sharding": oracles.SHARDING,
+    "op12_ranked_search": oracles.RANKED_SEARCH,
 }

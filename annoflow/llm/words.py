@@ -67,8 +67,8 @@ def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return out
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Words of an Arrow string array; a null text has none."""
+def words_of(texts: pa.Array, hashed: bool = True) -> Words:
+    """Words of an Arrow string array; a null text has none.  ``hashed=False`` leaves their hashes out."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
@@ -90,7 +90,21 @@ def words_of(texts: pa.Array) -> Words:
     closes[cut - 1] = inside[cut - 1]
     start = np.flatnonzero(opens)
     end = np.flatnonzero(closes) + 1
-    return Words(data, start, end, np.searchsorted(start, bounds), _word_hashes(data, start, end))
+    return Words(data, start, end, np.searchsorted(start, bounds),
+                 _word_hashes(data, start, end) if hashed else np.zeros(0, np.uint64))
+
+
+def word_strings(w: Words) -> pa.Array:
+    """All words as an Arrow string array."""
+    size = w.end - w.start
+    ends = np.cumsum(size)
+    # The bytes of all words in a row: each word's first byte, then steps of one.
+    at = np.ones(int(ends[-1]) if len(ends) else 0, dtype=np.int64)
+    if len(ends):
+        at[0] = w.start[0]
+        at[ends[:-1]] = w.start[1:] - w.end[:-1] + 1
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(w.data[np.cumsum(at)]))
 
 
 def shingle_hashes(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
