@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from annoflow.llm import (chat, decontamination, lexical, licenses, line_dedup, oracles, periodic, pieces, pii, quality, sharding,
-                          simhash, token_files)
+from functools import cache
+
+from annoflow.llm import (chat, decontamination, html_pages, html_text, lexical, licenses, line_dedup, oracles, periodic, pieces,
+                          pii, quality, sharding, simhash, token_files)
 from annoflow.llm.common import read, shared_path
 
 #: Arrow rows sent to Python at once; documents may be long.
@@ -76,6 +78,16 @@ def op10_sentencepiece(spark, sf_dir):
     return pieces.digest(pieces.encode_documents(read(spark, sf_dir, "documents"), tokenizer(pieces.MODEL)))
 
 
+@cache
+def _page_model(pages: int) -> html_text.Model:
+    return html_text.fit(list(html_pages.labelled_pages(pages)))
+
+
+def op11_html_text(spark, sf_dir):
+    _batches(spark)
+    return html_text.digest(html_text.extract(read(spark, sf_dir, "pages"), _page_model(html_pages.TRAINING_PAGES)))
+
+
 def op12_ranked_search(spark, sf_dir):
     _batches(spark)
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
@@ -88,7 +100,8 @@ def op13_periodic_runs(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_decontamination, op2_quality_rules, op3_line_dedup, op4_chat_formatting, op5_token_files, op6_sharding, op7_license_scan,
-    op8_simhash, op9_personal_data, op10_sentencepiece, op12_ranked_search, op13_periodic_runs)}
+    op8_simhash, op9_personal_data, op10_sentencepiece, op11_html_text,
+    op12_ranked_search, op13_periodic_runs)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": oracles.DECONTAMINATION,
