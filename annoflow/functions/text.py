@@ -1,20 +1,15 @@
 """Text column expressions.
 
-All of them are JVM regex expressions.  Python's ``\\w``, ``\\s`` and ``\\b``
+All of them are JVM expressions.  Python's ``\\w``, ``\\s`` and ``\\b``
 are Unicode-aware while Java's are ASCII, so the classes are spelled out.
-The one step without a Spark builtin, HTML entity decoding, is an
-Arrow-batched pandas UDF that only receives strings containing ``&``.
 """
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from annoflow.functions import entities
 from annoflow.functions.stopwords import ENGLISH_STOP_WORDS
 
 # The whitespace characters of Python's str.split()/str.strip(),
@@ -53,33 +48,9 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), f"^{WS}+|{WS}+$", "")
 
 
-@F.pandas_udf(StringType())
-def _html_unescape(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: html.unescape(v) if isinstance(v, str) else None)
-
-
-# an entity (named or numeric) always starts with '&' followed by '#' or a letter
-ENTITY_START = "&[#A-Za-z]"
-# The entities decoded on the JVM; '&amp;' is replaced last so
-# that '&amp;lt;' gives '&lt;' as a single left-to-right decoding pass does.
-COMMON_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-                   ("&amp;", "&"))
-COMMON_ENTITY_PATTERN = "&(?:lt|gt|quot|apos|#39|amp);"
-
-
 def html_unescape(c) -> Column:
-    """Decode HTML entities (Python html.unescape semantics).
-
-    Strings whose only entity-like sequences are the common ones are decoded
-    by a JVM replace chain; strings with any other '&' + letter/'#' go to the
-    Arrow UDF; all others pass unchanged (the UDF sees them as nulls).
-    """
-    col = _c(c)
-    rare = F.regexp_replace(col, COMMON_ENTITY_PATTERN, "").rlike(ENTITY_START)
-    fast = col
-    for ent, ch in COMMON_ENTITIES:
-        fast = F.replace(fast, F.lit(ent), F.lit(ch))
-    return F.when(rare, _html_unescape(F.when(rare, col))).when(col.contains("&"), fast).otherwise(col)
+    """Decode HTML entities (Python html.unescape semantics) on the JVM."""
+    return entities.unescape(_c(c))
 
 
 def normalize_str(c, unescape: bool = True) -> Column:

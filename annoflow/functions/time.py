@@ -23,8 +23,8 @@ def total_time(full_log="full_log", mode="mode") -> Column:
 
 
 def twitter_timestamp(c="created_at") -> Column:
-    """'Wed Aug 27 13:08:45 +0000 2008' -> timestamp (the weekday is dropped)."""
-    return F.to_timestamp(F.substring(_c(c), 5, 100), "MMM dd HH:mm:ss Z yyyy")
+    """'Wed Aug 27 13:08:45 +0000 2008' -> timestamp (the weekday is dropped); null for anything else."""
+    return F.try_to_timestamp(F.substring(_c(c), 5, 100), F.lit("MMM dd HH:mm:ss Z yyyy"))
 
 
 PERIOD_FORMATS = {"years": "yyyy", "months": "yyyy-MM", "days": "yyyy-MM-dd"}
@@ -35,7 +35,3 @@ def period_key(c="created_at", period: str = "months") -> Column:
     if period == "all":
         return F.lit("")
     return F.date_format(_c(c), PERIOD_FORMATS[period])
-
-
-def month_delta(c: Column | str, base: Column | str) -> Column:
-    return ((F.year(_c(c)) - F.year(_c(base))) * 12 + F.month(_c(c)) - F.month(_c(base)))

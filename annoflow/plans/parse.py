@@ -10,6 +10,7 @@ from annoflow.functions import status as S
 from annoflow.functions.text import with_token_count
 from annoflow.operators import geo, interactions
 from annoflow.schema import PARSED
+from annoflow.session import stage
 from annoflow.sources.raw import parse_lines
 
 
@@ -54,10 +55,13 @@ def parse_with_log(lines: DataFrame, keywords=(), countries: DataFrame | None =
                    extract_quotes: bool = True, keep_origin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As :func:`parse`, also returning the distinct interaction log of the lines.
 
-    ``keep_origin`` adds ``_origin``, by which copies of a status are ordered (W1).
+    ``keep_origin`` adds ``_origin``, by which copies of a status are ordered (W1), and stores the distinct copies, which
+    the merge of a batch reads several times.
     """
     ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
     firsts = dedup_copies(ok)
+    if keep_origin:
+        firsts = stage(firsts, "copies")
     log = top_level_log(firsts)
     counts = interactions.count_interactions(log)
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))

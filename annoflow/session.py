@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,5 +63,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: computed once, however often it is read, and
+    readers take only the columns they need.  A lost executor repeats nothing that lies before it."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
