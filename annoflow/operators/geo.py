@@ -4,12 +4,12 @@ Countries are a small input table: ``iso_a2, name_en, region_wb, subregion,
 rings array<array<struct<lon,lat>>>`` plus a table order ``ord`` (a point
 inside several polygons gets the first one, as in the reference).
 
-Point-in-country is an equi-join on 1-degree grid cells (each country's
-bounding box is expanded into its cells) followed by an exact even-odd ray
-cast over all ring edges with higher-order functions; no nested-loop join.
-Points inside no polygon get the nearest country by planar point-segment
-distance, searched in growing cell neighbourhoods until the nearest
-candidate is provably closer than any country outside the neighbourhood.
+Point-in-country goes by a grid index: a cell holds the edges of a country that touch it and whether its upper right
+corner lies inside, or, if no edge touches it, that it lies wholly inside.  A point joins its cell only, and walks
+from itself to that corner: the country's edges on this way, with the corner, tell its side.  Points inside no polygon get the
+nearest country by planar point-segment distance, searched in growing neighbourhoods until the nearest candidate is
+provably closer than any country outside; there, whole cells are ruled out by their distance before edges are
+looked at.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annoflow.session import stage
 
 # Fixed values (country table repair): codes missing from the source data and
 # territories mapped onto the polygon of a neighbouring country.
@@ -43,58 +44,93 @@ def prepare_countries(df: DataFrame) -> DataFrame:
     return fixed.unionByName(copies.select(*fixed.columns)).where(F.col("iso_a2") != INVALID_CODE)
 
 
-def _bbox(countries: DataFrame) -> DataFrame:
-    pts = F.flatten(F.col("rings"))
-    return countries.select(
-        "iso_a2", "ord",
-        F.array_min(F.transform(pts, lambda p: p["lon"])).alias("min_lon"),
-        F.array_max(F.transform(pts, lambda p: p["lon"])).alias("max_lon"),
-        F.array_min(F.transform(pts, lambda p: p["lat"])).alias("min_lat"),
-        F.array_max(F.transform(pts, lambda p: p["lat"])).alias("max_lat"))
+#: Slack in degrees by which edges are given to neighbouring cells, against rounding.
+_EPS = 1e-9
 
 
-def country_cells(countries: DataFrame, cell: float = 1.0) -> DataFrame:
-    """Grid cells covered by each country's bounding box: (cx, cy, iso_a2, ord)."""
-    b = _bbox(countries)
-    xs = F.sequence(F.floor(F.col("min_lon") / cell).cast("int"), F.floor(F.col("max_lon") / cell).cast("int"))
-    ys = F.sequence(F.floor(F.col("min_lat") / cell).cast("int"), F.floor(F.col("max_lat") / cell).cast("int"))
-    return (b.select("iso_a2", "ord", F.explode(xs).alias("cx"), ys.alias("_ys"))
-            .select("iso_a2", "ord", "cx", F.explode("_ys").alias("cy")))
+def country_edges(countries: DataFrame) -> DataFrame:
+    """ord, iso_a2 and one ring edge (ax, ay)-(bx, by) a row."""
+    def edges(ring):
+        n = F.size(ring)
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.struct(
+            ring[i]["lon"].alias("ax"), ring[i]["lat"].alias("ay"),
+            ring[F.when(i == 0, n - 1).otherwise(i - 1)]["lon"].alias("bx"), ring[F.when(i == 0, n - 1).otherwise(i - 1)]["lat"].alias("by"))))
+    rings = countries.select("ord", "iso_a2", F.explode("rings").alias("ring"))
+    return rings.select("ord", "iso_a2", F.inline(edges(F.col("ring"))))
 
 
-def _crossings(rings: Column, x: Column, y: Column) -> Column:
-    """Number of ring edges crossed by a ray from (x, y) towards +x (even-odd rule)."""
-    def ring_count(ring):
-        n = F.size(ring)
-        idx = F.sequence(F.lit(0), n - 1)
+def _x_at(y, e=F.col) -> Column:
+    """Where an edge meets the height y."""
+    return (e("bx") - e("ax")) * (y - e("ay")) / (e("by") - e("ay")) + e("ax")
 
-        def edge(acc, i):
-            a = ring[i]
-            b = ring[F.when(i == 0, n - 1).otherwise(i - 1)]
-            straddles = (a["lat"] > y) != (b["lat"] > y)
-            x_cross = (b["lon"] - a["lon"]) * (y - a["lat"]) / (b["lat"] - a["lat"]) + a["lon"]
-            return acc + F.when(straddles & (x < x_cross), 1).otherwise(0)
-        return F.aggregate(idx, F.lit(0), edge)
-    return F.aggregate(F.transform(rings, ring_count), F.lit(0), lambda acc, c: acc + c)
 
+def _cells_between(lo: Column, hi: Column, cell: float) -> Column:
+    return F.sequence(F.floor(lo / cell).cast("int"), F.floor(hi / cell).cast("int"))
 
-def _distance(rings: Column, x: Column, y: Column) -> Column:
-    """Planar distance from (x, y) to the nearest ring edge."""
-    def ring_min(ring):
-        n = F.size(ring)
-        idx = F.sequence(F.lit(0), n - 1)
 
-        def seg(i):
-            a = ring[i]
-            b = ring[F.when(i == 0, n - 1).otherwise(i - 1)]
-            dx, dy = b["lon"] - a["lon"], b["lat"] - a["lat"]
-            len2 = dx * dx + dy * dy
-            t = F.when(len2 == 0, F.lit(0.0)).otherwise(
-                F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - a["lon"]) * dx + (y - a["lat"]) * dy) / len2)))
-            px, py = a["lon"] + t * dx, a["lat"] + t * dy
-            return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
-        return F.array_min(F.transform(idx, seg))
-    return F.array_min(F.transform(rings, ring_min))
+def country_grid(countries: DataFrame, cell: float = 1.0) -> DataFrame:
+    """The index: cx, cy, ord, iso_a2, edges (those that touch the closed cell), corner (1: its upper right corner is inside).
+
+    ``cell`` should be a power of two, so that cell borders are exact.  A country has rows for cells that an edge touches and for
+    those that lie wholly inside (no edges, corner 1).
+    """
+    edges = country_edges(countries)
+    low, high = F.least("ay", "by"), F.greatest("ay", "by")
+    rows = edges.withColumn("cy", F.explode(_cells_between(low - _EPS, high + _EPS, cell)))
+    # The part of the edge within its row of cells.
+    y0 = F.least(F.greatest(low, F.col("cy") * cell), high)
+    y1 = F.greatest(F.least(high, (F.col("cy") + 1) * cell), low)
+    flat = F.col("ay") == F.col("by")
+    x0, x1 = F.when(flat, F.col("ax")).otherwise(_x_at(y0)), F.when(flat, F.col("bx")).otherwise(_x_at(y1))
+    touched = (rows.withColumn("cx", F.explode(_cells_between(F.least(x0, x1) - _EPS, F.greatest(x0, x1) + _EPS, cell)))
+               .groupBy("ord", "iso_a2", "cx", "cy").agg(F.collect_list(F.struct("ax", "ay", "bx", "by")).alias("edges")))
+    # Of each row's upper line: the last cells whose right end lies before a crossing edge.  A corner is inside if an
+    # odd number of crossings lies beyond it.
+    top = (F.col("cy") + 1) * cell
+    lines = (edges.withColumn("cy", F.explode(_cells_between(low - cell, high, cell)))
+             .where((F.col("ay") > top) != (F.col("by") > top))
+             .groupBy("ord", "iso_a2", "cy").agg(F.sort_array(F.collect_list((F.ceil(_x_at(top) / cell) - 2).cast("int")), asc=False).alias("last")))
+    beyond = F.size(F.filter(F.coalesce("last", F.array().cast("array<int>")), lambda c: c >= F.col("cx")))
+    border = touched.join(lines.select("ord", "cy", "last"), ["ord", "cy"], "left").withColumn("corner", beyond % 2).drop("last")
+    spans = F.transform(F.sequence(F.lit(0), (F.size("last") / 2 - 1).cast("int")), lambda i: F.struct(
+        (F.get("last", (2 * i + 1).cast("int")) + 1).alias("a"), F.get("last", (2 * i).cast("int")).alias("b")))
+    inner = (lines.select("ord", "iso_a2", "cy", F.inline(spans)).where("a <= b")
+             .select("ord", "iso_a2", "cy", F.explode(F.sequence("a", "b")).alias("cx"))
+             .join(touched.select("ord", "cx", "cy"), ["ord", "cx", "cy"], "left_anti")
+             .withColumns({"edges": F.array().cast(touched.schema["edges"].dataType), "corner": F.lit(1)}))
+    return border.unionByName(inner)
+
+
+def _side(x: Column, y: Column, cell: float) -> Column:
+    """Crossings, of the cell's edges, on the way from (x, y) right to the cell's border and up to its corner.
+
+    The border counts as a little more than it is, and heights as still less more: an edge that only touches is met once or
+    not at all, and one through a corner of the way falls to the same side wherever it is asked.
+    """
+    right, top = (F.col("cx") + 1) * cell, (F.col("cy") + 1) * cell
+
+    def met(acc, e):
+        at = e.getField
+        x_cross = _x_at(y, at)
+        across = ((at("ay") > y) != (at("by") > y)) & (x < x_cross) & (x_cross <= right)
+        y_cross = (at("by") - at("ay")) * (right - at("ax")) / (at("bx") - at("ax")) + at("ay")
+        rises = (at("by") - at("ay")) * (at("bx") - at("ax")) > 0
+        up = (((at("ax") > right) != (at("bx") > right)) & ((y < y_cross) | ((y == y_cross) & rises))
+              & ((y_cross < top) | ((y_cross == top) & ~rises)))
+        return acc + F.when(across, 1).otherwise(0) + F.when(up, 1).otherwise(0)
+    return F.aggregate("edges", F.lit(0), met)
+
+
+def _edge_distance(x: Column, y: Column) -> Column:
+    """Planar distance from (x, y) to the nearest of the cell's edges; null if it has none."""
+    def seg(e):
+        ax, ay, dx, dy = e["ax"], e["ay"], e["bx"] - e["ax"], e["by"] - e["ay"]
+        len2 = dx * dx + dy * dy
+        t = F.when(len2 == 0, F.lit(0.0)).otherwise(
+            F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - ax) * dx + (y - ay) * dy) / len2)))
+        px, py = ax + t * dx, ay + t * dy
+        return F.sqrt((x - px) * (x - px) + (y - py) * (y - py))
+    return F.array_min(F.transform("edges", seg))
 
 
 def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0) -> DataFrame:
@@ -104,19 +140,16 @@ def point_countries(points: DataFrame, countries: DataFrame, cell: float = 1.0)
     country for points inside none.  A point on a border is inside none; among
     countries equally near the first in table order wins.
     """
-    uniq = (points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct()
-            .checkpoint(eager=True))
-    cells = country_cells(countries, cell)
-    shapes = countries.select("iso_a2", "ord", "rings")
-    keyed = uniq.withColumn("cx", F.floor(F.col("_x") / cell).cast("int")) \
-                .withColumn("cy", F.floor(F.col("_y") / cell).cast("int"))
-    cand = keyed.join(cells, ["cx", "cy"]).join(shapes, ["iso_a2", "ord"])
+    uniq = stage(points.select("_x", "_y").where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).distinct(), "points")
+    grid = stage(country_grid(countries, cell), "grid")
     x, y = F.col("_x"), F.col("_y")
-    inside = (cand.where((_crossings(F.col("rings"), x, y) % 2 == 1) & (_distance(F.col("rings"), x, y) > 0))
+    keyed = uniq.withColumns({"cx": F.floor(x / cell).cast("int"), "cy": F.floor(y / cell).cast("int")})
+    inside = (keyed.join(grid, ["cx", "cy"])
+              .where(((F.col("corner") + _side(x, y, cell)) % 2 == 1) & F.coalesce(_edge_distance(x, y) > 0, F.lit(True)))
               .groupBy("_x", "_y").agg(F.min_by("iso_a2", "ord").alias("country_code")))
-    inside = inside.checkpoint(eager=True)
+    inside = stage(inside, "inside")
     outside = uniq.join(inside.select("_x", "_y"), ["_x", "_y"], "left_anti")
-    return inside.unionByName(_nearest(outside, countries, shapes, cell))
+    return inside.unionByName(_nearest(outside, grid.where(F.size("edges") > 0), cell))
 
 
 def country_of_points(points: DataFrame, countries: DataFrame, lon: str = "longitude", lat: str = "latitude",
@@ -127,44 +160,45 @@ def country_of_points(points: DataFrame, countries: DataFrame, lon: str = "longi
     return pts.join(found, ["_x", "_y"], "left").select(key, "country_code")
 
 
-def _nearest(points: DataFrame, countries: DataFrame, shapes: DataFrame, cell: float) -> DataFrame:
-    """Nearest country of points that lie in none.
+def _nearest(points: DataFrame, grid: DataFrame, cell: float) -> DataFrame:
+    """Nearest country of points that lie in none.  ``grid``: the cells that have edges.
 
-    Round k searches a square of half-width ``cell * 2**k`` around each point.
-    Beyond four cells a coarser grid (cell size = half-width / 4) is used, so
-    a round explodes at most 9 x 9 cells per point whatever the radius.  A
-    country outside the square is farther than its half-width, so the best
-    candidate is final once its distance is within it.  The last round's square covers
-    all countries from any point, so every point gets a country if there is one.
+    Round k searches a square of half-width ``cell * 2**k`` around each point.  Beyond four cells squares of cells
+    (size = half-width / 4) are looked up, at most 9 x 9 a point whatever the radius.  A cell found is at most as far as
+    its farthest corner; only cells that begin within the least of these are asked for their edges.  A country outside the
+    square is farther than its half-width, so the best candidate is final once its distance is within it.  The last
+    round's square covers all countries from any point, so every point gets a country if there is one.
     """
-    result = None
-    todo = points
-    if not todo.take(1) or not countries.take(1):
-        return points.select("_x", "_y", F.lit(None).cast("string").alias("country_code")).limit(0)
-    vertex = F.explode(F.flatten("rings"))
-    extent = (points.select(F.col("_x").alias("x"), F.col("_y").alias("y"))
-              .unionByName(countries.select(vertex.alias("v")).select(F.col("v.lon").alias("x"), F.col("v.lat").alias("y")))
-              .agg(F.max(F.greatest(F.abs("x"), F.abs("y")))).first()[0])
-    k = -1
-    while todo.take(1):
+    none = points.select("_x", "_y", F.lit(None).cast("string").alias("country_code")).limit(0)
+    if points.isEmpty() or grid.isEmpty():
+        return none
+    occupied = stage(grid.select("cx", "cy").distinct(), "occupied")
+    todo = points = stage(points, "outside")
+    extent = max(points.agg(F.max(F.greatest(F.abs("_x"), F.abs("_y")))).first()[0],
+                 cell * (1 + occupied.agg(F.max(F.greatest(F.abs("cx"), F.abs("cy")))).first()[0]))
+    x, y, result, k = F.col("_x"), F.col("_y"), none, -1
+    while not todo.isEmpty():
         k += 1
         radius = cell * (2 ** k)
         size = cell if radius <= 4 * cell else radius / 4.0
         r = int(math.ceil(radius / size))
-        cells = country_cells(countries, size)
         offs = F.sequence(F.lit(-r), F.lit(r))
-        near = (todo.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
-                .withColumn("cx", (F.floor(F.col("_x") / size) + F.col("_dx")).cast("int"))
-                .withColumn("cy", (F.floor(F.col("_y") / size) + F.col("_dy")).cast("int"))
-                .join(cells, ["cx", "cy"]).select("_x", "_y", "iso_a2", "ord").distinct()
-                .join(shapes, ["iso_a2", "ord"])
-                .withColumn("_d", _distance(F.col("rings"), F.col("_x"), F.col("_y"))))
-        best = near.groupBy("_x", "_y").agg(F.min_by(F.struct("iso_a2", "_d"), F.struct("_d", "ord")).alias("b"))
+        squares = occupied.withColumns({"sx": F.floor(F.col("cx") * cell / size).cast("int"), "sy": F.floor(F.col("cy") * cell / size).cast("int")})
+        left, low = F.col("cx") * cell, F.col("cy") * cell
+        gap = lambda v, lo: F.greatest(lo - v, v - lo - cell, F.lit(0.0))
+        far = lambda v, lo: F.greatest(F.abs(v - lo), F.abs(v - lo - cell))
+        met = (todo.withColumn("_dx", F.explode(offs)).withColumn("_dy", F.explode(offs))
+               .withColumns({"sx": (F.floor(x / size) + F.col("_dx")).cast("int"), "sy": (F.floor(y / size) + F.col("_dy")).cast("int")})
+               .join(squares, ["sx", "sy"])
+               .select("_x", "_y", "cx", "cy", F.hypot(gap(x, left), gap(y, low)).alias("near"), F.hypot(far(x, left), far(y, low)).alias("far")))
+        asked = (met.groupBy("_x", "_y").agg(F.collect_list(F.struct("cx", "cy", "near")).alias("cells"), F.min("far").alias("bound"))
+                 .select("_x", "_y", F.inline(F.filter("cells", lambda c: c["near"] <= F.col("bound") + 1e-6))))
+        found = asked.join(grid, ["cx", "cy"]).withColumn("_d", _edge_distance(x, y))
+        best = stage(found.groupBy("_x", "_y").agg(F.min_by(F.struct("iso_a2", "_d"), F.struct("_d", "ord")).alias("b")), "nearest")
         last = radius >= 2 * extent
-        sure = (best.where(F.lit(last) | (F.col("b._d") <= r * size))
-                .select("_x", "_y", F.col("b.iso_a2").alias("country_code")).checkpoint(eager=True))
-        result = sure if result is None else result.unionByName(sure)
-        todo = todo.join(sure.select("_x", "_y"), ["_x", "_y"], "left_anti").checkpoint(eager=True)
+        sure = best.where(F.lit(last) | (F.col("b._d") <= r * size)).select("_x", "_y", F.col("b.iso_a2").alias("country_code"))
+        result = result.unionByName(sure)
+        todo = todo.join(sure.select("_x", "_y"), ["_x", "_y"], "left_anti")
         if last:
             break
     return result
