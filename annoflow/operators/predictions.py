@@ -20,10 +20,10 @@ def model_name(file_name: F.Column) -> F.Column:
 
 def read_predictions(spark: SparkSession, paths) -> DataFrame:
     """Long form: id, model, label, probability, labels, probabilities (files carry ``id``),
-    run_date (from the file name, if there) and file."""
+    run_date (from the file name, if there) and file.  A "file" may also be a folder that Spark wrote."""
     schema = "id string, label string, probability double, labels string, probabilities string"
     df = spark.read.schema(schema).option("header", True).csv(paths)
-    file = F.col("_metadata.file_name")
+    file = F.regexp_extract(F.regexp_replace(F.col("_metadata.file_path"), r"\.csv/part-[^/]+$", ".csv"), r"([^/]+)$", 1)
     day = F.to_date(F.nullif(F.regexp_extract(file, PREDICTION_FILE, 2), F.lit("")))
     return df.withColumns({"model": model_name(file), "run_date": day, "file": file})
 
@@ -72,6 +72,7 @@ def membership_flags(parsed: DataFrame, uploaded: DataFrame | None = None, label
 def all_data(parsed: DataFrame, wide: DataFrame | None = None, s_date=None, e_date=None,
              uploaded: DataFrame | None = None, labelled: DataFrame | None = None,
              cleaned: DataFrame | None = None, geo: DataFrame | None = None,
+             # Fixed value: the columns of the all-data view.
              usecols=("id", "token_count", "is_retweet", "contains_keywords", "created_at", "lang")) -> DataFrame:
     """Parsed statuses with predictions, an inclusive created_at window
     (both ends, as coded in the reference), membership flags and optional

@@ -8,6 +8,50 @@ from pyspark.sql import functions as F
 from annoflow.operators.stats import exact_median
 
 
+# Fixed value: files of the stream are named so; all others come from historic collection.
+STREAM_FILE = r"/tweets[^/]*$"
+
+
+def raw_files(files: DataFrame) -> DataFrame:
+    """Raw files and their bytes by kind (streaming, historic), from a listing (source_file, size)."""
+    kind = F.when(F.col("source_file").rlike(STREAM_FILE), "streaming").otherwise("historic")
+    return files.groupBy(kind.alias("kind")).agg(F.count("*").alias("n_files"), F.sum("size").alias("n_bytes"))
+
+
+def full_report(overview: DataFrame | None = None, files: DataFrame | None = None, sample: DataFrame | None = None, annotation: DataFrame | None = None,
+                outliers: DataFrame | None = None, cleaned: DataFrame | None = None) -> DataFrame:
+    """All reports that are given in one table (report, item, value).
+
+    ``overview`` has (stage, n); ``files`` is a listing; ``sample`` and ``cleaned`` are one row of figures; ``annotation`` has (item, value); ``outliers`` one
+    row a criterion.
+    """
+    def row(df: DataFrame, report: str, *names: str) -> DataFrame:
+        figures = [c for c in df.columns if c not in names]
+        label = F.concat_ws(".", *names, F.col("_f.item")) if names else F.col("_f.item")
+        pairs = F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in figures])
+        return df.select(*names, F.explode(pairs).alias("_f")).select(F.lit(report).alias("report"), label.alias("item"), F.col("_f.value").alias("value"))
+
+    parts = []
+    if overview is not None:
+        parts.append(overview.select(F.lit("overview").alias("report"), F.col("stage").alias("item"), F.col("n").cast("double").alias("value")))
+    if files is not None:
+        parts.append(row(raw_files(files), "raw_files", "kind"))
+    if sample is not None:
+        parts.append(row(sample, "sample"))
+    if annotation is not None:
+        parts.append(annotation.select(F.lit("annotation").alias("report"), F.col("item").cast("string"), F.col("value").cast("double")))
+    if outliers is not None:
+        parts.append(row(outliers, "outliers", "criterion"))
+    if cleaned is not None:
+        parts.append(row(cleaned, "cleaned"))
+    if not parts:
+        raise ValueError("no report to make")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def stage_overview(raw_lines: DataFrame | None = None, parsed: DataFrame | None = None,
                    sampled: DataFrame | None = None, annotations: DataFrame | None = None,
                    cleaned: DataFrame | None = None) -> DataFrame:

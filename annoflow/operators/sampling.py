@@ -38,8 +38,10 @@ def filter_statuses(df: DataFrame, min_date=None, max_date=None, min_token_count
 def exclude_previous(df: DataFrame, sampled: DataFrame) -> DataFrame:
     """Drop statuses already sampled, by id and by identical text."""
     ids = sampled.select(F.col("tweet_id").alias("id")).distinct()
-    txt = sampled.select(F.col("tweet_text").alias("text")).distinct()
-    return df.join(ids, "id", "left_anti").join(txt, "text", "left_anti")
+    # Texts meet by their hash, 16 bytes, and are compared themselves where hashes are equal.
+    txt = sampled.where(F.col("tweet_text").isNotNull()).select(F.col("tweet_text").alias("_text"), F.md5("tweet_text").alias("_hash")).distinct()
+    same = (F.md5("text") == F.col("_hash")) & (F.col("text") == F.col("_text"))
+    return df.join(ids, "id", "left_anti").join(txt, same, "left_anti")
 
 
 def dedup_keep_first(df: DataFrame, key: F.Column, order_cols) -> DataFrame:

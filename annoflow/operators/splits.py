@@ -22,17 +22,19 @@ def has_label_filter(labels: DataFrame, has_label: str) -> DataFrame:
 
 def cleaned_for_question(labels: DataFrame, question=None, has_label: str = "",
                          return_label_ids: bool = False) -> DataFrame:
-    """Rows of one question (tag or id), with ``label`` = tag (or id)."""
+    """Rows of one question (tag or id), with ``label`` = tag (or id).  Raises for a question that has no labels."""
     if has_label:
         labels = has_label_filter(labels, has_label)
     label = F.col("label_id") if return_label_ids else F.col("label_tag")
     if question is None or question == "":
         return labels.select("id", "text", "question_tag", label.alias("label"))
-    if isinstance(question, str):
-        qids = labels.where(F.col("question_tag") == question).select("question_id").distinct()
-        sel = labels.join(qids, "question_id", "left_semi")
-    else:
-        sel = labels.where(F.col("question_id") == question)
+    # A survey has few questions: their tags and ids fit into a list.
+    asked = labels.select("question_tag", "question_id").distinct().collect()
+    known = sorted({r.question_tag if isinstance(question, str) else r.question_id for r in asked} - {None})
+    if question not in known:
+        raise ValueError(f"no cleaned labels for the question {question!r}; there are {known}")
+    ids = [r.question_id for r in asked if question in (r.question_tag, r.question_id)]
+    sel = labels.where(F.col("question_id").isin(*ids))
     return sel.select("id", "text", "question_tag", label.alias("label"))
 
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoflow.session import stage
+
 #: Leading hex digits of the key that name a bucket: 65,536 buckets in each group.
 BUCKET_DIGITS = 4
 
@@ -111,20 +113,16 @@ def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row
     and numbered frame is checkpointed: the per-partition positions are then
     stored values, so the offsets table and the rows cannot disagree (AQE may
     read one shuffle differently in two branches, and a lost executor may
-    recompute a stage).  The input is persisted meanwhile so the range
-    sampling and the checkpoint do not compute it twice.
+    recompute a stage).  The input is stored first, so that the range sampling and the
+    checkpoint do not compute it twice: pass keys and order columns only, and attach wide columns afterwards.
     """
     groups = list(groups)
     keys = groups + list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df if materialized else df.persist()
-    try:
-        ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                  .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
-    finally:
-        if not materialized:
-            base.unpersist()
+    base = df if materialized else stage(df, "index")
+    ranged = (base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     stats = ranged.groupBy(pid.alias("_pid"), *groups).agg(F.count("*").alias("_cnt"), F.min(local).alias("_first"))

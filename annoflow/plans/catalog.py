@@ -364,13 +364,16 @@ def encrypt_roundtrip(spark, sf_dir):
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_mktsegment"])
     df = cust.select("c_custkey", F.col("c_custkey").alias("key_enc"), F.col("c_name").alias("name_enc"),
                      F.array("c_mktsegment", F.lit(None).cast("string"), "c_name").alias("list_enc"))
-    spec = {"key_enc": "int", "name_enc": "str", "list_enc": "list"}
-    enc = privacy.encrypt_columns(df, spec, DEMO_KEY)
-    dec = privacy.decrypt_columns(enc, spec, DEMO_KEY)
-    dec = dec.select("c_custkey", F.col("key_enc").alias("key_dec"), F.col("name_enc").alias("name_dec"),
+    spec = {"key_enc": "id", "name_enc": "str", "list_enc": "list"}
+    keys_at = _scratch(spark, "keys")
+    spark.createDataFrame([("ids", bytearray(DEMO_KEY.encode()))], "name string, key binary").write.parquet(keys_at)
+    key = privacy.key_from_table(spark, keys_at, "ids")
+    enc = privacy.encrypt_columns(df, spec, key)
+    dec = privacy.decrypt_columns(enc, spec, key)
+    dec = dec.select("c_custkey", F.col("key_enc").cast("bigint").alias("key_dec"), F.col("name_enc").alias("name_dec"),
                      F.array_join("list_enc", "|").alias("list_dec"))
     # equal ids must still join, and nothing may show through
-    keys = cust.select(privacy.encrypt_value(F.col("c_custkey"), DEMO_KEY).alias("key_enc"), "c_name")
+    keys = cust.select(privacy.encrypt_value(F.col("c_custkey"), key).alias("key_enc"), "c_name")
     hidden = (enc.join(keys, "key_enc").select(
         "key_enc", F.col("c_custkey").alias("_id"), ((F.col("name_enc") != F.col("c_name"))
                    & (F.col("key_enc") != F.col("c_custkey").cast("string"))).alias("hidden")))
@@ -506,7 +509,8 @@ def translation_input_all(spark, sf_dir):
 
 
 def translation_cost(spark, sf_dir):
-    return exports.translation_cost(_translation_rows(spark, sf_dir))
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir))
+    return exports.translation_cost(exports.translation_rows(parsed))
 
 
 QUERIES.update({
@@ -553,7 +557,7 @@ def _ingested(spark, sf_dir, periods):
     (views.raw_status_lines(spark, sf_dir).select("value", period.alias("period"))
      .write.partitionBy("period").text(f"{root}/raw"))
     for n in periods:
-        ingest.start_ingest(spark, f"{root}/raw/period={n}", f"{root}/store", f"{root}/stream-{n}").awaitTermination()
+        ingest.start_ingest(spark, f"{root}/raw/period={n}", f"{root}/store", f"{root}/stream-{n}", span=1 << 20).awaitTermination()
     parsed = ingest.read_store(spark, f"{root}/store")
     return parsed.select(*PARSE_COLS, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
                          F.col("created_day").cast("string").alias("created_day"))
@@ -690,7 +694,7 @@ def sample_files(spark, sf_dir):
 
 def batch_files(spark, sf_dir):
     root = _scratch(spark, "batches")
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]).where(F.col("source") == "src0")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     for n in (1, 2, 3):
         (docs.where(F.col("doc_id") % 3 == n - 1).select("doc_id", "text")
          .write.options(**sinks.CSV).csv(f"{root}/batch_{n}/batch_{n}_1.csv"))
@@ -699,7 +703,7 @@ def batch_files(spark, sf_dir):
 
 def uploaded_files(spark, sf_dir):
     root = _scratch(spark, "uploaded")
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"]).where(F.col("source") == "src0")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
     (docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet_text"),
                  F.when(F.col("lang") == "de", "unavailable").otherwise("available").alias("availability"))
      .write.option("header", True).options(**sinks.CSV).csv(f"{root}/mturk"))
@@ -712,3 +716,11 @@ QUERIES.update({"write_read_parsed": write_read_parsed, "annotation_files": anno
 ORACLE_SQL.update({"write_read_parsed": oracle.WRITE_READ_PARSED, "annotation_files": oracle.ANNOTATION_FILES,
                    "sample_files": oracle.SAMPLE_FILES, "batch_files": oracle.BATCH_FILES,
                    "uploaded_files": oracle.UPLOADED_FILES})
+
+
+# ---- operators on stored data
+
+from annoflow.plans import stored  # noqa: E402
+
+QUERIES.update(stored.QUERIES)
+ORACLE_SQL.update(stored.ORACLE_SQL)

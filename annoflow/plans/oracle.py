@@ -692,7 +692,7 @@ SELECT id, CAST(tweet_id AS VARCHAR) AS tweet_id, question_tag, answer_tag, CAST
 SAMPLE_FILES = "SELECT CAST(doc_id AS VARCHAR) AS tweet_id, md5(coalesce(text, '')) AS text_hash FROM documents"
 
 BATCH_FILES = """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, CAST(1 + doc_id % 3 AS INTEGER) AS batch_id, md5(coalesce(text, '')) AS text_hash
-FROM documents WHERE source = 'src0'"""
+FROM documents"""
 
 UPLOADED_FILES = """SELECT CAST(doc_id AS VARCHAR) AS tweet_id, CASE WHEN lang = 'de' THEN 'unavailable' ELSE 'available' END
-  AS availability, 'mturk' AS mode FROM documents WHERE source = 'src0'"""
+  AS availability, 'mturk' AS mode FROM documents"""

@@ -135,9 +135,10 @@ def sample_tables(spark: SparkSession, sf_dir: str, seed: int = 42):
     from annoflow.operators.topk import global_row_index
 
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
-    keyed = docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet_text"),
-                        sample_key("doc_id", seed).alias("_key"))
-    sampled = global_row_index(keyed, ["_key", "tweet_id"], index_col="sample_pos").drop("_key")
+    keyed = docs.select(F.col("doc_id").alias("tweet_id"), sample_key("doc_id", seed).alias("_key"))
+    sampled = (global_row_index(keyed, ["_key", "tweet_id"], index_col="sample_pos").drop("_key")
+               .join(docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet_text")), "tweet_id")
+               .select("tweet_id", "tweet_text", "sample_pos"))
     unavailable = docs.where(F.col("lang") == "de").select(F.col("doc_id").alias("tweet_id"))
     labelled = read_table(spark, sf_dir, "labels", ["doc_id"]).select(F.col("doc_id").alias("tweet_id"))
     batched = docs.where(F.col("source") == "src0").select(F.col("doc_id").alias("tweet_id"),

@@ -1,12 +1,18 @@
 """Writers (K1-K8).  Run parameters go to a small metadata file next to the
 data instead of into file names.  CSV files double the quotes inside values,
-as the readers expect."""
+as the readers expect.
+
+``publish`` makes a run visible as a whole: the writers write into a folder of the run, and a small manifest, written last
+and renamed into place, names it with its parameters.  Readers follow the newest manifest (``published``), so a half-done
+or repeated run is never seen."""
 
 from __future__ import annotations
 
 import json
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -14,6 +20,41 @@ from pyspark.sql import functions as F
 CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _manifests(spark: SparkSession, folder: str) -> list[str]:
+    fs, pattern = _fs(spark, f"{folder}/manifest-*")
+    return sorted(f.getPath().toString() for f in fs.globStatus(pattern) or [])
+
+
+def publish(spark: SparkSession, folder: str, write: Callable[[str], None], **params) -> str:
+    """``write(run_folder)``, then make that run the current one of ``folder``; returns the run folder."""
+    run = uuid.uuid4().hex
+    write(f"{folder}/runs/{run}")
+    fs, draft = _fs(spark, f"{folder}/_draft-{run}")
+    out = fs.create(draft)
+    out.write(json.dumps({"run": run, "params": params}, sort_keys=True, default=str).encode())
+    out.close()
+    while True:  # the next free number; another run may take it first
+        known = _manifests(spark, folder)
+        n = int(known[-1].rsplit("-", 1)[1]) + 1 if known else 1
+        _, place = _fs(spark, f"{folder}/manifest-{n:012d}")
+        if not fs.exists(place) and fs.rename(draft, place):
+            return f"{folder}/runs/{run}"
+
+
+def published(spark: SparkSession, folder: str) -> tuple[str, dict]:
+    """The current run's folder and parameters."""
+    known = _manifests(spark, folder)
+    if not known:
+        raise FileNotFoundError(f"nothing was published in {folder}")
+    manifest = json.loads("\n".join(r[0] for r in spark.read.text(known[-1]).collect()))
+    return f"{folder}/runs/{manifest['run']}", manifest["params"]
+
+
 def _meta(df: DataFrame, folder: str, params: dict) -> None:
     spark = df.sparkSession
     spark.createDataFrame([(json.dumps(params, sort_keys=True, default=str),)], "params string") \

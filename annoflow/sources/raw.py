@@ -26,9 +26,14 @@ DAY_FROM_DASHED = r"-(\d{4}-\d{1,2}-\d{1,2})-\d+-\d+-\d+"             # ...-Y-M-
 DAY_FROM_DIRS = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+/[^/]+$"            # .../YYYY/MM/DD/HH/file
 
 
+def file_name(path: Column) -> Column:
+    """One spelling of a file's path: sources differ in the slashes of a local one."""
+    return F.regexp_replace(path, "^file:/+", "file:///")
+
+
 def read_raw_lines(spark: SparkSession, paths) -> DataFrame:
     """S1 input: non-empty lines with their file path and collection day."""
-    df = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_file"))
+    df = spark.read.text(paths).select("value", file_name(F.col("_metadata.file_path")).alias("source_file"))
     return df.where(F.length("value") > 0).withColumn("day", day_from_path("source_file"))
 
 
@@ -80,9 +85,7 @@ def list_files(spark: SparkSession, paths) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], "source_file string, day date, size bigint")
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    # As the text source names them: a local path has an empty host.
-    path = F.regexp_replace("path", "^file:/+", "file:///")
-    return df.select(path.alias("source_file"), F.col("length").alias("size")).select("source_file", day_from_path("source_file").alias("day"), "size")
+    return df.select(file_name(F.col("path")).alias("source_file"), F.col("length").alias("size")).select("source_file", day_from_path("source_file").alias("day"), "size")
 
 
 def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
