@@ -1,10 +1,10 @@
 """Line dedup (operator 3): a deletion-neighbourhood join.
 
 Lines are sequences of words (runs of characters other than space and \\t to \\r).  Two
-lines are duplicates if their words are equal, or, for lines of ``EDIT_WORDS`` words or more,
-if one word replaced, added or left out turns one into the other.  A line is removed if an
-earlier line (by document id, then place) is its duplicate; lines of fewer than ``MIN_WORDS``
-words stay.
+lines are duplicates if their words are equal, or if one word replaced, added or left out turns one
+into the other and the longer has ``EDIT_WORDS`` words or more: then four words in five agree at least.  A line is
+removed if an earlier line (by document id, then place) is its duplicate.  Every line with a word takes part; lines
+without one stay.
 
 Every line emits the hashes of its variants with one word deleted.  Lines that share a variant
 from the same place differ by one replaced word; a line that equals another one's variant
@@ -26,22 +26,23 @@ from pyspark.sql import DataFrame, Window, functions as F
 from annoflow.llm.common import row_key, stage
 from annoflow.llm.quality import GAP
 
-MIN_WORDS, EDIT_WORDS = 5, 20
+#: Words of the longer of two lines that differ in one.
+EDIT_WORDS = 5
 
 #: Lines with a possible partner whose keys (40 bytes each) may be sent to all executors to fetch their
-#: words; beyond it the texts are shuffled.
+#: words, unless the caller says otherwise; beyond it the texts are shuffled.  The result is the same.
 BROADCAST_ROWS = 1 << 18
 
-_WORD = r"[^\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """_k1, _k2, doc_id, line_no, w (words) of every line with MIN_WORDS words or more."""
+    """_k1, _k2, doc_id, line_no, w (words) of every line with a word."""
     d = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("doc_id"),
                     F.split(F.col(text_col).cast("string"), "\n").alias("_lines"))
     d = d.select("_k1", "_k2", "doc_id", F.posexplode("_lines").alias("line_no", "_line"))
     # A test on the line, not on its words: a filter on words would split each line twice.
-    d = d.where(F.col("_line").rlike(f"{_WORD}(?:{GAP}{_WORD}){{{MIN_WORDS - 1}}}"))
+    d = d.where(F.col("_line").rlike(_WORD))
     return d.select("_k1", "_k2", "doc_id", "line_no", F.array_remove(F.split("_line", GAP), "").alias("w"))
 
 
@@ -49,7 +50,7 @@ def _line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per line its place in the order (doc_id, _k1, _k2, line_no), n (words), and hashes of the first n div 2 words
     (a), of the others (b), and of the half that a line of one word more or less shares (c).
 
-    n, a and b identify the words of a line.
+    n, a and b identify the words of a line, by 128 bits of hashes.
     """
     def half(lo, n):
         return f"xxhash64(array_join(slice(w, {lo}, {n}), ' '))"
@@ -64,14 +65,14 @@ def _order():
     return F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "_k1", "_k2", "line_no")
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """_k1, _k2 (row key) and line_no of each line to remove."""
     lines = stage(_line_table(docs, id_col, text_col), "lines")
     # Equal lines: all but the first.
     again = stage(lines.groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("times"), F.min(_order()).alias("first"))
                   .where("times > 1").drop("times"), "again")
     same = lines.join(again, ["a", "b", "n"]).where(_order() > F.col("first")).select("_k1", "_k2", "line_no")
-    near = _near_lines(docs, lines, id_col, text_col).select("o._k1", "o._k2", "o.line_no")
+    near = _near_lines(docs, lines, id_col, text_col, broadcast_rows).select("o._k1", "o._k2", "o.line_no")
     return same.unionByName(near).distinct()
 
 
@@ -81,16 +82,17 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(keys, "key", "left_semi")
 
 
-def _near_lines(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _near_lines(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, broadcast_rows: int) -> DataFrame:
     """o of the first occurrences that have an earlier line within one word."""
+    lines = lines.where(F.col("n") >= EDIT_WORDS - 1)  # the least have a partner of one word more only
     # Halves of the line as it is (of n words) and as one that has a word more than its partner (of n - 1).
-    keyed = lines.where(F.col("n") >= EDIT_WORDS).select("a", "b", "n", "c", F.xxhash64("a", "b", "n").alias("line"))
+    keyed = lines.select("a", "b", "n", "c", F.xxhash64("a", "b", "n").alias("line"))
     keyed = keyed.select("line", F.explode(F.expr(
         "array(xxhash64(n, 1, a), xxhash64(n, 2, b), xxhash64(n - 1, 1, if(n % 2 = 0, c, a)), xxhash64(n - 1, 2, if(n % 2 = 0, b, c)))"
     )).alias("key"))
     partnered = stage(_shared(keyed).select("line").distinct(), "partnered")
-    few = partnered.count() <= BROADCAST_ROWS
-    places = (lines.where(F.col("n") >= EDIT_WORDS).withColumn("line", F.xxhash64("a", "b", "n"))
+    few = partnered.count() <= broadcast_rows
+    places = (lines.withColumn("line", F.xxhash64("a", "b", "n"))
               .join(F.broadcast(partnered) if few else partnered, "line")
               .groupBy("line", "a", "b", "n").agg(F.min(_order()).alias("o")))
     places = stage(places.select("line", "o", "o._k1", "o._k2", "o.line_no"), "places")
@@ -128,21 +130,21 @@ def _variants(words: DataFrame) -> DataFrame:
                  F.bit_xor("v.here").over(line).alias("whole"), F.bit_xor("v.next").over(line).alias("nexts"),
                  F.bit_xor(F.col("v.here").bitwiseXOR(F.col("v.next"))).over(
                      line.orderBy("v.i").rowsBetween(Window.unboundedPreceding, -1)).alias("passed"))
-    key = F.expr("""array(struct(xxhash64(n, i, whole ^ here) as key, 'replaced' as role),
-                          struct(xxhash64(n - 1, -1, nexts ^ coalesce(passed, 0L)) as key, 'shorter' as role),
+    key = F.expr(f"""array(struct(xxhash64(n, i, whole ^ here) as key, if(n >= {EDIT_WORDS}, 'replaced', null) as role),
+                          struct(xxhash64(n - 1, -1, nexts ^ coalesce(passed, 0L)) as key, if(n >= {EDIT_WORDS}, 'shorter', null) as role),
                           struct(xxhash64(n, -1, whole) as key, if(i = 0, 'whole', null) as role))""")
     return d.select("line", F.explode(key).alias("k")).select("line", "k.*").where("role is not null")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with ``text_col`` less its removed lines, and ``removed_lines`` (sorted places, from 0).
 
-    All other columns stay.  A null text stays null, an empty one empty.  Rows with equal id and
+    All other columns stay, but for one named ``removed_lines``, which is replaced.  A null text stays null, an empty one empty.  Rows with equal id and
     text count as one document and get equal results; among documents of one id, or without one
     (these come last), a key of the row decides which is earlier.  An empty table gives no rows.
     Columns that begin with an underscore are reserved.
     """
-    gone = (removed_lines(docs, id_col, text_col).groupBy("_k1", "_k2")
+    gone = (removed_lines(docs, id_col, text_col, broadcast_rows).groupBy("_k1", "_k2")
             .agg(F.array_sort(F.collect_list("line_no")).alias("removed_lines")))
     k1, k2 = row_key(id_col, text_col)
     d = docs.drop("removed_lines").withColumns({"_k1": k1, "_k2": k2}).join(gone, ["_k1", "_k2"], "left").drop("_k1", "_k2")

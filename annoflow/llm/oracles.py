@@ -1,6 +1,6 @@
 """DuckDB SQL of the operators that SQL can express, written from their definitions."""
 
-from annoflow.llm import decontamination, line_dedup, sharding
+from annoflow.llm import decontamination, sharding
 
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -27,13 +27,13 @@ WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM docum
 lines AS (SELECT doc_id, i, regexp_extract_all(ls[i + 1], '[^\x20\x09-\x0D]+') AS w
           FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS i FROM texts)),
 long AS (SELECT doc_id, i, w, len(w) AS n, array_to_string(w, ' ') AS line, row_number() OVER (ORDER BY doc_id, i) AS o
-         FROM lines WHERE len(w) >= {line_dedup.MIN_WORDS}),
+         FROM lines WHERE len(w) >= 1),
 firsts AS (SELECT line, min(o) AS o FROM long GROUP BY line),
 same AS (SELECT l.o FROM long l JOIN firsts f ON l.line = f.line AND l.o > f.o),
-kept AS (SELECT l.o, l.w, l.n, l.line FROM long l JOIN firsts f ON l.o = f.o WHERE l.n >= {line_dedup.EDIT_WORDS}),
+kept AS (SELECT l.o, l.w, l.n, l.line FROM long l JOIN firsts f ON l.o = f.o WHERE l.n >= 4),
 variants AS (SELECT o, n, p, array_to_string(w[1:p - 1], ' ') || chr(10) || array_to_string(w[p + 1:], ' ') AS around,
                     array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS rest
-             FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM kept)),
+             FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM kept WHERE n >= 5)),
 near AS (
   SELECT v.o FROM variants v JOIN (SELECT n, p, around, min(o) AS e FROM variants GROUP BY ALL) f USING (n, p, around) WHERE v.o > f.e
   UNION SELECT v.o FROM variants v JOIN kept k ON k.line = v.rest AND v.o > k.o

@@ -1,5 +1,6 @@
 """Against a comparison of all pairs of lines."""
 
+import random
 import re
 
 from annoflow.llm import line_dedup as L
@@ -23,12 +24,13 @@ def brute(docs):
     for d, t in sorted(docs, key=lambda r: (r[0] is None, r[0])):
         for i, x in enumerate((t or "").split("\n")):
             w = [y for y in GAP.split(x) if y]
-            if len(w) >= L.MIN_WORDS:
+            if w:
                 lines.append((d, i, w))
     seen, by_size, gone = set(), {}, {d: [] for d, _ in docs}
     for d, i, w in lines:
         n = len(w)
-        near = n >= L.EDIT_WORDS and any(within_one(w, v) for m in (n - 1, n, n + 1) if m >= L.EDIT_WORDS for v in by_size.get(m, ()))
+        # four words in five agree: one edit, and the longer line has five words
+        near = any(within_one(w, v) for m in (n - 1, n, n + 1) if max(m, n) >= 5 for v in by_size.get(m, ()))
         if tuple(w) in seen or near:
             gone[d].append(i)
         if tuple(w) not in seen:
@@ -37,11 +39,11 @@ def brute(docs):
     return gone
 
 
-def check(docs):
+def check(docs, **options):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     want = brute(rows)
     texts = dict(rows)
-    got = L.dedup_lines(docs).collect()
+    got = L.dedup_lines(docs, **options).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r.removed_lines == want[r.doc_id], r.doc_id
@@ -64,7 +66,24 @@ def test_edits(spark):
             line(w[:19]), line(w[:20]), line(w[:18] + ["q"]), "a b c d", "a b c d", "a b c d e", "a  b c\td e", "", "x\n\n" + line(w[:20]),
             line(["z"] + w), line(w[:15] + ["z"] + w[15:]), line(w[:15] + ["z", "y"] + w[15:])]
     check(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"))
-    check(spark.createDataFrame(list(enumerate(reversed(made))), "doc_id long, text string"))
+    for rows in (3, 0):  # words fetched by a broadcast, and by a shuffle
+        check(spark.createDataFrame(list(enumerate(reversed(made))), "doc_id long, text string"), broadcast_rows=rows)
+
+
+def test_short_lines(spark):
+    """Repeats of any line with a word go; one word may differ from five words on."""
+    made = ["a", "a", "b", "a b", "a b", "", " ", "a b c d", "a b c x", "a b c d e", "a b c", "p q r s t", "p q x s t", "p q r s", "q r s t", "p q r s t u v",
+            "p q r s t u", "k l m n", "k l m", "k l m n o"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string")
+    want = check(docs)
+    assert {made[i] for i, x in want.items() if x} == {"a", "a b", "a b c d e", "p q x s t", "p q r s", "q r s t", "p q r s t u", "k l m n o"}
+    check(spark.createDataFrame([(0, "\n".join(made)), (1, "\n".join(reversed(made)))], "doc_id long, text string"))
+
+
+def test_short_random_lines(spark):
+    rng = random.Random(2)
+    made = ["\n".join(" ".join(rng.choices("abc", k=rng.randint(0, 8))) for _ in range(6)) for _ in range(150)]
+    check(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string"))
 
 
 def test_many_lines_around_one(spark):
@@ -83,4 +102,4 @@ def test_odd_rows(spark, odd, empty):
     assert L.dedup_lines(odd).columns == [*odd.columns, "removed_lines"]
     assert L.dedup_lines(empty).count() == 0
     nulls = spark.createDataFrame([(None, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f g")], "doc_id long, text string")
-    assert sorted((r.doc_id is None, r.text) for r in L.dedup_lines(nulls).collect()) == [(False, "a b c d e f"), (True, ""), (True, "a b c d e f g")]
+    assert sorted((r.doc_id is None, r.text) for r in L.dedup_lines(nulls).collect()) == [(False, "a b c d e f"), (True, ""), (True, "")]
