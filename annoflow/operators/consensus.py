@@ -15,6 +15,8 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annoflow.operators.steps import Steps
+
 
 # Flags that survive the incorrect filter, and the answer tags
 # that may mark a status as relevant (exactly one of them may occur).
@@ -121,45 +123,33 @@ def cleaning_steps(ann: DataFrame, min_labels_cutoff: int = 3, is_relevant: bool
     """Annotations left after every cleaning step, and the percentage of the step before it that it
     removes (step, n_rows, pct_removed: null at the start and after an empty step).
 
-    One scan counts the first two steps, another makes the answer groups; these are stored, and all
-    further steps are counted from them.
+    The figures are observed while the chain runs: rows up to the answer groups, which are stored as the relevance tag is looked up
+    in them, then the annotations of the groups that are left.
     """
     from annoflow.operators.agreement import agreement_outlier_ids
 
-    required = [F.col(c).isNotNull() for c in REQUIRED_FIELDS if c not in set(allow_nan)]
-    complete = reduce(and_, required, F.lit(True))
-    steps = [ann.agg(F.count("*").alias("start"), F.count_if(complete).alias("drop_nan"))
-             .select(F.inline(F.array(*[F.struct(F.lit(o).alias("o"), F.lit(name).alias("step"), F.col(name).alias("n_rows"))
-                                        for o, name in enumerate(("start", "drop_nan"))])))]
-    ann = drop_incomplete(ann, allow_nan)
+    steps = Steps()
+    rows = drop_incomplete(steps(ann, "start"), allow_nan)
     outliers = None
     if cutoff_worker_outliers is not None:
-        outliers = agreement_outlier_ids(ann, cutoff_worker_outliers, min_comparisons_count)
-    g = answer_groups(ann, exclude_incorrect=exclude_incorrect, outlier_annotators=outliers).checkpoint(eager=True)
-
-    def count(name, col):
-        steps.append(g.agg(F.lit(len(steps) + 1).alias("o"), F.lit(name).alias("step"),
-                           F.coalesce(F.sum(col), F.lit(0)).alias("n_rows")))
-
+        outliers = agreement_outlier_ids(drop_incomplete(ann, allow_nan), cutoff_worker_outliers, min_comparisons_count)
+    g = steps.run(answer_groups(steps(rows, "drop_nan"), exclude_incorrect=exclude_incorrect, outlier_annotators=outliers), "answer-groups")
+    tag = find_relevant_tag(g, relevant_tags) if is_relevant else None
     if exclude_incorrect:
-        count("exclude_incorrect", "n_pre")
-    if is_relevant:
-        g = keep_relevant_groups(g, find_relevant_tag(g, relevant_tags))
-        count("is_relevant", "n_pre")
+        g = steps(g, "exclude_incorrect", F.sum("n_pre"))
+    if tag is not None:
+        g = steps(keep_relevant_groups(g, tag), "is_relevant", F.sum("n_pre"))
     if cutoff_worker_outliers is not None:
-        count("cutoff_worker_outliers", "n")
+        g = steps(g, "cutoff_worker_outliers", F.sum("n"))
     if min_labels_cutoff > 0:
         w = Window.partitionBy("tweet_id", "question_tag")
-        g = g.where(F.col("question_tag").isNotNull()).withColumn("_t", F.sum("n").over(w)) \
-            .where(F.col("_t") >= min_labels_cutoff)
-        count("min_labels_cutoff", "n")
+        g = g.where(F.col("question_tag").isNotNull()).withColumn("_t", F.sum("n").over(w)).where(F.col("_t") >= min_labels_cutoff)
+        g = steps(g, "min_labels_cutoff", F.sum("n"))
     if keyword_ids is not None:
-        g = g.join(keyword_ids.select(F.col("id").alias("tweet_id")), "tweet_id", "left_semi")
-        count("contains_keywords", "n")
-    out = reduce(DataFrame.unionByName, steps)
-    before = F.lag("n_rows").over(Window.partitionBy(F.lit(0)).orderBy("o"))  # a row for each step
-    pct = F.round(F.try_divide(100.0 * (before - F.col("n_rows")), before), 9)
-    return out.select("step", F.col("n_rows").cast("bigint").alias("n_rows"), pct.alias("pct_removed"))
+        g = g.join(keyword_ids.select(F.col("id").alias("tweet_id")).distinct(), "tweet_id", "left_semi")
+        g = steps(g, "contains_keywords", F.sum("n"))
+    steps.run(g.select("tweet_id", "question_tag", "answer_tag", "n"), "cleaned-groups")
+    return steps.report(ann.sparkSession)
 
 
 def clean_labels(ann: DataFrame, selection_criterion: str = "majority", min_labels_cutoff: int = 3,

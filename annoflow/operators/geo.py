@@ -233,22 +233,25 @@ def location_key(c: Column) -> Column:
 def gazetteer_matches(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Decode distinct location keys ``_loc`` with a gazetteer table.
 
-    Each key is split into word n-grams up to the longest gazetteer name, equi-joined with the
-    gazetteer names; the longest match wins, then the larger population.
+    A place is looked for only where the one or two words that a name begins with stand: a table of these beginnings has the lengths
+    of the names that follow, and only word sequences of these lengths are formed and joined with the names.  The longest match wins,
+    then the larger population.
     Returns _loc, longitude, latitude, country_code, geoname_id, location_type.
     """
     distinct = locations.select("_loc").where(F.length("_loc") > 0).distinct()
-    longest = gazetteer.agg(F.max(F.size(F.split(location_key(F.col("name")), " ")))).first()[0] or 1
-    words = F.split("_loc", " ")
-    grams = F.flatten(F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), F.size(words))),
-        lambda k: F.transform(F.sequence(F.lit(0), F.size(words) - k),
-                              lambda i: F.struct(F.array_join(F.slice(words, i + 1, k), " ").alias("name"),
-                                                 k.alias("len")))))
-    exploded = distinct.select("_loc", F.explode(grams).alias("g"))
     gaz = gazetteer.select(location_key(F.col("name")).alias("_name"), "longitude", "latitude", "country_code",
                            "geoname_id", "location_type", "population")
-    hits = exploded.join(gaz, exploded["g"]["name"] == gaz["_name"])
+    begins = lambda words, i, k: F.array_join(F.slice(words, i, k), " ")
+    words = F.split("_name", " ")
+    heads = (gaz.select(begins(words, 1, 2).alias("head"), F.size(words).alias("len")).groupBy("head")
+             .agg(F.collect_set("len").alias("lens")))
+    words = F.split("_loc", " ")
+    at = F.sequence(F.lit(1), F.size(words))
+    places = distinct.select("_loc", F.explode(at).alias("i")).select("_loc", "i", F.explode(F.array_distinct(F.array(
+        begins(words, F.col("i"), F.lit(1)), begins(words, F.col("i"), F.lit(2))))).alias("head"))
+    grams = (places.join(heads, "head").select("_loc", "i", F.explode("lens").alias("len")).where(F.col("i") + F.col("len") - 1 <= F.size(words))
+             .select("_loc", F.struct(begins(words, F.col("i"), F.col("len")).alias("name"), "len").alias("g")))
+    hits = grams.join(gaz, grams["g"]["name"] == gaz["_name"])
     best = hits.groupBy("_loc").agg(F.max_by(
         F.struct("longitude", "latitude", "country_code", "geoname_id", "location_type"),
         F.struct(F.col("g.len"), F.col("population"), F.col("geoname_id"))).alias("b"))

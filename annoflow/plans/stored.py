@@ -331,3 +331,23 @@ def full_report(spark, sf_dir):
         sample=sampling.sample_stats(sampled, unavailable, labelled, batched), annotation=shares,
         outliers=reports.outlier_summary(outliers), cleaned=annotator_stats.cleaned_summary(cleaned))
     return out.where(~F.col("item").endswith("n_bytes"))
+
+
+@_query(f"""WITH p AS ({oracle.PARSE_STATUSES}), cols AS (SELECT id, is_retweet, has_quote, text FROM p),
+kw AS (SELECT * FROM cols WHERE NOT is_retweet AND has_quote),
+steps AS (SELECT 0 AS o, 'start' AS step, count(*) AS n_rows FROM cols
+UNION ALL SELECT 1, 'drop_retweets', count(*) FROM cols WHERE NOT is_retweet
+UNION ALL SELECT 2, 'contains_keywords', count(*) FROM kw
+UNION ALL SELECT 3, 'lang', count(*) FROM kw
+UNION ALL SELECT 4, 'min_tokens', count(*) FROM kw
+UNION ALL SELECT 5, 'drop_duplicates', (SELECT count(*) FROM ({oracle.PRETRAIN_TEXT})))
+SELECT step, n_rows, round(100.0 * (lag(n_rows) OVER (ORDER BY o) - n_rows) / nullif(lag(n_rows) OVER (ORDER BY o), 0), 9) AS pct_removed FROM steps""")
+def pretrain_steps(spark, sf_dir):
+    """A27 for the pre-training chain: one run of the chain gives its texts and the figures."""
+    from annoflow.operators.steps import Steps
+    from annoflow.plans import parse as parse_plan
+
+    parsed, _ = parse_plan.parse(views.raw_status_lines(spark, sf_dir), keywords=("purchase",))
+    steps = Steps()
+    workflows.pretraining_text(parsed, seed=5, lang="en", min_tokens=3, drop_retweets=True, keyword_only=True, steps=steps)
+    return steps.report(spark)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from annoflow.functions import text as T
 from annoflow.operators import sampling, splits
+from annoflow.operators.steps import Steps
 
 
 def draw_sample(parsed: DataFrame, size: int | None = None, seed: int = 0, mode: str = "random",
@@ -50,16 +51,23 @@ def split_labels(cleaned: DataFrame, question=None, seed: int = 42, dev_size: fl
 
 
 def pretraining_text(parsed: DataFrame, seed: int = 0, lang: str | None = "en", min_tokens: int = 3,
-                     drop_retweets: bool = True, keyword_only: bool = False, dev_cap: int = 200_000) -> DataFrame:
-    """F7, F5, F6, F3 (>=) -> dedup on P19 -> shuffle -> T8 split; rows (id, text, split)."""
-    df = parsed
+                     drop_retweets: bool = True, keyword_only: bool = False, dev_cap: int = 200_000,
+                     steps: Steps | None = None) -> DataFrame:
+    """F7, F5, F6, F3 (>=) -> dedup on P19 -> shuffle -> T8 split; rows (id, text, split).
+
+    With ``steps`` the rows left after every step are observed (A27) while the chain runs, once, and its texts are stored.
+    """
+    mark = steps or (lambda df, name: df)
+    df = mark(parsed, "start")
     if drop_retweets:
-        df = df.where(~F.col("is_retweet"))
+        df = mark(df.where(~F.col("is_retweet")), "drop_retweets")
     if keyword_only:
-        df = df.where(F.col("contains_keywords"))
+        df = mark(df.where(F.col("contains_keywords")), "contains_keywords")
     if lang is not None:
-        df = df.where(F.col("lang") == lang)
+        df = mark(df.where(F.col("lang") == lang), "lang")
     if min_tokens > 0:
-        df = df.where(F.col("token_count") >= min_tokens)
-    df = sampling.dedup_keep_first(df.select("id", "text"), T.text_cleared("text"), ["id"])
+        df = mark(df.where(F.col("token_count") >= min_tokens), "min_tokens")
+    df = mark(sampling.dedup_keep_first(df.select("id", "text"), T.text_cleared("text"), ["id"]), "drop_duplicates")
+    if steps is not None:
+        df = steps.run(df, "pretraining")
     return splits.pretrain_split(df, seed, dev_cap=dev_cap)

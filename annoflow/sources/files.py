@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,15 +44,30 @@ def _files(spark: SparkSession, root: str, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in fs.globStatus(path) or [])
 
 
-def _header(spark: SparkSession, path: str) -> str:
-    """First line of a file."""
-    fs, p = _file_system(spark, path)
-    java = spark.sparkContext._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
+def _modes(mode: str) -> tuple[str, ...]:
+    if mode in ("all", "*"):
+        return MODES
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}; there are {', '.join(MODES)}")
+    return (mode,)
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of every file (of a folder: of each of its parts), read by tasks; one short row a file comes back."""
+    def first_lines(batches):
+        last = None
+        for batch in batches:
+            files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
+            rows = []
+            for i, (file, start) in enumerate(zip(files, starts)):
+                if start == 0 and file != last:
+                    rows.append({"file": file, "header": batch.column("value")[i].as_py()})
+                last = file
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([("file", pa.string()), ("header", pa.string())]))
+
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    return {r.file: r.header.lstrip("\ufeff") for r in lines.mapInArrow(first_lines, "file string, header string").collect()}
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -61,15 +77,15 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
 def read_annotations(spark: SparkSession, root: str, mode: str = "all", pattern: str = "*") -> DataFrame:
     """Annotation CSVs of one mode (or all); files may differ in columns.
 
-    Files of equal header are read together.  Adds ``mode``, ``file`` and a file-order ``seq``
+    ``pattern`` is looked for anywhere in the file names.  Files of equal header are read together.  Adds ``mode``, ``file`` and a file-order ``seq``
     (mode, file, row position), ``annotator_id = coalesce(user_id, worker_id)`` and ``total_time``.
     Raises FileNotFoundError when nothing matches.
     """
-    modes = MODES if mode in ("all", "*") else (mode,)
+    modes = _modes(mode)
+    paths = _files(spark, root, os.path.join("{" + ",".join(modes) + "}", f"*{pattern}*.csv"))
     layouts: dict[str, list[str]] = {}
-    for m in modes:
-        for path in _files(spark, root, os.path.join(m, f"{pattern}.csv")):
-            layouts.setdefault(_header(spark, path), []).append(path)
+    for path, header in sorted(_headers(spark, paths).items()) if paths else ():
+        layouts.setdefault(header, []).append(path)
     if not layouts:
         raise FileNotFoundError(f"no annotation files for mode {mode!r} under {root}")
     wanted = T._parse_datatype_string(ANNOTATION_SCHEMA)
@@ -117,7 +133,7 @@ def read_batches(spark: SparkSession, root: str) -> DataFrame:
 
 def read_uploaded(spark: SparkSession, root: str, availability: str | None = None, mode: str = "*") -> DataFrame:
     """Uploaded batches (with availability), optionally one availability."""
-    paths = _files(spark, root, os.path.join(mode, "*.csv"))
+    paths = _files(spark, root, os.path.join("{" + ",".join(_modes(mode)) + "}", "*.csv"))
     if not paths:
         return _empty(spark, UPLOADED_SCHEMA + ", mode string")
     df = spark.read.schema(UPLOADED_SCHEMA).option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
