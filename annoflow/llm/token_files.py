@@ -33,8 +33,16 @@ END_ID = 2
 #: Words whose ids a Python worker remembers, twice: the last so many, and those before them.
 CACHE_WORDS = 500_000
 
-# Fixed value: the pattern by which the tokenizer's own file splits texts.
+#: A file holds the sequences of about so many bytes of input, by the planner's estimate; at least one file a shuffle partition.
+FILE_BYTES = 256 << 20
+
+# What a tokenizer's own file says if its texts may be cut (see WordEncoder).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: What plain texts have not: ``<``, and characters other than ASCII and the letters of Latin-1.
 _NOT_PLAIN = re.compile(rb"[<\xc2\xc4-\xff]|\xc3[\x97\xb7]")
 #: SPLIT for lowered plain texts, where every byte from 0x80 on is part of a letter.
@@ -63,14 +71,24 @@ class _Memory(dict):
             self.clear()
 
 
+def may_cut(file: dict) -> bool:
+    """Whether the parts of a text that ``WordEncoder`` cuts are independent, by the tokenizer's file."""
+    model = file["model"]
+    plain_merges = model["type"] == "BPE" and not any(model.get(k) for k in (
+        "dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    brackets = all(re.fullmatch(r"<[^\s<]*", t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"])
+                   for t in file["added_tokens"])
+    return (file["normalizer"], file["pre_tokenizer"]) == (NORMALIZER, PRE_TOKENIZER) and plain_merges and brackets
+
+
 class WordEncoder:
     """Encodes by parts that are independent, each through the tokenizers library and then remembered.
 
-    For tokenizers that normalise white space to white space and drop it before they merge: no
-    token, merge or composition then reaches over it, so a text may be cut at space and \\t to \\r.
+    Only if the tokenizer's file is known to allow it: it composes, turns white space to one space, lowers case, splits by ``SPLIT``
+    and merges bytes by rank, and its added tokens are plain strings in angle brackets.  No token, merge or composition then
+    reaches over white space, so a text may be cut at space and \\t to \\r.
     Plain texts (ASCII and Latin-1 letters, which NFC leaves alone and which have one lower-case
-    letter each) are cut further, if the tokenizer's file says that it composes, lowers case, splits by ``SPLIT``
-    and merges bytes.  There is no part that the library does not encode.
+    letter each) are cut further.  With any other file whole texts are encoded.  There is no part that the library does not encode.
     """
 
     def __init__(self, tokenizer_file: str, capacity: int = CACHE_WORDS):
@@ -78,11 +96,7 @@ class WordEncoder:
 
         tok = Tokenizer.from_file(tokenizer_file)
         self.dtype = np.dtype("<u2") if tok.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        file = json.loads(tok.to_str())
-        steps = [x["type"] for x in (file["normalizer"] or {}).get("normalizers", [])]
-        cuts = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
-        self.splits = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"]
-                       and cuts[0]["pattern"] == {"Regex": SPLIT})
+        self.tok, self.cuts = tok, may_cut(json.loads(tok.to_str()))
         self.words = _Memory(tok, self.dtype, capacity // 4)
         merges = Tokenizer.from_file(tokenizer_file)  # for parts that are normal and split already
         merges.normalizer = None
@@ -90,8 +104,10 @@ class WordEncoder:
         self.parts = _Memory(merges, self.dtype, capacity)
 
     def _encode(self, text: str) -> bytes:
+        if not self.cuts:
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
         raw = text.encode()
-        if self.splits and not _NOT_PLAIN.search(raw):
+        if not _NOT_PLAIN.search(raw):
             return b"".join(map(self.parts.__getitem__, _PLAIN.findall(text.lower().encode())))
         return b"".join(map(self.words.__getitem__, raw.split()))
 
@@ -182,7 +198,8 @@ def write_token_files(docs: DataFrame, tokenizer_file: str, folder: str, end_id:
     """Encodes and writes ``docs`` in ascending order of doc_id (null ids last; equal ids by a hash of the text) and
     returns the manifest: part, docs, tokens, first_token (tokens of all files before)."""
     spark = docs.sparkSession
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = files or max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-size // FILE_BYTES), 1 << 20))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
 
@@ -208,17 +225,18 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
         for b in batches:
             for part, first in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 name = f"{root}/part-{part:05d}"
-                with pa.ipc.open_file(store.open_input_file(f"{name}.docs")) as docs, \
-                        pa.ipc.open_file(store.open_input_file(f"{name}.arrow")) as data:
-                    stream = _Stream(data)
+                with open_file(store, f"{name}.docs") as docs, open_file(store, f"{name}.arrow") as data:
+                    stream = TokenFile(data)
                     for i in range(docs.num_record_batches):
                         t = docs.get_batch(i)
                         crc = []
                         for s, n in zip(t["start"].to_pylist(), t["n_tokens"].to_pylist()):
-                            ids, mask = stream.take(s, n)
-                            if not mask.all():
-                                raise ValueError(f"{name}.arrow: document at {s} has padding")
-                            crc.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                            c = 0
+                            for ids, mask in stream.pieces(s, n):
+                                if mask.false_count:
+                                    raise ValueError(f"{name}.arrow: document at {s} has padding")
+                                c = zlib.crc32(ids.astype("<u4", copy=False), c)
+                            crc.append(c)
                         yield pa.RecordBatch.from_arrays(
                             [t["doc_id"], pa.array(t["start"].to_numpy() + first), t["n_tokens"], pa.array(crc, pa.int64())],
                             names=["doc_id", "start", "n_tokens", "ids_crc32"])
@@ -227,31 +245,52 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame) -> D
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-class _Stream:
-    """The id stream of one file: a batch at a time, each without a copy."""
+def open_file(store, path: str):
+    """An Arrow file: mapped into memory where it lies on a file system that can be, else read as it is asked for."""
+    from pyarrow import fs
+
+    source = pa.memory_map(path) if isinstance(store, fs.LocalFileSystem) else store.open_input_file(path)
+    return pa.ipc.open_file(source)
 
-    def __init__(self, data):
+
+class TokenFile:
+    """The sequences of one file, and the id stream that they make up.  Ids are views into the file, masks are its bits: nothing
+    is copied or decoded."""
+
+    def __init__(self, data: pa.ipc.RecordBatchFileReader):
         self.data, self.at, self.loaded = data, -1, None
         first = data.get_batch(0)
-        self.per_batch = first.num_rows * first.schema.field("ids").type.list_size
+        self.sequence = first.schema.field("ids").type.list_size
+        self.per_batch = first.num_rows * self.sequence
 
     def _batch(self, i: int):
         if i != self.at:
             b = self.data.get_batch(i)
-            self.loaded = (b.column(0).flatten().to_numpy(), b.column(1).flatten().to_numpy(zero_copy_only=False))
+            self.loaded = (b.column(0).flatten().to_numpy(zero_copy_only=True), b.column(1).flatten())
             self.at = i
         return self.loaded
 
-    def take(self, start: int, n: int):
-        ids, mask = [], []
+    def __len__(self) -> int:
+        last = self.data.get_batch(self.data.num_record_batches - 1).num_rows
+        return (self.data.num_record_batches - 1) * (self.per_batch // self.sequence) + last
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Sequence i and its mask, at any place."""
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        ((ids, mask),) = self.pieces(i * self.sequence, self.sequence)
+        return ids, mask
+
+    def pieces(self, start: int, n: int):
+        """The ids and masks from ``start`` on, one piece for each batch that they lie in."""
         while n:
             i, lo = divmod(start, self.per_batch)
-            a, m = self._batch(i)
-            k = min(n, len(a) - lo)
-            ids.append(a[lo:lo + k])
-            mask.append(m[lo:lo + k])
+            ids, mask = self._batch(i)
+            k = min(n, len(ids) - lo)
+            if k <= 0:
+                raise IndexError(start)
+            yield ids[lo:lo + k], mask.slice(lo, k)
             start, n = start + k, n - k
-        return np.concatenate(ids), np.concatenate(mask)
 
 
 def token_files(docs: DataFrame, tokenizer_file: str, folder: str | None = None, end_id: int = END_ID, sequence: int = SEQUENCE,

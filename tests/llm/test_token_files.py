@@ -67,3 +67,47 @@ def test_word_by_word_is_exact(tok, capacity):
     encoder = T.WordEncoder(FILE, capacity)
     for t, ids in zip(texts, encoder(texts)):
         assert np.frombuffer(ids, encoder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
+def test_other_tokenizers_are_encoded_whole(spark, odd):
+    from tokenizers import Tokenizer
+
+    other = tokenizer("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(other)
+    texts = ["two  spaces\n\nand lines", "It's the END. x y", " lead", "a b<|endoftext|> c", "", "日本語 1234"]
+    encoder = T.WordEncoder(other)
+    for t, ids in zip(texts, encoder(texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    folder, manifest = T.token_files(odd, other, end_id=50256)
+    got = {r.doc_id: r.n_tokens for r in T.read_token_files(spark, folder, manifest).where("doc_id in (4, 5, 6)").collect()}
+    assert got == {r.doc_id: len(tok.encode(r.text, add_special_tokens=False).ids) + 1 for r in odd.where("doc_id in (4, 5, 6)").collect()}
+
+
+def test_a_file_that_differs_in_a_rule_is_not_cut():
+    import json
+
+    file = json.loads(open(FILE).read())
+    assert T.may_cut(file)
+    for change in (lambda f: f["normalizer"]["normalizers"][1].update(content="_"), lambda f: f["normalizer"]["normalizers"].pop(),
+                   lambda f: f["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True), lambda f: f["model"].update(dropout=0.1),
+                   lambda f: f["added_tokens"][0].update(content="a b"), lambda f: f["added_tokens"][0].update(lstrip=True), lambda f: f.update(normalizer=None)):
+        other = json.loads(json.dumps(file))
+        change(other)
+        assert not T.may_cut(other)
+
+
+def test_sequences_are_views_at_any_place(spark, sf001, tok):
+    folder, manifest = T.token_files(read(spark, sf001, "documents"), FILE, sequence=32, batch_rows=4)
+    store, root = T._filesystem(folder)
+    first = manifest.orderBy("part").first()
+    with T.open_file(store, f"{root}/part-{first.part:05d}.arrow") as data:
+        f = T.TokenFile(data)
+        assert len(f) == -(-first.tokens // 32)
+        whole = np.concatenate([f[i][0] for i in range(len(f))])
+        for i in (len(f) - 1, 0, len(f) // 2, 3):
+            before = pa.total_allocated_bytes()
+            ids, mask = f[i]
+            assert not ids.flags.owndata and pa.total_allocated_bytes() - before < 64
+            assert ids.tolist() == whole[i * 32:i * 32 + 32].tolist() and mask.true_count == min(32, first.tokens - i * 32)
+        with pytest.raises(IndexError):
+            f[len(f)]
