@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from annoflow.functions import entities
 from annoflow.functions.stopwords import ENGLISH_STOP_WORDS
 
-# The whitespace characters of Python's str.split()/str.strip(),
+# Fixed values (also the drop patterns and the quote table below): the whitespace characters of Python's str.split()/str.strip(),
 # a word character, and the URL / handle patterns with their default fillers.
 WS_CHARS = "\\t\\n\\x0B\\f\\r\\x1C-\\x1F \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
 WS = f"[{WS_CHARS}]"
 NON_WS = f"[^{WS_CHARS}]"
 WORD = "[\\p{L}\\p{N}_]"
+# Where a word begins or ends; Java's own \\b differs between versions.
+EDGE = f"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
 URL_PATTERN = f"((www\\.{NON_WS}+)|(https?://{NON_WS}+)|(http?://{NON_WS}+))"
 USER_PATTERN = f"(^|[^@\\p{{L}}\\p{{N}}_])@({WORD}{{1,15}})(?!{WORD})"
 CONTROL_PATTERN = "[\\r\\n\\t]+"
@@ -154,13 +156,16 @@ def token_count(c, stop_words=ENGLISH_STOP_WORDS) -> Column:
 
 def contains_keywords(text, mentions=None, urls=None, keywords=()) -> Column:
     """Any keyword regex in lower(text || mention names), or between
-    separators in lower(urls).  Keywords are lower-case Java regexes."""
+    separators in lower(urls).  Keywords are lower-case Java regexes.
+
+    Separators belong to the keyword's own alternatives: of ``a|b`` the first needs one before it, the last one behind it.
+    """
     if not keywords:
         return F.lit(False)
     alternation = "|".join(f"(?:{k})" for k in keywords)
     any_text = F.lower(F.concat(_c(text), F.coalesce(_c(mentions), F.lit("")) if mentions is not None else F.lit("")))
     hit = any_text.rlike(alternation)
     if urls is not None:
-        sep = f"(\\b|\\d|_)(?:{alternation})(\\b|\\d|_|cas)"
-        hit = hit | F.coalesce(F.lower(_c(urls)).rlike(sep), F.lit(False))
+        between = "|".join(f"(?:({EDGE}|\\p{{Nd}}|_){k}({EDGE}|\\p{{Nd}}|_|cas))" for k in keywords)
+        hit = hit | F.coalesce(F.lower(_c(urls)).rlike(between), F.lit(False))
     return hit

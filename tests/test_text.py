@@ -109,3 +109,15 @@ def test_unescape_fast_path_matches_python(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, s string")
     got = [r[0] for r in df.orderBy("i").select(T.html_unescape(F.col("s"))).collect()]
     assert got == [html.unescape(s) for s in cases]
+
+
+def test_keywords_between_separators_in_urls(spark):
+    import re
+
+    urls = ["http://x.org/flu", "http://x.org/influenza", "http://x.org/flu2", "http://x.org/2flu_a", "http://x.org/flucas", "http://x.org/éflué",
+            "http://x.org/é-flu-é", "http://x.org/coldx", "http://x.org/xcold", "http://x.org/٣flu", "x flu", ""]
+    for keywords in (("flu",), ("flu|cold",), ("col", "flu")):
+        df = spark.createDataFrame([(u,) for u in urls], "u string").select("u", T.contains_keywords(F.lit(""), None, "u", keywords).alias("k"))
+        for r in df.collect():
+            want = any(re.search(rf"(\b|\d|_){k}(\b|\d|_|cas)", r.u.lower()) for k in keywords)
+            assert r.k == want, (keywords, r.u)
