@@ -149,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     window), item_ids (sorted array of items with occurring windows, as strings).
 
     Null and empty texts have no words and no hits.  Rows are told apart by id and text, null
-    ids included, so repeated rows get equal results.  Items without words give no window; items with equal windows all
+    ids included, so repeated rows get equal results.  Items without words or without an id give no window; items with equal windows all
     count.  An empty benchmark or an empty table gives zero hits or no rows.  Other columns are
     not read.
     """
@@ -160,7 +160,7 @@ def keyed_contamination(docs, benchmark, window=WINDOW, shingle=SHINGLE, id_col=
                         item_col="item_id", item_text_col="text"):
     """``contamination`` with the row's key (``row_key`` of id and text) as _k1 and _k2."""
     spark = docs.sparkSession
-    per_item = stage(item_windows(benchmark.select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")),
+    per_item = stage(item_windows(benchmark.where(F.col(item_col).isNotNull()).select(F.col(item_col).cast("string"), F.col(item_text_col).cast("string")),
                                   window, shingle), "windows")
     windows = per_item.groupBy("window").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
     ks = sorted(r[0] for r in per_item.select(F.least(F.lit(shingle), "n").alias("k")).distinct().collect())  # at most `shingle` rows

@@ -52,7 +52,7 @@ bits AS (SELECT doc_id, b, array_to_string([lpad(bin(instr('0123456789abcdef', h
 levels AS (SELECT doc_id, b, d, left(a, d) AS prefix FROM (SELECT *, unnest(range(0, 25)) AS d FROM bits)),
 buckets AS (SELECT prefix, sum(b) AS total, count(*) AS n FROM levels GROUP BY prefix),
 leaf AS (SELECT l.doc_id, l.b, l.d, l.prefix, k.total, k.n, row_number() OVER (PARTITION BY l.doc_id ORDER BY l.d) AS r
-         FROM levels l JOIN buckets k USING (prefix) WHERE k.total <= {sharding.LIMIT} OR k.n = 1)
+         FROM levels l JOIN buckets k USING (prefix) WHERE greatest(k.total, k.n) <= {sharding.LIMIT} OR k.n = 1)
 SELECT doc_id, CAST(b AS BIGINT) AS n_bytes, 's' || prefix AS shard, CAST(d AS INTEGER) AS depth, CAST(total AS BIGINT) AS shard_bytes,
        CAST(n AS BIGINT) AS shard_rows
 FROM leaf WHERE r = 1"""

@@ -2,7 +2,7 @@
 
 Rows get an address of 256 bits: a hash of the id, then one of the text, then one of the row, so
 that equal ids and even equal rows part at last.  A bucket is a prefix of the address.  It
-holds its rows if they fit the byte limit (or it has one row); otherwise it, and it alone,
+holds its rows if they fit the byte limit, each row weighing one byte at least (or if it has one row); otherwise it, and it alone,
 splits on the next bit.  The directory is built a page of ``PAGE`` bits at a time from summed bytes
 per prefix; rows of buckets that still are too large at the end of a page go on to the next.
 """
@@ -35,7 +35,8 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, id_col: str = "doc_id", t
     """One row per row of ``docs``: doc_id, n_bytes (UTF-8, null text: 0), shard ("s" and its bits), depth,
     shard_bytes, shard_rows.
 
-    A text longer than the limit has a shard to itself.  Null ids share one address start and
+    A shard has at most ``limit`` bytes and ``limit`` rows, so that empty texts, too, are split.  A text longer than the limit has a shard to
+    itself.  Null ids share one address start and
     are split by their texts; repeated rows by a row number that is written before use.  An
     empty table has no shards.  Other columns are not read.
     """
@@ -47,7 +48,7 @@ def _assigned(rows: DataFrame, limit: int) -> DataFrame:
     more = [c for c in rows.columns if c not in ("doc_id", "n_bytes", "address")]
     out, page = None, 0
     total = rows.agg(F.sum("n_bytes").alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if (total["b"] or 0) <= limit or total["n"] <= 1:
+    if max(total["b"] or 0, total["n"]) <= limit or total["n"] <= 1:
         return rows.select(*more, "doc_id", "n_bytes", F.lit("s").alias("shard"), F.lit(0).alias("depth"),
                            F.lit(total["b"] or 0).cast("long").alias("shard_bytes"), F.lit(total["n"]).cast("long").alias("shard_rows"))
     while True:
@@ -62,7 +63,7 @@ def _assigned(rows: DataFrame, limit: int) -> DataFrame:
             F.explode(F.sequence(F.lit(1), F.lit(width))).alias("d")).withColumn("prefix", F.expr("left(bits, d)"))
         buckets = levels.groupBy("open", "prefix").agg(F.sum("b").alias("b"), F.sum("n").alias("n"))
         last = done + digits >= ADDRESS_DIGITS
-        fits = buckets.where((F.col("b") <= limit) | (F.col("n") == 1)
+        fits = buckets.where((F.greatest("b", "n") <= limit) | (F.col("n") == 1)
                              | (F.lit(last) & (F.length("prefix") == width)))
         # The first prefix that fits is the bucket: all shorter ones were split.
         leaf = (levels.select("entry", "open", "prefix", "d").join(fits, ["open", "prefix"])
@@ -88,20 +89,32 @@ def _bits(digits, n: int):
     return F.concat(*(F.lpad(F.conv(F.substring(digits, i + 1, 1), 16, 2), 4, "0") for i in range(n)))
 
 
+def _folder(columns: list[str]) -> str:
+    """The column that names shards, free in a table of these columns."""
+    name, taken = "shard", {c.lower() for c in columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes ``docs`` under path/shard=..., each shard by one task, every row once.
 
-    The whole row goes with its address, so null and repeated ids and repeated rows need no join.
+    The whole row goes with its address, so null and repeated ids and repeated rows need no join.  If ``docs`` has a column of that
+    name, it stays, and folders are named by the first free one of _shard, __shard and so on.
     """
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     rows = _assigned(stage(_addresses(docs, id_col, text_col, whole), "addresses", compression="zstd"), limit)
-    rows.select("_row.*", "shard").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    folder = _folder(docs.columns)
+    (rows.select("_row.*", F.col("shard").alias(folder)).repartition(folder)
+     .write.mode("overwrite").partitionBy(folder).parquet(path))
 
 
 def written_shards(spark: SparkSession, path: str, schema: StructType, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The columns of ``assign_shards``, from the files of ``write_shards`` of rows with this schema."""
-    files = spark.read.schema(StructType([*schema.fields, StructField("shard", StringType())])).parquet(path)
-    rows = files.select(F.col(id_col).alias("doc_id"), "shard",
+    folder = _folder(schema.names)
+    files = spark.read.schema(StructType([*schema.fields, StructField(folder, StringType())])).parquet(path)
+    rows = files.select(F.col(id_col).alias("doc_id"), F.col(folder).alias("shard"),
                         F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_bytes"))
     sums = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_rows"))
     return rows.join(sums, "shard").select("doc_id", "n_bytes", "shard", (F.length("shard") - 1).cast("int").alias("depth"),

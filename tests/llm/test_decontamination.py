@@ -69,6 +69,8 @@ def test_clashing_columns_and_empty_tables(spark, odd, empty):
     none = items.limit(0)
     assert D.contamination(odd, items).count() == odd.count()
     assert {r.n_hit for r in D.contamination(odd, none).collect()} == {0}
+    nameless = D.digest(D.contamination(odd, spark.createDataFrame([(None, "two three"), (None, None)], "item_id long, text string")))
+    assert {(r.n_hit, r.n_items, r.contaminated) for r in nameless.collect()} == {(0, 0, False)}
     assert D.contamination(empty, items).count() == 0
 
 

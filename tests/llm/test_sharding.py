@@ -13,7 +13,7 @@ def brute(rows, limit):
     out, todo = {}, [("", rows)]
     while todo:
         prefix, part = todo.pop()
-        if sum(b for _, b in part) <= limit or len(part) == 1:
+        if max(sum(b for _, b in part), len(part)) <= limit or len(part) == 1:
             out.update({d: (prefix, sum(b for _, b in part), len(part)) for d, _ in part})
             continue
         for bit in "01":
@@ -61,3 +61,18 @@ def test_files_of_null_and_repeated_ids(spark, tmp_path):
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=str) == sorted(rows, key=str)
     got = S.written_shards(spark, out, docs.schema).collect()
     assert len(got) == len(rows) and all(r.shard_bytes <= 30 or r.shard_rows == 1 for r in got)
+
+
+def test_rows_without_bytes_are_split(spark):
+    rows = [(i, None if i % 2 else "") for i in range(500)]
+    got = S.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), 30).collect()
+    assert len(got) == 500 and max(r.shard_rows for r in got) <= 30 and {r.shard_bytes for r in got} == {0}
+
+
+def test_clashing_columns_stay(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * 20, f"own{i}", "e", 5) for i in range(12)], "doc_id long, text string, Shard string, entry string, n_bytes long")
+    out = str(tmp_path / "out")
+    S.write_shards(docs, out, 50)
+    assert sorted((r.doc_id, r.Shard, r.n_bytes) for r in spark.read.parquet(out).collect()) == [(i, f"own{i}", 5) for i in range(12)]
+    got = S.written_shards(spark, out, docs.schema).collect()
+    assert len(got) == 12 and all(r.shard.startswith("s") and r.shard_bytes <= 50 for r in got)
