@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annoflow.functions.time import total_time
+from annoflow.session import stage
 from annoflow.sources.tables import read_table
 
 
@@ -207,21 +208,54 @@ def _status_struct(e: str, embedded: bool = False):
     return F.struct(*fields)
 
 
+#: A target named by more rows than this is popular.
+POPULAR_ROWS = 10_000
+#: Rows of wide text that one task makes.
+TASK_ROWS = 50_000
+
+
+def beside_targets(df: DataFrame, key: str, target: str) -> DataFrame:
+    """Left self-join on ``target`` = ``key``, as two structs ``e`` (the row) and ``t`` (its target).
+
+    No task gets all rows of a key: rows without a target are not joined, and popular targets, of which there are at most
+    rows / :data:`POPULAR_ROWS`, are broadcast.
+    """
+    e = df.select(F.struct(*df.columns).alias("e"))
+    t = df.where(F.col(key).isNotNull()).select(F.struct(*df.columns).alias("t"))
+    popular = stage(df.where(F.col(target).isNotNull()).groupBy(F.col(target).alias("_key")).agg(F.count("*").alias("_n"))
+                    .where(F.col("_n") > POPULAR_ROWS).select("_key"), "popular")
+    hot = F.broadcast(popular)
+    on = F.col(f"e.{target}") == F.col(f"t.{key}")
+    lone = e.where(F.col(f"e.{target}").isNull()).withColumn("t", F.lit(None).cast(t.schema["t"].dataType))
+    told = e.where(F.col(f"e.{target}").isNotNull())
+    few = told.join(hot, F.col(f"e.{target}") == F.col("_key"), "left_anti").join(t, on, "left")
+    many = (told.join(hot, F.col(f"e.{target}") == F.col("_key"), "left_semi")
+            .join(F.broadcast(t.join(hot, F.col(f"t.{key}") == F.col("_key"), "left_semi")), on, "left"))
+    return lone.unionByName(few).unionByName(many)
+
+
+def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt by hash to tasks of about :data:`TASK_ROWS`, before they are made wide."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // TASK_ROWS)), *keys)
+
+
+def lines_file(ts: str):
+    """The file of an hour's lines."""
+    return F.concat(F.lit("/raw/tweets-"), F.date_format(ts, "yyyyMMddHH"), F.lit("0000-0.jsonl")).alias("source_file")
+
+
 def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw JSON lines of every event: clicks reply to, purchases quote and views
     retweet the event named by ``props.k`` (embedded as a full object).  Every
     50th line is written as a Python literal, and each collection day gets an
     API notice line."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"],
-                    spread_by="event_id")
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     ev = ev.withColumn("target", F.when(F.col("event_type").isin("click", "purchase", "view"),
                                         F.get_json_object("props", "$.k").cast("bigint")))
-    t = ev.select(*[F.col(c).alias(f"t_{c}") for c in ev.columns])
-    j = ev.alias("e").join(t.alias("t"), F.col("e.target") == F.col("t.t_event_id"), "left")
-    tgt = F.struct(*[F.col(f"t.t_{c}").alias(c) for c in ev.columns])
-    j = j.withColumn("_t", tgt)
+    j = _dealt(beside_targets(ev, "event_id", "target"), ["e.event_id", "e.ts", "e.user_id"])
     me = _status_struct("e")
-    emb = _status_struct("_t")
+    emb = _status_struct("t")
     raw = me.withField("quoted_status", F.when(F.col("e.event_type") == "purchase", emb)) \
             .withField("retweeted_status", F.when(F.col("e.event_type") == "view", emb))
     js = F.to_json(raw)
@@ -229,14 +263,15 @@ def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         js, '"', "'"), ":true", ":True"), ":false", ":False"), ":null", ":None")
     lines = j.select(
         F.when(F.col("e.event_id") % 50 == 7, literal).otherwise(js).alias("value"),
-        F.concat(F.lit("/raw/tweets-"), F.date_format("e.ts", "yyyyMMddHH"), F.lit("0000-0.jsonl"))
-         .alias("source_file"))
-    notices = lines.select(F.lit('{"limit": {"track": 3}}').alias("value"), "source_file").distinct()
+        lines_file("e.ts"))
+    # every event has its line, so the files are those of the events
+    notices = (ev.select(F.date_trunc("hour", "ts").alias("ts")).distinct().alias("e")
+               .select(F.lit('{"limit": {"track": 3}}').alias("value"), lines_file("e.ts")).distinct())
     from annoflow.sources.raw import day_from_path
     out = lines.unionByName(notices).withColumn("day", day_from_path("source_file"))
     # stored once, like the collected files: the JSON building above would
     # otherwise be inlined into every expression that reads ``value``
-    return out.checkpoint(eager=True)
+    return stage(out, "lines")
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:

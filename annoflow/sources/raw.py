@@ -23,7 +23,7 @@ from annoflow.session import stage
 # The three file-name layouts that carry the collection day.
 DAY_FROM_COMPACT = r"tweets-(\d{8})\d{6}"                          # tweets-YYYYMMDDHHMMSS-...
 DAY_FROM_DASHED = r"-(\d{4}-\d{1,2}-\d{1,2})-\d+-\d+-\d+"             # ...-Y-M-D-H-M-S-...
-DAY_FROM_DIRS = r"/(\d{4})/(\d{2})/(\d{2})/[^/]+/[^/]+$"            # .../YYYY/MM/DD/HH/file
+DAY_FROM_DIRS = r"/(\d{4}/\d{2}/\d{2})/[^/]+/[^/]+$"                # .../YYYY/MM/DD/HH/file
 
 
 def file_name(path: Column) -> Column:
@@ -40,12 +40,10 @@ def read_raw_lines(spark: SparkSession, paths) -> DataFrame:
 def day_from_path(path: Column | str) -> Column:
     """Collection day from the file name (two patterns) or its directories."""
     p = F.col(path) if isinstance(path, str) else path
-    base = F.regexp_extract(p, r"([^/]+)$", 1)
+    base = F.substring_index(p, "/", -1)
     compact = F.to_date(F.nullif(F.regexp_extract(base, DAY_FROM_COMPACT, 1), F.lit("")), "yyyyMMdd")
     dashed = F.to_date(F.nullif(F.regexp_extract(base, DAY_FROM_DASHED, 1), F.lit("")), "yyyy-M-d")
-    dirs = F.to_date(F.nullif(F.concat_ws("-", F.regexp_extract(p, DAY_FROM_DIRS, 1),
-                                          F.regexp_extract(p, DAY_FROM_DIRS, 2),
-                                          F.regexp_extract(p, DAY_FROM_DIRS, 3)), F.lit("--")), "yyyy-MM-dd")
+    dirs = F.to_date(F.nullif(F.regexp_extract(p, DAY_FROM_DIRS, 1), F.lit("")), "yyyy/MM/dd")
     return F.when(base.startswith("tweets"), compact) \
         .otherwise(F.coalesce(dashed, dirs))
 
