@@ -55,26 +55,25 @@ def parse_with_log(lines: DataFrame, keywords=(), countries: DataFrame | None =
                    extract_quotes: bool = True, keep_origin: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """As :func:`parse`, also returning the distinct interaction log of the lines.
 
-    ``keep_origin`` adds ``_origin``, by which copies of a status are ordered (W1), and stores the distinct copies, which
-    the merge of a batch reads several times.
+    ``keep_origin`` adds ``_origin``, by which copies of a status are ordered (W1), and leaves the counts out: the merge of a
+    batch counts the store's whole log.  The distinct copies are stored, as the log and the records are read from them, and so
+    are the counts: few ones are then broadcast, and no record is shuffled.
     """
     ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
-    firsts = dedup_copies(ok)
-    if keep_origin:
-        firsts = stage(firsts, "copies")
+    firsts = stage(dedup_copies(ok), "copies")
     log = top_level_log(firsts)
-    counts = interactions.count_interactions(log)
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))
     origin = ["_origin"] if keep_origin else []
     rec = kept.select(*S.extract_columns(keywords), *origin)
     rec = with_token_count(rec, "text")
-    rec = interactions.attach_counts(rec, counts)
+    if not keep_origin:
+        rec = interactions.attach_counts(rec, stage(interactions.count_interactions(log), "counts"))
     if countries is not None:
         # each branch of the enrichment reads the rows: parse once
-        rec = geo.enrich(rec.checkpoint(eager=True), geo.prepare_countries(countries), gazetteer)
+        rec = geo.enrich(stage(rec, "records"), geo.prepare_countries(countries), gazetteer)
     else:
         rec = geo.basics(rec)
-    out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields], *origin)
+    out = rec.select(*[F.col(f.name).cast(f.dataType) for f in PARSED.fields if f.name in rec.columns], *origin)
     return out.withColumn("created_day", F.to_date("created_at")), log, bad
 
 

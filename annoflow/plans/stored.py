@@ -74,7 +74,7 @@ def stream_better_copies(spark, sf_dir):
     """Every status is first met inside a retweet, with another day; of two in three the original follows."""
     from annoflow.streaming import ingest
 
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts"], spread_by="event_id")
     at = lambda c: F.date_format(c, views.TWITTER_TS)
 
     def status(id_, text, ts):

@@ -97,7 +97,7 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     span = _span(spark, store, span)
     lines = batch_lines.withColumn("day", day_from_path("source_file"))
     parsed, new_log, bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer, keep_origin=True)
-    rows = stage(parsed.drop(*COUNT_COLS).withColumn("bucket", bucket_of("id", span)), "batch-rows")
+    rows = stage(parsed.withColumn("bucket", bucket_of("id", span)), "batch-rows")
     new_log = stage(new_log.withColumn("bucket", bucket_of("target_id", span)), "batch-log")
     _overwrite(bad.withColumn("batch", F.lit(batch_id)), f"{store}/quarantine", "batch")
 
@@ -115,7 +115,9 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     locator = _read_parts(spark, f"{store}/locator", parts, f"id string, day date, _origin {origin}, bucket string")
     # New ids, and better copies of stored ones, with the day of the copy that they replace.
     had = locator.select("bucket", "id", F.col("_origin").alias("_had"), F.col("day").alias("_had_day"))
-    better = stage(rows.join(had, ["bucket", "id"], "left").where(F.col("_had").isNull() | (F.col("_origin") < F.col("_had"))), "better-rows")
+    better = rows.join(had, ["bucket", "id"], "left").where(F.col("_had").isNull() | (F.col("_origin") < F.col("_had")))
+    if any(_exists(spark, f"{store}/locator/{p}") for p in parts):  # else all rows are new, and they are stored already
+        better = stage(better, "better-rows")
     # Targets of the whole batch, not of what is new in the log: a repeated batch finds its log already there
     # and still has to count it.
     hit = locator.join(new_log.select("bucket", F.col("target_id").alias("id")).distinct(), ["bucket", "id"], "left_semi")

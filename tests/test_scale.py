@@ -1,10 +1,13 @@
 """Work is dealt evenly, whatever the keys: popular targets, rows without one, few large groups."""
 
+import json
 
 from pyspark.sql import functions as F
 
+from annoflow.operators.interactions import COUNT_COLS
 from annoflow.plans import parse, views
 from annoflow.session import stage
+from annoflow.sources import raw
 
 
 def events(spark, n):
@@ -40,3 +43,12 @@ def test_stored_files_have_few_rows(spark):
     stored = stage(spark.range(25_000).coalesce(1), "few")
     assert stored.count() == 25_000
     assert len(stored.inputFiles()) == 3
+
+
+def test_batch_is_not_counted(spark):
+    """The merge of a batch counts the whole log; counts of the batch alone would be dropped."""
+    line = json.dumps({"id": 1, "id_str": "1", "text": "a", "created_at": "Wed Jan 03 10:00:00 +0000 2024", "user": {"id_str": "7"}, "in_reply_to_status_id_str": "2"})
+    lines = spark.createDataFrame([(line, "/raw/tweets-20240103100000-0.jsonl")], "value string, source_file string").withColumn("day", raw.day_from_path("source_file"))
+    batch, log, _ = parse.parse_with_log(lines, keep_origin=True)
+    assert not set(COUNT_COLS.values()) & set(batch.columns)
+    assert [tuple(r) for r in log.select("source_id", "kind", "target_id").collect()] == [("1", "reply", "2")]
