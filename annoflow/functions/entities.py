@@ -20,13 +20,15 @@ REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 #: Old names, longest first: they are references also without a semicolon, and at the start of a longer word.
 OLD = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
 OLD_PATTERN = "^(" + "|".join(map(re.escape, OLD)) + ")"
+#: Looked up first: a map is searched from its beginning, and these are nearly all that texts hold.
+COMMON = ("amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;")
 #: Numbers up to here follow no rule (the legacy code page, control characters).
 _LISTED = 160
 
 
 def _names() -> Column:
     """The table of names as one literal, folded once when the query is planned."""
-    return F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    return F.from_json(F.lit(json.dumps({**{n: html5[n] for n in COMMON}, **html5})), "map<string,string>")
 
 
 def _numbers() -> Column:

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from annoflow.functions import entities
 from annoflow.operators.interactions import COUNT_COLS
 from annoflow.plans import parse, views
 from annoflow.session import stage
@@ -52,3 +53,8 @@ def test_batch_is_not_counted(spark):
     batch, log, _ = parse.parse_with_log(lines, keep_origin=True)
     assert not set(COUNT_COLS.values()) & set(batch.columns)
     assert [tuple(r) for r in log.select("source_id", "kind", "target_id").collect()] == [("1", "reply", "2")]
+
+
+def test_common_references_are_found_first(spark):
+    row = spark.range(1).select(F.map_keys(entities._names()).alias("k")).first()
+    assert row["k"][:2] == ["amp;", "lt;"] and len(row["k"]) == len(set(row["k"])) == len(entities.html5)
