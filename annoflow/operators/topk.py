@@ -92,7 +92,8 @@ def label_by_position(df: DataFrame, groups, key: str, tie: str, cuts, labels, o
     names = [f"_cut{i}" for i in range(len(cuts))]
     bounds = found.groupBy(*groups).agg(*[F.max(F.when(F.col("_i") == i, pair)).alias(c) for i, c in enumerate(names)])
     if groups:
-        marked = df.join(hist.select(*groups).distinct().join(bounds, groups, "left"), groups)
+        # A row a group: the rows themselves, with all their columns, are not shuffled by so few keys.
+        marked = df.join(F.broadcast(hist.select(*groups).distinct().join(bounds, groups, "left")), groups)
     else:
         row = bounds.first()  # one row, a pair for each cut
         marked = df.withColumns({c: F.lit(None) if row[c] is None else F.struct(
@@ -130,5 +131,5 @@ def global_row_index(df: DataFrame, order_cols, groups=(), index_col: str = "row
         .rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     stats = stats.select("_pid", *groups, "_off", "_first")
-    j = ranged.withColumn("_pid", pid).join(stats, ["_pid", *groups])
+    j = ranged.withColumn("_pid", pid).join(stats if groups else F.broadcast(stats), ["_pid", *groups])
     return j.withColumn(index_col, F.col("_off") + local - F.col("_first")).drop("_pid", "_off", "_first", "_mid")

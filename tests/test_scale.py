@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from annoflow.functions import entities
+from annoflow.operators import splits
 from annoflow.operators.interactions import COUNT_COLS
 from annoflow.plans import parse, views
 from annoflow.session import stage
@@ -58,3 +59,15 @@ def test_batch_is_not_counted(spark):
 def test_common_references_are_found_first(spark):
     row = spark.range(1).select(F.map_keys(entities._names()).alias("k")).first()
     assert row["k"][:2] == ["amp;", "lt;"] and len(row["k"]) == len(set(row["k"])) == len(entities.html5)
+
+
+def test_split_rows_are_not_shuffled_by_question(spark):
+    df = spark.range(90).select(F.col("id"), F.concat(F.lit("q"), (F.col("id") % 2).cast("string")).alias("question_tag"), F.lit("a").alias("label"), F.repeat(F.lit("x"), 50).alias("text"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = splits.train_dev_test_split(df, seed=1)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin [question_tag" in plan
+        assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 54, "dev": 18, "test": 18}  # 45 rows each
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
