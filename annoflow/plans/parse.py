@@ -30,10 +30,10 @@ def top_level_log(firsts: DataFrame) -> DataFrame:
 
 
 def dedup_copies(ok: DataFrame) -> DataFrame:
-    """One copy per status id; top-level beats embedded, then the earliest
+    """One copy per status id, of lines with their copies; top-level beats embedded, then the earliest
     (day, file, line hash).  An aggregate, so the millions of embedded copies of
     a viral original collapse map-side."""
-    cp = ok.select("day", "source_file", "line_hash", F.explode(S.copies("raw")).alias("c"))
+    cp = ok.select("day", "source_file", "line_hash", F.explode("raw").alias("c")).where(F.col("c").isNotNull())
     best = cp.groupBy(F.col("c.id_str").alias("_id")).agg(
         F.min(F.struct(F.col("c.priority").alias("p"), "day", "source_file", "line_hash", "c")).alias("w"))
     return best.select(F.col("w.c").alias("c"), F.struct("w.p", "w.day", "w.source_file", "w.line_hash").alias("_origin"))
@@ -59,7 +59,7 @@ def parse_with_log(lines: DataFrame, keywords=(), countries: DataFrame | None =
     batch counts the store's whole log.  The distinct copies are stored, as the log and the records are read from them, and so
     are the counts: few ones are then broadcast, and no record is shuffled.
     """
-    ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")))
+    ok, bad = parse_lines(lines.withColumn("line_hash", F.md5("value")), S.copies)
     firsts = stage(dedup_copies(ok), "copies")
     log = top_level_log(firsts)
     kept = firsts.where(S.extraction_gate(extract_retweets, extract_quotes))

@@ -252,7 +252,9 @@ def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     API notice line."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
     ev = ev.withColumn("target", F.when(F.col("event_type").isin("click", "purchase", "view"),
-                                        F.get_json_object("props", "$.k").cast("bigint")))
+                                        F.get_json_object("props", "$.k").cast("bigint"))).drop("props")
+    # read ten times below: the target is found once, and the text it is found in goes no further
+    ev = stage(ev, "events")
     j = _dealt(beside_targets(ev, "event_id", "target"), ["e.event_id", "e.ts", "e.user_id"])
     me = _status_struct("e")
     emb = _status_struct("t")

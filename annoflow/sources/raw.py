@@ -11,6 +11,7 @@ from __future__ import annotations
 import ast
 import datetime as dt
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -137,8 +138,9 @@ def _kind(raw, sound) -> Column:
             .when(raw["id"].isNotNull(), F.lit("bad")))
 
 
-def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parse lines into ``raw`` status structs.
+def parse_lines(lines: DataFrame, take: Callable[[Column], Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Parse lines into ``raw`` status structs, or what ``take`` makes of a struct (then only this is stored: the struct
+    has some 140 fields, most of them null in any line, and each costs time to write and to read back).
 
     Returns (statuses, quarantine).  Objects without ``id`` (API notices) are dropped.  To
     quarantine go lines that are neither JSON nor a Python literal, values that are no object,
@@ -148,16 +150,17 @@ def parse_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     once more: JSON objects with a value of another type than the schema's as they are, all others
     as what the literal UDF makes of them.  JSON lines never leave the JVM.
     """
+    kept = F.col("_raw").dropFields("_odd") if take is None else take(F.col("_raw"))
     once = lines.select("*", _parsed("value").alias("_raw"))
     good = F.col("_kind") == "ok"
     once = stage(once.withColumn("_kind", _kind(F.col("_raw"), F.col("_raw._odd").isNull())).where(F.col("_kind").isNotNull())
-                 .withColumns({"raw": F.when(good, F.col("_raw").dropFields("_odd")), "value": F.when(~good, F.col("value"))}).drop("_raw"), "parsed")
+                 .withColumns({"raw": F.when(good, kept), "value": F.when(~good, F.col("value"))}).drop("_raw"), "parsed")
     is_json = F.json_object_keys("value").isNotNull()
     literals = once.where("_kind = 'odd'").drop("raw").withColumn("_json", _literal_to_json(F.when(~is_json, F.col("value"))))
     literals = literals.withColumn("_json", F.when(is_json, F.col("value")).otherwise(F.col("_json")))
     literals = literals.select("*", _parsed("_json").alias("_raw")).drop("_json").withColumn("_kind", _kind(F.col("_raw"), F.lit(True)))
     ok = (once.where(good).drop("value", "_kind")
-          .unionByName(literals.where(good).withColumn("raw", F.col("_raw").dropFields("_odd")).drop("value", "_kind", "_raw")))
+          .unionByName(literals.where(good).withColumn("raw", kept).drop("value", "_kind", "_raw")))
     bad = (once.where("_kind = 'bad'").select("value", "source_file")
            .unionByName(literals.where("_kind in ('bad', 'odd')").select("value", "source_file")))
     return ok, bad

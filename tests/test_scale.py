@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from annoflow.functions import entities
+from annoflow.functions import status as S
 from annoflow.operators import splits
 from annoflow.operators.interactions import COUNT_COLS
 from annoflow.plans import parse, views
@@ -71,3 +72,28 @@ def test_split_rows_are_not_shuffled_by_question(spark):
         assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 54, "dev": 18, "test": 18}  # 45 rows each
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_target_is_found_once(spark, monkeypatch, tmp_path):
+    (spark.range(20).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.5).alias("value"), F.concat(F.lit('{"k": '), F.col("id") % 3, F.lit("}")).alias("props")).write.parquet(str(tmp_path / "events.parquet")))
+    met, join = [], views.beside_targets
+    monkeypatch.setattr(views, "beside_targets", lambda df, key, target: met.append(df) or join(df, key, target))
+    lines = views.raw_status_lines(spark, str(tmp_path))
+    assert "props" not in met[0].columns
+    assert "get_json_object" not in met[0]._jdf.queryExecution().optimizedPlan().toString()
+    got = lines.where("value like '%\"retweeted_status\"%'").select(F.get_json_object("value", "$.retweeted_status.id_str")).collect()
+    assert sorted(r[0] for r in got) == sorted(str(i % 3) for i in range(20) if i % 50 != 7)  # the 7th line is a literal
+
+
+def test_only_copies_are_stored(spark):
+    status = {"id": 1, "id_str": "1", "text": "a", "user": {"id_str": "7"}, "quoted_status": {"id": 2, "id_str": "2", "text": "b", "user": {"id_str": "8"}}}
+    values = [json.dumps(status), str({**status, "id_str": "3"}), "no line", '{"limit": 1}', json.dumps({**status, "id_str": None}), json.dumps({**status, "id_str": "4", "text": None})]
+    lines = spark.createDataFrame([(v, "f") for v in values], "value string, source_file string")
+    ok, bad = raw.parse_lines(lines, S.copies)
+    assert {f.name for f in ok.schema["raw"].dataType.elementType.fields} >= {"priority", "id_str", "text_raw"}
+    got = ok.select(F.explode("raw").alias("c")).where("c is not null").select("c.priority", "c.id_str", "c.text_raw", "c.quoted.user_id").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
+        (0, "1", "a", "8"), (1, "2", "b", None), (0, "3", "a", "8"), (1, "2", "b", None), (0, "4", None, "8"), (1, "2", "b", None)]))
+    assert sorted(r[0] for r in bad.select("value").collect()) == sorted(["no line", values[4]])
