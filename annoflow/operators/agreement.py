@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoflow.operators.stats import exact_median
+from annoflow.session import stage
 
 
 def final_answers(ann: DataFrame) -> DataFrame:
@@ -25,8 +26,10 @@ def final_answers(ann: DataFrame) -> DataFrame:
 
 
 def annotator_agreement(ann: DataFrame) -> DataFrame:
-    """Per annotator ``agreement_count``, ``total_count`` and their ratio."""
-    last = final_answers(ann)
+    """Per annotator ``agreement_count``, ``total_count`` and their ratio.
+
+    The final answers are stored, as they are counted and then joined with the counts."""
+    last = stage(final_answers(ann), "answers")
     per_answer = (last.groupBy("tweet_id", "question_tag", "answer_tag").agg(F.count("*").alias("n_x"))
                   .withColumn("n", F.sum("n_x").over(Window.partitionBy("tweet_id", "question_tag"))))
     joined = last.join(per_answer, ["tweet_id", "question_tag", "answer_tag"])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from annoflow.functions import entities
 from annoflow.functions import status as S
-from annoflow.operators import splits
+from annoflow.operators import agreement, splits
 from annoflow.operators.interactions import COUNT_COLS
 from annoflow.plans import parse, views
 from annoflow.session import stage
@@ -97,3 +97,11 @@ def test_only_copies_are_stored(spark):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, [
         (0, "1", "a", "8"), (1, "2", "b", None), (0, "3", "a", "8"), (1, "2", "b", None), (0, "4", None, "8"), (1, "2", "b", None)]))
     assert sorted(r[0] for r in bad.select("value").collect()) == sorted(["no line", values[4]])
+
+
+def test_final_answers_are_found_once(spark):
+    rows = [(t, "q", a, "x" if a < 3 else "y", s) for t in range(4) for a in range(4) for s in (1, 2)]
+    ann = spark.createDataFrame(rows, "tweet_id int, question_tag string, annotator_id int, answer_tag string, seq int")
+    out = agreement.annotator_agreement(ann)
+    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["annotator_id"]: (r["agreement_count"], r["total_count"]) for r in out.collect()} == {0: (8, 12), 1: (8, 12), 2: (8, 12), 3: (0, 12)}
