@@ -8,7 +8,7 @@ from annoflow.functions import entities
 from annoflow.functions import status as S
 from annoflow.operators import agreement, splits
 from annoflow.operators.interactions import COUNT_COLS
-from annoflow.plans import parse, views
+from annoflow.plans import parse, views, workflows
 from annoflow.session import stage
 from annoflow.sources import raw
 
@@ -105,3 +105,11 @@ def test_final_answers_are_found_once(spark):
     out = agreement.annotator_agreement(ann)
     assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r["annotator_id"]: (r["agreement_count"], r["total_count"]) for r in out.collect()} == {0: (8, 12), 1: (8, 12), 2: (8, 12), 3: (0, 12)}
+
+
+def test_pretraining_texts_are_found_once(spark):
+    parsed = spark.range(40).select(F.col("id"), F.concat(F.lit("text "), F.col("id") % 30).alias("text"), F.lit(False).alias("is_retweet"),
+                                    F.lit("en").alias("lang"), F.lit(5).alias("token_count"))
+    out = workflows.pretraining_text(parsed, seed=1)
+    assert "Aggregate" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 24, "dev": 6}
