@@ -546,16 +546,15 @@ ORACLE_SQL.update({
 def _ingested(spark, sf_dir, periods):
     """Raw lines written as files of three collection periods, streamed and merged one period after the
     other in the given order; the store must equal the batch parse."""
-    import os
-    import uuid
-
-    from annoflow.session import ensure_checkpoint_dir
+    from annoflow.session import FILE_ROWS, Scratch, shared_folder
     from annoflow.streaming import ingest
 
-    root = os.path.join(ensure_checkpoint_dir(spark), f"stream-{uuid.uuid4().hex}")
+    root = shared_folder(spark, "stream")
     period = F.when(F.dayofmonth("day") <= 10, 1).when(F.dayofmonth("day") <= 20, 2).otherwise(3)
-    (views.raw_status_lines(spark, sf_dir).select("value", period.alias("period"))
-     .write.partitionBy("period").text(f"{root}/raw"))
+    with Scratch(spark):
+        # a compressed file is read by one task, so none has many lines
+        (views.raw_status_lines(spark, sf_dir).select("value", period.alias("period"))
+         .write.partitionBy("period").option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).text(f"{root}/raw"))
     for n in periods:
         ingest.start_ingest(spark, f"{root}/raw/period={n}", f"{root}/store", f"{root}/stream-{n}", span=1 << 20).awaitTermination()
     parsed = ingest.read_store(spark, f"{root}/store")

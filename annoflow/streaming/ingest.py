@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from annoflow.operators import interactions
 from annoflow.plans import parse as parse_plan
-from annoflow.session import stage
+from annoflow.session import Scratch, stage
 from annoflow.sources.raw import day_from_path
 
 COUNT_COLS = list(interactions.COUNT_COLS.values())
@@ -72,6 +72,11 @@ def _overwrite(df: DataFrame, table: str, *parts: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(table)
 
 
+def _folders(pairs: DataFrame) -> set[tuple[str, str]]:
+    """The (day, bucket) folders of a frame of such pairs."""
+    return {(str(r[0]) if r[0] else NO_DAY, r[1]) for r in pairs.distinct().collect()}
+
+
 def _span(spark: SparkSession, store: str, span: int | None) -> int:
     """The store's bucket span, set by its first batch."""
     path = f"{store}/_layout"
@@ -93,13 +98,17 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     ``span`` is the width of the id buckets of a new store.
     """
     spark = batch_lines.sparkSession
-    batch_id = batch_id or uuid.uuid4().hex
-    span = _span(spark, store, span)
-    lines = batch_lines.withColumn("day", day_from_path("source_file"))
-    parsed, new_log, bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer, keep_origin=True)
-    rows = stage(parsed.withColumn("bucket", bucket_of("id", span)), "batch-rows")
-    new_log = stage(new_log.withColumn("bucket", bucket_of("target_id", span)), "batch-log")
-    _overwrite(bad.withColumn("batch", F.lit(batch_id)), f"{store}/quarantine", "batch")
+    with Scratch(spark) as scratch:
+        _merge(spark, scratch, batch_lines, store, keywords, countries, gazetteer, batch_id or uuid.uuid4().hex, _span(spark, store, span))
+
+
+def _merge(spark: SparkSession, scratch: Scratch, batch_lines: DataFrame, store: str, keywords, countries, gazetteer, batch_id: str, span: int) -> None:
+    with Scratch(spark):  # the parsed lines and their copies are done with when the batch's rows are stored
+        lines = batch_lines.withColumn("day", day_from_path("source_file"))
+        parsed, new_log, bad = parse_plan.parse_with_log(lines, keywords, countries, gazetteer, keep_origin=True)
+        rows = scratch.stage(parsed.withColumn("bucket", bucket_of("id", span)), "batch-rows")
+        new_log = scratch.stage(new_log.withColumn("bucket", bucket_of("target_id", span)), "batch-log")
+        _overwrite(bad.withColumn("batch", F.lit(batch_id)), f"{store}/quarantine", "batch")
 
     # Lists of buckets and days are as long as the batch has folders to write.
     buckets = [r[0] for r in rows.select("bucket").union(new_log.select("bucket")).distinct().collect()]
@@ -113,30 +122,36 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
 
     origin = rows.schema["_origin"].dataType.simpleString()
     locator = _read_parts(spark, f"{store}/locator", parts, f"id string, day date, _origin {origin}, bucket string")
-    # New ids, and better copies of stored ones, with the day of the copy that they replace.
+    # New ids, and better copies of stored ones, with the day of the copy that they replace.  What is stored is looked up by ids
+    # and orders alone, and only what is known already is stored: the rows are neither joined with the locator nor written again.
     had = locator.select("bucket", "id", F.col("_origin").alias("_had"), F.col("day").alias("_had_day"))
-    better = rows.join(had, ["bucket", "id"], "left").where(F.col("_had").isNull() | (F.col("_origin") < F.col("_had")))
-    if any(_exists(spark, f"{store}/locator/{p}") for p in parts):  # else all rows are new, and they are stored already
-        better = stage(better, "better-rows")
+    known = (rows.select("bucket", "id", "_origin", "created_day").join(had, ["bucket", "id"])
+             .select("bucket", "id", "created_day", "_had_day", (F.col("_origin") < F.col("_had")).alias("_wins")))
+    if any(_exists(spark, f"{store}/locator/{p}") for p in parts):  # else all rows are new
+        known = stage(known, "known-rows")
+    better = rows.join(known.where("NOT _wins"), ["bucket", "id"], "left_anti")
+    replaced = known.where("_wins")
     # Targets of the whole batch, not of what is new in the log: a repeated batch finds its log already there
     # and still has to count it.
     hit = locator.join(new_log.select("bucket", F.col("target_id").alias("id")).distinct(), ["bucket", "id"], "left_semi")
     touched = (better.select(F.col("created_day").alias("day"), "bucket")
-               .union(better.where(F.col("_had").isNotNull()).select("_had_day", "bucket")).union(hit.select("day", "bucket")))
-    pairs = {(str(r[0]) if r[0] else NO_DAY, r[1]) for r in touched.distinct().collect()}
+               .union(replaced.select("_had_day", "bucket")).union(hit.select("day", "bucket")))
+    pairs = _folders(touched)
+    moved = _folders(replaced.where("NOT (_had_day <=> created_day)").select("_had_day", "bucket"))
 
     columns = [c for c in rows.columns if c not in ("created_day", "bucket")]
     stored_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*columns).schema.fields]
                               + [f"{c} bigint" for c in COUNT_COLS] + ["created_day date", "bucket string"])
     stored = _read_parts(spark, f"{store}/statuses", [f"created_day={d}/bucket={b}" for d, b in sorted(pairs)], stored_schema)
-    base = (stored.drop(*COUNT_COLS).join(better.select("bucket", "id"), ["bucket", "id"], "left_anti")
-            .unionByName(better.drop("_had", "_had_day")))
-    # All interactions with a status lie in its own bucket.
-    merged = stage(interactions.attach_counts(base, interactions.count_interactions(log)), "merged-rows")
-    left = {(str(r[0]) if r[0] else NO_DAY, r[1]) for r in merged.select("created_day", "bucket").distinct().collect()}
+    base = stored.drop(*COUNT_COLS).join(better.select("bucket", "id"), ["bucket", "id"], "left_anti").unionByName(better)
+    # All interactions with a status lie in its own bucket.  Counts are stored, so that few ones are broadcast.
+    counts = stage(interactions.count_interactions(log), "counts")
+    merged = interactions.attach_counts(base, counts)
+    emptied = moved - _folders(base.select("created_day", "bucket")) if moved else set()
+    # Spark moves new partitions into their place when all rows are written, so those that are read here are still there.
     _overwrite(merged.hint("rebalance", "created_day", "bucket").sortWithinPartitions("created_day", "bucket", "created_at"),
                f"{store}/statuses", "created_day", "bucket")
-    for day, bucket in sorted(pairs - left):  # all their statuses have moved to another day
+    for day, bucket in sorted(emptied):  # all their statuses have moved to another day
         fs, folder = _fs(spark, f"{store}/statuses/created_day={day}/bucket={bucket}")
         fs.delete(folder, True)
         if fs.exists(folder.getParent()) and not fs.listStatus(folder.getParent()):
@@ -145,7 +160,7 @@ def merge_batch(batch_lines: DataFrame, store: str, keywords=(), countries=None,
     mine = better.select("id", F.col("created_day").alias("day"), "_origin", "bucket")
     changed = better.select("bucket").distinct()
     rest = locator.join(changed, "bucket", "left_semi").join(mine.select("bucket", "id"), ["bucket", "id"], "left_anti")
-    _overwrite(stage(rest.unionByName(mine), "locator"), f"{store}/locator", "bucket")
+    _overwrite(rest.unionByName(mine).hint("rebalance", "bucket"), f"{store}/locator", "bucket")
 
 
 def start_ingest(spark: SparkSession, raw_dir: str, store: str, checkpoint: str | None = None,
