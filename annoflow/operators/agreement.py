@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from annoflow.operators.stats import exact_median
-from annoflow.session import stage
+from annoflow.session import Scratch, stage
 
 
 def final_answers(ann: DataFrame) -> DataFrame:
@@ -65,10 +65,13 @@ def robust_z(df: DataFrame, value: str, out: str, below_median_only: bool = Fals
 
 
 def agreement_outlier_ids(ann: DataFrame, cutoff: float, min_comparisons_count: int = 20) -> DataFrame:
-    """Annotators whose low agreement has a robust z-score above ``cutoff``."""
-    ag = annotator_agreement(ann).where(F.col("total_count") >= min_comparisons_count)
-    ag = robust_z(ag, "agreement_ratio", "z", below_median_only=True)
-    return ag.where(F.col("z") > cutoff).select("annotator_id")
+    """Annotators whose low agreement has a robust z-score above ``cutoff``.
+
+    They are stored, so that few ones are broadcast to the annotations that are marked with them; the answers go."""
+    with Scratch(ann.sparkSession) as scratch:
+        ag = annotator_agreement(ann).where(F.col("total_count") >= min_comparisons_count)
+        ag = robust_z(ag, "agreement_ratio", "z", below_median_only=True)
+        return scratch.leave(ag.where(F.col("z") > cutoff).select("annotator_id"), "outliers")
 
 
 def question_sequences(ann: DataFrame) -> DataFrame:

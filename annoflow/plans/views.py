@@ -32,10 +32,16 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     full_log = F.when(c("l_discount") == 0.0, F.lit(None).cast("string")).otherwise(F.concat(
         F.lit('{"totalDurationUntilMturkSubmit": '), ms_submit.cast("string"),
         F.lit(', "totalDurationQuestionSequence": '), ms_sequence.cast("string"), F.lit("}")))
-    pos = ((c("l_orderkey") * 8 + c("l_linenumber")) * F.lit(100000000000)
-           + c("l_partkey") * 100000 + c("l_suppkey"))
+    # (l_orderkey * 8 + l_linenumber) * 10^11 + l_partkey * 10^5 + l_suppkey is too large for a bigint from some 11 million
+    # orders on: two numbers of the same order, all below the order's digit and that with what is carried
+    below = lambda x, d: F.call_function("div", x - F.pmod(x, F.lit(d)), F.lit(d))
+    part = c("l_partkey") + below(c("l_suppkey").cast("bigint"), 100_000)
+    line = c("l_linenumber") + below(part, 1_000_000)
+    order = c("l_orderkey") + below(line, 8)
+    rest = (F.pmod(line, F.lit(8)) * F.lit(100_000_000_000) + F.pmod(part, F.lit(1_000_000)) * 100_000
+            + F.pmod(c("l_suppkey"), F.lit(100_000)))
     # the four key columns repeat: the id adds every field the pipeline reads,
-    # so (pos, id) orders rows totally up to exact duplicates
+    # so (pos, id) orders rows totally up to exact duplicates; pos is null if one of them is
     ann_id = F.concat_ws("-", c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"),
                          c("l_returnflag"), c("l_linestatus"), c("l_quantity").cast("bigint"),
                          F.round(c("l_discount") * 100).cast("bigint"), F.round(c("l_tax") * 100).cast("bigint"))
@@ -52,7 +58,7 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(c("l_tax") == 0.0, F.lit("correct")).otherwise(F.lit("default")).alias("flag"),
         mode.alias("mode"),
         full_log.alias("full_log"),
-        F.struct(pos.alias("pos"), ann_id.alias("id")).alias("seq"),
+        F.struct(order.alias("order"), F.when(order.isNotNull(), rest).alias("rest"), ann_id.alias("id")).alias("seq"),
     )
     return df.withColumn("total_time", total_time("full_log", "mode"))
 
